@@ -27,13 +27,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.plans.sizing import broadcast_limits, size_bound
+from keelson.plans.sizing import broadcast_limits, row_bytes, size_bound
 
 T_PREFIX = "t__"
 S_PREFIX = "s__"
@@ -81,6 +82,7 @@ def _any_null(cols: Sequence[str]) -> Column:
 
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+_QUALIFIED = re.compile(r"\b(source|target)\.([A-Za-z_][A-Za-z0-9_]*)", re.IGNORECASE)
 
 
 def resolve_expr(spec, target: DataFrame, source: DataFrame) -> Column:
@@ -92,10 +94,18 @@ def resolve_expr(spec, target: DataFrame, source: DataFrame) -> Column:
     if not isinstance(spec, str):
         return F.lit(spec)
     s = spec.strip()
-    low = s.lower()
-    for prefix, fn in (("source.", src), ("target.", tgt)):
-        if low.startswith(prefix):
-            return fn(_field(source if fn is src else target, s[len(prefix):]).name)
+    qualified = _QUALIFIED.fullmatch(s)
+    if qualified:
+        side, name = qualified.group(1).lower(), qualified.group(2)
+        return src(_field(source, name).name) if side == "source" else tgt(_field(target, name).name)
+    if _QUALIFIED.search(s):
+        # an SQL expression over source.x / target.y: point the names at the
+        # prefixed columns of the aligned join
+        def repl(m):
+            side, name = m.group(1).lower(), m.group(2)
+            df, prefix = (source, S_PREFIX) if side == "source" else (target, T_PREFIX)
+            return f"`{prefix}{_field(df, name).name}`"
+        return F.expr(_QUALIFIED.sub(repl, s))
     if _IDENT.match(s):
         in_s = s.lower() in {c.lower() for c in source.columns}
         in_t = s.lower() in {c.lower() for c in target.columns}
@@ -109,27 +119,57 @@ def resolve_expr(spec, target: DataFrame, source: DataFrame) -> Column:
 
 
 # ---------------------------------------------------------------------------
-# source checks (I16)
-
-def check_source_keys(source: DataFrame, keys: Sequence[str], null_keys: str = "fail") -> None:
-    """Raise if two source rows share a key (one target row may match at most
-    one source row), or, with ``null_keys="fail"``, if a key is NULL.
-
-    One aggregation job: partial counts per task, so a hot key is combined
-    map-side; the driver receives at most one offending row.
-    """
-    cond = F.col("__n") > 1
-    if null_keys == "fail":
-        cond = cond | _any_null(keys)
-    bad = (source.groupBy(*[F.col(f"`{k}`") for k in keys])
-           .agg(F.count(F.lit(1)).alias("__n")).filter(cond).limit(1).collect())
-    if bad:
-        row = bad[0].asDict()
-        n = row.pop("__n")
-        if n > 1:
-            raise ValueError(f"source has {n} rows for key {row}: a merge source "
-                             f"must have one row per key (dedupe it first)")
-        raise ValueError(f"source has a NULL key {row}; pass null_keys='insert' to insert such rows")
+# source checks (I16) and the size of the source
+
+
+@dataclass(frozen=True)
+class SourceProfile:
+    """What one pass over the source tells: its size, and whether its keys
+    are unique and non-NULL."""
+    rows: int
+    bytes: int
+    max_rows_per_key: int
+    null_key_rows: int
+    worst_key: dict | None
+
+
+def profile_source(source: DataFrame, keys: Sequence[str]) -> SourceProfile:
+    """One aggregation job: rows per key (partial counts per task, so a hot
+    key is combined map-side), then one global row. The driver receives that
+    single row."""
+    kcols = [F.col(f"`{k}`") for k in keys]
+    per_key = (source.groupBy(*kcols)
+               .agg(F.count(F.lit(1)).alias("__n"), F.sum(row_bytes(source.schema)).alias("__b"))
+               .withColumn("__null", _any_null(keys)))
+    row = per_key.agg(
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("__b"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max("__n"), F.lit(0)).alias("max_n"),
+        F.coalesce(F.sum(F.when(F.col("__null"), F.col("__n"))), F.lit(0)).alias("nulls"),
+        F.max_by(F.struct(*[F.col(f"`{k}`") for k in keys]), F.col("__n")).alias("worst"),
+    ).first()
+    worst = row["worst"].asDict() if row["worst"] is not None else None
+    return SourceProfile(int(row["rows"]), int(row["bytes"]), int(row["max_n"]),
+                         int(row["nulls"]), worst)
+
+
+def validate_source(profile: SourceProfile, null_keys: str = "fail") -> None:
+    """Raise if two source rows share a key (one target row may match at
+    most one source row), or, with ``null_keys="fail"``, if a key is NULL."""
+    if profile.max_rows_per_key > 1:
+        raise ValueError(f"source has {profile.max_rows_per_key} rows for key "
+                         f"{profile.worst_key}: a merge source must have one row per key "
+                         f"(dedupe it first)")
+    if null_keys == "fail" and profile.null_key_rows:
+        raise ValueError(f"source has {profile.null_key_rows} rows with a NULL key; pass "
+                         f"null_keys='insert' to insert such rows")
+
+
+def check_source_keys(source: DataFrame, keys: Sequence[str], null_keys: str = "fail") -> SourceProfile:
+    """Profile the source and validate its keys; returns the profile."""
+    profile = profile_source(source, keys)
+    validate_source(profile, null_keys)
+    return profile
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
@@ -158,21 +198,29 @@ def split_target(target: DataFrame, keys: Sequence[str], target_filter: Column |
     return target.filter(can_match), target.filter(~can_match)
 
 
-def choose_strategy(source: DataFrame, strategy: str) -> str:
+def choose_strategy(source: DataFrame, strategy: str,
+                    profile: SourceProfile | None = None) -> str:
+    """Broadcast the source only when its size is known to be within the
+    session's bounds: from the profile pass when there was one, else from a
+    bounded probe (``plans.sizing.size_bound``)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if strategy != "auto":
         return strategy
     max_rows, max_bytes = broadcast_limits(source.sparkSession)
-    return "broadcast" if size_bound(source, max_rows, max_bytes) is not None else "shuffle"
+    if profile is not None:
+        small = profile.rows <= max_rows and profile.bytes <= max_bytes
+    else:
+        small = size_bound(source, max_rows, max_bytes) is not None
+    return "broadcast" if small else "shuffle"
 
 
 def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[str, str]],
-                 strategy: str = "auto") -> DataFrame:
+                 strategy: str = "auto", profile: SourceProfile | None = None) -> DataFrame:
     """Every eligible target row (with its matching source row or NULLs) and
     every unmatched source row, with columns ``t__*``, ``s__*`` and the side
     markers ``__t`` / ``__s``. Source keys are cast to the target key types."""
-    strategy = choose_strategy(source, strategy)
+    strategy = choose_strategy(source, strategy, profile)
     key_types = {s: _field(eligible, t).dataType for t, s in keys}
     tside = eligible.select(*[F.col(f"`{c}`").alias(T_PREFIX + c) for c in eligible.columns],
                             F.lit(True).alias(T_MARK))
@@ -246,10 +294,9 @@ def merge(target: DataFrame, source: DataFrame, on, *,
     keys = key_pairs(on)
     if null_keys not in ("fail", "insert"):
         raise ValueError("null_keys must be 'fail' or 'insert'")
-    if check:
-        check_source_keys(source, [s for _, s in keys], null_keys)
+    profile = check_source_keys(source, [s for _, s in keys], null_keys) if check else None
     eligible, bypass = split_target(target, [t for t, _ in keys], target_filter)
-    al = aligned_join(eligible, source, keys, strategy)
+    al = aligned_join(eligible, source, keys, strategy, profile)
 
     src_names = {c.lower(): c for c in source.columns}
 

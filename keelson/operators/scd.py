@@ -33,10 +33,6 @@ _TGT_HASH = "__tgt_hash"
 # ---------------------------------------------------------------------------
 # type 2 helpers (I5, I6, I15)
 
-def _as_type(value: Column, dtype: T.DataType) -> Column:
-    return value.cast(dtype)
-
-
 def scd2_init(df: DataFrame, as_of: str | dt.date | Column | None, *,
               flag_col: str = "cur_rec_ind", start_col: str = "start_ts", end_col: str = "end_ts",
               current_flag: str = "Y", time_type: str | T.DataType = "date",
@@ -119,8 +115,7 @@ def scd2(target: DataFrame, source: DataFrame, keys, as_of: str | dt.date | Colu
         tracked = [c for c in source.columns
                    if c.lower() not in key_low | special and c.lower() in target_low]
     tracked = [_field(source, c).name for c in tracked]
-    if check:
-        check_source_keys(source, skeys, null_keys)
+    profile = check_source_keys(source, skeys, null_keys) if check else None
 
     has_t_hash = bool(hash_col) and hash_col.lower() in target_low
     has_s_hash = bool(hash_col) and hash_col.lower() in {c.lower() for c in source.columns}
@@ -141,7 +136,7 @@ def scd2(target: DataFrame, source: DataFrame, keys, as_of: str | dt.date | Colu
         eligible = eligible.withColumn(
             _TGT_HASH, row_hash([_field(target, c).name for c in tracked], target.schema,
                                 compat=hash_compat))
-    al = aligned_join(eligible, src_df, list(zip(tkeys, skeys)), strategy)
+    al = aligned_join(eligible, src_df, list(zip(tkeys, skeys)), strategy, profile)
 
     if detect == "always":
         changed = matched()

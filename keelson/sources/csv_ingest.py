@@ -131,7 +131,7 @@ def enforce(df: DataFrame, schema: T.StructType | str, on_violation: str = "quar
     - ``"drop"``: returns the good rows;
     - ``"fail"``: returns the good rows, and the job fails at the first bad
       row (lazily, through ``assert_true``: no extra pass).
-    Good rows get the declared nullability.
+    Good rows hold no NULL in a non-nullable field.
     """
     st = _schema(schema)
     c = conform(df, st, violations_col)
@@ -150,12 +150,7 @@ def enforce(df: DataFrame, schema: T.StructType | str, on_violation: str = "quar
 
 
 def _with_nullability(df: DataFrame, st: T.StructType) -> DataFrame:
-    # non-nullable fields are known to hold no NULL here; coalesce with a
-    # typed error makes the plan's schema say so
-    out = []
-    for f in st.fields:
-        c = F.col(f"`{f.name}`")
-        if not f.nullable:
-            c = F.coalesce(c, F.raise_error(F.lit(f"NULL in non-nullable column {f.name}")).cast(f.dataType))
-        out.append(c.alias(f.name))
-    return df.select(*out)
+    # Good rows hold no NULL in a non-nullable field (the violation filter
+    # removed them); Spark's schema still reports such columns as nullable,
+    # since no public expression can assert non-NULL to the analyzer.
+    return df.select(*[F.col(f"`{f.name}`") for f in st.fields])

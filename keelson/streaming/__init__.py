@@ -1,0 +1,5 @@
+"""Streaming: incremental batches applied through Structured Streaming."""
+
+from keelson.streaming.incremental import stream_apply
+
+__all__ = ["stream_apply"]

@@ -1,0 +1,88 @@
+"""Column functions: fingerprints, maps, dates, user functions."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from keelson.functions import (add_months, months_between, parse_date, row_hash, zip_to_map)
+from keelson.functions.udf import month_year_label, register_udf, vectorized
+from keelson.operators import (add_column, derive_first, null_profile, rename_columns,
+                               replace_column, scale_columns)
+
+
+def test_row_hash_marks_nulls(spark):
+    df = spark.createDataFrame([(1, None, "3"), (1, "3", None)], "a int, b string, c string")
+    h = [r[0] for r in df.select(row_hash(["a", "b", "c"], df.schema)).collect()]
+    assert h[0] != h[1]
+    compat = [r[0] for r in df.select(row_hash(["a", "b", "c"], compat=True)).collect()]
+    assert compat[0] == compat[1]  # the collision the default encoding avoids
+
+
+def test_row_hash_field_boundaries(spark):
+    df = spark.createDataFrame([("ab", "c"), ("a", "bc")], "x string, y string")
+    h = [r[0] for r in df.select(row_hash(["x", "y"], df.schema)).collect()]
+    assert h[0] != h[1]
+
+
+def test_zip_to_map_drops_null_keys_and_dedups(spark):
+    df = spark.createDataFrame([(["a", None, "b", "a"], [1, 2, 3, 4])],
+                               "k array<string>, v array<int>")
+    last = df.select(zip_to_map("k", "v").alias("m")).first().m
+    first = df.select(zip_to_map("k", "v", dedup="first").alias("m")).first().m
+    assert last == {"a": 4, "b": 3}
+    assert first == {"a": 1, "b": 3}
+
+
+def test_zip_to_map_pads_short_values(spark):
+    df = spark.createDataFrame([(["a", "b", "c"], [1])], "k array<string>, v array<int>")
+    assert df.select(zip_to_map("k", "v").alias("m")).first().m == {"a": 1, "b": None, "c": None}
+
+
+def test_dates(spark):
+    df = spark.createDataFrame([("01-11-2022",), ("01-03-2020",), ("bad",)], "d string")
+    parsed = df.select(parse_date("d", "dd-MM-yyyy").alias("d"))
+    assert [r.d for r in parsed.collect()] == [dt.date(2022, 11, 1), dt.date(2020, 3, 1), None]
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        df.select(parse_date("d", "dd-MM-yyyy", strict=True)).collect()
+    mb = spark.createDataFrame([(dt.date(2022, 11, 1), dt.date(2020, 3, 31))], "a date, b date")
+    assert mb.select(months_between("a", "b")).first()[0] == pytest.approx(31.03225806, abs=1e-9)
+    am = spark.createDataFrame([(dt.date(2020, 3, 31),)], "d date")
+    assert am.select(add_months("d", -1)).first()[0] == dt.date(2020, 2, 29)
+
+
+def test_udf_is_null_safe(spark):
+    df = spark.createDataFrame([(dt.date(2022, 11, 1),), (None,)], "d date")
+    assert [r[0] for r in df.select(month_year_label("d")).collect()] == ["Nov-2022", None]
+    register_udf(spark, "shout", lambda s: s.upper() + "!", T.StringType())
+    df.createOrReplaceTempView("udf_t")
+    out = spark.sql("SELECT shout(cast(d AS string)) FROM udf_t").collect()
+    assert [r[0] for r in out] == ["2022-11-01!", None]
+    assert vectorized(len, "int") is not None
+
+
+def test_projection_checks(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, Name string")
+    with pytest.raises(ValueError):
+        derive_first(df, "name", F.lit(1))
+    with pytest.raises(ValueError):
+        add_column(df, "ID", F.lit(1))
+    out = replace_column(df, "NAME", F.upper("Name"))
+    assert out.columns == ["id", "NAME"] and out.first().NAME == "A"
+    with pytest.raises(KeyError):
+        rename_columns(df, {"missing": "x"})
+    assert rename_columns(df, {"missing": "x"}, strict=False).columns == ["id", "Name"]
+
+
+def test_scale_text_needs_type(spark):
+    df = spark.createDataFrame([("72.5",), ("x",)], "v string")
+    out = scale_columns(df, ["v"], 2, as_type="double").collect()
+    assert [r.v for r in out] == [145.0, None]
+
+
+def test_null_profile(spark):
+    df = spark.createDataFrame([(1, None), (None, None), (3, "c")], "a int, b string")
+    assert null_profile(df).first().asDict() == {"a": 1, "b": 2}
