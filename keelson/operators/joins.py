@@ -43,13 +43,31 @@ def join_on(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column,
     return left.join(right, keys, how)
 
 
-def semi_join(left: DataFrame, right: DataFrame, on, anti: bool = False) -> DataFrame:
+def semi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Mapping[str, str] | Column,
+              anti: bool = False) -> DataFrame:
     """Rows of ``left`` with (or, ``anti``, without) a match in ``right``.
 
     No fan-out: a left row appears at most once. In the anti join a left row
     with a NULL key has no match and is kept.
+
+    With keys given by name (a name, a list of shared names, or a mapping
+    left -> right) only the distinct keys of ``right`` are joined: the
+    distinct runs as a partial aggregate in each map task, so a key that
+    holds a third of ``right`` reaches the join as one row instead of a hot
+    partition, and a small key set can be broadcast.
     """
-    return join_on(left, right, on, "left_anti" if anti else "left_semi")
+    how = "left_anti" if anti else "left_semi"
+    if isinstance(on, Column):
+        return left.join(right, on, how)
+    pairs = ([(on, on)] if isinstance(on, str) else
+             list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on])
+    keys = right.select(*[F.col(f"`{r}`").alias(f"__k{i}") for i, (_, r) in enumerate(pairs)]) \
+        .distinct()
+    cond = None
+    for i, (lk, _) in enumerate(pairs):
+        c = left[lk] == keys[f"__k{i}"]
+        cond = c if cond is None else cond & c
+    return left.join(keys, cond, how)
 
 
 def hash_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str] | Mapping[str, str],

@@ -35,8 +35,17 @@ def sort_keys(keys: Sequence[str | Column], ascending: bool | Sequence[bool] = T
 
 
 def sort_by(df: DataFrame, keys: Sequence[str | Column], ascending: bool | Sequence[bool] = True,
-            nulls_last: bool | None = None) -> DataFrame:
-    return df.orderBy(*sort_keys(keys, ascending, nulls_last))
+            nulls_last: bool | None = None, spread_ties: bool = True) -> DataFrame:
+    """Global sort. The range partitioner cannot split equal keys, so one key
+    holding a third of the rows would land in one task; ``spread_ties`` adds
+    a last sort key, a hash of the whole row, which leaves the order by
+    ``keys`` unchanged (ties have no defined order) but lets the sampled
+    bounds fall inside a hot key. The hash is deterministic, so a retried
+    task sends every row to the same partition."""
+    order = sort_keys(keys, ascending, nulls_last)
+    if spread_ties:
+        order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    return df.orderBy(*order)
 
 
 def top_n(df: DataFrame, keys: Sequence[str | Column], n: int,

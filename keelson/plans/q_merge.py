@@ -15,6 +15,7 @@ from keelson.operators import scd
 from keelson.plans.catalog import register
 from keelson.plans.inputs import (AS_OF, CUSTOMER_COLS, INITIAL_LOAD, SECOND_AS_OF,
                                   customer_refresh, table)
+from keelson.session import cut_lineage
 
 SOURCE_EFFECTIVE = "2025-07-26"
 DIM_OPTS = dict(flag_col="cur_rec_ind", start_col="start_date", end_col="end_date")
@@ -152,7 +153,10 @@ _TWO_STEPS = _scd2_sql(_scd2_sql(_dim_sql(), _refresh_sql(), AS_OF, "hash"),
 
 
 def _two_steps(spark, sf):
-    first = _scd2(customer_dimension(spark, sf), customer_refresh(spark, sf), AS_OF)
+    # the second step reads its target in three branches (current rows,
+    # their keys, history): materialise the first step once instead of
+    # recomputing it per branch
+    first = cut_lineage(_scd2(customer_dimension(spark, sf), customer_refresh(spark, sf), AS_OF))
     return _scd2(first, customer_refresh(spark, sf, raise_by=200), SECOND_AS_OF)
 
 

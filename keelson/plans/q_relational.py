@@ -219,30 +219,28 @@ def _urgent_orders(spark, sf):
 SELECT * FROM customer c WHERE EXISTS (SELECT 1 FROM {_URGENT} o WHERE o.o_custkey = c.c_custkey)""")
 def c5_left_semi(spark, sf):
     c, o = table(spark, sf, "customer"), _urgent_orders(spark, sf)
-    return joins.semi_join(c, o, c.c_custkey == o.o_custkey)
+    return joins.semi_join(c, o, {"c_custkey": "o_custkey"})
 
 
 @register("c6_left_anti", f"""
 SELECT * FROM customer c WHERE NOT EXISTS (SELECT 1 FROM {_URGENT} o WHERE o.o_custkey = c.c_custkey)""")
 def c6_left_anti(spark, sf):
     c, o = table(spark, sf, "customer"), _urgent_orders(spark, sf)
-    return joins.semi_join(c, o, c.c_custkey == o.o_custkey, anti=True)
+    return joins.semi_join(c, o, {"c_custkey": "o_custkey"}, anti=True)
 
 
 @register("c7_self_semi", f"""
 SELECT * FROM customer a WHERE EXISTS (SELECT 1 FROM {_INDEBTED_SQL} b WHERE b.c_nationkey = a.c_nationkey)""")
 def c7_self_semi(spark, sf):
-    a = table(spark, sf, "customer").alias("a")
-    b = indebted_automobile(spark, sf).alias("b")
-    return joins.semi_join(a, b, F.col("a.c_nationkey") == F.col("b.c_nationkey"))
+    a, b = table(spark, sf, "customer"), indebted_automobile(spark, sf)
+    return joins.semi_join(a, b, "c_nationkey")
 
 
 @register("c7_self_anti", f"""
 SELECT * FROM customer a WHERE NOT EXISTS (SELECT 1 FROM {_INDEBTED_SQL} b WHERE b.c_nationkey = a.c_nationkey)""")
 def c7_self_anti(spark, sf):
-    a = table(spark, sf, "customer").alias("a")
-    b = indebted_automobile(spark, sf).alias("b")
-    return joins.semi_join(a, b, F.col("a.c_nationkey") == F.col("b.c_nationkey"), anti=True)
+    a, b = table(spark, sf, "customer"), indebted_automobile(spark, sf)
+    return joins.semi_join(a, b, "c_nationkey", anti=True)
 
 
 @register("c8_hash_key_join", """
@@ -260,7 +258,7 @@ def c11_semi_for_inner_with_predicate(spark, sf):
     # "select c.* from c join o on ... where <o predicate>" without the fan-out
     c = table(spark, sf, "customer")
     o = table(spark, sf, "orders").filter(F.col("o_totalprice") > 450000)
-    return joins.semi_join(c, o, c.c_custkey == o.o_custkey)
+    return joins.semi_join(c, o, {"c_custkey": "o_custkey"})
 
 
 # ---------------------------------------------------------------------------

@@ -66,3 +66,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df):
+    """Materialise ``df`` under the shared checkpoint folder and return a
+    DataFrame that reads it back (a reliable checkpoint: it survives the
+    loss of the executors that computed it). Use it between chained steps
+    whose output is read by several branches of the next plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
