@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keelson.plans.catalog import register
-from keelson.plans.inputs import (CUSTOMER_SCHEMA, customer_feed_csv, nation_csv, table)
+from keelson.plans.inputs import CUSTOMER_SCHEMA, customer_feed_csv, nation_csv, table
+from keelson.session import scratch_path
 from keelson.sources import csv_ingest, incremental, tables
 
 _SHORT = "(c_mktsegment = 'AUTOMOBILE' AND c_acctbal > 9500)"
@@ -124,3 +125,27 @@ def a14_incremental_new_rows(spark, sf):
     orders = table(spark, sf, "orders")
     loaded = orders.filter(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
     return incremental.new_rows(orders, loaded, "o_orderdate")
+
+
+@register("a9_a12_snapshot_roundtrip", "SELECT * FROM customer")
+def a9_a12_snapshot_roundtrip(spark, sf):
+    # two committed versions under the shared scratch folder; the reader
+    # takes the newest commit
+    base = scratch_path(spark, "customer-snapshots")
+    customer = table(spark, sf, "customer")
+    tables.write_snapshot(customer.filter(F.col("c_mktsegment") == "BUILDING"), base, 1)
+    tables.write_snapshot(customer, base, 2)
+    return tables.read_snapshot(spark, base)
+
+
+@register("a11_versions_with_added_column", """
+SELECT n_nationkey, n_name, n_regionkey, CAST(NULL AS VARCHAR) AS r_name FROM nation
+UNION ALL
+SELECT n_nationkey, n_name, n_regionkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def a11_versions_with_added_column(spark, sf):
+    base = scratch_path(spark, "nation-versions")
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    v1 = tables.write_snapshot(nation, base, 1)
+    v2 = tables.write_snapshot(nation.join(region, nation.n_regionkey == region.r_regionkey)
+                               .select("n_nationkey", "n_name", "n_regionkey", "r_name"), base, 2)
+    return tables.read_versions(spark, [v1, v2], merge_schema=True)

@@ -381,6 +381,11 @@ def e1_sort_multi_key(spark, sf):
                             [True, False])
 
 
+@register("e2_sort_asc", "SELECT * FROM customer ORDER BY c_acctbal ASC")
+def e2_sort_asc(spark, sf):
+    return ordering.sort_by(table(spark, sf, "customer"), ["c_acctbal"])
+
+
 @register("e3_sort_desc", "SELECT * FROM customer ORDER BY c_name DESC")
 def e3_sort_desc(spark, sf):
     return ordering.sort_by(table(spark, sf, "customer"), ["c_name"], False)

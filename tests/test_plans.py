@@ -60,3 +60,30 @@ def test_grouped_aggregate_is_two_phase(spark):
     df = table(spark, SF_SMALL, "customer").groupBy("c_nationkey").agg(F.sum("c_acctbal"))
     text = formatted(df)
     assert "partial_sum" in text
+
+
+def test_semi_join_reduces_right_side_to_distinct_keys(spark):
+    from keelson.operators import semi_join
+    c, o = table(spark, SF_SMALL, "customer"), table(spark, SF_SMALL, "orders")
+    text = formatted(semi_join(c, o, {"c_custkey": "o_custkey"}))
+    # a partial aggregate over the right keys runs before any exchange
+    assert "HashAggregate" in text and "LeftSemi" in text
+
+
+def test_sort_spreads_a_hot_key(spark):
+    from keelson.operators import partition_profile, sort_by
+    rows = [(0, i) for i in range(6000)] + [(k, k) for k in range(1, 12001)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(8)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # keep the 8 range partitions visible at this tiny size
+    try:
+        out = sort_by(df, ["k"])
+        sizes = [r.rows for r in partition_profile(out).collect()]
+        plain = [r.rows for r in partition_profile(sort_by(df, ["k"], spread_ties=False)).collect()]
+        ks = [r.k for r in out.collect()]
+    finally:
+        spark.conf.set(key, old)
+    assert max(plain) >= 6000       # without spreading, the hot key is one partition
+    assert max(sizes) < 6000        # with it, the hot key is split across range partitions
+    assert ks == sorted(ks)
