@@ -21,9 +21,8 @@ from pyspark.sql import types as T
 
 from keelson.functions.dates import as_of_date
 from keelson.functions.hashing import row_hash
-from keelson.operators.merging import (S_PREFIX, T_MARK, _field, aligned_join, check_source_keys,
-                                     key_pairs, matched, merge, source_only, split_target, src,
-                                     tgt)
+from keelson.operators.merging import (T_MARK, _field, aligned_join, check_source_keys, key_pairs,
+                                       matched, merge, split_target, src, tgt)
 
 DETECT = ("hash", "columns", "always")
 _SRC_HASH = "__src_hash"
@@ -279,5 +278,4 @@ def scd3(target: DataFrame, source: DataFrame, keys, *, value_col: str,
                  strategy=strategy)
 
 
-__all__ = ["current", "history", "scd1", "scd2", "scd2_init", "scd3", "update_where",
-           "source_only", "S_PREFIX"]
+__all__ = ["current", "history", "scd1", "scd2", "scd2_init", "scd3", "update_where"]

@@ -15,7 +15,8 @@ from keelson.operators import scd
 from keelson.plans.catalog import register
 from keelson.plans.inputs import (AS_OF, CUSTOMER_COLS, INITIAL_LOAD, SECOND_AS_OF,
                                   customer_refresh, table)
-from keelson.session import cut_lineage
+from keelson.session import cut_lineage, scratch_path
+from keelson.sources.tables import publish_dimension, read_dimension
 
 SOURCE_EFFECTIVE = "2025-07-26"
 DIM_OPTS = dict(flag_col="cur_rec_ind", start_col="start_date", end_col="end_date")
@@ -317,3 +318,18 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
   FROM events) WHERE rn = 1""")
 def i16_dedupe_latest(spark, sf):
     return mg.dedupe_latest(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"])
+
+
+@register("i8_scd2_dimension_store", _TWO_STEPS)
+def i8_scd2_dimension_store(spark, sf):
+    # the same two steps through the append-only-history store: each step
+    # reads only the current folder of the newest run and writes its current
+    # rows plus the rows it closed; history is never reread or rewritten
+    base = scratch_path(spark, "customer-dimension")
+    publish_dimension(customer_dimension(spark, sf), base, 1)
+    for version, (batch, as_of) in enumerate(
+            [(customer_refresh(spark, sf), AS_OF),
+             (customer_refresh(spark, sf, raise_by=200), SECOND_AS_OF)], start=2):
+        current = read_dimension(spark, base, current_only=True)
+        publish_dimension(_scd2(current, batch, as_of), base, version)
+    return read_dimension(spark, base)

@@ -4,11 +4,12 @@ snapshots, incremental batches."""
 from keelson.sources.csv_ingest import (all_columns_guard, conform, enforce, read_csv,
                                         split_quarantine, stage_parsed)
 from keelson.sources.incremental import high_water_mark, new_rows
-from keelson.sources.tables import (latest_version, read_snapshot, read_table, read_versions,
-                                    save_table, sql_over, write_snapshot)
+from keelson.sources.tables import (latest_version, publish_dimension, read_dimension,
+                                    read_snapshot, read_table, read_versions, save_table, sql_over,
+                                    write_snapshot)
 
 __all__ = [
     "all_columns_guard", "conform", "enforce", "high_water_mark", "latest_version",
-    "new_rows", "read_csv", "read_snapshot", "read_table", "read_versions", "save_table",
+    "new_rows", "publish_dimension", "read_csv", "read_dimension", "read_snapshot", "read_table", "read_versions", "save_table",
     "split_quarantine", "sql_over", "stage_parsed", "write_snapshot",
 ]

@@ -77,3 +77,53 @@ def read_versions(spark: SparkSession, paths: list[str], merge_schema: bool = Tr
     """Several parquet versions as one DataFrame; with ``merge_schema`` a
     column missing from older files reads as NULL there."""
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(*paths)
+
+
+# ---------------------------------------------------------------------------
+# type-2 dimension store: history is written once, never rewritten
+
+RUNS = "runs"
+CURRENT_PART = "is_current"
+
+
+def publish_dimension(df: DataFrame, base: str, version: int, flag_col: str = "cur_rec_ind",
+                      current_flag: str = "Y") -> str:
+    """Write one run of a type-2 dimension and commit it.
+
+    ``df`` holds the run's current rows and the rows it closed (what
+    ``scd2`` returns when its target is only the current rows). One write,
+    partitioned by currency: ``runs/v=<version>/is_current=true|false``.
+    The current rows of the newest committed run are the current table;
+    the closed rows of every committed run together are the history. A run
+    therefore writes (current + newly closed) rows, never the history that
+    came before; a failed run is an uncommitted folder that readers skip
+    and the next attempt overwrites.
+    """
+    root = base.rstrip("/")
+    path = f"{root}/{RUNS}/v={version}"
+    is_cur = F.coalesce(F.col(flag_col) == F.lit(current_flag), F.lit(False))
+    df.withColumn(CURRENT_PART, is_cur).write.mode("overwrite").partitionBy(CURRENT_PART).parquet(path)
+    spark = df.sparkSession
+    (spark.createDataFrame([(version, path)], "version long, path string")
+     .withColumn("committed_at", F.current_timestamp())
+     .coalesce(1).write.mode("append").parquet(f"{root}/{COMMITS}"))
+    return path
+
+
+def read_dimension(spark: SparkSession, base: str, version: int | None = None,
+                   current_only: bool = False) -> DataFrame:
+    """The dimension as of a committed run (default: the newest).
+
+    Both filters are on partition columns, so only the needed folders are
+    listed and read: ``current_only`` reads one folder.
+    """
+    root = base.rstrip("/")
+    if version is None:
+        latest = latest_version(spark, root)
+        if latest is None:
+            raise FileNotFoundError(f"no committed run under {root}")
+        version = latest[0]
+    runs = spark.read.option("basePath", f"{root}/{RUNS}").parquet(f"{root}/{RUNS}")
+    cur = (F.col("v") == version) & F.col(CURRENT_PART)
+    keep = cur if current_only else cur | ((F.col("v") <= version) & ~F.col(CURRENT_PART))
+    return runs.filter(keep).drop("v", CURRENT_PART)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.operators.merging import dedupe_latest
-from keelson.sources.tables import COMMITS, latest_version
+from keelson.sources.tables import COMMITS, latest_version, publish_dimension, read_dimension
 
 
 def _publish(df: DataFrame, base: str, version: int) -> None:
@@ -38,7 +38,8 @@ def stream_apply(spark: SparkSession, batch_dir: str, batch_schema: T.StructType
                  snapshot_base: str, step: Callable[[DataFrame, DataFrame, str], DataFrame], *,
                  keys: Sequence[str], as_of_col: str, checkpoint: str,
                  order_by: Sequence[str] | None = None, fmt: str = "parquet",
-                 available_now: bool = True):
+                 available_now: bool = True, layout: str = "snapshot",
+                 flag_col: str = "cur_rec_ind"):
     """Start a stream that applies every new batch file to the snapshot.
 
     ``step(current, batch, as_of)`` returns the next snapshot; ``as_of`` is
@@ -47,7 +48,15 @@ def stream_apply(spark: SparkSession, batch_dir: str, batch_schema: T.StructType
     one key are reduced to the latest by ``order_by`` (default: ``as_of_col``).
     Returns the StreamingQuery (``available_now`` processes what is there,
     then stops).
+
+    ``layout="snapshot"``: every epoch writes the whole next table
+    (``write_snapshot``). ``layout="dimension"``: the type-2 store
+    (``publish_dimension``): ``step`` gets only the current rows and the
+    epoch writes current rows plus the rows it closed, so the cost of an
+    epoch does not grow with the history.
     """
+    if layout not in ("snapshot", "dimension"):
+        raise ValueError("layout must be 'snapshot' or 'dimension'")
     stream = spark.readStream.schema(batch_schema).format(fmt).load(batch_dir)
     order = list(order_by) if order_by else [as_of_col]
 
@@ -59,9 +68,14 @@ def stream_apply(spark: SparkSession, batch_dir: str, batch_schema: T.StructType
         if latest is None:
             raise FileNotFoundError(f"no committed snapshot under {snapshot_base}: "
                                     f"publish the full load first")
-        current = batch.sparkSession.read.parquet(latest[1])
         changes = dedupe_latest(batch, keys, order).drop(as_of_col)
-        _publish(step(current, changes, str(row["d"])), snapshot_base, latest[0] + 1)
+        if layout == "dimension":
+            current = read_dimension(batch.sparkSession, snapshot_base, latest[0], current_only=True)
+            publish_dimension(step(current, changes, str(row["d"])), snapshot_base,
+                              latest[0] + 1, flag_col=flag_col)
+        else:
+            current = batch.sparkSession.read.parquet(latest[1])
+            _publish(step(current, changes, str(row["d"])), snapshot_base, latest[0] + 1)
 
     writer = (stream.writeStream.foreachBatch(apply)
               .option("checkpointLocation", checkpoint))

@@ -2,20 +2,25 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from keelson.operators import current, history, scd2
 from keelson.plans.inputs import CUSTOMER_COLS, customer_refresh, table
 from keelson.plans.q_merge import DIM_OPTS, customer_dimension
-from keelson.sources import read_snapshot, write_snapshot
+from keelson.sources import publish_dimension, read_dimension, read_snapshot, write_snapshot
 from keelson.streaming import stream_apply
 from tests.conftest import SF_SMALL
 
 
-def test_daily_batches_build_history(spark, scratch):
+@pytest.mark.parametrize("layout", ["snapshot", "dimension"])
+def test_daily_batches_build_history(spark, scratch, layout):
     base = os.path.join(scratch, "dim")
     batches = os.path.join(scratch, "batches")
-    write_snapshot(customer_dimension(spark, SF_SMALL), base, 1)
+    if layout == "snapshot":
+        write_snapshot(customer_dimension(spark, SF_SMALL), base, 1)
+    else:
+        publish_dimension(customer_dimension(spark, SF_SMALL), base, 1)
 
     day1 = customer_refresh(spark, SF_SMALL).withColumn("extract_date", F.lit("2025-07-29").cast("date"))
     day2 = customer_refresh(spark, SF_SMALL, raise_by=200).withColumn(
@@ -28,14 +33,16 @@ def test_daily_batches_build_history(spark, scratch):
     schema = day1.schema
     ckpt = os.path.join(scratch, "ckpt")
     q = stream_apply(spark, os.path.join(batches, "*"), schema, base, step,
-                     keys=["c_custkey"], as_of_col="extract_date", checkpoint=ckpt)
+                     keys=["c_custkey"], as_of_col="extract_date", checkpoint=ckpt,
+                     layout=layout)
     q.awaitTermination()
     day2.write.parquet(os.path.join(batches, "day2"))
     q = stream_apply(spark, os.path.join(batches, "*"), schema, base, step,
-                     keys=["c_custkey"], as_of_col="extract_date", checkpoint=ckpt)
+                     keys=["c_custkey"], as_of_col="extract_date", checkpoint=ckpt,
+                     layout=layout)
     q.awaitTermination()
 
-    streamed = read_snapshot(spark, base)
+    streamed = read_snapshot(spark, base) if layout == "snapshot" else read_dimension(spark, base)
     expected = step(step(customer_dimension(spark, SF_SMALL),
                          day1.drop("extract_date"), "2025-07-29"),
                     day2.drop("extract_date"), "2025-07-30")
