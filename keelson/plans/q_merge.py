@@ -16,7 +16,7 @@ from keelson.plans.catalog import register
 from keelson.plans.inputs import (AS_OF, CUSTOMER_COLS, INITIAL_LOAD, SECOND_AS_OF,
                                   customer_refresh, table)
 from keelson.session import cut_lineage, scratch_path
-from keelson.sources.tables import publish_dimension, read_dimension
+from keelson.sources.tables import publish_dimension, read_dimension, sql_over
 
 SOURCE_EFFECTIVE = "2025-07-26"
 DIM_OPTS = dict(flag_col="cur_rec_ind", start_col="start_date", end_col="end_date")
@@ -333,3 +333,15 @@ def i8_scd2_dimension_store(spark, sf):
         current = read_dimension(spark, base, current_only=True)
         publish_dimension(_scd2(current, batch, as_of), base, version)
     return read_dimension(spark, base)
+
+
+@register("i11_scd2_from_sql_views", _scd2_sql(_dim_sql(), _refresh_sql(), AS_OF, "hash"))
+def i11_scd2_from_sql_views(spark, sf):
+    # the batch arrives through SQL over temp views with its key as text
+    # (as an untyped extract would have it); the merge casts source keys to
+    # the target's key type
+    views = {"dim_view": customer_dimension(spark, sf), "batch_view": customer_refresh(spark, sf)}
+    dim = sql_over(spark, views, "SELECT * FROM dim_view")
+    batch = spark.sql("SELECT CAST(c_custkey AS STRING) AS c_custkey, c_name, c_nationkey, "
+                      "c_acctbal, c_mktsegment FROM batch_view")
+    return _scd2(dim, batch, AS_OF)
