@@ -16,13 +16,25 @@ COMMITS = "_commits"
 
 
 def save_table(df: DataFrame, name: str, mode: str = "errorifexists", fmt: str = "parquet",
-               merge_schema: bool = False) -> None:
+               merge_schema: bool = False, buckets: tuple[int, list[str]] | None = None,
+               sort_by: list[str] | None = None) -> None:
     """``saveAsTable``: ``errorifexists`` (create, fail if present),
     ``overwrite`` or ``append``. ``merge_schema`` lets an append/overwrite
-    widen the table with new columns."""
+    widen the table with new columns.
+
+    ``buckets=(n, keys)`` stores the table hash-bucketed on its keys: a later
+    join or merge on those keys reads it already partitioned, so only the
+    other side is shuffled (to ``n`` partitions). For a dimension merged
+    every day, bucket it by its business key.
+    """
     w = df.write.mode(mode).format(fmt)
     if merge_schema:
         w = w.option("mergeSchema", "true")
+    if buckets is not None:
+        n, keys = buckets
+        w = w.bucketBy(n, *keys)
+        if sort_by:
+            w = w.sortBy(*sort_by)
     w.saveAsTable(name)
 
 

@@ -87,3 +87,18 @@ def test_sort_spreads_a_hot_key(spark):
     assert max(plain) >= 6000       # without spreading, the hot key is one partition
     assert max(sizes) < 6000        # with it, the hot key is split across range partitions
     assert ks == sorted(ks)
+
+
+def test_bucketed_dimension_is_not_shuffled(spark):
+    from keelson.sources import save_table
+    save_table(customer_dimension(spark, SF_SMALL), "kt_dim_bucketed", mode="overwrite",
+               buckets=(8, ["c_custkey"]))
+    out = _scd2(spark.table("kt_dim_bucketed"), customer_refresh(spark, SF_SMALL), AS_OF,
+                strategy="shuffle")
+    text = formatted(out)
+    assert "Bucketed: true" in text
+    exchanges = [line for line in text.splitlines() if "hashpartitioning(" in line]
+    assert exchanges and all("s__c_custkey" in line for line in exchanges)
+    assert sorted(out.collect()) == sorted(
+        _scd2(customer_dimension(spark, SF_SMALL), customer_refresh(spark, SF_SMALL), AS_OF,
+              strategy="shuffle").collect())
