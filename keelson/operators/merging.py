@@ -221,7 +221,7 @@ def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[st
     every unmatched source row, with columns ``t__*``, ``s__*`` and the side
     markers ``__t`` / ``__s``. Source keys are cast to the target key types."""
     strategy = choose_strategy(source, strategy, profile)
-    key_types = {s: _field(eligible, t).dataType for t, s in keys}
+    key_types = {_field(source, s).name: _field(eligible, t).dataType for t, s in keys}
     tside = eligible.select(*[F.col(f"`{c}`").alias(T_PREFIX + c) for c in eligible.columns],
                             F.lit(True).alias(T_MARK))
     sside = source.select(*[

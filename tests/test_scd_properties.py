@@ -105,3 +105,31 @@ def test_target_filter_keeps_non_matching_rows(spark):
     s = spark.createDataFrame([(1, 9)], "id int, v int")
     out = merge(t, s, "id", update={"v": "source.v"}, target_filter=F.col("flag") == "Y")
     assert sorted(out.collect()) == [(1, "N", 0), (1, "Y", 9)]
+
+
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_composite_keys_with_different_names(spark, strategy):
+    t = spark.createDataFrame([(1, "a", 10), (1, "b", 20), (2, "a", 30)],
+                              "k1 int, k2 string, v int")
+    s = spark.createDataFrame([("1", "B", 21), ("1", "b", 22), ("3", "a", 40)],
+                              "K1 string, key2 string, v int")
+    out = merge(t, s, {"k1": "K1", "k2": "key2"}, update={"v": "source.v"},
+                insert={"k1": "source.K1", "k2": "source.key2", "v": "source.v"},
+                strategy=strategy)
+    assert sorted(out.collect()) == [(1, "B", 21), (1, "a", 10), (1, "b", 22), (2, "a", 30),
+                                     (3, "a", 40)]
+
+
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_scd2_composite_key_mapping(spark, strategy):
+    import datetime as dt
+    dim = spark.createDataFrame(
+        [(1, "a", 10, "Y", dt.date(2025, 1, 1), None)],
+        "k1 int, k2 string, v int, cur_rec_ind string, start_ts date, end_ts date")
+    batch = spark.createDataFrame([(1, "a", 11), (1, "z", 5)], "x int, y string, v int")
+    out = scd2(dim, batch, {"k1": "x", "k2": "y"}, "2025-02-01", detect="columns",
+               strategy=strategy)
+    d1, d2 = dt.date(2025, 1, 1), dt.date(2025, 2, 1)
+    assert sorted(out.collect(), key=str) == sorted([
+        (1, "a", 10, "N", d1, d2), (1, "a", 11, "Y", d2, None), (1, "z", 5, "Y", d2, None)],
+        key=str)
