@@ -2,9 +2,9 @@
 
 Every aggregate here is decomposable (partial aggregation before the
 shuffle), so a key holding a third of all rows is combined inside each map
-task before it reaches one reducer. The exceptions are the collecting
-aggregates: a list/set per group is by definition one value per group, see
-``collect_values`` and ``value_counts``.
+task before it reaches one reducer. Collected lists are built from
+(group, value, count) rows for the same reason; only the final projection
+expands a group's list, whose length is the group's row count by definition.
 """
 
 from __future__ import annotations
@@ -24,14 +24,26 @@ def grouped(df: DataFrame, by: Sequence[str | Column], aggs: Sequence[Column]) -
 
 def collect_values(df: DataFrame, by: Sequence[str], col: str, distinct: bool = False,
                    name: str | None = None) -> DataFrame:
-    """Per group, the sorted list (or set) of non-NULL values of ``col``.
-
-    Sorted so that the result does not depend on partitioning. The whole
-    list of one group is held by one task: for groups of unbounded size use
-    ``value_counts``, whose size is bounded by the number of distinct values.
+    """Per group, the sorted list (or set) of non-NULL values of ``col``
+    (``sort_array(collect_list(col))`` / ``collect_set``).
+
+    Built from ``value_counts``: rows are first reduced to one (group,
+    value, count) row, decomposably (partial counts in every map task), so
+    a group holding a third of the rows is not buffered whole by one task;
+    the final aggregate holds one entry per distinct value of a group, and
+    the list is expanded from the counts only in the final projection.
     """
-    agg = F.collect_set(col) if distinct else F.collect_list(col)
-    return df.groupBy(*by).agg(F.sort_array(agg).alias(name or f"{col}_{'set' if distinct else 'list'}"))
+    out_name = name or f"{col}_{'set' if distinct else 'list'}"
+    counts = value_counts(df, by, col, "__n")
+    entries = F.array_sort(F.collect_list(F.struct(F.col(f"`{col}`").alias("v"),
+                                                   F.col("__n").alias("n"))))
+    grouped = counts.groupBy(*by).agg(entries.alias("__e"))
+    present = F.filter("__e", lambda e: e["v"].isNotNull())
+    if distinct:
+        values = F.transform(present, lambda e: e["v"])
+    else:
+        values = F.flatten(F.transform(present, lambda e: F.array_repeat(e["v"], e["n"].cast("int"))))
+    return grouped.select(*by, values.alias(out_name))
 
 
 def value_counts(df: DataFrame, by: Sequence[str], col: str, name: str = "n") -> DataFrame:

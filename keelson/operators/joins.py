@@ -32,15 +32,85 @@ def join_type(how: str) -> str:
         raise ValueError(f"unsupported join type {how!r}; cross joins are not offered") from None
 
 
-def join_on(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column,
-            how: str = "inner") -> DataFrame:
+def join_on(left: DataFrame, right: DataFrame,
+            on: str | Sequence[str] | Mapping[str, str] | Column,
+            how: str = "inner", small_right: bool | None = None) -> DataFrame:
     """Equi-join on shared key names (one key column out, coalesced for full
-    joins) or on an equality expression (both key columns kept)."""
+    joins), on a mapping left-name -> right-name, or on an equality
+    expression (both key columns kept for the last two).
+
+    Right and full outer joins with a small right side are rewritten.
+    Spark cannot broadcast the preserved side of an outer join, so joining
+    a large fact table to a small dimension that way is a sort-merge join
+    whose partitions are the dimension's keys: a 25-key dimension gives 25
+    busy reducers however large the data. Instead the large side streams
+    through a broadcast inner (right) or left (full) join, and the
+    dimension rows without a match are found by semi-joining the large
+    side's key column against the broadcast keys (at most one row per
+    dimension key) and anti-joining the dimension against that set.
+    ``small_right=None`` decides with a bounded size probe; ``False``
+    keeps Spark's plan.
+    """
     how = join_type(how)
     if isinstance(on, Column):
         return left.join(right, on, how)
-    keys = [on] if isinstance(on, str) else list(on)
-    return left.join(right, keys, how)
+    shared = not isinstance(on, Mapping)
+    pairs = ([(on, on)] if isinstance(on, str) else
+             [(k, k) for k in on] if shared else list(on.items()))
+    if how in ("right", "full"):
+        if small_right is None:
+            from keelson.plans.sizing import broadcast_limits, size_bound
+            max_rows, max_bytes = broadcast_limits(right.sparkSession)
+            small_right = size_bound(right, max_rows, max_bytes) is not None
+        if small_right:
+            return _outer_small_right(left, right, pairs, shared, keep_left=how == "full")
+    if shared:
+        return left.join(right, [k for k, _ in pairs], how)
+    return left.join(right, _eq(left, right, pairs), how)
+
+
+def _eq(left: DataFrame, right: DataFrame, pairs) -> Column:
+    cond = None
+    for lk, rk in pairs:
+        c = left[lk] == right[rk]
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def _outer_small_right(left: DataFrame, right: DataFrame, pairs, shared: bool,
+                       keep_left: bool) -> DataFrame:
+    """Right (``keep_left=False``) or full outer join with a broadcast right side."""
+    lkeys, rkeys = [lk for lk, _ in pairs], [rk for _, rk in pairs]
+    small = F.broadcast(right)
+    if shared:
+        main = left.join(small, lkeys, "left" if keep_left else "inner")
+    else:
+        main = left.join(small, _eq(left, small, pairs), "left" if keep_left else "inner")
+    # right keys that found a left row: bounded by the right side's size
+    hit = (left.select(*[F.col(f"`{k}`").alias(f"__h{i}") for i, k in enumerate(lkeys)])
+           .join(F.broadcast(right.select(*[F.col(f"`{k}`").alias(f"__r{i}")
+                                             for i, k in enumerate(rkeys)])),
+                 _and_all([F.col(f"__h{i}") == F.col(f"__r{i}") for i in range(len(pairs))]),
+                 "left_semi")
+           .distinct())
+    missed = right.join(F.broadcast(hit), _and_all(
+        [right[k] == hit[f"__h{i}"] for i, k in enumerate(rkeys)]), "left_anti")
+    lfields = {f.name: f.dataType for f in left.schema.fields}
+    if shared:
+        cols = [F.col(f"`{k}`") for k in rkeys]
+        cols += [F.lit(None).cast(t).alias(n) for n, t in lfields.items() if n not in lkeys]
+        cols += [F.col(f"`{c}`") for c in right.columns if c not in rkeys]
+    else:
+        cols = [F.lit(None).cast(t).alias(n) for n, t in lfields.items()]
+        cols += [F.col(f"`{c}`") for c in right.columns]
+    return main.union(missed.select(*cols))
+
+
+def _and_all(preds) -> Column:
+    out = preds[0]
+    for p in preds[1:]:
+        out = out & p
+    return out
 
 
 def semi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Mapping[str, str] | Column,

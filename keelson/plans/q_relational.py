@@ -188,7 +188,7 @@ def c1_inner_join_shared_key(spark, sf):
 SELECT c_name, n_name FROM {_INDEBTED_SQL} c RIGHT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def c2_right_join_project(spark, sf):
     c, n = indebted_automobile(spark, sf), table(spark, sf, "nation")
-    return joins.join_on(c, n, c.c_nationkey == n.n_nationkey, "right").select("c_name", "n_name")
+    return joins.join_on(c, n, {"c_nationkey": "n_nationkey"}, "right").select("c_name", "n_name")
 
 
 @register("c3_full_join_shared_key", f"""

@@ -102,3 +102,31 @@ def test_bucketed_dimension_is_not_shuffled(spark):
     assert sorted(out.collect()) == sorted(
         _scd2(customer_dimension(spark, SF_SMALL), customer_refresh(spark, SF_SMALL), AS_OF,
               strategy="shuffle").collect())
+
+
+def test_outer_join_rewrite_equals_spark(spark):
+    from keelson.operators import join_on
+    big = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "n"), (7, "x")],
+                                "k int, lv string")
+    small = spark.createDataFrame([(1, "one"), (3, "three"), (None, "nil")], "k int, rv string")
+    small2 = small.withColumnRenamed("k", "rk")
+    for how in ("right", "full"):
+        for on, r in (("k", small), ({"k": "rk"}, small2)):
+            ours = join_on(big, r, on, how, small_right=True)
+            spark_plan = join_on(big, r, on, how, small_right=False)
+            assert ours.columns == spark_plan.columns
+            assert sorted(ours.collect(), key=str) == sorted(spark_plan.collect(), key=str)
+    text = formatted(join_on(big, small, "k", "full", small_right=True))
+    assert "SortMergeJoin" not in text
+
+
+def test_collect_values_matches_collect_list(spark):
+    from keelson.operators import collect_values
+    rows = [(0, v % 3) for v in range(3000)] + [(1, None), (2, 5), (2, 5), (3, None)]
+    df = spark.createDataFrame(rows, "g int, v int").repartition(8)
+    ours = {r.g: r.v_list for r in collect_values(df, ["g"], "v").collect()}
+    ref = {r.g: r.l for r in df.groupBy("g").agg(F.sort_array(F.collect_list("v")).alias("l"))
+           .collect()}
+    assert ours == ref
+    sets = {r.g: r.v_set for r in collect_values(df, ["g"], "v", distinct=True).collect()}
+    assert sets == {0: [0, 1, 2], 1: [], 2: [5], 3: []}
