@@ -305,7 +305,7 @@ def i13_scd3(spark, sf):
 
 @register("i13_scd3_replay_is_noop", _SCD3_SQL)
 def i13_scd3_replay_is_noop(spark, sf):
-    once = _scd3(_scd3_target(spark, sf), customer_refresh(spark, sf))
+    once = cut_lineage(_scd3(_scd3_target(spark, sf), customer_refresh(spark, sf)))
     return _scd3(once, customer_refresh(spark, sf))
 
 
