@@ -75,3 +75,33 @@ def cut_lineage(df):
     whose output is read by several branches of the next plan."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, total_cores: int,
+               partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Session settings sized for an input of ``input_bytes`` on a cluster
+    with ``total_cores`` task slots.
+
+    Scan splits and post-shuffle partitions target ``partition_bytes`` so a
+    task's working set fits in executor memory; the initial shuffle width
+    is at least two waves of tasks and at most one partition per target
+    size, and AQE coalesces small partitions and splits skewed ones at run
+    time. For 100 TB on 8,000 cores this gives about 400,000 initial
+    shuffle partitions, coalesced by AQE to what the data needs.
+    """
+    width = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL settings on the caller's session."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)

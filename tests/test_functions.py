@@ -86,3 +86,10 @@ def test_scale_text_needs_type(spark):
 def test_null_profile(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, "c")], "a int, b string")
     assert null_profile(df).first().asDict() == {"a": 1, "b": 2}
+
+
+def test_scale_conf():
+    from keelson.session import scale_conf
+    conf = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_conf(1024, 8)["spark.sql.shuffle.partitions"] == "16"
