@@ -260,10 +260,6 @@ def matched() -> Column:
     return F.col(T_MARK).isNotNull() & F.col(S_MARK).isNotNull()
 
 
-def target_only() -> Column:
-    return F.col(T_MARK).isNotNull() & F.col(S_MARK).isNull()
-
-
 def source_only() -> Column:
     return F.col(T_MARK).isNull()
 

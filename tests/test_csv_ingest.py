@@ -96,3 +96,13 @@ def test_schema_contract_modes(spark):
         enforce(raw, contract, on_violation="fail").collect()
     c = conform(raw, contract)
     assert c.columns == ["id", "name", "_violations"]
+
+
+def test_stage_parsed_splits_without_reparsing(spark, bad_csv, scratch):
+    from keelson.sources import stage_parsed
+    staged = stage_parsed(read_csv(spark, bad_csv, SCHEMA, on_bad="quarantine"),
+                          os.path.join(scratch, "staged"))
+    good, bad = split_quarantine(staged)
+    assert sorted(good.collect()) == GOOD
+    assert bad.count() == 4
+    assert good.select("B").count() == 2

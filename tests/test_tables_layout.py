@@ -82,3 +82,9 @@ def test_write_laid_out(spark, scratch):
     files = [f for f in os.listdir(path) if f.endswith(".parquet")]
     assert 1 <= len(files) <= 4
     assert spark.read.parquet(path).count() == table(spark, SF_SMALL, "orders").count()
+
+
+def test_with_partition_id(spark):
+    from keelson.operators import with_partition_id
+    df = with_partition_id(lay_out(table(spark, SF_SMALL, "nation"), "round_robin", 3))
+    assert sorted({r.partition_id for r in df.collect()}) == [0, 1, 2]
