@@ -36,8 +36,19 @@ CUSTOMER_SCHEMA = ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal
                    "c_mktsegment string")
 
 
+_READERS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given (read-only) table. The reader DataFrame is kept per session
+    and path, as a catalog keeps a table's metadata: its file listing and
+    parquet schema are resolved once, not on every query that reads it."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _READERS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READERS[key] = spark.read.parquet(path)
+    return df
 
 
 def money(c) -> F.Column:
