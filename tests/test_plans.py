@@ -130,3 +130,16 @@ def test_collect_values_matches_collect_list(spark):
     assert ours == ref
     sets = {r.g: r.v_set for r in collect_values(df, ["g"], "v", distinct=True).collect()}
     assert sets == {0: [0, 1, 2], 1: [], 2: [5], 3: []}
+
+
+def test_auto_strategy_follows_the_proven_bound(spark):
+    dim, src = customer_dimension(spark, SF_SMALL), customer_refresh(spark, SF_SMALL)
+    key = "keelson.broadcast.maxRows"
+    spark.conf.set(key, "10")  # the batch has more rows than this: no broadcast
+    try:
+        text = formatted(_scd2(dim, src, AS_OF))
+    finally:
+        spark.conf.unset(key)
+    assert "FullOuter" in text and "BroadcastHashJoin" not in text.split("Subquery")[0]
+    text = formatted(_scd2(dim, src, AS_OF))
+    assert "BroadcastHashJoin" in text and "FullOuter" not in text
