@@ -216,10 +216,13 @@ def choose_strategy(source: DataFrame, strategy: str,
 
 
 def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[str, str]],
-                 strategy: str = "auto", profile: SourceProfile | None = None) -> DataFrame:
+                 strategy: str = "auto", profile: SourceProfile | None = None,
+                 unmatched_source: bool = True) -> DataFrame:
     """Every eligible target row (with its matching source row or NULLs) and
     every unmatched source row, with columns ``t__*``, ``s__*`` and the side
-    markers ``__t`` / ``__s``. Source keys are cast to the target key types."""
+    markers ``__t`` / ``__s``. Source keys are cast to the target key types.
+    ``unmatched_source=False`` (an update-only merge) leaves the unmatched
+    source rows out: then the plan is a single left outer join."""
     strategy = choose_strategy(source, strategy, profile)
     key_types = {_field(source, s).name: _field(eligible, t).dataType for t, s in keys}
     tside = eligible.select(*[F.col(f"`{c}`").alias(T_PREFIX + c) for c in eligible.columns],
@@ -238,9 +241,12 @@ def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[st
     t_nulls = [F.lit(None).cast(f.dataType).alias(T_PREFIX + f.name) for f in eligible.schema.fields]
     t_nulls.append(F.lit(None).cast("boolean").alias(T_MARK))
 
-    def unmatched_source(df: DataFrame) -> DataFrame:
+    def source_only_rows(df: DataFrame) -> DataFrame:
         return df.select(*t_nulls, *[F.col(f"`{c}`") for c in sside.columns])
 
+    if not unmatched_source:
+        right = F.broadcast(s_keyed) if strategy == "broadcast" else s_keyed
+        return tside.join(right, cond, "left")
     if strategy == "shuffle":
         joined = tside.join(s_keyed, cond, "full")
     else:
@@ -252,8 +258,8 @@ def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[st
         hit_cond = _and([F.col(f"`{b}`") == F.col(f"`h{a}`") for a, b in zip(tk, sk)])
         hit = hit.select(*[F.col(f"`{a}`").alias(f"h{a}") for a in tk])
         missed = s_keyed.join(F.broadcast(hit), hit_cond, "left_anti")
-        joined = matched_part.unionByName(unmatched_source(missed))
-    return joined.unionByName(unmatched_source(s_unkeyed))
+        joined = matched_part.unionByName(source_only_rows(missed))
+    return joined.unionByName(source_only_rows(s_unkeyed))
 
 
 def matched() -> Column:
@@ -292,7 +298,8 @@ def merge(target: DataFrame, source: DataFrame, on, *,
         raise ValueError("null_keys must be 'fail' or 'insert'")
     profile = check_source_keys(source, [s for _, s in keys], null_keys) if check else None
     eligible, bypass = split_target(target, [t for t, _ in keys], target_filter)
-    al = aligned_join(eligible, source, keys, strategy, profile)
+    al = aligned_join(eligible, source, keys, strategy, profile,
+                      unmatched_source=insert is not None)
 
     src_names = {c.lower(): c for c in source.columns}
 

@@ -102,3 +102,14 @@ def nation_csv(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "nation-csv")
     table(spark, sf_dir, "nation").write.option("header", True).csv(path)
     return path
+
+
+def order_status_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day's status feed for the order fact table: every order placed in
+    the 90 days up to the newest order advances one status (O -> F, P -> O).
+    A batch small next to the table it updates, as a daily feed is."""
+    orders = table(spark, sf_dir, "orders")
+    since = orders.select(F.max("o_orderdate") - F.expr("INTERVAL 90 DAYS")).scalar()
+    st = F.col("o_orderstatus")
+    return orders.filter(F.col("o_orderdate") >= since).select(
+        "o_orderkey", F.when(st == "O", "F").when(st == "P", "O").otherwise(st).alias("o_orderstatus"))

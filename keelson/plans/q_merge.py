@@ -14,7 +14,7 @@ from keelson.operators import merging as mg
 from keelson.operators import scd
 from keelson.plans.catalog import register
 from keelson.plans.inputs import (AS_OF, CUSTOMER_COLS, INITIAL_LOAD, SECOND_AS_OF,
-                                  customer_refresh, table)
+                                  customer_refresh, order_status_updates, table)
 from keelson.session import cut_lineage, scratch_path
 from keelson.sources.tables import publish_dimension, read_dimension, sql_over
 
@@ -345,3 +345,34 @@ def i11_scd2_from_sql_views(spark, sf):
     batch = spark.sql("SELECT CAST(c_custkey AS STRING) AS c_custkey, c_name, c_nationkey, "
                       "c_acctbal, c_mktsegment FROM batch_view")
     return _scd2(dim, batch, AS_OF)
+
+
+# ---------------------------------------------------------------------------
+# a small feed into a large fact table (the daily-batch case)
+
+_ORDER_UPSERT_SQL = """
+WITH b AS (
+  SELECT o_orderkey,
+         CASE o_orderstatus WHEN 'O' THEN 'F' WHEN 'P' THEN 'O' ELSE o_orderstatus END AS o_orderstatus
+  FROM orders WHERE o_orderdate >= (SELECT max(o_orderdate) - INTERVAL 90 DAY FROM orders))
+SELECT o.o_orderkey, o.o_custkey,
+       CASE WHEN b.o_orderkey IS NOT NULL THEN b.o_orderstatus ELSE o.o_orderstatus END AS o_orderstatus,
+       o.o_totalprice, o.o_orderdate, o.o_orderpriority
+FROM orders o LEFT JOIN b ON o.o_orderkey = b.o_orderkey"""
+
+
+def _order_upsert(spark, sf, strategy):
+    return mg.merge(table(spark, sf, "orders"), order_status_updates(spark, sf), "o_orderkey",
+                    update={"o_orderstatus": "source.o_orderstatus"}, strategy=strategy)
+
+
+@register("i1_upsert_order_status_feed", _ORDER_UPSERT_SQL)
+def i1_upsert_order_status_feed(spark, sf):
+    # auto: the feed is proven small, so the order table streams through a
+    # broadcast join and is never shuffled
+    return _order_upsert(spark, sf, "auto")
+
+
+@register("i1_upsert_order_status_feed_shuffle", _ORDER_UPSERT_SQL)
+def i1_upsert_order_status_feed_shuffle(spark, sf):
+    return _order_upsert(spark, sf, "shuffle")
