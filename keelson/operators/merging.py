@@ -124,33 +124,30 @@ def resolve_expr(spec, target: DataFrame, source: DataFrame) -> Column:
 
 @dataclass(frozen=True)
 class SourceProfile:
-    """What one pass over the source tells: its size, and whether its keys
-    are unique and non-NULL."""
+    """What one pass over the source's key columns tells: its row count, and
+    whether its keys are unique and non-NULL."""
     rows: int
-    bytes: int
     max_rows_per_key: int
     null_key_rows: int
     worst_key: dict | None
 
 
 def profile_source(source: DataFrame, keys: Sequence[str]) -> SourceProfile:
-    """One aggregation job: rows per key (partial counts per task, so a hot
-    key is combined map-side), then one global row. The driver receives that
-    single row."""
+    """One aggregation job over the key columns only (a pruned scan): rows
+    per key (partial counts per task, so a hot key is combined map-side),
+    then one global row, which is all the driver receives."""
     kcols = [F.col(f"`{k}`") for k in keys]
-    per_key = (source.groupBy(*kcols)
-               .agg(F.count(F.lit(1)).alias("__n"), F.sum(row_bytes(source.schema)).alias("__b"))
+    per_key = (source.select(*kcols).groupBy(*kcols)
+               .agg(F.count(F.lit(1)).alias("__n"))
                .withColumn("__null", _any_null(keys)))
     row = per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("__b"), F.lit(0)).alias("bytes"),
         F.coalesce(F.max("__n"), F.lit(0)).alias("max_n"),
         F.coalesce(F.sum(F.when(F.col("__null"), F.col("__n"))), F.lit(0)).alias("nulls"),
         F.max_by(F.struct(*[F.col(f"`{k}`") for k in keys]), F.col("__n")).alias("worst"),
     ).first()
     worst = row["worst"].asDict() if row["worst"] is not None else None
-    return SourceProfile(int(row["rows"]), int(row["bytes"]), int(row["max_n"]),
-                         int(row["nulls"]), worst)
+    return SourceProfile(int(row["rows"]), int(row["max_n"]), int(row["nulls"]), worst)
 
 
 def validate_source(profile: SourceProfile, null_keys: str = "fail") -> None:
@@ -209,7 +206,10 @@ def choose_strategy(source: DataFrame, strategy: str,
         return strategy
     max_rows, max_bytes = broadcast_limits(source.sparkSession)
     if profile is not None:
-        small = profile.rows <= max_rows and profile.bytes <= max_bytes
+        # the row count is proven; only a source within it is measured in
+        # bytes, by one small aggregate over its (few) rows
+        small = profile.rows <= max_rows and (
+            profile.rows == 0 or source.agg(F.sum(row_bytes(source.schema))).first()[0] <= max_bytes)
     else:
         small = size_bound(source, max_rows, max_bytes) is not None
     return "broadcast" if small else "shuffle"
