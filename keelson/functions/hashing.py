@@ -15,7 +15,9 @@ from pyspark.sql import types as T
 # Fixed encoding of the fingerprint (changing any of these changes every hash):
 #   fields are joined with "|"; a non-NULL field is written "<length>:<text>";
 #   a NULL field is written "~"; floating point values are rendered through
-#   decimal(38, FLOAT_SCALE) so that the text does not depend on the engine.
+#   decimal(38, FLOAT_SCALE) so that the text does not depend on the engine;
+#   timestamps (instants) as epoch microseconds, so that it does not depend on
+#   the session time zone; binary values as hex.
 FIELD_SEPARATOR = "|"
 NULL_FIELD = "~"
 FLOAT_SCALE = 6
@@ -34,7 +36,8 @@ def md5_key(*cols: str | Column) -> Column:
 
 
 def row_hash(cols: Iterable[str | Column], schema: T.StructType | None = None,
-             compat: bool = False, float_scale: int = FLOAT_SCALE) -> Column:
+             compat: bool = False, float_scale: int = FLOAT_SCALE,
+             cast_to: dict[str, T.DataType] | None = None) -> Column:
     """A change-detection fingerprint of a row's tracked columns.
 
     The default encoding marks NULLs and prefixes every field with its length,
@@ -44,16 +47,23 @@ def row_hash(cols: Iterable[str | Column], schema: T.StructType | None = None,
     to read hashes written that way.
 
     ``schema`` lets floating point columns named by string be recognised;
-    pass ``df.schema`` (``hash_columns`` does it for you).
+    pass ``df.schema`` (``hash_columns`` does it for you). ``cast_to`` maps
+    column names to the type they are hashed as (so that a batch whose
+    columns arrive as text hashes like the typed table it is compared with).
     """
     cols = list(cols)
     if compat:
         return F.md5(F.concat_ws("_", *[_as_text(_col(c), None) for c in cols]))
     types = {f.name.lower(): f.dataType for f in schema.fields} if schema else {}
+    casts = {k.lower(): v for k, v in (cast_to or {}).items()}
     parts = []
     for c in cols:
-        dtype = types.get(c.lower()) if isinstance(c, str) else None
-        text = _as_text(_col(c), dtype, float_scale)
+        col, dtype = _col(c), None
+        if isinstance(c, str):
+            dtype = casts.get(c.lower(), types.get(c.lower()))
+            if c.lower() in casts:
+                col = col.cast(dtype)
+        text = _as_text(col, dtype, float_scale)
         parts.append(F.coalesce(
             F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit(NULL_FIELD)))
     return F.md5(F.concat_ws(FIELD_SEPARATOR, *parts))
@@ -72,4 +82,9 @@ def _col(c: str | Column) -> Column:
 def _as_text(c: Column, dtype: T.DataType | None, float_scale: int = FLOAT_SCALE) -> Column:
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         return c.cast(T.DecimalType(38, float_scale)).cast("string")
+    if isinstance(dtype, T.TimestampType):
+        # an instant: its text would follow the session time zone
+        return F.unix_micros(c).cast("string")
+    if isinstance(dtype, T.BinaryType):
+        return F.hex(c)
     return c.cast("string")

@@ -127,7 +127,11 @@ def scd2(target: DataFrame, source: DataFrame, keys, as_of: str | dt.date | Colu
             # that order (the md5(id, name, age) form); a computed-only one
             # compares just the tracked columns on both sides
             hcols = skeys + tracked if has_t_hash else tracked
-            src_df = src_df.withColumn(_SRC_HASH, row_hash(hcols, source.schema, compat=hash_compat))
+            # hash the batch as the target's types (text keys, say, as numbers)
+            as_target = {s: _field(target, t).dataType for t, s in zip(tkeys, skeys)}
+            as_target.update({c: _field(target, c).dataType for c in tracked})
+            src_df = src_df.withColumn(_SRC_HASH, row_hash(hcols, source.schema, compat=hash_compat,
+                                                           cast_to=as_target))
 
     cur_filter = F.col(f"`{_field(target, flag_col).name}`") == F.lit(current_flag)
     eligible, bypass = split_target(target, tkeys, cur_filter)
@@ -249,7 +253,11 @@ def scd3(target: DataFrame, source: DataFrame, keys, *, value_col: str,
     src_df = source
     if hash_col:
         hcols = skeys + [s_low[a.lower()] for a in attributes] + [s_low[value_col.lower()]]
-        src_df = source.withColumn("__scd3_hash", row_hash(hcols, source.schema, compat=hash_compat))
+        as_target = {s: _field(target, t).dataType for t, s in zip(tkeys, skeys)}
+        as_target.update({s_low[a.lower()]: _field(target, a).dataType for a in attributes})
+        as_target[s_low[value_col.lower()]] = curr_type
+        src_df = source.withColumn("__scd3_hash", row_hash(hcols, source.schema, compat=hash_compat,
+                                                           cast_to=as_target))
     if detect == "hash":
         if not hash_col or hash_col.lower() not in {c.lower() for c in target.columns}:
             raise ValueError("detect='hash' needs a stored hash_col on the target")

@@ -93,3 +93,17 @@ def test_scale_conf():
     conf = scale_conf(100 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(1024, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_row_hash_ignores_session_time_zone(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 12, 0),)], "t timestamp")
+    key = "spark.sql.session.timeZone"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "UTC")
+        a = df.select(row_hash(["t"], df.schema)).first()[0]
+        spark.conf.set(key, "Asia/Tokyo")
+        b = df.select(row_hash(["t"], df.schema)).first()[0]
+    finally:
+        spark.conf.set(key, old)
+    assert a == b

@@ -133,3 +133,13 @@ def test_scd2_composite_key_mapping(spark, strategy):
     assert sorted(out.collect(), key=str) == sorted([
         (1, "a", 10, "N", d1, d2), (1, "a", 11, "Y", d2, None), (1, "z", 5, "Y", d2, None)],
         key=str)
+
+
+def test_hash_detection_compares_as_target_types(spark):
+    import datetime as dt
+    dim = spark.createDataFrame(
+        [(1, 10.5, "Y", dt.date(2025, 1, 1), None)],
+        "id bigint, amt double, cur_rec_ind string, start_ts date, end_ts date")
+    batch = spark.createDataFrame([("1", "10.5")], "id string, amt string")  # untyped extract
+    out = scd2(dim, batch, "id", "2025-02-01", detect="hash")
+    assert out.count() == 1  # same values: nothing closes
