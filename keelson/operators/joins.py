@@ -1,10 +1,14 @@
 """Joins: equi-joins by name or expression, semi/anti, md5 surrogate-key joins.
 
-Physical strategy is left to Catalyst and AQE: a dimension side whose
-estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` is
+Physical strategy is mostly left to Catalyst and AQE: a dimension side
+whose estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` is
 broadcast (that estimate is Spark's own size check), everything else is a
 sort-merge join on the key, and AQE splits skewed partitions at run time.
-Cross joins are not offered: every join here needs an equality key.
+Two cases are planned here because Spark cannot fix them at run time: a
+right/full outer join whose preserved side is a small dimension (rewritten
+around a broadcast, see ``join_on``), and semi/anti joins, which join only
+the distinct right keys. Cross joins are not offered: every join here needs
+an equality key.
 """
 
 from __future__ import annotations

@@ -17,8 +17,12 @@ Plan shape (``aligned_join``):
   found by semi-joining the target's *key column* against the broadcast
   source keys (a bounded set: at most one row per source key) and
   anti-joining the source against it;
-* ``strategy="auto"``: broadcast only when ``plans.sizing.size_bound``
-  proves the source small, else shuffle.
+* ``strategy="auto"``: broadcast only when the source is proven small (the
+  key-column profile of ``check_source_keys`` bounds its rows, one small
+  aggregate then bounds its bytes; with ``check=False`` a bounded ``take``
+  probe, ``plans.sizing.size_bound``), else shuffle;
+* an update-only merge (no insert clause) needs no unmatched source rows:
+  its plan is a single left outer join.
 
 Side detection uses literal marker columns, never NULL tests on keys.
 """
