@@ -149,3 +149,18 @@ def a11_versions_with_added_column(spark, sf):
     v2 = tables.write_snapshot(nation.join(region, nation.n_regionkey == region.r_regionkey)
                                .select("n_nationkey", "n_name", "n_regionkey", "r_name"), base, 2)
     return tables.read_versions(spark, [v1, v2], merge_schema=True)
+
+
+@register("a5_csv_ingest_once_good", f"SELECT {_GOOD_ROW} FROM customer WHERE NOT {_BAD}")
+def a5_csv_ingest_once_good(spark, sf):
+    # one parse of the feed, one partitioned write of both sides
+    dest = csv_ingest.ingest_csv(spark, customer_feed_csv(spark, sf), CUSTOMER_SCHEMA,
+                                 scratch_path(spark, "customer-ingested"))
+    return csv_ingest.read_ingested(spark, dest)
+
+
+@register("a5_csv_ingest_once_bad", f"SELECT {_LINE} AS raw_line FROM customer WHERE {_BAD}")
+def a5_csv_ingest_once_bad(spark, sf):
+    dest = csv_ingest.ingest_csv(spark, customer_feed_csv(spark, sf), CUSTOMER_SCHEMA,
+                                 scratch_path(spark, "customer-ingested"))
+    return csv_ingest.read_ingested(spark, dest, bad=True)

@@ -161,3 +161,37 @@ def _with_nullability(df: DataFrame, st: T.StructType) -> DataFrame:
     # removed them); Spark's schema still reports such columns as nullable,
     # since no public expression can assert non-NULL to the analyzer.
     return df.select(*[F.col(f"`{f.name}`") for f in st.fields])
+
+
+# ---------------------------------------------------------------------------
+# parse once, write both sides
+
+QUARANTINE_PART = "quarantined"
+
+
+def ingest_csv(spark: SparkSession, path: str, schema: T.StructType | str, dest: str, *,
+               header: bool = False, corrupt_col: str = CORRUPT_COL,
+               options: Mapping[str, str] | None = None) -> str:
+    """Parse a CSV feed once and write good rows and bad lines in one job.
+
+    The guarded quarantine read is written partitioned by
+    ``quarantined=false|true``: good rows land typed in one folder, bad rows
+    (with their raw line in ``corrupt_col``) in the other. However large the
+    feed, it is parsed exactly once; ``read_ingested`` reads either side
+    with partition pruning.
+    """
+    df = read_csv(spark, path, schema, header=header, on_bad="quarantine",
+                  corrupt_col=corrupt_col, options=options)
+    (df.withColumn(QUARANTINE_PART, F.col(corrupt_col).isNotNull())
+       .write.mode("errorifexists").partitionBy(QUARANTINE_PART).parquet(dest))
+    return dest
+
+
+def read_ingested(spark: SparkSession, dest: str, bad: bool = False,
+                  corrupt_col: str = CORRUPT_COL, raw_name: str = "raw_line") -> DataFrame:
+    """The good rows (without the corrupt column) or the bad lines of an
+    ``ingest_csv`` output; only that side's folder is read."""
+    df = spark.read.parquet(dest).filter(F.col(QUARANTINE_PART) == F.lit(bad))
+    if bad:
+        return df.select(F.col(corrupt_col).alias(raw_name))
+    return df.drop(corrupt_col, QUARANTINE_PART)

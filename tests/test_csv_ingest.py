@@ -106,3 +106,12 @@ def test_stage_parsed_splits_without_reparsing(spark, bad_csv, scratch):
     assert sorted(good.collect()) == GOOD
     assert bad.count() == 4
     assert good.select("B").count() == 2
+
+
+def test_ingest_once_writes_both_sides(spark, bad_csv, scratch):
+    from keelson.sources import ingest_csv, read_ingested
+    dest = ingest_csv(spark, bad_csv, SCHEMA, os.path.join(scratch, "ingested"))
+    assert sorted(read_ingested(spark, dest).collect()) == GOOD
+    assert sorted(r.raw_line for r in read_ingested(spark, dest, bad=True).collect()) == sorted(
+        ["z,y,3", "3", "4,w,5,extra", "5,v,q"])
+    assert read_ingested(spark, dest).columns == ["A", "B", "C"]
