@@ -191,12 +191,23 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[s
 # ---------------------------------------------------------------------------
 # the aligned join
 
-def split_target(target: DataFrame, keys: Sequence[str], target_filter: Column | None):
-    """(eligible, bypass): rows that can match, and rows that pass through."""
-    can_match = ~_any_null(keys)
-    if target_filter is not None:
-        can_match = can_match & F.coalesce(target_filter, F.lit(False))
-    return target.filter(can_match), target.filter(~can_match)
+def split_target(target: DataFrame, keys: Sequence[str], target_filter: Column | None,
+                 bypass_filter: Column | None = None):
+    """(eligible, bypass): rows that can match, and rows that pass through.
+
+    Both predicates are written in forms the parquet scan can push down
+    (``IsNotNull``/``IsNull``, ``=``/``<>``, ``AND``/``OR``), so row groups of
+    the other side are skipped from footer statistics. ``bypass_filter`` is
+    the exact complement of ``target_filter`` in such a form when the caller
+    knows one; by default it is ``target_filter IS NULL OR NOT target_filter``.
+    """
+    keys_present = ~_any_null(keys)
+    keys_missing = _any_null(keys)
+    if target_filter is None:
+        return target.filter(keys_present), target.filter(keys_missing)
+    if bypass_filter is None:
+        bypass_filter = target_filter.isNull() | ~target_filter
+    return target.filter(keys_present & target_filter), target.filter(keys_missing | bypass_filter)
 
 
 def choose_strategy(source: DataFrame, strategy: str,

@@ -133,8 +133,9 @@ def scd2(target: DataFrame, source: DataFrame, keys, as_of: str | dt.date | Colu
             src_df = src_df.withColumn(_SRC_HASH, row_hash(hcols, source.schema, compat=hash_compat,
                                                            cast_to=as_target))
 
-    cur_filter = F.col(f"`{_field(target, flag_col).name}`") == F.lit(current_flag)
-    eligible, bypass = split_target(target, tkeys, cur_filter)
+    flag = F.col(f"`{_field(target, flag_col).name}`")
+    eligible, bypass = split_target(target, tkeys, flag == F.lit(current_flag),
+                                    flag.isNull() | (flag != F.lit(current_flag)))
     if detect == "hash" and not has_t_hash:
         eligible = eligible.withColumn(
             _TGT_HASH, row_hash([_field(target, c).name for c in tracked], target.schema,

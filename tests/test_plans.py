@@ -143,3 +143,14 @@ def test_auto_strategy_follows_the_proven_bound(spark):
     assert "FullOuter" in text and "BroadcastHashJoin" not in text.split("Subquery")[0]
     text = formatted(_scd2(dim, src, AS_OF))
     assert "BroadcastHashJoin" in text and "FullOuter" not in text
+
+
+def test_stored_dimension_scans_push_their_filters(spark, tmp_path):
+    from keelson.sources import publish_dimension, read_dimension
+    base = str(tmp_path / "dim")
+    publish_dimension(customer_dimension(spark, SF_SMALL), base, 1)
+    out = _scd2(read_dimension(spark, base, current_only=True), customer_refresh(spark, SF_SMALL),
+                AS_OF, strategy="shuffle")
+    text = formatted(out)
+    assert "EqualTo(cur_rec_ind,Y)" in text                 # current rows
+    assert "Not(EqualTo(cur_rec_ind,Y))" in text            # history bypass: skipped by stats
