@@ -71,7 +71,8 @@ def current(df: DataFrame, flag_col: str = "cur_rec_ind", current_flag: str = "Y
 
 def history(df: DataFrame, flag_col: str = "cur_rec_ind", current_flag: str = "Y") -> DataFrame:
     """Rows that are not current (closed versions; a NULL flag counts as not current)."""
-    return df.filter(~F.coalesce(F.col(flag_col) == F.lit(current_flag), F.lit(False)))
+    flag = F.col(flag_col)
+    return df.filter(flag.isNull() | (flag != F.lit(current_flag)))  # pushdown form
 
 
 # ---------------------------------------------------------------------------

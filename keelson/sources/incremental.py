@@ -1,27 +1,36 @@
 """Incremental loads: a full load once, then batches past a high-water mark.
 
 ``new_rows`` keeps the rows of ``source`` whose ordering column is past the
-largest value already in ``target``. The mark is a scalar subquery of the
-plan (one aggregate over the target's column, partial per task), so the
-batch stays lazy and the filter on the source is pushed to its scan as a
-runtime value.
+largest value already in ``target``. The mark is read first (one aggregate
+over the target's column, partial per task; one value reaches the driver)
+and the batch filter is then a literal comparison, which the parquet scan
+pushes down: row groups whose statistics lie below the mark are skipped, so
+a daily batch reads about one day of a date-ordered table, not all of it.
+``lazy=True`` keeps the mark as a scalar subquery inside the plan instead
+(no job at build time, but no pushdown).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def high_water_mark(target: DataFrame, order_col: str):
+def high_water_mark(target: DataFrame, order_col: str) -> Column:
     """The largest ``order_col`` of ``target`` as a scalar-subquery Column."""
     return target.select(F.max(order_col)).scalar()
 
 
 def new_rows(source: DataFrame, target: DataFrame, order_col: str,
-             target_col: str | None = None) -> DataFrame:
+             target_col: str | None = None, lazy: bool = False) -> DataFrame:
     """Rows of ``source`` strictly past the target's high-water mark; all
     rows when the target is empty (the full load)."""
-    mark = high_water_mark(target, target_col or order_col)
     c = F.col(order_col)
-    return source.filter(mark.isNull() | (c > mark))
+    if lazy:
+        mark = high_water_mark(target, target_col or order_col)
+        return source.filter(mark.isNull() | (c > mark))
+    value = target.agg(F.max(target_col or order_col)).first()[0]
+    if value is None:
+        return source
+    dtype = source.schema[order_col].dataType
+    return source.filter(c > F.lit(value).cast(dtype))

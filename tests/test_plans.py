@@ -154,3 +154,14 @@ def test_stored_dimension_scans_push_their_filters(spark, tmp_path):
     text = formatted(out)
     assert "EqualTo(cur_rec_ind,Y)" in text                 # current rows
     assert "Not(EqualTo(cur_rec_ind,Y))" in text            # history bypass: skipped by stats
+
+
+def test_high_water_filter_reaches_the_scan(spark):
+    from keelson.sources import new_rows
+    orders = table(spark, SF_SMALL, "orders")
+    loaded = orders.filter(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
+    batch = new_rows(orders, loaded, "o_orderdate")
+    assert "GreaterThan(o_orderdate," in formatted(batch)
+    lazy = new_rows(orders, loaded, "o_orderdate", lazy=True)
+    assert sorted(batch.collect()) == sorted(lazy.collect())
+    assert new_rows(orders, orders.limit(0), "o_orderdate").count() == orders.count()
