@@ -211,15 +211,20 @@ def split_target(target: DataFrame, keys: Sequence[str], target_filter: Column |
 
 
 def choose_strategy(source: DataFrame, strategy: str,
-                    profile: SourceProfile | None = None) -> str:
+                    profile: SourceProfile | None = None,
+                    target: DataFrame | None = None) -> str:
     """Broadcast the source only when its size is known to be within the
     session's bounds: from the profile pass when there was one, else from a
-    bounded probe (``plans.sizing.size_bound``)."""
+    bounded probe (``plans.sizing.size_bound``). The broadcast path exists
+    to avoid shuffling the target; when the target's input files total at
+    most ``keelson.merge.smallTargetBytes`` (default 1 GiB) that shuffle is
+    cheap and the single full outer join is chosen instead."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if strategy != "auto":
         return strategy
-    max_rows, max_bytes = broadcast_limits(source.sparkSession)
+    spark = source.sparkSession
+    max_rows, max_bytes = broadcast_limits(spark)
     if profile is not None:
         # the row count is proven; only a source within it is measured in
         # bytes, by one small aggregate over its (few) rows
@@ -227,9 +232,26 @@ def choose_strategy(source: DataFrame, strategy: str,
             profile.rows == 0 or source.agg(F.sum(row_bytes(source.schema))).first()[0] <= max_bytes)
     else:
         small = size_bound(source, max_rows, max_bytes) is not None
+    if small and target is not None:
+        limit = int(spark.conf.get("keelson.merge.smallTargetBytes", str(1 << 30)))
+        size = input_bytes(target)
+        if size is not None and size <= limit:
+            return "shuffle"
     return "broadcast" if small else "shuffle"
 
 
+def input_bytes(df: DataFrame) -> int | None:
+    """Total size of the files ``df`` reads (``inputFiles`` + the
+    ``binaryFile`` source's ``length``, which reads no file content), or
+    None when the plan reads no files."""
+    files = df.inputFiles()
+    if not files:
+        return None
+    total = (df.sparkSession.read.format("binaryFile").load(files)
+             .agg(F.sum("length")).first()[0])
+    return int(total or 0)
+
+
 def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[str, str]],
                  strategy: str = "auto", profile: SourceProfile | None = None,
                  unmatched_source: bool = True) -> DataFrame:
@@ -238,7 +260,7 @@ def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[st
     markers ``__t`` / ``__s``. Source keys are cast to the target key types.
     ``unmatched_source=False`` (an update-only merge) leaves the unmatched
     source rows out: then the plan is a single left outer join."""
-    strategy = choose_strategy(source, strategy, profile)
+    strategy = choose_strategy(source, strategy, profile, eligible)
     key_types = {_field(source, s).name: _field(eligible, t).dataType for t, s in keys}
     tside = eligible.select(*[F.col(f"`{c}`").alias(T_PREFIX + c) for c in eligible.columns],
                             F.lit(True).alias(T_MARK))

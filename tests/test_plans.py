@@ -134,26 +134,20 @@ def test_collect_values_matches_collect_list(spark):
 
 def test_auto_strategy_follows_the_proven_bound(spark):
     dim, src = customer_dimension(spark, SF_SMALL), customer_refresh(spark, SF_SMALL)
-    key = "keelson.broadcast.maxRows"
-    spark.conf.set(key, "10")  # the batch has more rows than this: no broadcast
+    rows, target = "keelson.broadcast.maxRows", "keelson.merge.smallTargetBytes"
     try:
+        spark.conf.set(target, "0")   # treat the target as large
+        spark.conf.set(rows, "10")    # the batch has more rows than this: no broadcast
         text = formatted(_scd2(dim, src, AS_OF))
+        assert "FullOuter" in text and "BroadcastHashJoin" not in text.split("Subquery")[0]
+        spark.conf.unset(rows)        # batch within the bound, large target: broadcast
+        text = formatted(_scd2(dim, src, AS_OF))
+        assert "BroadcastHashJoin" in text and "FullOuter" not in text
     finally:
-        spark.conf.unset(key)
-    assert "FullOuter" in text and "BroadcastHashJoin" not in text.split("Subquery")[0]
-    text = formatted(_scd2(dim, src, AS_OF))
-    assert "BroadcastHashJoin" in text and "FullOuter" not in text
-
-
-def test_stored_dimension_scans_push_their_filters(spark, tmp_path):
-    from keelson.sources import publish_dimension, read_dimension
-    base = str(tmp_path / "dim")
-    publish_dimension(customer_dimension(spark, SF_SMALL), base, 1)
-    out = _scd2(read_dimension(spark, base, current_only=True), customer_refresh(spark, SF_SMALL),
-                AS_OF, strategy="shuffle")
-    text = formatted(out)
-    assert "EqualTo(cur_rec_ind,Y)" in text                 # current rows
-    assert "Not(EqualTo(cur_rec_ind,Y))" in text            # history bypass: skipped by stats
+        spark.conf.unset(rows)
+        spark.conf.unset(target)
+    # default: a target this small is cheap to shuffle, one full outer join
+    assert "FullOuter" in formatted(_scd2(dim, src, AS_OF))
 
 
 def test_high_water_filter_reaches_the_scan(spark):
