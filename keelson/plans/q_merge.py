@@ -368,8 +368,9 @@ def _order_upsert(spark, sf, strategy):
 
 @register("i1_upsert_order_status_feed", _ORDER_UPSERT_SQL)
 def i1_upsert_order_status_feed(spark, sf):
-    # auto: the feed is proven small, so the order table streams through a
-    # broadcast join and is never shuffled
+    # auto: the feed is proven small; against a large order table it is
+    # broadcast and the table streams through one left join, unshuffled (at
+    # test sizes the table itself is cheap to shuffle and that plan is taken)
     return _order_upsert(spark, sf, "auto")
 
 
