@@ -124,10 +124,14 @@ def scd2(target: DataFrame, source: DataFrame, keys, as_of: str | dt.date | Colu
         if has_s_hash:
             src_df = src_df.withColumn(_SRC_HASH, F.col(f"`{_field(source, hash_col).name}`"))
         else:
-            # a stored fingerprint covers the keys and the tracked columns, in
-            # that order (the md5(id, name, age) form); a computed-only one
-            # compares just the tracked columns on both sides
-            hcols = skeys + tracked if has_t_hash else tracked
+            # a stored fingerprint covers the keys and the tracked columns in
+            # the target's column order (the md5(id, name, age) form), so the
+            # batch is hashed in that order whatever its own; a computed-only
+            # one compares just the tracked columns on both sides
+            by_target = {t.lower(): s for t, s in zip(tkeys, skeys)}
+            by_target.update({c.lower(): c for c in tracked})
+            hcols = ([by_target[c.lower()] for c in target.columns if c.lower() in by_target]
+                     if has_t_hash else tracked)
             # hash the batch as the target's types (text keys, say, as numbers)
             as_target = {s: _field(target, t).dataType for t, s in zip(tkeys, skeys)}
             as_target.update({c: _field(target, c).dataType for c in tracked})
@@ -254,7 +258,11 @@ def scd3(target: DataFrame, source: DataFrame, keys, *, value_col: str,
 
     src_df = source
     if hash_col:
-        hcols = skeys + [s_low[a.lower()] for a in attributes] + [s_low[value_col.lower()]]
+        # the target's column order, with the current value where curr_col is
+        by_target = {t.lower(): s for t, s in zip(tkeys, skeys)}
+        by_target.update({a.lower(): s_low[a.lower()] for a in attributes})
+        by_target[curr_col.lower()] = s_low[value_col.lower()]
+        hcols = [by_target[c.lower()] for c in target.columns if c.lower() in by_target]
         as_target = {s: _field(target, t).dataType for t, s in zip(tkeys, skeys)}
         as_target.update({s_low[a.lower()]: _field(target, a).dataType for a in attributes})
         as_target[s_low[value_col.lower()]] = curr_type

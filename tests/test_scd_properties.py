@@ -143,3 +143,15 @@ def test_hash_detection_compares_as_target_types(spark):
     batch = spark.createDataFrame([("1", "10.5")], "id string, amt string")  # untyped extract
     out = scd2(dim, batch, "id", "2025-02-01", detect="hash")
     assert out.count() == 1  # same values: nothing closes
+
+
+def test_stored_hash_matches_a_reordered_batch(spark):
+    import datetime as dt
+    from keelson.operators import scd2_init
+    base = spark.createDataFrame([(1, "ann", 30)], "id int, name string, age int")
+    dim = scd2_init(base, "2025-01-01", hash_col="hash_key", start_col="start_ts",
+                    end_col="end_ts")
+    batch = spark.createDataFrame([(30, "ann", 1)], "age int, name string, id int")
+    out = scd2(dim, batch, "id", "2025-02-01", hash_col="hash_key")
+    assert out.count() == 1  # same row, other column order: unchanged
+    assert out.first().start_ts == dt.date(2025, 1, 1)
