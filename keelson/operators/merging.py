@@ -225,18 +225,20 @@ def choose_strategy(source: DataFrame, strategy: str,
         return strategy
     spark = source.sparkSession
     max_rows, max_bytes = broadcast_limits(spark)
-    if profile is not None:
-        # the row count is proven; only a source within it is measured in
-        # bytes, by one small aggregate over its (few) rows
-        small = profile.rows <= max_rows and (
-            profile.rows == 0 or source.agg(F.sum(row_bytes(source.schema))).first()[0] <= max_bytes)
-    else:
-        small = size_bound(source, max_rows, max_bytes) is not None
-    if small and target is not None:
+    if profile is not None and profile.rows > max_rows:
+        return "shuffle"
+    if target is not None:
         limit = int(spark.conf.get("keelson.merge.smallTargetBytes", str(1 << 30)))
         size = input_bytes(target)
         if size is not None and size <= limit:
             return "shuffle"
+    if profile is not None:
+        # the row count is proven; a source within it is measured in bytes
+        # by one small aggregate over its (few) rows
+        small = profile.rows == 0 or (
+            source.agg(F.sum(row_bytes(source.schema))).first()[0] <= max_bytes)
+    else:
+        small = size_bound(source, max_rows, max_bytes) is not None
     return "broadcast" if small else "shuffle"
 
 
