@@ -52,8 +52,9 @@ def join_on(left: DataFrame, right: DataFrame,
     dimension rows without a match are found by semi-joining the large
     side's key column against the broadcast keys (at most one row per
     dimension key) and anti-joining the dimension against that set.
-    ``small_right=None`` decides with a bounded size probe; ``False``
-    keeps Spark's plan.
+    ``small_right=None`` decides: the right side must pass a bounded size
+    probe and the left side's input must be large (see ``_rewrite_pays``);
+    ``True`` forces the rewrite, ``False`` keeps Spark's plan.
     """
     how = join_type(how)
     if isinstance(on, Column):
@@ -63,9 +64,7 @@ def join_on(left: DataFrame, right: DataFrame,
              [(k, k) for k in on] if shared else list(on.items()))
     if how in ("right", "full"):
         if small_right is None:
-            from keelson.plans.sizing import broadcast_limits, size_bound
-            max_rows, max_bytes = broadcast_limits(right.sparkSession)
-            small_right = size_bound(right, max_rows, max_bytes) is not None
+            small_right = _rewrite_pays(left, right)
         if small_right:
             return _outer_small_right(left, right, pairs, shared, keep_left=how == "full")
     if shared:
@@ -73,6 +72,21 @@ def join_on(left: DataFrame, right: DataFrame,
     return left.join(right, _eq(left, right, pairs), how)
 
 
+def _rewrite_pays(left: DataFrame, right: DataFrame) -> bool:
+    """The rewrite needs a right side proven small, and pays only when the
+    left side is large enough that a sort-merge join on few keys hurts
+    (its input over ``keelson.merge.smallTargetBytes``, default 1 GiB)."""
+    from keelson.operators.merging import input_bytes
+    from keelson.plans.sizing import broadcast_limits, size_bound
+    spark = right.sparkSession
+    left_size = input_bytes(left)
+    limit = int(spark.conf.get("keelson.merge.smallTargetBytes", str(1 << 30)))
+    if left_size is not None and left_size <= limit:
+        return False
+    max_rows, max_bytes = broadcast_limits(spark)
+    return size_bound(right, max_rows, max_bytes) is not None
+
+
 def _eq(left: DataFrame, right: DataFrame, pairs) -> Column:
     cond = None
     for lk, rk in pairs:

@@ -170,3 +170,18 @@ def test_stored_dimension_scans_push_their_filters(spark, tmp_path):
     text = formatted(out)
     assert "EqualTo(cur_rec_ind,Y)" in text                 # current rows
     assert "Not(EqualTo(cur_rec_ind,Y))" in text            # history bypass: skipped by stats
+
+
+def test_outer_join_rewrite_only_for_a_large_left_side(spark):
+    from keelson.operators import join_on
+    c, n = table(spark, SF_SMALL, "customer"), table(spark, SF_SMALL, "nation")
+    c = c.withColumnRenamed("c_nationkey", "k")
+    n = n.withColumnRenamed("n_nationkey", "k")
+    assert "SortMergeJoin" in formatted(join_on(c, n, "k", "full"))  # small left: Spark's plan
+    key = "keelson.merge.smallTargetBytes"
+    spark.conf.set(key, "0")
+    try:
+        text = formatted(join_on(c, n, "k", "full"))
+    finally:
+        spark.conf.unset(key)
+    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
