@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.plans.sizing import broadcast_limits, row_bytes, size_bound
+from keelson.session import cut_lineage
 
 T_PREFIX = "t__"
 S_PREFIX = "s__"
@@ -219,27 +220,46 @@ def choose_strategy(source: DataFrame, strategy: str,
     to avoid shuffling the target; when the target's input files total at
     most ``keelson.merge.smallTargetBytes`` (default 1 GiB) that shuffle is
     cheap and the single full outer join is chosen instead."""
+    return plan_source(source, strategy, profile, target)[0]
+
+
+def plan_source(source: DataFrame, strategy: str, profile: SourceProfile | None = None,
+                target: DataFrame | None = None) -> tuple[str, DataFrame]:
+    """``choose_strategy`` plus the source to join. A source proven small
+    and headed for the broadcast path is materialised once (a reliable
+    checkpoint under the shared folder): the broadcast path reads it three
+    times, and a small batch is often a filter over a large table whose
+    recomputation would rescan that table each time."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if strategy != "auto":
-        return strategy
+        return strategy, source
     spark = source.sparkSession
     max_rows, max_bytes = broadcast_limits(spark)
     if profile is not None and profile.rows > max_rows:
-        return "shuffle"
+        return "shuffle", source
     if target is not None:
         limit = int(spark.conf.get("keelson.merge.smallTargetBytes", str(1 << 30)))
         size = input_bytes(target)
         if size is not None and size <= limit:
-            return "shuffle"
-    if profile is not None:
-        # the row count is proven; a source within it is measured in bytes
-        # by one small aggregate over its (few) rows
-        small = profile.rows == 0 or (
-            source.agg(F.sum(row_bytes(source.schema))).first()[0] <= max_bytes)
-    else:
+            return "shuffle", source
+    if profile is None:
         small = size_bound(source, max_rows, max_bytes) is not None
-    return "broadcast" if small else "shuffle"
+        return ("broadcast" if small else "shuffle"), source
+    if profile.rows == 0:
+        return "broadcast", source
+    if _shared_folder(spark):
+        source = cut_lineage(source)
+    # the row count is proven; the bytes of those few rows by one aggregate
+    small = source.agg(F.sum(row_bytes(source.schema))).first()[0] <= max_bytes
+    return ("broadcast" if small else "shuffle"), source
+
+
+def _shared_folder(spark) -> bool:
+    """A checkpoint folder is set, or the session is local (then one is made)."""
+    return bool(spark.sparkContext.getCheckpointDir()
+                or spark.conf.get("spark.checkpoint.dir", None)
+                or spark.sparkContext.master.startswith("local"))
 
 
 def input_bytes(df: DataFrame) -> int | None:
@@ -262,7 +282,7 @@ def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[st
     markers ``__t`` / ``__s``. Source keys are cast to the target key types.
     ``unmatched_source=False`` (an update-only merge) leaves the unmatched
     source rows out: then the plan is a single left outer join."""
-    strategy = choose_strategy(source, strategy, profile, eligible)
+    strategy, source = plan_source(source, strategy, profile, eligible)
     key_types = {_field(source, s).name: _field(eligible, t).dataType for t, s in keys}
     tside = eligible.select(*[F.col(f"`{c}`").alias(T_PREFIX + c) for c in eligible.columns],
                             F.lit(True).alias(T_MARK))

@@ -141,8 +141,12 @@ def test_auto_strategy_follows_the_proven_bound(spark):
         text = formatted(_scd2(dim, src, AS_OF))
         assert "FullOuter" in text and "BroadcastHashJoin" not in text.split("Subquery")[0]
         spark.conf.unset(rows)        # batch within the bound, large target: broadcast
-        text = formatted(_scd2(dim, src, AS_OF))
+        out = _scd2(dim, src, AS_OF)
+        text = formatted(out)
         assert "BroadcastHashJoin" in text and "FullOuter" not in text
+        assert "ExistingRDD" in text  # the proven-small batch was materialised once
+        assert sorted(out.collect()) == sorted(
+            _scd2(dim, src, AS_OF, strategy="shuffle").collect())
     finally:
         spark.conf.unset(rows)
         spark.conf.unset(target)
