@@ -428,7 +428,8 @@ def f4_union_by_name_missing(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# G: layout (rows-only: partition ids depend on Spark's hash, no SQL oracle)
+# G: layout (rows-only where partition ids depend on Spark's hash, sampled range
+# bounds or the round-robin start; coalescing to one partition is exact)
 
 @register("g1_g2_round_robin_profile")
 def g1_g2_round_robin_profile(spark, sf):
@@ -447,6 +448,26 @@ def g4_range_partition_profile(spark, sf):
         layout.lay_out(table(spark, sf, "orders"), "range", 8, ["o_orderdate"]), "o_orderdate")
 
 
-@register("g5_coalesce_profile")
+@register("g5_coalesce_profile", "SELECT 0 AS partition_id, COUNT(*) AS rows FROM orders")
 def g5_coalesce_profile(spark, sf):
     return layout.partition_profile(layout.lay_out(table(spark, sf, "orders"), "coalesce", 1))
+
+
+@register("g2_round_robin_keeps_rows", """
+SELECT 8 AS n_partitions, COUNT(*) AS n_rows FROM lineitem""")
+def g2_round_robin_keeps_rows(spark, sf):
+    # every row kept, spread over all 8 partitions
+    laid = layout.with_partition_id(layout.lay_out(table(spark, sf, "lineitem"), "round_robin", 8))
+    return laid.agg(F.count_distinct("partition_id").alias("n_partitions"),
+                    F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("g3_hash_layout_colocates_keys", """
+SELECT c_mktsegment, 1 AS n_partitions, COUNT(*) AS n_rows FROM customer GROUP BY c_mktsegment""")
+def g3_hash_layout_colocates_keys(spark, sf):
+    # all rows of a key in exactly one partition
+    laid = layout.with_partition_id(
+        layout.lay_out(table(spark, sf, "customer"), "hash", 8, ["c_mktsegment"]))
+    return laid.groupBy("c_mktsegment").agg(
+        F.count_distinct("partition_id").cast("int").alias("n_partitions"),
+        F.count(F.lit(1)).alias("n_rows"))
