@@ -155,3 +155,22 @@ def test_stored_hash_matches_a_reordered_batch(spark):
     out = scd2(dim, batch, "id", "2025-02-01", hash_col="hash_key")
     assert out.count() == 1  # same row, other column order: unchanged
     assert out.first().start_ts == dt.date(2025, 1, 1)
+
+
+def test_append_rows_types_and_rejects_unknown_columns(spark):
+    from keelson.operators import append_rows
+    t = spark.createDataFrame([(1, "a", 1.0)], "id int, v string, x double")
+    out = append_rows(t, spark.createDataFrame([("2", "b")], "id string, v string"))
+    assert out.schema == t.schema
+    assert sorted(out.collect()) == [(1, "a", 1.0), (2, "b", None)]
+    with pytest.raises(ValueError, match="not in target"):
+        append_rows(t, spark.createDataFrame([(3, "z")], "id int, other string"))
+
+
+def test_insert_new_respects_target_filter(spark):
+    from keelson.operators import insert_new
+    t = spark.createDataFrame([(1, "N", "old")], "id int, flag string, v string")
+    s = spark.createDataFrame([(1, "N", "new"), (2, "Y", "two")], "id int, flag string, v string")
+    # key 1 has no row passing the filter, so it is inserted as a new version
+    out = insert_new(t, s, "id", target_filter=F.col("flag") == "Y")
+    assert sorted(out.collect()) == [(1, "N", "new"), (1, "N", "old"), (2, "Y", "two")]

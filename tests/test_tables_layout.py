@@ -88,3 +88,28 @@ def test_with_partition_id(spark):
     from keelson.operators import with_partition_id
     df = with_partition_id(lay_out(table(spark, SF_SMALL, "nation"), "round_robin", 3))
     assert sorted({r.partition_id for r in df.collect()}) == [0, 1, 2]
+
+
+def test_lay_out_rejects_bad_arguments(spark):
+    df = table(spark, SF_SMALL, "nation")
+    with pytest.raises(ValueError):
+        lay_out(df, "hash", 4)
+    with pytest.raises(ValueError):
+        lay_out(df, "range", 4)
+    with pytest.raises(ValueError):
+        lay_out(df, "zigzag", 4)
+    assert lay_out(df, "none").count() == df.count()
+
+
+def test_apply_conf_sets_runtime_settings(spark):
+    from keelson.session import apply_conf, scale_conf
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    conf = scale_conf(10 * 1024 ** 3, 8)
+    shuffle_old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        apply_conf(spark, {key: conf[key]})
+        assert spark.conf.get(key) in (conf[key], f"{int(conf[key]) // 1024 // 1024}m")
+    finally:
+        spark.conf.set(key, old)
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle_old)
