@@ -9,11 +9,14 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import json
+import os
 import sys
 import time
 
 import duckdb
 
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -60,7 +63,7 @@ def duck_rows(con, sql):
 
 
 def compare(spark, sf_dir: str, names=None, con=None) -> dict:
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, REPO)
     from __spark_entry__ import oracle_sql, queries
     qs, oracles = queries(), oracle_sql()
     con = con or duck(sf_dir)
@@ -98,7 +101,7 @@ def compare(spark, sf_dir: str, names=None, con=None) -> dict:
 
 
 if __name__ == "__main__":
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, REPO)
     from keelson.session import local_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2].split(",") if len(sys.argv) > 2 else None
