@@ -107,3 +107,13 @@ def test_row_hash_ignores_session_time_zone(spark):
     finally:
         spark.conf.set(key, old)
     assert a == b
+
+
+def test_zip_to_map_error_policy_keeps_spark_exception(spark):
+    df = spark.createDataFrame([(["a", "a"], [1, 2])], "k array<string>, v array<int>")
+    with pytest.raises((Py4JJavaError, PySparkException)):
+        df.select(zip_to_map("k", "v", dedup="error")).collect()
+    ok = spark.createDataFrame([(["a", "b"], [1, 2])], "k array<string>, v array<int>")
+    assert ok.select(zip_to_map("k", "v", dedup="error").alias("m")).first().m == {"a": 1, "b": 2}
+    with pytest.raises(ValueError):
+        zip_to_map("k", "v", dedup="sometimes")
