@@ -117,3 +117,19 @@ def test_zip_to_map_error_policy_keeps_spark_exception(spark):
     assert ok.select(zip_to_map("k", "v", dedup="error").alias("m")).first().m == {"a": 1, "b": 2}
     with pytest.raises(ValueError):
         zip_to_map("k", "v", dedup="sometimes")
+
+
+def test_md5_key_multi_column_keeps_field_boundaries(spark):
+    from keelson.functions import md5_key
+    df = spark.createDataFrame([("ab", "c"), ("a", "bc")], "x string, y string")
+    keys = [r[0] for r in df.select(md5_key("x", "y")).collect()]
+    assert keys[0] != keys[1]
+    one = df.select(md5_key("x").alias("k")).first().k
+    assert one == df.select(F.md5(F.col("x")).alias("k")).first().k
+
+
+def test_label_by_without_otherwise_is_null(spark):
+    from keelson.operators import label_by
+    df = spark.createDataFrame([(1,), (5,), (None,)], "n int")
+    out = [r[0] for r in df.select(label_by([(F.col("n") < 3, "small")])).collect()]
+    assert out == ["small", None, None]
