@@ -112,6 +112,7 @@ def tokens(page: str) -> list[Token]:
     asides = mains = links = 0
     block = "none"
     has_main = re.search(r"<(?:article|main)\b", page, re.I) is not None
+    bare = re.search(r"</?[a-z]", page, re.I) is None  # a text without any tag
 
     def close(at: int) -> None:
         nonlocal asides, mains, links
@@ -122,7 +123,7 @@ def tokens(page: str) -> list[Token]:
         del stack[at:]
 
     def place() -> str:
-        return "main" if mains else "outside" if has_main else "body"
+        return "bare" if bare else "main" if mains else "outside" if has_main else "body"
 
     for m in TOKEN.finditer(page):
         if (text := m["text"]) is not None:
