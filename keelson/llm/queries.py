@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import bpe, fingerprint, html_extract, langid, url_filter
+from keelson.llm import bpe, fingerprint, html_extract, langid, quality, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from labelled documents."""
+    return quality.learn_and_score(table(spark, sf_dir, "documents"),
+                                   table(spark, sf_dir, "labels"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded."""
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
@@ -30,6 +36,12 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(pages).drop("html")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, by a lexicon learned from labelled documents."""
+    return toxicity.learn_and_score(table(spark, sf_dir, "documents"),
+                                    table(spark, sf_dir, "labels"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learned from two thirds of them."""
     return langid.learn_and_predict(table(spark, sf_dir, "documents"))
@@ -42,6 +54,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_url_filter, op4_bpe, op7_html_extraction, op9_language_id, op10_fingerprints)}
+        op1_url_filter, op3_quality, op4_bpe, op7_html_extraction, op8_toxicity, op9_language_id,
+        op10_fingerprints)}
 
 ORACLES: dict[str, str] = {"op1_url_filter": url_filter.oracle()}
