@@ -7,7 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import bpe, fingerprint, html_extract, langid, quality, toxicity, url_filter
+from keelson.llm import (
+    bpe,
+    fingerprint,
+    html_extract,
+    langid,
+    mixing,
+    quality,
+    toxicity,
+    url_filter,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +28,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix of the sources takes."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, learned from labelled documents."""
     return quality.learn_and_score(table(spark, sf_dir, "documents"),
@@ -54,7 +68,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_url_filter, op3_quality, op4_bpe, op7_html_extraction, op8_toxicity, op9_language_id,
+        op1_url_filter, op2_source_mix, op3_quality, op4_bpe, op7_html_extraction, op8_toxicity, op9_language_id,
         op10_fingerprints)}
 
 ORACLES: dict[str, str] = {"op1_url_filter": url_filter.oracle()}

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import regex
 import xxhash
@@ -90,9 +88,3 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def free_name(df: DataFrame, stem: str) -> str:
-    """A column name that ``df`` doesn't have."""
-    taken = {c.lower() for c in df.columns}
-    return stem if stem not in taken else f"{stem}_{uuid.uuid4().hex[:8]}"
