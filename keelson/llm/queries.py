@@ -6,8 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from keelson.llm import (
+    ann,
     bpe,
     fingerprint,
     html_extract,
@@ -44,6 +46,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten vectors found nearest to each whose id is divisible by 100."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -68,7 +75,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_url_filter, op2_source_mix, op3_quality, op4_bpe, op7_html_extraction, op8_toxicity, op9_language_id,
-        op10_fingerprints)}
+        op1_url_filter, op2_source_mix, op3_quality, op4_bpe, op6_nearest_neighbours,
+        op7_html_extraction, op8_toxicity, op9_language_id, op10_fingerprints)}
 
 ORACLES: dict[str, str] = {"op1_url_filter": url_filter.oracle()}
