@@ -1,17 +1,64 @@
-"""The corpus pipeline (stages are added as their operators are)."""
+"""The corpus pipeline: documents that are toxic or of low quality go, one of
+each group of near-duplicates stays, the sources are mixed to their target
+weights, and the mix is encoded.
+
+Each stage is a function of (spark, docs, sf_dir) that returns a DataFrame;
+all but the last return the columns of ``docs``. The classifiers learn from
+the labelled documents among their input that aren't held out.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keelson.llm import bpe
+from keelson.llm import bpe, mixing, near_dedup, quality, toxicity
+from keelson.llm.text import staged
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under 0.5."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    lexicon = toxicity.fit(toxicity.training_rows(docs, labels, "toxic", 5, 0))
+    return docs.filter(toxicity.score_column(docs, lexicon) < 0.5)
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(quality.training_rows(docs, labels, "quality", 3, 1))
+    return docs.filter(quality.score_udf(docs, model)("text") >= 0.5)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return near_dedup.keep_one(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents, each as often as the mix takes it."""
+    return mixing.mixed(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the mixed documents."""
+    return bpe.encode_documents(docs)
+
+
+STAGES = [
+    ("toxicity", not_toxic),
+    ("quality", good_quality),
+    ("near-dedup", one_of_each),
+    ("source mix", mixed_sources),
+    ("bpe", encoded),
+]
 
-STAGES = [("bpe", lambda spark, docs, sf_dir: bpe.encode_documents(docs))]
+#: The classifiers, the sampling and the encoder are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; what each stage keeps is written and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,12 +2,14 @@
 
 A text is the multiset of its five-word shingles (words: runs without white
 space, lower-cased; a shorter text is one shingle). A shingle's weight is its
-count times its inverse document frequency, min(log(N / df), log(1 / COMMON)):
-shingles in more than the ``COMMON`` share of the documents weigh less, all
-others the same, so a group of copies doesn't thin out its own weights before
-it holds that share of the corpus. Two texts are similar if their weighted
-Jaccard similarity (sum of least weights over sum of largest) is at least
-``threshold``; classes are the connected groups of similar texts.
+term frequency, 1 + log(count), times its inverse document frequency,
+min(log(N / df), log(1 / COMMON)): shingles in more than the ``COMMON`` share
+of the documents weigh less, all others the same, so a group of copies
+doesn't thin out its own weights before it holds that share of the corpus,
+and a line that a text repeats doesn't drown the rest of it. Two texts are
+similar if their weighted Jaccard similarity (sum of least weights over sum
+of largest) is at least ``threshold``; classes are the connected groups of
+similar texts.
 
 1. Common shingles, exactly: every shingle is counted in one of ``BUCKETS``
    buckets (summed by Spark); those in buckets that reach the limit are
@@ -20,9 +22,12 @@ Jaccard similarity (sum of least weights over sum of largest) is at least
    hash, not with each other: nodes x bands comparisons at most. The two
    texts' weighted Jaccard similarity is computed exactly.
 4. Similar pairs are joined into classes by large-star and small-star steps.
-5. Where a band's nodes aren't of one class yet, further rounds take other
-   leaders; after ``ROUNDS`` of them the pairs left, of different classes and
-   with samples that agree as those of similar texts do, are all compared.
+5. Where a band's nodes aren't of one class yet, a second round takes another
+   leader each. What is still of several classes is compared completely, in
+   blocks: a band's nodes are dealt into chunks of about ``CHUNK`` (or
+   ``CHUNK_CHARS`` characters), and a task holds two chunks, multiplies their
+   weights as matrices, and returns only the pairs that join classes (fewer
+   than nodes), so neither all pairs nor a whole group ever stand in one place.
 
 A pair at the threshold shares a band with probability
 1 - (1 - threshold ** ROWS) ** BANDS, 0.9998 at 0.8.
@@ -36,11 +41,10 @@ class of them alone has a null id); an empty table gives empty results;
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.text import WordHashes, mix64, shingle_hashes, staged
@@ -50,9 +54,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 12, 3
 COMMON = 0.05
 BUCKETS = 1 << 16
-ROUNDS = 2
-#: Of BANDS x ROWS samples, so many agree at least in all but 1 in 10**6 pairs at the threshold.
-AGREE = 17
+ROUNDS = 1
+CHUNK, CHUNK_CHARS = 400, 2_000_000
+#: Rounding that two ways to add up the same weights may differ by.
+NEAR = 1e-9
 
 
 def _gamma_quantiles(n: int) -> np.ndarray:
@@ -81,13 +86,27 @@ class Sampler:
     def weighted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The different shingles, in order, and their TF-IDF weights."""
         found, times = np.unique(self.shingles(text), return_counts=True)
-        weights = times * self.rare
+        weights = (1.0 + np.log(times)) * self.inverse_frequency(found)
+        some = weights > 0
+        return (found, weights) if some.all() else (found[some], weights[some])
+
+    def inverse_frequency(self, found: np.ndarray) -> np.ndarray:
+        out = np.full(len(found), self.rare)
         if len(self.common) and len(found):
             at = np.minimum(np.searchsorted(self.common, found), len(self.common) - 1)
             known = self.common[at] == found
-            weights[known] = times[known] * self.idf[at[known]]
-        some = weights > 0
-        return (found, weights) if some.all() else (found[some], weights[some])
+            out[known] = self.idf[at[known]]
+        return out
+
+    def units(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The weights of ``weighted``, parted so that each part is in a text
+        or not: the j-th occurrence of a shingle adds log(j) - log(j - 1)
+        times its inverse frequency (the first adds that itself)."""
+        found, times = np.unique(self.shingles(text), return_counts=True)
+        turn = np.concatenate([np.arange(1, n + 1) for n in times]) if len(times) else times
+        each = np.repeat(self.inverse_frequency(found), times)
+        step = np.where(turn > 1, np.log(turn / np.maximum(turn - 1, 1)), 1.0)
+        return mix64(np.repeat(found, times) + mix64(turn.astype(np.uint64))), each * step
 
     def samples(self, found: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """One hash for each of the bands x rows samples."""
@@ -126,6 +145,30 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return least / union if union > 0 else 0.0
 
 
+def block_similarities(units: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Weighted Jaccard similarity of every two texts of a block."""
+    n = len(units)
+    sizes = np.array([w.sum() for _, w in units])
+    owner = np.repeat(np.arange(n), [len(h) for h, _ in units])
+    hashes, place = np.unique(np.concatenate([h for h, _ in units]), return_inverse=True)
+    weight = np.zeros(len(hashes))
+    weight[place] = np.concatenate([w for _, w in units])
+    often = np.bincount(place, minlength=len(hashes)) > 1  # others are in no intersection
+    column = np.cumsum(often) - 1
+    some = often[place]
+    owner, place, weight = owner[some], column[place[some]], weight[often]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    least = np.zeros((n, n))
+    for low in range(0, len(weight), 4096):
+        part = slice(*np.searchsorted(place, [low, low + 4096]))
+        has = np.zeros((n, min(4096, len(weight) - low)))
+        has[owner[part], place[part] - low] = 1.0
+        least += (has * weight[low:low + 4096]) @ has.T
+    union = sizes[:, None] + sizes[None, :] - least
+    return np.divide(least, union, out=np.zeros((n, n)), where=union > 0)
+
+
 def common_shingles(texts: DataFrame, text: str, n: int, share: float = COMMON,
                     buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """(hashes in order, log(n / df)) of the shingles in at least ``share``
@@ -168,31 +211,19 @@ def common_shingles(texts: DataFrame, text: str, n: int, share: float = COMMON,
     return hashes[order], np.log(n / counted["n"].to_numpy(dtype=float)[order])
 
 
-@dataclass
-class Nodes:
-    """Different texts: node (MD5), bands and samples; and each row's node."""
-
-    rows: DataFrame  # node, doc_id
-    signed: DataFrame  # node, rep (least id), bands, samples
-
-
-def _sign(docs: DataFrame, shared, bands: int, rows: int) -> DataFrame:
-    @F.pandas_udf("bands array<long>, samples array<long>")
-    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        sampler = Sampler(shared.value, bands, rows)
+def _bands(shared):
+    @F.pandas_udf("array<long>")
+    def bands(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        sampler = Sampler(shared.value)
         for texts in batches:
             out = []
             for value in texts:
                 found, weights = sampler.weighted(value)
-                if len(found):
-                    samples = sampler.samples(found, weights)
-                    out.append((sampler.band_keys(samples).view(np.int64), samples.view(np.int64)))
-                else:
-                    out.append((np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)))
-            yield pd.DataFrame(out, columns=["bands", "samples"])
+                out.append(sampler.band_keys(sampler.samples(found, weights)).view(np.int64)
+                           if len(found) else np.empty(0, dtype=np.int64))
+            yield pd.Series(out, dtype=object)
 
-    signed = docs.select("node", "doc_id", sign("text").alias("s"))
-    return signed.select("node", "doc_id", "s.bands", "s.samples")
+    return bands
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, shared, threshold: float) -> DataFrame:
@@ -220,7 +251,7 @@ def _similar(pairs: DataFrame, texts: DataFrame, shared, threshold: float) -> Da
 
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"))
-    return both.filter(similarity("ta", "tb") >= threshold).select("a", "b")
+    return both.filter(similarity("ta", "tb") >= threshold - NEAR).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -268,26 +299,79 @@ def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
     return known.join(mixed, ["band", "key"])
 
 
+def _blockwise(left: DataFrame, texts: DataFrame, shared, threshold: float) -> DataFrame:
+    """(a, b): similar pairs that join all classes of a band that hang
+    together, found by comparing all nodes of each band block by block."""
+    left = left.join(texts.select("node", F.length("text").alias("n_chars")), "node")
+    size = left.groupBy("band", "key").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / CHUNK, F.sum("n_chars") / CHUNK_CHARS)).cast("int").alias("chunks"))
+    dealt = left.join(size, ["band", "key"]).withColumn(
+        "chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    block = ["band", "key", "low", "high"]
+    dealt = dealt.select(
+        "band", "key", F.least("chunk", "other").alias("low"),
+        F.greatest("chunk", "other").alias("high"), "node", "class").join(texts, "node")
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sampler, now, held = Sampler(shared.value), None, []
+
+        def joined() -> list[tuple[str, str]]:
+            root = {c: c for _, c, _ in held}
+            if len(root) < 2:
+                return []
+
+            def top(c: str) -> str:
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            out = []
+            alike = block_similarities([sampler.units(text) for _, _, text in held])
+            kinds = np.unique([c for _, c, _ in held], return_inverse=True)[1]
+            alike = (alike >= threshold - NEAR) & (kinds[:, None] > kinds[None, :])
+            for i, j in np.argwhere(alike).tolist():
+                a, b = top(held[i][1]), top(held[j][1])
+                if a != b:
+                    root[a] = b
+                    out.append((max(held[i][0], held[j][0]), min(held[i][0], held[j][0])))
+            return out
+
+        for batch in batches:
+            out = []
+            for *at, node, kind, text in batch.itertuples(index=False, name=None):
+                if at != now:
+                    out.extend(joined())
+                    now, held = at, []
+                held.append((node, kind, text))
+            yield pd.DataFrame(out, columns=["a", "b"])
+        yield pd.DataFrame(joined(), columns=["a", "b"])
+
+    dealt = dealt.repartition(n, *block).sortWithinPartitions(*block, "node")
+    return dealt.select(*block, "node", "class", "text").mapInPandas(
+        compare, "a string, b string").distinct()
+
+
 def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
             threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(rows, found): rows has doc_id and node of every document, found has
-    node, class and class_id (the class's least doc_id) of every node."""
+    """(rows, found): rows has doc_id and node (the text's MD5) of every
+    document; found has node, rep (its least doc_id), class and class_id (the
+    class's least doc_id) of every node."""
     spark = df.sparkSession
     docs = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = docs.withColumn("node", F.md5("text"))
     shared = spark.sparkContext.broadcast(common_shingles(docs, "text", max(1, docs.count())))
-    signed = staged(_sign(docs, shared, BANDS, ROWS), "signatures")
-    rows = signed.select("node", "doc_id")
+    signed = staged(docs.select("node", "doc_id", _bands(shared)("text").alias("bands")),
+                    "signatures")
     nodes = staged(signed.groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"),
-        F.first("samples").alias("samples")), "nodes")
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "nodes")
     exploded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    shared_bands = exploded.groupBy("band", "key").agg(
+    several = exploded.groupBy("band", "key").agg(
         F.min("node").alias("n0"), F.max("node").alias("n1")).filter("n0 <> n1")
-    members = staged(exploded.join(shared_bands.select("band", "key"), ["band", "key"]), "members")
+    members = staged(exploded.join(several.select("band", "key"), ["band", "key"]), "members")
     involved = members.select("node").distinct().join(nodes.select("node", "rep"), "node")
-    one_of = docs.withColumnRenamed("doc_id", "rep").join(
-        involved.withColumnRenamed("rep", "of"), "node").filter(F.col("rep").eqNullSafe(F.col("of")))
+    one_of = docs.join(involved, "node").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
     # rows may repeat an id and its text
     texts = staged(one_of.select("node", "text").dropDuplicates(["node"]), "texts")
     tested = staged(_leaders(members, 0), "pairs")
@@ -297,31 +381,19 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
         left = staged(_unsettled(members, found), "unsettled")
         if left.isEmpty():
             break
-        pairs = _leaders(left, turn) if turn <= ROUNDS else _agreeing(left, nodes)
-        pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        new = staged(_similar(pairs, texts, shared, threshold), "similar")
+        if turn <= ROUNDS:
+            tested = staged(_leaders(left, turn).join(tested, ["a", "b"], "left_anti"), "pairs")
+            new = staged(_similar(tested, texts, shared, threshold), "similar")
+        else:
+            new = staged(_blockwise(left, texts, shared, threshold), "similar")
         if not new.isEmpty():
             similar = staged(similar.unionByName(new), "similar")
             found = components(similar)
-        tested = staged(tested.unionByName(pairs), "pairs")
     named = nodes.select("node", "rep").join(found, "node", "left").withColumn(
         "class", F.coalesce("class", "node"))
     ids = named.groupBy("class").agg(F.min("rep").alias("class_id"))
-    return rows, staged(named.join(ids, "class").select("node", "class", "class_id", "rep"), "classes")
-
-
-def _agreeing(left: DataFrame, nodes: DataFrame) -> DataFrame:
-    """All pairs (a, b) that share a band, are of different classes and agree
-    in at least ``AGREE`` samples."""
-    signed = left.join(nodes.select("node", "samples"), "node")
-    a = signed.select("band", "key", F.col("node").alias("a"), F.col("class").alias("ca"),
-                      F.col("samples").alias("sa"))
-    b = signed.select("band", "key", F.col("node").alias("b"), F.col("class").alias("cb"),
-                      F.col("samples").alias("sb"))
-    agree: Column = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
-    pairs = a.join(b, ["band", "key"]).filter(
-        (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & (agree >= AGREE))
-    return pairs.select("a", "b").distinct()
+    found = staged(named.join(ids, "class").select("node", "rep", "class", "class_id"), "classes")
+    return signed.select("node", "doc_id"), found
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text",

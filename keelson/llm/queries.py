@@ -15,6 +15,7 @@ from keelson.llm import (
     html_extract,
     langid,
     mixing,
+    near_dedup,
     quality,
     toxicity,
     url_filter,
@@ -46,6 +47,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate class."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten vectors found nearest to each whose id is divisible by 100."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
@@ -75,7 +81,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_url_filter, op2_source_mix, op3_quality, op4_bpe, op6_nearest_neighbours,
-        op7_html_extraction, op8_toxicity, op9_language_id, op10_fingerprints)}
+        op1_url_filter, op2_source_mix, op3_quality, op4_bpe, op5_near_duplicates,
+        op6_nearest_neighbours, op7_html_extraction, op8_toxicity, op9_language_id,
+        op10_fingerprints)}
 
 ORACLES: dict[str, str] = {"op1_url_filter": url_filter.oracle()}
