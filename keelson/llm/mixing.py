@@ -81,7 +81,8 @@ def _targets(sizes: DataFrame, weights, max_repeats: int) -> DataFrame:
 def _place(doc_id: Column, size: Column, seed: int) -> Column:
     """The odds of u over the odds of p, mapped to [0, 1] in their order; 1 for p = 0."""
     u = _uniform(doc_id, seed)
-    p = F.least(F.lit(1.0), size * F.col("rest") / F.col("squares"))
+    p = F.when(F.col("squares") > 0, F.least(
+        F.lit(1.0), size * F.col("rest") / F.col("squares"))).otherwise(F.lit(0.0))
     ratio = u * (1 - p)
     return F.when(p > 0, ratio / (ratio + (1 - u) * p)).otherwise(F.lit(1.0))
 

@@ -1,0 +1,78 @@
+import html
+import re
+
+import pytest
+
+from keelson.llm import html_extract as H
+from tests.conftest import SF_CHECK
+
+BODY = "Rivers carry sand to the coast. The tide spreads it over wide flats."
+
+
+def test_given_pages(spark):
+    pages = spark.read.parquet(f"{SF_CHECK}/pages.parquet")
+    rows = H.main_text(pages).collect()
+    assert len(rows) == pages.count()
+    for r in rows:
+        inner = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        inner = re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", inner))
+        assert r["text"] == " ".join(html.unescape(inner).split())
+        assert r["n_chars"] == len(r["text"])
+
+
+@pytest.mark.parametrize("page, text", [
+    (None, ""), ("", ""), ("<html><body></body></html>", ""), ("<nav>Home</nav>", ""),
+    ("just a text", "just a text"),
+    (f"<article><p>{BODY}</article>", BODY),
+    (f"<p>{BODY}<p>{BODY}", f"{BODY} {BODY}"),
+    ("<article><p>a<b>b</b>c<br>d &amp; e&nbsp;f &lt;g&gt; &#233;</p></article>", "abc d & e f <g> é"),
+    (f"<header>Site</header><article><header><h1>T</h1></header><p>{BODY}</p></article>", f"T {BODY}"),
+    (f"<article><p>{BODY}</p><aside>{BODY}</aside><p>x</p></article>", f"{BODY} x"),
+    (f"<article><p>{BODY}</p><form>name <input> <button>send</button></form></article>", BODY),
+    (f"<div class='cookie-notice'>{BODY}</div><main><p>{BODY}</p></main>", BODY),
+    (f"<main><p>{BODY}</p><section id=comments><p>{BODY}</p></section></main>", BODY),
+    (f"<article class='post has-sidebar'><p>{BODY}</p></article>", BODY),
+    (f"<article><p>{BODY}</p></article><article class=comment><p>{BODY}</p></article>", BODY),
+    (f"<main><p>{BODY}</p><p style='display: none'>x</p><p hidden>y</p></main>", BODY),
+    (f"<div>Menu</div><ul><li><a href=a>one</a><li><a href=b>two</a></ul><div><p>{BODY}</p></div>"
+     "<div><a href=c>About</a></div>", BODY),
+    (f"<main><script>if (a < b) '<p>x</p>'</script><style>p {{}}</style><!-- <p>y</p> -->{BODY}</main>",
+     BODY),
+    (f"<main><p>{BODY}</p><script>never closed {BODY}", BODY),
+    (f"<main><p>{BODY}</div></p><p title='a > b'>z</p></main>", f"{BODY} z"),
+    (f"<main><p>{BODY} 1 < 2</p></main", f"{BODY} 1 < 2"),
+    ("<article><h1>One</h1></article><footer>&copy; x</footer>", "One"),
+])
+def test_pages(page, text):
+    assert H.extract(page) == text
+
+
+def test_best_run_is_maximal():
+    import random
+    rng = random.Random(3)
+    for _ in range(200):
+        scores = [rng.choice([-2.0, -1.0, 0.0, 1.0, 2.0]) for _ in range(rng.randint(0, 12))]
+        start, end = H.best_run(scores)
+        every = [sum(scores[a:b]) for a in range(len(scores)) for b in range(a, len(scores) + 1)]
+        assert sum(scores[start:end]) == max([0.0, *every])
+
+
+def test_weights_come_from_the_labelled_pages():
+    table = H.weights()
+    assert table["word", "main", False, "text"] > 0 > table["word", "outside", False]
+    assert all(w < 0 for k, w in table.items() if k[0] == "tag")
+    for page in H.PAGES:  # each is read as it is labelled
+        marked = page.partition("[[")[2].partition("]]")[0]
+        plain = H.extract(page.replace("[[", "").replace("]]", ""))
+        assert plain == " ".join(html.unescape(re.sub(r"<[^>]*>", " ", marked)).split())
+
+
+def test_long_pages_and_clashing_columns(spark):
+    page = "<main>" + f"<p>{BODY}</p>" * 20_000 + "</main>"
+    assert H.extract(page) == " ".join([BODY] * 20_000)
+    assert H.extract("<div>" * 5000 + BODY) == BODY
+    df = spark.createDataFrame([(1, None, "u", "old"), (None, page, None, "old"), (1, None, "u", "old")],
+                               "page_id long, html string, url string, text string")
+    rows = H.main_text(df).collect()
+    assert sorted(r["n_chars"] for r in rows) == [0, 0, len(BODY) * 20_000 + 19_999]
+    assert H.main_text(df.limit(0)).count() == 0

@@ -1,0 +1,62 @@
+import zlib
+
+import numpy as np
+
+from keelson.llm import langid as L
+from tests.conftest import SF_CHECK
+from tests.llm.helpers import awkward, empty
+
+
+def test_held_out_documents(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    rows = L.learn_and_predict(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    held = [r for r in rows if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    assert np.mean([r["lang_pred"] == r["lang"] for r in held]) > 0.98
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def model(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    return docs, L.fit(docs)
+
+
+def test_mixtures_name_their_languages_and_shares(spark):
+    docs, fitted = model(spark)
+    text = {r["lang"]: r["t"] for r in docs.filter("n_chars between 2000 and 4000").groupBy("lang")
+            .agg({"text": "min"}).toDF("lang", "t").collect()}
+    assert set(text) == {"de", "en", "es", "fr"}
+    for a, b in (("de", "fr"), ("en", "es")):
+        found = fitted.infer(text[a][:1500] + " " + text[b][:500])
+        assert set(found) == {a, b} and list(found)[0] == a
+        assert 0.6 < found[a] < 0.9 and abs(sum(found.values()) - 1) < 1e-6
+    for lang, t in text.items():
+        assert list(fitted.infer(t)) == [lang]  # the penalty keeps others out
+
+
+def test_em_never_lowers_the_likelihood(spark):
+    rng = np.random.default_rng(0)
+    seen, times = rng.random((300, 3)) + 1e-3, rng.integers(1, 5, 300).astype(float)
+    values = []
+    for steps in range(1, 12):
+        fitted = L.LanguageModel(["a", "b", "c"], seen, steps=steps)
+        values.append(fitted.mixture(seen, times)[1])
+    assert all(b >= a - 1e-9 for a, b in zip(values, values[1:], strict=False))
+
+
+def test_awkward_rows(spark):
+    rows = L.learn_and_predict(awkward(spark)).collect()
+    assert len(rows) == 9
+    by_id = {r["doc_id"]: r for r in rows}
+    for i in (2, 3, 4):
+        assert (by_id[i]["lang_pred"], by_id[i]["score"]) == ("und", 0.0)
+    assert L.learn_and_predict(empty(spark)).count() == 0
+    nothing = L.learn_and_predict(awkward(spark).selectExpr(
+        "doc_id", "text", "cast(null as string) lang"))
+    assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
+
+
+def test_letters():
+    assert L.letters_only("  A1b--Ç! ") == " a b ç " and L.letters_only("12 !?") == ""
+    assert len(L.trigram_buckets("ab")) == 2 and len(L.trigram_buckets(None)) == 0

@@ -1,0 +1,115 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from keelson.llm import mixing as M
+from tests.llm.helpers import awkward, empty
+
+
+def brute_targets(sizes, weights=(5.0, 2.0, 1.0), cap=3):
+    """Shares refilled until no source is above its limit."""
+    names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, cut = sum(sizes.values()), set()
+    while True:
+        left = total - sum(cap * sizes[s] for s in cut)
+        free = [s for s in names if s not in cut]
+        each = {s: left * w[s] / sum(w[x] for x in free) for s in free}
+        over = {s for s in free if each[s] > cap * sizes[s]}
+        if not over:
+            return {**{s: float(cap * sizes[s]) for s in cut}, **each}
+        cut |= over
+
+
+def corpus(spark, sizes, seed=1):
+    rng, rows = random.Random(seed), []
+    for source, n in sizes.items():
+        rows += [(len(rows) + i, " ".join(["w"] * rng.choice([1, 3, 10, 40, 200])), source)
+                 for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 200, "b": 150, "c": 300, None: 30}, {"a": 3, "b": 500, "c": 5, "d": 20},
+    {"B": 40, "a": 40, "é": 40, "": 40}, {"only": 50}])
+def test_targets_and_words_taken(spark, sizes):
+    df = corpus(spark, sizes)
+    rows = M.mix(df).collect()
+    assert len(rows) == df.count()
+    own = {}
+    for r in rows:
+        own[r["source"]] = own.get(r["source"], 0) + r["size"]
+    wanted = brute_targets(own)
+    for source, target in wanted.items():
+        mine = [r for r in rows if r["source"] == source]
+        assert all(r["target"] == pytest.approx(target) and r["source_size"] == own[source]
+                   for r in mine)
+        # the closing document leaves half the longest document's words at most
+        assert abs(sum(r["taken"] for r in mine) - target) <= 100
+    assert all(0 <= r["taken"] <= 3 * r["size"] and r["taken"] == r["times"] * r["size"]
+               for r in rows)
+    order = [(r["doc_id"], r["taken"]) for r in rows]
+    again = M.mix(df.repartition(5)).collect()
+    assert sorted(order) == sorted((r["doc_id"], r["taken"]) for r in again)
+
+
+def test_the_sample_begins_the_pareto_order(spark):
+    df = corpus(spark, {"a": 400, "b": 400, "c": 400})
+    plan = {r["source"]: r for r in M.plan_mix(df).collect()}
+    docs = df.select("source", "doc_id", M.word_count(F.col("text")).alias("size"),
+                     F.xxhash64("text").alias("tie"), M._uniform(F.col("doc_id"), 20).alias("u"))
+    times = {r["doc_id"]: r["times"] for r in M.mix(df).collect()}
+    for source, p in plan.items():
+        rest, ranked = p["rest"], []
+        for r in docs.filter(F.col("source") == source).collect():
+            prob = min(1.0, r["size"] * rest / p["squares"])
+            odds = float("inf") if prob <= 0 else (
+                r["u"] / (1 - r["u"]) * (1 - prob) / prob)
+            ranked.append((odds, r["tie"], r["doc_id"], r["size"]))
+        total, taken = 0, set()
+        for _, _, doc, size in sorted(ranked):
+            if total + size > rest:
+                break
+            total += size
+            taken.add(doc)
+        gap = rest - total
+        others = [(abs(s - gap), o, t, d) for o, t, d, s in ranked
+                  if d not in taken and s and abs(s - gap) < gap]
+        if others:
+            taken.add(min(others)[3])
+        extra = {d for _, _, d, _ in ranked if times[d] > p["copies"]}
+        assert extra == taken
+
+
+def test_size_decides_the_inclusion_odds(spark):
+    rows = [(i, "w " * (100 if i % 2 else 10), "a" if i < 2000 else "b") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = M.mix(df, weights=(1.0, 3.0)).filter("source = 'a'")
+    long, short = (out.filter(f"size = {n}").agg(F.avg("times")).first()[0] for n in (100, 10))
+    assert long > 3 * short > 0
+
+
+def test_no_python_in_the_plan(spark):
+    plan = M.mix(corpus(spark, {"a": 20, "b": 20}))._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_mixed_repeats_rows_and_keeps_columns(spark):
+    df = corpus(spark, {"a": 30, "b": 90, "c": 10}).withColumn("times", F.lit(7)).withColumn(
+        "size", F.lit("x"))
+    out = M.mixed(df)
+    assert out.columns == df.columns
+    times = {r["doc_id"]: r["times"] for r in M.mix(df).collect()}
+    got = {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert got == {d: n for d, n in times.items() if n}
+
+
+def test_awkward_rows_and_empty_tables(spark):
+    rows = M.mix(awkward(spark)).collect()
+    assert len(rows) == 9
+    for r in rows:
+        assert r["taken"] is not None and r["target"] is not None
+    assert all(r["size"] == 0 for r in rows if r["doc_id"] in (2, 3, 4))
+    assert M.mix(empty(spark)).count() == 0 and M.mixed(empty(spark)).count() == 0
+    assert M.mixed(awkward(spark)).columns == awkward(spark).columns
