@@ -12,20 +12,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from keelson.llm import bpe, mixing, near_dedup, quality, toxicity
-from keelson.llm.text import staged
+from keelson.llm.text import staged, training_rows
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    lexicon = toxicity.fit(toxicity.training_rows(docs, labels, "toxic", 5, 0))
+    lexicon = toxicity.fit(training_rows(docs, labels, "toxic", 5, 0, toxicity.SAMPLE))
     return docs.filter(toxicity.score_column(docs, lexicon) < 0.5)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.5 or more."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = quality.fit(quality.training_rows(docs, labels, "quality", 3, 1))
+    model = quality.fit(training_rows(docs, labels, "quality", 3, 1, quality.SAMPLE))
     return docs.filter(quality.score_udf(docs, model)("text") >= 0.5)
 
 

@@ -9,15 +9,15 @@ weights; a feature's value is 1 + log of its count, and the words' and the
 shapes' values are each scaled to length 1. A score is the logistic of the
 sparse dot product.
 
-Training takes a bounded sample of the labelled rows (about ``sample`` of
-each label), deals it by hashed id into a fixed number of shards, trains one
+Training takes a bounded sample of the labelled rows (about ``SAMPLE`` of
+each label, ``text.training_rows``), deals it by hashed id into a fixed number of shards, trains one
 learner on each for some epochs as a Spark task (rows weighted so that both
 labels count the same), and averages the weights. The averaged logits of the
 sample are then scaled to probabilities by Platt's method.
 
 Cases: null and empty texts have no features and score the logistic of the
 intercept; texts of any length are read whole; rows without a label, id or
-text teach nothing; labels repeated for one id teach once each; without any
+text teach nothing; labels repeated for one id teach once; without any
 labelled row every score is 0.5. Results are keyed by the id column only.
 """
 
@@ -33,9 +33,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.text import WordHashes, bounded_sample, held_out, mix64
+from keelson.llm.text import WordHashes, held_out, mix64, training_rows
 
 BITS = 18
+SAMPLE = 6_000
 TOKENS = regex.compile(r"[\p{L}\p{M}]+|\p{N}+|[^\s\p{L}\p{M}\p{N}]+")
 _VIEW = [np.uint64(0x1000 + i) for i in range(5)]
 
@@ -152,16 +153,11 @@ def platt(logits: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple[floa
     return max(1e-3, float(found[0])), float(found[1])
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", doc_id: str = "doc_id",
-        sample: int = 6_000, shards: int = 6, epochs: int = 6, bits: int = BITS) -> Model:
-    """Averaged weights of ``shards`` learners over about ``sample`` rows of
-    each label at most. 2**bits weights for each shard are averaged by Spark;
-    one set reaches the driver."""
-    known = labelled.filter(F.col(label).isin(0, 1) & F.col(text).isNotNull()
-                            & F.col(doc_id).isNotNull())
-    rows = bounded_sample(known, doc_id, F.col(label).cast("int"), sample).select(
-        F.col(label).cast("int").alias("y"), F.col(text).alias("text"),
-        F.xxhash64(F.lit("order"), F.col(doc_id).cast("string"), F.col(text)).alias("turn"))
+def fit(rows: DataFrame, shards: int = 6, epochs: int = 6, bits: int = BITS) -> Model:
+    """Averaged weights of ``shards`` learners over the training rows
+    (doc_id, y, text). 2**bits weights for each shard are averaged by Spark;
+    one set, and the logits of the rows, reach the driver."""
+    rows = rows.withColumn("turn", F.xxhash64(F.lit("order"), F.col("doc_id").cast("string"), "text"))
     rows = rows.withColumn("shard", F.pmod("turn", F.lit(shards)))
 
     def train(group: pd.DataFrame) -> pd.DataFrame:
@@ -209,18 +205,10 @@ def _model_udf(df: DataFrame, model: Model, method):
     return score
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int,
-                  remainder: int) -> DataFrame:
-    """doc_id, text and label of the labelled documents that aren't held out."""
-    out = held_out("doc_id", modulus, remainder)
-    marks = labels.filter(~out).select("doc_id", label)
-    return docs.filter(~out).select("doc_id", "text").join(marks, "doc_id")
-
-
 def learn_and_score(docs: DataFrame, labels: DataFrame, modulus: int = 3,
                     remainder: int = 1) -> DataFrame:
     """doc_id, held_out, score and predicted for all of ``docs``."""
-    model = fit(training_rows(docs, labels, "quality", modulus, remainder))
+    model = fit(training_rows(docs, labels, "quality", modulus, remainder, SAMPLE))
     score = score_udf(docs, model)
     return (docs.select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"),
                         score("text").alias("score"))

@@ -81,6 +81,24 @@ def bounded_sample(df: DataFrame, id_col: str, by: Column, bound: int) -> DataFr
     return df.filter(keep)
 
 
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int, remainder: int,
+                  sample: int) -> DataFrame:
+    """(doc_id, y, text): about ``sample`` documents of each label (0, 1) at
+    most, none of them held out.
+
+    The sample is drawn from the labels, before any text is read: its ids
+    (twice ``sample`` about) are broadcast, so only sampled texts are moved.
+    An id that repeats counts once with each of its labels, with the least of
+    its texts."""
+    out = held_out("doc_id", modulus, remainder)
+    marks = (labels.select("doc_id", F.col(label).cast("int").alias("y"))
+             .filter(~out & F.col("y").isin(0, 1)).distinct())
+    chosen = bounded_sample(marks, "doc_id", F.col("y"), sample)
+    rows = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(
+        F.broadcast(chosen), "doc_id")
+    return staged(rows.groupBy("doc_id", "y").agg(F.min("text").alias("text")), "training-rows")
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read
     back: the lineage ends here and a lost executor costs only a re-read."""

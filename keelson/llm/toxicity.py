@@ -9,8 +9,8 @@ density is the sum of its matches' weights over its number of words
 (``FLOOR`` at least); its score is density / (density + pivot), so that the
 pivot scores 0.5.
 
-All of it is learned from labelled rows, a bounded sample (about ``sample``
-of each label): candidates by document frequency; weights, the log odds of
+All of it is learned from labelled rows, a bounded sample (about ``SAMPLE``
+of each label, ``text.training_rows``): candidates by document frequency; weights, the log odds of
 toxic against clean, from the number of *different* neighbourhoods a term is
 met in (copies of one document count once); exception phrases from clean
 rows; the pivot where it separates the sample best.
@@ -34,8 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.quality import training_rows
-from keelson.llm.text import bounded_sample, held_out, staged
+from keelson.llm.text import held_out, staged, training_rows
 
 #: A word with the signs that may stand for letters in it.
 TOKENS = regex.compile(r"[\p{L}\p{M}\p{N}@$€!|+]*[\p{L}\p{M}\p{N}][\p{L}\p{M}\p{N}@$€|+]*")
@@ -50,6 +49,7 @@ LOOKALIKES = str.maketrans({
 LETTER_SIGNS = str.maketrans("01345789@$€!|+", "oieastbgaseilt")
 SIGNS = "@$€!|+"
 FLOOR = 20
+SAMPLE = 4_000
 MIN_STEM, MAX_STEM = 3, 8
 
 
@@ -234,14 +234,9 @@ def best_pivot(rows: list[tuple[float, int]]) -> float:
     return math.sqrt(max(low, right / 4) * right)
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", doc_id: str = "doc_id",
-        sample: int = 4_000, limit: int = 3_000) -> Lexicon:
+def fit(rows: DataFrame, limit: int = 3_000) -> Lexicon:
     """A lexicon of at most ``limit`` words and as many stems and phrases,
-    from about ``sample`` rows of each label at most."""
-    known = labelled.filter(F.col(label).isin(0, 1) & F.col(text).isNotNull()
-                            & F.col(doc_id).isNotNull())
-    rows = staged(bounded_sample(known, doc_id, F.col(label).cast("int"), sample).select(
-        F.col(label).cast("int").alias("y"), F.col(text).alias("text")), "toxicity-sample")
+    from the training rows (doc_id, y, text)."""
     sums = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     toxic, clean = sums.get(1, 0), max(1, sums.get(0, 0))
     if toxic == 0:
@@ -292,7 +287,7 @@ def score_column(df: DataFrame, lexicon: Lexicon, text: str = "text"):
 def learn_and_score(docs: DataFrame, labels: DataFrame, modulus: int = 5,
                     remainder: int = 0) -> DataFrame:
     """doc_id, held_out, score, predicted and density for all of ``docs``."""
-    lexicon = fit(training_rows(docs, labels, "toxic", modulus, remainder))
+    lexicon = fit(training_rows(docs, labels, "toxic", modulus, remainder, SAMPLE))
     density = density_udf(docs, lexicon)("text")
     found = docs.select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"),
                         density.alias("density"))
