@@ -14,14 +14,30 @@ from pyspark.sql import functions as F
 
 
 def as_of_date(as_of: str | dt.date | Column | None = None) -> Column:
-    """A literal processing date; today's date only when none is given."""
+    """A literal processing date (the date of a moment); today's date only
+    when none is given."""
     if as_of is None:
         return F.current_date()
     if isinstance(as_of, Column):
         return as_of
     if isinstance(as_of, dt.datetime):
         as_of = as_of.date()
-    return F.lit(str(as_of)).cast("date")
+    return F.lit(str(as_of)[:10]).cast("date")
+
+
+def as_of_time(as_of: str | dt.date | Column | None = None) -> Column:
+    """A literal processing moment: a timestamp if ``as_of`` has a time of day
+    (a ``datetime``, or text longer than a date), a date if it is one, the
+    clock (``current_timestamp()``) when nothing is given. Cast it to the type
+    of the column that it is written to."""
+    if as_of is None:
+        return F.current_timestamp()
+    if isinstance(as_of, Column):
+        return as_of
+    if isinstance(as_of, dt.datetime):
+        return F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
+    text = str(as_of).strip()
+    return F.lit(text).cast("timestamp" if len(text) > 10 else "date")
 
 
 def parse_date(c: str | Column, fmt: str = "yyyy-MM-dd", strict: bool = False) -> Column:

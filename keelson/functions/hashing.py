@@ -14,13 +14,12 @@ from pyspark.sql import types as T
 
 # Fixed encoding of the fingerprint (changing any of these changes every hash):
 #   fields are joined with "|"; a non-NULL field is written "<length>:<text>";
-#   a NULL field is written "~"; floating point values are rendered through
-#   decimal(38, FLOAT_SCALE) so that the text does not depend on the engine;
-#   timestamps (instants) as epoch microseconds, so that it does not depend on
+#   a NULL field is written "~"; floating point values as their shortest text
+#   that reads back as the same value (-0.0 as 0.0; NaN and the infinities have
+#   texts of their own, which differ from NULL); timestamps (instants) as epoch microseconds, so that it does not depend on
 #   the session time zone; binary values as hex.
 FIELD_SEPARATOR = "|"
 NULL_FIELD = "~"
-FLOAT_SCALE = 6
 
 
 def md5_key(*cols: str | Column) -> Column:
@@ -36,8 +35,7 @@ def md5_key(*cols: str | Column) -> Column:
 
 
 def row_hash(cols: Iterable[str | Column], schema: T.StructType | None = None,
-             compat: bool = False, float_scale: int = FLOAT_SCALE,
-             cast_to: dict[str, T.DataType] | None = None) -> Column:
+             compat: bool = False, cast_to: dict[str, T.DataType] | None = None) -> Column:
     """A change-detection fingerprint of a row's tracked columns.
 
     The default encoding marks NULLs and prefixes every field with its length,
@@ -52,8 +50,6 @@ def row_hash(cols: Iterable[str | Column], schema: T.StructType | None = None,
     columns arrive as text hashes like the typed table it is compared with).
     """
     cols = list(cols)
-    if compat:
-        return F.md5(F.concat_ws("_", *[_as_text(_col(c), None) for c in cols]))
     types = {f.name.lower(): f.dataType for f in schema.fields} if schema else {}
     casts = {k.lower(): v for k, v in (cast_to or {}).items()}
     parts = []
@@ -63,10 +59,13 @@ def row_hash(cols: Iterable[str | Column], schema: T.StructType | None = None,
             dtype = casts.get(c.lower(), types.get(c.lower()))
             if c.lower() in casts:
                 col = col.cast(dtype)
-        text = _as_text(col, dtype, float_scale)
+        if compat:
+            parts.append(col.cast("string"))
+            continue
+        text = _as_text(col, dtype)
         parts.append(F.coalesce(
             F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit(NULL_FIELD)))
-    return F.md5(F.concat_ws(FIELD_SEPARATOR, *parts))
+    return F.md5(F.concat_ws("_" if compat else FIELD_SEPARATOR, *parts))
 
 
 def hash_columns(df: DataFrame, cols: Iterable[str], name: str = "hash_key",
@@ -79,9 +78,9 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _as_text(c: Column, dtype: T.DataType | None, float_scale: int = FLOAT_SCALE) -> Column:
+def _as_text(c: Column, dtype: T.DataType | None) -> Column:
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return c.cast(T.DecimalType(38, float_scale)).cast("string")
+        return (c + F.lit(0.0).cast(dtype)).cast("string")  # -0.0 + 0.0 is 0.0
     if isinstance(dtype, T.TimestampType):
         # an instant: its text would follow the session time zone
         return F.unix_micros(c).cast("string")

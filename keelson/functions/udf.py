@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def vectorized(fn: Callable, return_type: T.DataType | str):
-    """Turn a scalar Python function into a NULL-safe pandas UDF.
+def vectorized(fn: Callable[[pd.Series], pd.Series], return_type: T.DataType | str):
+    """Turn a function of a pandas Series into a NULL-safe pandas UDF.
 
-    ``fn`` is applied to the non-NULL values of each Arrow batch; NULL in
-    gives NULL out instead of an exception in the Python worker.
+    ``fn`` gets the non-NULL values of each Arrow batch as one Series and
+    returns a Series of the same length; NULL in gives NULL out.
     """
 
     @F.pandas_udf(return_type)
@@ -28,22 +28,28 @@ def vectorized(fn: Callable, return_type: T.DataType | str):
         out = pd.Series([None] * len(s), index=s.index, dtype=object)
         mask = s.notna()
         if mask.any():
-            out[mask] = s[mask].map(fn)
+            out[mask] = fn(s[mask])
         return out
 
     return _apply
 
 
+def each_value(fn: Callable) -> Callable[[pd.Series], pd.Series]:
+    """A function of one value as a function of a Series, for ``vectorized``
+    (per-value Python: for logic that has no batch form)."""
+    return lambda s: s.map(fn)
+
+
 def register_udf(spark: SparkSession, name: str, fn: Callable,
                  return_type: T.DataType | str):
-    """Register ``fn`` for SQL under ``name`` (NULL-safe, Arrow-batched)."""
+    """Register ``fn`` (of a Series) for SQL under ``name`` (NULL-safe, Arrow-batched)."""
     wrapped = vectorized(fn, return_type)
     spark.udf.register(name, wrapped)
     return wrapped
 
 
-def _month_year(d) -> str:
-    return d.strftime("%b-%Y")
+def _month_year(d: pd.Series) -> pd.Series:
+    return pd.to_datetime(d).dt.strftime("%b-%Y")
 
 
 # date -> 'Nov-2022'; equals format_date(c, 'MMM-yyyy') in an English locale

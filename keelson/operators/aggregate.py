@@ -53,7 +53,8 @@ def value_counts(df: DataFrame, by: Sequence[str], col: str, name: str = "n") ->
 
 
 def pivot(df: DataFrame, index: Sequence[str | Column], column: str,
-          aggs: Column | Sequence[Column], values: Sequence | None = None) -> DataFrame:
+          aggs: Column | Sequence[Column], values: Sequence | None = None,
+          others: str = "error", other_name: str = "other") -> DataFrame:
     """Group by ``index`` and spread ``column``'s values into columns.
 
     Pass ``values`` when they are known: Spark then skips the extra job that
@@ -61,11 +62,29 @@ def pivot(df: DataFrame, index: Sequence[str | Column], column: str,
     aggregate the columns are named after the values; with several,
     ``<value>_<alias>``. Use ``F.count(F.lit(1))`` for a row count
     (``count('*')`` is refused inside a pivot).
+
+    A row whose value (NULL included) is not among ``values`` raises while
+    the plan runs (``others="error"``), or is counted in a column
+    ``other_name`` (``others="column"``); both in the same aggregation.
     """
+    if others not in ("error", "column"):
+        raise ValueError("others must be 'error' or 'column'")
     aggs = [aggs] if isinstance(aggs, Column) else list(aggs)
-    g = df.groupBy(*index)
-    g = g.pivot(column, list(values)) if values is not None else g.pivot(column)
-    return g.agg(*aggs)
+    if values is None:
+        return df.groupBy(*index).pivot(column).agg(*aggs)
+    values = list(values)
+    known = F.coalesce(F.col(column).isin(*values), F.lit(False))
+    text = F.col(column).cast("string")
+    if others == "error":
+        problem = F.concat(F.lit(f"pivot: value of {column} not in the list: "),
+                           F.coalesce(text, F.lit("NULL")))
+        df = df.filter(F.when(known, F.lit(True)).otherwise(F.raise_error(problem).cast("boolean")))
+    else:
+        if other_name in [str(v) for v in values]:
+            raise ValueError(f"{other_name!r} is one of the values")
+        df = df.withColumn(column, F.when(known, text).otherwise(F.lit(other_name)))
+        values = [str(v) for v in values] + [other_name]
+    return df.groupBy(*index).pivot(column, values).agg(*aggs)
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str],

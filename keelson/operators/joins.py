@@ -1,14 +1,12 @@
 """Joins: equi-joins by name or expression, semi/anti, md5 surrogate-key joins.
 
-Physical strategy is mostly left to Catalyst and AQE: a dimension side
-whose estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` is
-broadcast (that estimate is Spark's own size check), everything else is a
-sort-merge join on the key, and AQE splits skewed partitions at run time.
-Two cases are planned here because Spark cannot fix them at run time: a
-right/full outer join whose preserved side is a small dimension (rewritten
-around a broadcast, see ``join_on``), and semi/anti joins, which join only
-the distinct right keys. Cross joins are not offered: every join here needs
-an equality key.
+Physical strategy is left to Catalyst and AQE: a side whose size (estimated,
+or measured at a shuffle) is under ``spark.sql.autoBroadcastJoinThreshold``
+is broadcast, everything else is a sort-merge join on the key, and AQE splits
+skewed partitions at run time. Two cases are planned here because Spark
+cannot fix them at run time: right and full outer joins (see ``join_on``),
+and semi/anti joins, which join only the distinct right keys. Cross joins are
+not offered: every join here needs an equality key.
 """
 
 from __future__ import annotations
@@ -38,90 +36,60 @@ def join_type(how: str) -> str:
 
 def join_on(left: DataFrame, right: DataFrame,
             on: str | Sequence[str] | Mapping[str, str] | Column,
-            how: str = "inner", small_right: bool | None = None) -> DataFrame:
+            how: str = "inner") -> DataFrame:
     """Equi-join on shared key names (one key column out, coalesced for full
     joins), on a mapping left-name -> right-name, or on an equality
-    expression (both key columns kept for the last two).
-
-    Right and full outer joins with a small right side are rewritten.
-    Spark cannot broadcast the preserved side of an outer join, so joining
-    a large fact table to a small dimension that way is a sort-merge join
-    whose partitions are the dimension's keys: a 25-key dimension gives 25
-    busy reducers however large the data. Instead the large side streams
-    through a broadcast inner (right) or left (full) join, and the
-    dimension rows without a match are found by semi-joining the large
-    side's key column against the broadcast keys (at most one row per
-    dimension key) and anti-joining the dimension against that set.
-    ``small_right=None`` decides: the right side must pass a bounded size
-    probe and the left side's input must be large (see ``_rewrite_pays``);
-    ``True`` forces the rewrite, ``False`` keeps Spark's plan.
+    expression (both key columns kept for the last two). Names match without
+    regard to case, as in Spark.
+
+    Right and full outer joins by name are planned as an inner (left) join
+    and the right rows whose keys the left side lacks. Spark can neither
+    broadcast the preserved side of an outer join nor split its skewed
+    partitions: a fact table joined that way to a 25-row dimension keeps 25
+    reducers busy however large it is. The inner (left) join can be broadcast
+    or split, and the left side's keys are reduced to distinct ones in each
+    map task before the anti join. The plan is the same at every size.
     """
     how = join_type(how)
     if isinstance(on, Column):
         return left.join(right, on, how)
     shared = not isinstance(on, Mapping)
-    pairs = ([(on, on)] if isinstance(on, str) else
+    named = ([(on, on)] if isinstance(on, str) else
              [(k, k) for k in on] if shared else list(on.items()))
+    pairs = [(_named(left, a), _named(right, b)) for a, b in named]
     if how in ("right", "full"):
-        if small_right is None:
-            small_right = _rewrite_pays(left, right)
-        if small_right:
-            return _outer_small_right(left, right, pairs, shared, keep_left=how == "full")
-    if shared:
-        return left.join(right, [k for k, _ in pairs], how)
-    return left.join(right, _eq(left, right, pairs), how)
+        main = _equi(left, right, pairs, shared, "inner" if how == "right" else "left")
+        return main.union(_unmatched_right(left, right, pairs, shared))
+    return _equi(left, right, pairs, shared, how)
 
 
-def _rewrite_pays(left: DataFrame, right: DataFrame) -> bool:
-    """The rewrite needs a right side proven small, and pays only when the
-    left side is large enough that a sort-merge join on few keys hurts
-    (its input over ``keelson.merge.smallTargetBytes``, default 1 GiB)."""
-    from keelson.operators.merging import input_bytes
-    from keelson.plans.sizing import broadcast_limits, size_bound
-    spark = right.sparkSession
-    left_size = input_bytes(left)
-    limit = int(spark.conf.get("keelson.merge.smallTargetBytes", str(1 << 30)))
-    if left_size is not None and left_size <= limit:
-        return False
-    max_rows, max_bytes = broadcast_limits(spark)
-    return size_bound(right, max_rows, max_bytes) is not None
+def _named(df: DataFrame, name: str) -> str:
+    """The column of ``df`` with that name, in its own spelling."""
+    return next((c for c in df.columns if c.lower() == name.lower()), name)
 
 
-def _eq(left: DataFrame, right: DataFrame, pairs) -> Column:
-    cond = None
-    for lk, rk in pairs:
-        c = left[lk] == right[rk]
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def _outer_small_right(left: DataFrame, right: DataFrame, pairs, shared: bool,
-                       keep_left: bool) -> DataFrame:
-    """Right (``keep_left=False``) or full outer join with a broadcast right side."""
-    lkeys, rkeys = [lk for lk, _ in pairs], [rk for _, rk in pairs]
-    small = F.broadcast(right)
-    if shared:
-        main = left.join(small, lkeys, "left" if keep_left else "inner")
-    else:
-        main = left.join(small, _eq(left, small, pairs), "left" if keep_left else "inner")
-    # right keys that found a left row: bounded by the right side's size
-    hit = (left.select(*[F.col(f"`{k}`").alias(f"__h{i}") for i, k in enumerate(lkeys)])
-           .join(F.broadcast(right.select(*[F.col(f"`{k}`").alias(f"__r{i}")
-                                             for i, k in enumerate(rkeys)])),
-                 _and_all([F.col(f"__h{i}") == F.col(f"__r{i}") for i in range(len(pairs))]),
-                 "left_semi")
-           .distinct())
-    missed = right.join(F.broadcast(hit), _and_all(
-        [right[k] == hit[f"__h{i}"] for i, k in enumerate(rkeys)]), "left_anti")
-    lfields = {f.name: f.dataType for f in left.schema.fields}
+def _equi(left: DataFrame, right: DataFrame, pairs, shared: bool, how: str) -> DataFrame:
     if shared:
-        cols = [F.col(f"`{k}`") for k in rkeys]
-        cols += [F.lit(None).cast(t).alias(n) for n, t in lfields.items() if n not in lkeys]
-        cols += [F.col(f"`{c}`") for c in right.columns if c not in rkeys]
-    else:
-        cols = [F.lit(None).cast(t).alias(n) for n, t in lfields.items()]
-        cols += [F.col(f"`{c}`") for c in right.columns]
-    return main.union(missed.select(*cols))
+        return left.join(right, [k for k, _ in pairs], how)
+    cond = _and_all([left[f"`{a}`"] == right[f"`{b}`"] for a, b in pairs])
+    return left.join(right, cond, how)
+
+
+def _unmatched_right(left: DataFrame, right: DataFrame, pairs, shared: bool) -> DataFrame:
+    """Right rows whose key no left row has, in the columns of the join."""
+    held = left.select(*[F.col(f"`{a}`").alias(f"__h{i}")
+                         for i, (a, _) in enumerate(pairs)]).distinct()
+    missed = right.join(held, _and_all(
+        [right[f"`{b}`"] == held[f"__h{i}"] for i, (_, b) in enumerate(pairs)]), "left_anti")
+    by_left = {a: b for a, b in pairs} if shared else {}
+    fields = left.schema.fields
+    if shared:  # the keys first, as a join on names puts them
+        fields = [f for a in by_left for f in fields if f.name == a] + \
+            [f for f in fields if f.name not in by_left]
+    cols = [F.col(f"`{by_left[f.name]}`").cast(f.dataType).alias(f.name) if f.name in by_left
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    gone = set(by_left.values())
+    return missed.select(*cols, *[F.col(f"`{c}`") for c in right.columns if c not in gone])
 
 
 def _and_all(preds) -> Column:
@@ -163,17 +131,32 @@ def hash_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str] | Mappi
     """Join on an md5 surrogate key made on both sides.
 
     ``keys`` is a list of names present on both sides, or a mapping
-    left-name -> right-name. The surrogate is one ``key_name`` column; right
-    columns whose names repeat a left column are dropped, so the result has
-    no ambiguous names.
+    left-name -> right-name. The surrogate is one ``key_name`` column; it is
+    NULL if any of its keys is, and so matches nothing, as the keys would.
+    Right columns whose names repeat a left column are dropped, so the result
+    has no ambiguous names; a key column that both sides have by one name is
+    filled from the right where a row comes from there alone.
     """
     how = join_type(how)
     pairs = list(keys.items()) if isinstance(keys, Mapping) else [(k, k) for k in keys]
-    lk = left.withColumn(key_name, md5_key(*[F.col(a) for a, _ in pairs]))
+    pairs = [(_named(left, a), _named(right, b)) for a, b in pairs]
+
+    def surrogate(names: Sequence[str]) -> Column:
+        present = _and_all([F.col(f"`{n}`").isNotNull() for n in names])
+        return F.when(present, md5_key(*[F.col(f"`{n}`") for n in names]))
+
+    lk = left.withColumn(key_name, surrogate([a for a, _ in pairs]))
+    rk = right.withColumn(key_name, surrogate([b for _, b in pairs]))
+    if how in ("left_semi", "left_anti"):
+        return lk.join(rk.select(key_name).distinct(), key_name, how)
     left_names = {c.lower() for c in lk.columns}
-    rk = right.withColumn(key_name, md5_key(*[F.col(b) for _, b in pairs]))
-    keep = [c for c in rk.columns if c == key_name or c.lower() not in left_names]
-    return lk.join(rk.select(*keep), key_name, how)
+    same = {a: f"__right_{i}" for i, (a, b) in enumerate(pairs) if a.lower() == b.lower()}
+    keep = [F.col(f"`{c}`") for c in rk.columns if c == key_name or c.lower() not in left_names]
+    keep += [F.col(f"`{b}`").alias(same[a]) for a, b in pairs if a in same]
+    joined = join_on(lk, rk.select(*keep), key_name, how)
+    filled = [F.coalesce(F.col(f"`{c}`"), F.col(same[c])).alias(c) if c in same else F.col(f"`{c}`")
+              for c in joined.columns if c not in same.values()]
+    return joined.select(*filled)
 
 
 def join_aggregate(left: DataFrame, right: DataFrame, on, how: str,

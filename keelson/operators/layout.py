@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from keelson.operators.merging import has_map
+
 LAYOUTS = ("round_robin", "hash", "range", "coalesce", "none")
 
 
@@ -19,12 +21,14 @@ def with_partition_id(df: DataFrame, name: str = "partition_id") -> DataFrame:
 
 
 def lay_out(df: DataFrame, how: str, n: int | None = None,
-            by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> DataFrame:
+            by: Sequence[str] = (), sort_within: Sequence[str] = (), salts: int = 1) -> DataFrame:
     """Apply a partitioning.
 
     - ``round_robin``: ``repartition(n)``, even sizes, a full shuffle;
     - ``hash``: ``repartition(n, *by)``, all rows of a key in one partition
-      (a hot key makes a hot partition: check with ``partition_profile``);
+      (a hot key makes a hot partition: check with ``partition_profile``).
+      ``salts`` > 1 deals each key's rows into that many groups by a hash of
+      the whole row, so a hot key's rows spread over up to ``salts`` partitions;
     - ``range``: ``repartitionByRange(n, *by)``, sampled bounds, disjoint key
       ranges; it does not sort inside partitions, so ``sort_within`` adds that;
     - ``coalesce``: merge to ``n`` partitions without a shuffle (cannot grow);
@@ -36,7 +40,11 @@ def lay_out(df: DataFrame, how: str, n: int | None = None,
     elif how == "hash":
         if not by:
             raise ValueError("hash layout needs columns")
-        out = df.repartition(n, *by) if n else df.repartition(*by)
+        keys = [F.col(f"`{c}`") for c in by]
+        if salts > 1:
+            hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not has_map(f.dataType)]
+            keys.append(F.pmod(F.xxhash64(*hashed), F.lit(salts)))
+        out = df.repartition(n, *keys) if n else df.repartition(*keys)
     elif how == "range":
         if not by:
             raise ValueError("range layout needs columns")

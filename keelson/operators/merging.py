@@ -3,26 +3,34 @@
 Stock Spark file tables refuse ``MERGE``/``UPDATE``. Here a merge is a plan:
 target snapshot + source batch in, next snapshot out; the caller writes it
 to a new location (see ``keelson.sources.tables.write_snapshot``), so a
-failed run never leaves a half-applied table.
+failed run never leaves a half-applied table. Building a plan runs no job
+(only ``strategy="broadcast"`` probes the source's size).
 
-Plan shape (``aligned_join``):
+Plan shape (``aligned_join``), the same at every size:
 
 * target rows that cannot match (a NULL key, or failing ``target_filter``,
   e.g. history rows of an SCD 2 table) bypass the join and are unioned back
   unchanged: they are never shuffled;
-* ``strategy="shuffle"``: one full outer join of the eligible target rows
-  and the source on the keys (each side shuffled once);
-* ``strategy="broadcast"``: the source is broadcast into a left outer join,
-  so the target is not shuffled at all; source rows that matched nothing are
-  found by semi-joining the target's *key column* against the broadcast
-  source keys (a bounded set: at most one row per source key) and
-  anti-joining the source against it;
-* ``strategy="auto"``: broadcast only when the source is proven small (the
-  key-column profile of ``check_source_keys`` bounds its rows, one small
-  aggregate then bounds its bytes; with ``check=False`` a bounded ``take``
-  probe, ``plans.sizing.size_bound``), else shuffle;
-* an update-only merge (no insert clause) needs no unmatched source rows:
-  its plan is a single left outer join.
+* source keys are cast to the target's key types first. Their check is a
+  branch of the plan that returns no rows: rows are counted by key (the key
+  columns alone, partial counts in each map task), and a key with two rows
+  raises while the plan runs. (Checking on the way into the join would spare
+  that small shuffle, but AQE splits a skewed partition only where nothing
+  stands between its exchange and the join);
+* the eligible target rows are LEFT OUTER joined to the source. A left join
+  (not a full one) lets AQE split the partition of a target key that holds
+  many rows, and turn the join into a broadcast one when the source turns
+  out small;
+* source rows that match nothing are the source anti-joined with the
+  target's distinct keys (a scan of the key columns, reduced in each map
+  task), on the same exchange of the source;
+* an update-only merge leaves the second part out, an insert-only merge the
+  first: there the target's rows pass through without a join.
+
+``strategy="broadcast"`` keeps the target from being shuffled at all if the
+source, which is measured first (``plans.sizing.size_bound``), is within the
+session's bounds; beyond them the plan is the same as ``"auto"``.
+``"shuffle"`` asks for a sort-merge join whatever the sizes.
 
 Side detection uses literal marker columns, never NULL tests on keys.
 """
@@ -38,8 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.plans.sizing import broadcast_limits, row_bytes, size_bound
-from keelson.session import cut_lineage
+from keelson.plans.sizing import broadcast_limits, size_bound
 
 T_PREFIX = "t__"
 S_PREFIX = "s__"
@@ -47,6 +54,7 @@ T_MARK = "__t"
 S_MARK = "__s"
 
 STRATEGIES = ("auto", "shuffle", "broadcast")
+NULL_KEYS = ("fail", "insert")
 
 
 def src(name: str) -> Column:
@@ -78,6 +86,15 @@ def _field(df: DataFrame, name: str) -> T.StructField:
     raise KeyError(f"no column {name!r} in {df.columns}")
 
 
+def has_map(t: T.DataType) -> bool:
+    """Whether a type is or holds a map (which can be neither hashed nor ordered)."""
+    if isinstance(t, T.ArrayType):
+        return has_map(t.elementType)
+    if isinstance(t, T.StructType):
+        return any(has_map(f.dataType) for f in t.fields)
+    return isinstance(t, T.MapType)
+
+
 def _and(preds: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, preds)
 
@@ -124,40 +141,49 @@ def resolve_expr(spec, target: DataFrame, source: DataFrame) -> Column:
 
 
 # ---------------------------------------------------------------------------
-# source checks (I16) and the size of the source
+# source checks (I16)
 
 
 @dataclass(frozen=True)
 class SourceProfile:
-    """What one pass over the source's key columns tells: its row count, and
-    whether its keys are unique and non-NULL."""
+    """What one pass over the source's key columns tells: its row count, the
+    most rows that share a (non-NULL) key, and the rows with a NULL key."""
     rows: int
     max_rows_per_key: int
     null_key_rows: int
     worst_key: dict | None
 
 
-def profile_source(source: DataFrame, keys: Sequence[str]) -> SourceProfile:
+def profile_source(source: DataFrame, keys: Sequence[str],
+                   key_types: Mapping[str, T.DataType] | None = None) -> SourceProfile:
     """One aggregation job over the key columns only (a pruned scan): rows
     per key (partial counts per task, so a hot key is combined map-side),
-    then one global row, which is all the driver receives."""
-    kcols = [F.col(f"`{k}`") for k in keys]
-    per_key = (source.select(*kcols).groupBy(*kcols)
+    then one global row, which is all the driver receives. ``key_types``
+    (key name -> type) profiles the keys as they are after that cast."""
+    casts = {k.lower(): t for k, t in (key_types or {}).items()}
+    kcols = [F.col(f"`{k}`").cast(casts[k.lower()]).alias(k) if k.lower() in casts
+             else F.col(f"`{k}`") for k in keys]
+    per_key = (source.select(*kcols).groupBy(*[F.col(f"`{k}`") for k in keys])
                .agg(F.count(F.lit(1)).alias("__n"))
                .withColumn("__null", _any_null(keys)))
+    keyed = F.when(~F.col("__null"), F.col("__n"))
     row = per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.max("__n"), F.lit(0)).alias("max_n"),
+        F.coalesce(F.max(keyed), F.lit(0)).alias("max_n"),
         F.coalesce(F.sum(F.when(F.col("__null"), F.col("__n"))), F.lit(0)).alias("nulls"),
-        F.max_by(F.struct(*[F.col(f"`{k}`") for k in keys]), F.col("__n")).alias("worst"),
+        F.max_by(F.struct(*[F.col(f"`{k}`") for k in keys]), keyed).alias("worst"),
     ).first()
     worst = row["worst"].asDict() if row["worst"] is not None else None
     return SourceProfile(int(row["rows"]), int(row["max_n"]), int(row["nulls"]), worst)
 
 
-def validate_source(profile: SourceProfile, null_keys: str = "fail") -> None:
-    """Raise if two source rows share a key (one target row may match at
-    most one source row), or, with ``null_keys="fail"``, if a key is NULL."""
+def check_source_keys(source: DataFrame, keys: Sequence[str], null_keys: str = "fail",
+                      key_types: Mapping[str, T.DataType] | None = None) -> SourceProfile:
+    """Profile the source now and raise if two rows share a key (one target
+    row may match at most one source row), or, with ``null_keys="fail"``, if
+    a key is NULL. (``merge`` and the dimension steps make the same check
+    inside their plan; this is for looking before.)"""
+    profile = profile_source(source, keys, key_types)
     if profile.max_rows_per_key > 1:
         raise ValueError(f"source has {profile.max_rows_per_key} rows for key "
                          f"{profile.worst_key}: a merge source must have one row per key "
@@ -165,24 +191,21 @@ def validate_source(profile: SourceProfile, null_keys: str = "fail") -> None:
     if null_keys == "fail" and profile.null_key_rows:
         raise ValueError(f"source has {profile.null_key_rows} rows with a NULL key; pass "
                          f"null_keys='insert' to insert such rows")
-
-
-def check_source_keys(source: DataFrame, keys: Sequence[str], null_keys: str = "fail") -> SourceProfile:
-    """Profile the source and validate its keys; returns the profile."""
-    profile = profile_source(source, keys)
-    validate_source(profile, null_keys)
     return profile
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
-    """One row per key: the row with the greatest ``order_by`` value(s).
+    """One row per key: the row with the greatest ``order_by`` value(s); of
+    rows that tie there, the one with the greatest hash of its other columns
+    (the same in every run; maps take no part in the hash).
 
     An aggregation (``max_by`` over a struct), not a window, so rows of a hot
     key are reduced inside each map task before the shuffle.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     rest = [c for c in df.columns if c.lower() not in {k.lower() for k in keys}]
-    ordering = F.struct(*[F.col(f"`{c}`") for c in order])
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not has_map(f.dataType)]
+    ordering = F.struct(*[F.col(f"`{c}`") for c in order], F.xxhash64(*hashed))
     picked = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), ordering).alias("__row")
     out = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(picked)
     return out.select(*[F.col(f"`{k}`") for k in keys],
@@ -211,78 +234,39 @@ def split_target(target: DataFrame, keys: Sequence[str], target_filter: Column |
     return target.filter(keys_present & target_filter), target.filter(keys_missing | bypass_filter)
 
 
-def choose_strategy(source: DataFrame, strategy: str,
-                    profile: SourceProfile | None = None,
-                    target: DataFrame | None = None) -> str:
-    """Broadcast the source only when its size is known to be within the
-    session's bounds: from the profile pass when there was one, else from a
-    bounded probe (``plans.sizing.size_bound``). The broadcast path exists
-    to avoid shuffling the target; when the target's input files total at
-    most ``keelson.merge.smallTargetBytes`` (default 1 GiB) that shuffle is
-    cheap and the single full outer join is chosen instead."""
-    return plan_source(source, strategy, profile, target)[0]
-
-
-def plan_source(source: DataFrame, strategy: str, profile: SourceProfile | None = None,
-                target: DataFrame | None = None) -> tuple[str, DataFrame]:
-    """``choose_strategy`` plus the source to join. A source proven small
-    and headed for the broadcast path is materialised once (a reliable
-    checkpoint under the shared folder): the broadcast path reads it three
-    times, and a small batch is often a filter over a large table whose
-    recomputation would rescan that table each time."""
-    if strategy not in STRATEGIES:
-        raise ValueError(f"strategy must be one of {STRATEGIES}")
-    if strategy != "auto":
-        return strategy, source
-    spark = source.sparkSession
-    max_rows, max_bytes = broadcast_limits(spark)
-    if profile is not None and profile.rows > max_rows:
-        return "shuffle", source
-    if target is not None:
-        limit = int(spark.conf.get("keelson.merge.smallTargetBytes", str(1 << 30)))
-        size = input_bytes(target)
-        if size is not None and size <= limit:
-            return "shuffle", source
-    if profile is None:
-        small = size_bound(source, max_rows, max_bytes) is not None
-        return ("broadcast" if small else "shuffle"), source
-    if profile.rows == 0:
-        return "broadcast", source
-    if _shared_folder(spark):
-        source = cut_lineage(source)
-    # the row count is proven; the bytes of those few rows by one aggregate
-    small = source.agg(F.sum(row_bytes(source.schema))).first()[0] <= max_bytes
-    return ("broadcast" if small else "shuffle"), source
-
-
-def _shared_folder(spark) -> bool:
-    """A checkpoint folder is set, or the session is local (then one is made)."""
-    return bool(spark.sparkContext.getCheckpointDir()
-                or spark.conf.get("spark.checkpoint.dir", None)
-                or spark.sparkContext.master.startswith("local"))
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Total size of the files ``df`` reads (``inputFiles`` + the
-    ``binaryFile`` source's ``length``, which reads no file content), or
-    None when the plan reads no files."""
-    files = df.inputFiles()
-    if not files:
-        return None
-    total = (df.sparkSession.read.format("binaryFile").load(files)
-             .agg(F.sum("length")).first()[0])
-    return int(total or 0)
-
-
-def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[str, str]],
-                 strategy: str = "auto", profile: SourceProfile | None = None,
-                 unmatched_source: bool = True) -> DataFrame:
+def repeated_keys(keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """No rows, or an error while the plan runs if two rows share a key."""
+    by = [F.col(f"`{c}`") for c in keys]
+    problem = F.concat(F.lit("source has "), F.col("__n").cast("string"), F.lit(" rows for key "),
+                       F.to_json(F.struct(*[c.cast("string") for c in by])),
+                       F.lit(": a merge source must have one row per key (dedupe it first)"))
+    counted = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    return counted.filter(
+        F.when(F.col("__n") > 1, F.raise_error(problem).cast("boolean")).otherwise(F.lit(False)))
+
+
+def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[str, str]], *,
+                 strategy: str = "auto", null_keys: str = "fail", check: bool = True,
+                 with_target: bool = True, unmatched_source: bool = True) -> DataFrame:
     """Every eligible target row (with its matching source row or NULLs) and
     every unmatched source row, with columns ``t__*``, ``s__*`` and the side
-    markers ``__t`` / ``__s``. Source keys are cast to the target key types.
+    markers ``__t`` / ``__s``. Source keys are cast to the target key types,
+    and are checked after the cast.
+
+    A source row with a NULL key matches nothing: with ``null_keys="insert"``
+    it is an unmatched row (kept out of the joins, so many of them cannot pile
+    up in one partition), else it raises while the plan runs.
     ``unmatched_source=False`` (an update-only merge) leaves the unmatched
-    source rows out: then the plan is a single left outer join."""
-    strategy, source = plan_source(source, strategy, profile, eligible)
+    source rows out, ``with_target=False`` (an insert-only merge) the target
+    rows.
+    """
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
+    if null_keys not in NULL_KEYS:
+        raise ValueError("null_keys must be 'fail' or 'insert'")
+    if strategy == "broadcast" and size_bound(
+            source, *broadcast_limits(source.sparkSession)) is None:
+        strategy = "auto"
     key_types = {_field(source, s).name: _field(eligible, t).dataType for t, s in keys}
     tside = eligible.select(*[F.col(f"`{c}`").alias(T_PREFIX + c) for c in eligible.columns],
                             F.lit(True).alias(T_MARK))
@@ -291,34 +275,41 @@ def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[st
         for c in source.columns], F.lit(True).alias(S_MARK))
     tk = [T_PREFIX + _field(eligible, t).name for t, _ in keys]
     sk = [S_PREFIX + _field(source, s).name for _, s in keys]
-    cond = _and([F.col(f"`{a}`") == F.col(f"`{b}`") for a, b in zip(tk, sk)])
+    keyed, unkeyed = sside.filter(~_any_null(sk)), sside.filter(_any_null(sk))
+    if null_keys == "fail":
+        unkeyed = unkeyed.filter(F.raise_error(F.lit(
+            "source has a row with a NULL key; pass null_keys='insert' to insert such rows"))
+            .cast("boolean"))
+    hint = {"broadcast": "broadcast", "shuffle": "merge"}.get(strategy)
+
+    def hinted(df: DataFrame) -> DataFrame:
+        return df.hint(hint) if hint else df
 
-    # A source row with a NULL key matches nothing: keep it out of the join so
-    # that many such rows cannot pile up in the one partition NULL hashes to.
-    s_null = _any_null(sk)
-    s_keyed, s_unkeyed = sside.filter(~s_null), sside.filter(s_null)
     t_nulls = [F.lit(None).cast(f.dataType).alias(T_PREFIX + f.name) for f in eligible.schema.fields]
     t_nulls.append(F.lit(None).cast("boolean").alias(T_MARK))
 
     def source_only_rows(df: DataFrame) -> DataFrame:
         return df.select(*t_nulls, *[F.col(f"`{c}`") for c in sside.columns])
 
-    if not unmatched_source:
-        right = F.broadcast(s_keyed) if strategy == "broadcast" else s_keyed
-        return tside.join(right, cond, "left")
-    if strategy == "shuffle":
-        joined = tside.join(s_keyed, cond, "full")
-    else:
-        small = F.broadcast(s_keyed)
-        matched_part = tside.join(small, cond, "left")
-        # keys of the source that found a current row: at most one per source key
-        hit = (tside.select(*tk).join(F.broadcast(s_keyed.select(*sk)), cond, "left_semi")
-               .distinct())
+    parts = []
+    if with_target:
+        cond = _and([F.col(f"`{a}`") == F.col(f"`{b}`") for a, b in zip(tk, sk)])
+        parts.append(tside.join(hinted(keyed), cond, "left"))
+    if unmatched_source:
+        held = tside.select(*[F.col(f"`{a}`").alias(f"h{a}") for a in tk])
         hit_cond = _and([F.col(f"`{b}`") == F.col(f"`h{a}`") for a, b in zip(tk, sk)])
-        hit = hit.select(*[F.col(f"`{a}`").alias(f"h{a}") for a in tk])
-        missed = s_keyed.join(F.broadcast(hit), hit_cond, "left_anti")
-        joined = matched_part.unionByName(source_only_rows(missed))
-    return joined.unionByName(source_only_rows(s_unkeyed))
+        if strategy == "broadcast":
+            # the keys of the source that the target has: at most one for each source row
+            source_keys = keyed.select(*[F.col(f"`{b}`") for b in sk])
+            held = held.join(F.broadcast(source_keys), hit_cond, "left_semi")
+        parts.append(source_only_rows(keyed.join(hinted(held.distinct()), hit_cond, "left_anti")))
+    if unmatched_source or null_keys == "fail":
+        parts.append(source_only_rows(unkeyed))
+    if check:
+        no_rows = repeated_keys(keyed, sk)
+        parts.append(source_only_rows(no_rows.select(*[
+            F.lit(None).cast(f.dataType).alias(f.name) for f in sside.schema.fields])))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def matched() -> Column:
@@ -350,15 +341,28 @@ def merge(target: DataFrame, source: DataFrame, on, *,
       ``ON t.id = s.id AND t.flag = 'Y'``); failing rows pass through.
     - ``null_keys``: ``"fail"`` (default) or ``"insert"`` (NULL never matches,
       so such a source row is inserted).
+    - ``check=False`` skips the check that source keys are unique (for a
+      source that is so by construction, such as ``dedupe_latest``'s).
     Unmatched target rows are kept (no delete clause exists in this API).
+    Without ``update`` no target row can change: the result is the target and
+    the rows of ``insert_rows``, and the target is not joined or shuffled.
     """
     keys = key_pairs(on)
-    if null_keys not in ("fail", "insert"):
-        raise ValueError("null_keys must be 'fail' or 'insert'")
-    profile = check_source_keys(source, [s for _, s in keys], null_keys) if check else None
+    if update is None:
+        if insert is None:
+            raise ValueError("a merge needs update or insert")
+        return target.unionByName(insert_rows(target, source, on, insert,
+                                              target_filter=target_filter, null_keys=null_keys,
+                                              check=check, strategy=strategy))
     eligible, bypass = split_target(target, [t for t, _ in keys], target_filter)
-    al = aligned_join(eligible, source, keys, strategy, profile,
+    al = aligned_join(eligible, source, keys, strategy=strategy, null_keys=null_keys, check=check,
                       unmatched_source=insert is not None)
+    return al.select(*_merged_columns(target, source, update, insert, update_when)) \
+        .unionByName(bypass)
+
+
+def _merged_columns(target: DataFrame, source: DataFrame, update, insert, update_when) -> list[Column]:
+    """The target's columns over the rows of an aligned join."""
 
     src_names = {c.lower(): c for c in source.columns}
 
@@ -389,14 +393,26 @@ def merge(target: DataFrame, source: DataFrame, on, *,
         if new_val is not None:
             e = e.when(do_update, new_val.cast(f.dataType))
         cols.append(e.otherwise(keep).alias(f.name))
-    rows = al if insert is not None else al.filter(F.col(T_MARK).isNotNull())
-    return rows.select(*cols).unionByName(bypass)
+    return cols
+
+
+def insert_rows(target: DataFrame, source: DataFrame, on, insert: Mapping | str = "*", *,
+                target_filter: Column | None = None, null_keys: str = "fail", check: bool = True,
+                strategy: str = "auto") -> DataFrame:
+    """Only the rows that an insert-only merge adds, as target rows: what to
+    append to the stored table instead of writing all of it again."""
+    keys = key_pairs(on)
+    eligible, _ = split_target(target, [t for t, _ in keys], target_filter)
+    al = aligned_join(eligible, source, keys, strategy=strategy, null_keys=null_keys, check=check,
+                      with_target=False)
+    return al.select(*_merged_columns(target, source, None, insert, None))
 
 
 def insert_new(target: DataFrame, source: DataFrame, on, insert: Mapping | str = "*", *,
                target_filter: Column | None = None, strategy: str = "auto",
                check: bool = True) -> DataFrame:
-    """Insert-only merge: add source rows whose key has no (eligible) target row."""
+    """Insert-only merge: the target and the source rows whose key has no
+    (eligible) target row (``insert_rows``)."""
     return merge(target, source, on, insert=insert, target_filter=target_filter,
                  strategy=strategy, check=check)
 

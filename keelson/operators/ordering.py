@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keelson.operators.merging import has_map
+
 
 def sort_keys(keys: Sequence[str | Column], ascending: bool | Sequence[bool] = True,
               nulls_last: bool | None = None) -> list[Column]:
@@ -41,10 +43,13 @@ def sort_by(df: DataFrame, keys: Sequence[str | Column], ascending: bool | Seque
     a last sort key, a hash of the whole row, which leaves the order by
     ``keys`` unchanged (ties have no defined order) but lets the sampled
     bounds fall inside a hot key. The hash is deterministic, so a retried
-    task sends every row to the same partition."""
+    task sends every row to the same partition. Columns that are or hold a map
+    take no part in it (a map can't be hashed)."""
     order = sort_keys(keys, ascending, nulls_last)
     if spread_ties:
-        order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not has_map(f.dataType)]
+        if hashed:
+            order.append(F.xxhash64(*hashed))
     return df.orderBy(*order)
 
 

@@ -19,14 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.functions.dates import as_of_date
+from keelson.functions.dates import as_of_time
 from keelson.functions.hashing import row_hash
-from keelson.operators.merging import (T_MARK, _field, aligned_join, check_source_keys, key_pairs,
-                                       matched, merge, split_target, src, tgt)
+from keelson.operators.merging import (T_MARK, _field, aligned_join, key_pairs, matched, merge,
+                                       split_target, src, tgt)
 
 DETECT = ("hash", "columns", "always")
 _SRC_HASH = "__src_hash"
 _TGT_HASH = "__tgt_hash"
+_NEW_HASH = "__new_hash"
 
 
 # ---------------------------------------------------------------------------
@@ -39,7 +40,7 @@ def scd2_init(df: DataFrame, as_of: str | dt.date | Column | None, *,
               hash_compat: bool = False) -> DataFrame:
     """A flat table as a type-2 table: every row current from ``as_of``,
     open end (NULL), optionally with a fingerprint column."""
-    start = as_of_date(as_of).cast(time_type)
+    start = as_of_time(as_of).cast(time_type)
     out = df.select("*", F.lit(current_flag).alias(flag_col), start.alias(start_col),
                     F.lit(None).cast(time_type).alias(end_col))
     if hash_col:
@@ -99,8 +100,15 @@ def scd2(target: DataFrame, source: DataFrame, keys, as_of: str | dt.date | Colu
     ``hash_col`` if it has one, else computed) NULL-safely; ``"columns"``
     compares the tracked columns NULL-safely; ``"always"`` treats every
     match as a change (the closing-and-reopening behaviour of a plain MERGE).
+    ``tracked`` names the columns that count as a change (default: all that
+    both sides have); a stored fingerprint covers them all, so with
+    ``tracked`` the named columns are hashed afresh on both sides.
     ``source_has_validity``: the source carries its own flag/start/end
     columns and opened rows take them from it.
+
+    ``as_of`` may be a date or a moment (``functions.dates.as_of_time``); it
+    is cast to the type of the start and end columns. A row that would be
+    closed before it started (a late batch) raises while the plan runs.
     """
     if detect not in DETECT:
         raise ValueError(f"detect must be one of {DETECT}")
@@ -111,47 +119,49 @@ def scd2(target: DataFrame, source: DataFrame, keys, as_of: str | dt.date | Colu
     special = validity | ({hash_col.lower()} if hash_col else set())
     key_low = {k.lower() for k in tkeys} | {k.lower() for k in skeys}
     target_low = {c.lower() for c in target.columns}
-    if tracked is None:
-        tracked = [c for c in source.columns
-                   if c.lower() not in key_low | special and c.lower() in target_low]
-    tracked = [_field(source, c).name for c in tracked]
-    profile = check_source_keys(source, skeys, null_keys) if check else None
+    compares_stored = tracked is None
+    shared = [c for c in source.columns if c.lower() not in key_low | special and c.lower() in target_low]
+    tracked = [_field(source, c).name for c in (shared if tracked is None else tracked)]
 
     has_t_hash = bool(hash_col) and hash_col.lower() in target_low
     has_s_hash = bool(hash_col) and hash_col.lower() in {c.lower() for c in source.columns}
+    compares_stored = compares_stored and has_t_hash
+    # hash the batch as the target's types (text keys, say, as numbers)
+    as_target = {s: _field(target, t).dataType for t, s in zip(tkeys, skeys)}
+    as_target.update({c: _field(target, c).dataType for c in [*shared, *tracked]})
     src_df = source
-    if detect == "hash" or has_t_hash:
+    if has_t_hash:  # what opened rows store
         if has_s_hash:
             src_df = src_df.withColumn(_SRC_HASH, F.col(f"`{_field(source, hash_col).name}`"))
         else:
-            # a stored fingerprint covers the keys and the tracked columns in
+            # a stored fingerprint covers the keys and the shared columns in
             # the target's column order (the md5(id, name, age) form), so the
-            # batch is hashed in that order whatever its own; a computed-only
-            # one compares just the tracked columns on both sides
+            # batch is hashed in that order whatever its own
             by_target = {t.lower(): s for t, s in zip(tkeys, skeys)}
-            by_target.update({c.lower(): c for c in tracked})
-            hcols = ([by_target[c.lower()] for c in target.columns if c.lower() in by_target]
-                     if has_t_hash else tracked)
-            # hash the batch as the target's types (text keys, say, as numbers)
-            as_target = {s: _field(target, t).dataType for t, s in zip(tkeys, skeys)}
-            as_target.update({c: _field(target, c).dataType for c in tracked})
+            by_target.update({c.lower(): c for c in shared})
+            hcols = [by_target[c.lower()] for c in target.columns if c.lower() in by_target]
             src_df = src_df.withColumn(_SRC_HASH, row_hash(hcols, source.schema, compat=hash_compat,
                                                            cast_to=as_target))
+    if detect == "hash" and not compares_stored:
+        src_df = src_df.withColumn(_NEW_HASH, row_hash(tracked, source.schema, compat=hash_compat,
+                                                       cast_to=as_target))
 
     flag = F.col(f"`{_field(target, flag_col).name}`")
     eligible, bypass = split_target(target, tkeys, flag == F.lit(current_flag),
                                     flag.isNull() | (flag != F.lit(current_flag)))
-    if detect == "hash" and not has_t_hash:
+    if detect == "hash" and not compares_stored:
         eligible = eligible.withColumn(
             _TGT_HASH, row_hash([_field(target, c).name for c in tracked], target.schema,
                                 compat=hash_compat))
-    al = aligned_join(eligible, src_df, list(zip(tkeys, skeys)), strategy, profile)
+    al = aligned_join(eligible, src_df, list(zip(tkeys, skeys)), strategy=strategy,
+                      null_keys=null_keys, check=check)
 
     if detect == "always":
         changed = matched()
     elif detect == "hash":
-        t_hash = tgt(_field(target, hash_col).name) if has_t_hash else tgt(_TGT_HASH)
-        changed = matched() & ~t_hash.eqNullSafe(src(_SRC_HASH))
+        old, new = ((tgt(_field(target, hash_col).name), src(_SRC_HASH)) if compares_stored
+                    else (tgt(_TGT_HASH), src(_NEW_HASH)))
+        changed = matched() & ~old.eqNullSafe(new)
     else:
         changed = matched() & ~reduce(lambda a, b: a & b, [
             tgt(_field(target, c).name).eqNullSafe(src(c).cast(_field(target, c).dataType))
@@ -159,8 +169,12 @@ def scd2(target: DataFrame, source: DataFrame, keys, as_of: str | dt.date | Colu
 
     start_type = _field(target, start_col).dataType
     end_type = _field(target, end_col).dataType
-    as_of_start = as_of_date(as_of).cast(start_type)
-    as_of_end = as_of_date(as_of).cast(end_type)
+    as_of_start = as_of_time(as_of).cast(start_type)
+    as_of_end = as_of_time(as_of).cast(end_type)
+    started = tgt(_field(target, start_col).name)
+    late = F.concat(F.lit("as_of "), as_of_end.cast("string"),
+                    F.lit(" is before the start of a row it would close: "), started.cast("string"))
+    as_of_end = F.when(started > as_of_start, F.raise_error(late).cast(end_type)).otherwise(as_of_end)
     s_low = {c.lower(): c for c in source.columns}
     s_map = dict(zip([k.lower() for k in tkeys], skeys))
 

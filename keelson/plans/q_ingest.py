@@ -7,6 +7,8 @@ The feed (see ``inputs.customer_feed_lines``) has three kinds of bad line;
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from keelson.plans.catalog import register
@@ -127,6 +129,60 @@ def a14_incremental_new_rows(spark, sf):
     return incremental.new_rows(orders, loaded, "o_orderdate")
 
 
+_LOADED_SQL = """(SELECT * FROM o WHERE o_orderdate IS NULL AND o_orderkey % 2 = 0 OR
+  o_orderdate < TIMESTAMP '2000-01-01' AND NOT (o_orderpriority = '1-URGENT' AND o_orderdate =
+    (SELECT max(o_orderdate) FROM o WHERE o_orderdate < TIMESTAMP '2000-01-01'
+       AND o_orderpriority <> '1-URGENT')))"""
+
+
+@register("a14_incremental_ties_and_nulls", f"""
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+             CASE WHEN o_orderstatus <> 'P' THEN date_trunc('year', o_orderdate) END AS o_orderdate
+           FROM orders),
+     loaded AS {_LOADED_SQL}
+SELECT * FROM o WHERE (o_orderdate IS NULL OR o_orderdate >= (SELECT max(o_orderdate) FROM loaded))
+  AND NOT EXISTS (SELECT 1 FROM loaded WHERE loaded.o_orderkey = o.o_orderkey)""")
+def a14_incremental_ties_and_nulls(spark, sf):
+    # dates cut to the year, so many rows tie at the mark; one status has none
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority",
+        F.when(F.col("o_orderstatus") != "P", F.date_trunc("year", "o_orderdate"))
+        .cast("timestamp_ntz").alias("o_orderdate"))
+    before = F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    mark = o.filter(before & ~urgent).select(F.max("o_orderdate")).scalar()
+    loaded = o.filter((F.col("o_orderdate").isNull() & (F.col("o_orderkey") % 2 == 0))
+                      | (before & ~(urgent & (F.col("o_orderdate") == mark))))
+    return incremental.new_rows(o, loaded, "o_orderdate", keys=["o_orderkey"])
+
+
+def _new_name(stem: str) -> str:
+    return f"kt_{stem}_{uuid.uuid4().hex[:12]}"
+
+
+@register("a9_a12_named_table_overwrite", "SELECT * FROM customer")
+def a9_a12_named_table_overwrite(spark, sf):
+    # a named table created (it must not exist yet), overwritten, read back
+    name, customer = _new_name("customer"), table(spark, sf, "customer")
+    tables.save_table(customer.filter(F.col("c_mktsegment") == "BUILDING"), name)
+    tables.save_table(customer, name, mode="overwrite")
+    return tables.read_table(spark, name)
+
+
+@register("a10_a11_named_table_widened", """
+SELECT n_nationkey, n_name, n_regionkey, CAST(NULL AS VARCHAR) AS r_name FROM nation
+UNION ALL
+SELECT n_nationkey, n_name, NULL, r_name FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def a10_a11_named_table_widened(spark, sf):
+    # rows appended with a column that the table lacks, and without one it has
+    name, nation, region = _new_name("nation"), table(spark, sf, "nation"), table(spark, sf, "region")
+    tables.save_table(nation.select("n_nationkey", "n_name", "n_regionkey"), name)
+    more = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        "r_name", "n_nationkey", "n_name")
+    tables.save_table(more, name, mode="append", merge_schema=True)
+    return tables.read_table(spark, name)
+
+
 @register("a9_a12_snapshot_roundtrip", "SELECT * FROM customer")
 def a9_a12_snapshot_roundtrip(spark, sf):
     # two committed versions under the shared scratch folder; the reader

@@ -15,7 +15,7 @@ from keelson.operators import scd
 from keelson.plans.catalog import register
 from keelson.plans.inputs import (AS_OF, CUSTOMER_COLS, INITIAL_LOAD, SECOND_AS_OF,
                                   customer_refresh, order_status_updates, table)
-from keelson.session import cut_lineage, scratch_path
+from keelson.session import scratch_path, stage_parquet
 from keelson.sources.tables import publish_dimension, read_dimension, sql_over
 
 SOURCE_EFFECTIVE = "2025-07-26"
@@ -27,7 +27,7 @@ DIM_OPTS = dict(flag_col="cur_rec_ind", start_col="start_date", end_col="end_dat
 _COLS = ", ".join(CUSTOMER_COLS)
 _TEXT = {"c_custkey": "CAST(c_custkey AS VARCHAR)", "c_name": "c_name",
          "c_nationkey": "CAST(c_nationkey AS VARCHAR)",
-         "c_acctbal": "CAST(CAST(c_acctbal AS DECIMAL(38,6)) AS VARCHAR)",
+         "c_acctbal": "CAST(c_acctbal AS VARCHAR)",
          "c_mktsegment": "c_mktsegment"}
 
 
@@ -53,9 +53,16 @@ def _refresh_sql(raise_by: int = 100, onboard: bool = True) -> str:
            'SUPPLIER' FROM supplier"""
 
 
+def _moment(as_of: str) -> tuple[str, str]:
+    """(literal, type) of a date or a moment."""
+    kind = "TIMESTAMP" if len(as_of) > 10 else "DATE"
+    return f"{kind} '{as_of}'", kind
+
+
 def _dim_sql(start: str = INITIAL_LOAD, source: str = "customer") -> str:
-    return (f"SELECT {_COLS}, 'Y' AS cur_rec_ind, DATE '{start}' AS start_date, "
-            f"CAST(NULL AS DATE) AS end_date, {_CUST_HASH} AS hash_key FROM ({source})")
+    at, kind = _moment(start)
+    return (f"SELECT {_COLS}, 'Y' AS cur_rec_ind, {at} AS start_date, "
+            f"CAST(NULL AS {kind}) AS end_date, {_CUST_HASH} AS hash_key FROM ({source})")
 
 
 def _scd2_sql(target: str, source: str, as_of: str, detect: str = "hash",
@@ -64,6 +71,7 @@ def _scd2_sql(target: str, source: str, as_of: str, detect: str = "hash",
     ``source``: SELECT with the customer columns (and validity columns when
     ``source_validity``); the source hash is computed here."""
     tracked = [c for c in CUSTOMER_COLS if c != "c_custkey"]
+    at, kind = _moment(as_of)
     if detect == "always":
         chg_j, chg_s = "s_key IS NOT NULL", "TRUE"
     elif detect == "hash":
@@ -77,7 +85,7 @@ def _scd2_sql(target: str, source: str, as_of: str, detect: str = "hash",
     if source_validity:
         opened = "ss.cur_rec_ind, ss.start_date, ss.end_date"
     else:
-        opened = f"'Y', DATE '{as_of}', CAST(NULL AS DATE)"
+        opened = f"'Y', {at}, CAST(NULL AS {kind})"
     return f"""SELECT * FROM (
   WITH tt AS ({target}),
        cur AS (SELECT * FROM tt WHERE cur_rec_ind = 'Y'),
@@ -86,7 +94,7 @@ def _scd2_sql(target: str, source: str, as_of: str, detect: str = "hash",
        j AS (SELECT cur.*, ss.c_custkey AS s_key, ss.hash_key AS s_hash, {s_cols}
              FROM cur LEFT JOIN ss ON cur.c_custkey = ss.c_custkey)
   SELECT {_COLS}, CASE WHEN {chg_j} THEN 'N' ELSE cur_rec_ind END AS cur_rec_ind, start_date,
-         CASE WHEN {chg_j} THEN DATE '{as_of}' ELSE end_date END AS end_date, hash_key FROM j
+         CASE WHEN {chg_j} THEN {at} ELSE end_date END AS end_date, hash_key FROM j
   UNION ALL SELECT * FROM hist
   UNION ALL SELECT {', '.join('ss.' + c for c in CUSTOMER_COLS)}, {opened}, ss.hash_key
             FROM ss LEFT JOIN cur ON ss.c_custkey = cur.c_custkey
@@ -155,9 +163,10 @@ _TWO_STEPS = _scd2_sql(_scd2_sql(_dim_sql(), _refresh_sql(), AS_OF, "hash"),
 
 def _two_steps(spark, sf):
     # the second step reads its target in three branches (current rows,
-    # their keys, history): materialise the first step once instead of
-    # recomputing it per branch
-    first = cut_lineage(_scd2(customer_dimension(spark, sf), customer_refresh(spark, sf), AS_OF))
+    # their keys, history): write the first step once, laid out by currency,
+    # instead of recomputing it per branch
+    first = stage_parquet(_scd2(customer_dimension(spark, sf), customer_refresh(spark, sf), AS_OF),
+                          "first-step")
     return _scd2(first, customer_refresh(spark, sf, raise_by=200), SECOND_AS_OF)
 
 
@@ -305,7 +314,7 @@ def i13_scd3(spark, sf):
 
 @register("i13_scd3_replay_is_noop", _SCD3_SQL)
 def i13_scd3_replay_is_noop(spark, sf):
-    once = cut_lineage(_scd3(_scd3_target(spark, sf), customer_refresh(spark, sf)))
+    once = stage_parquet(_scd3(_scd3_target(spark, sf), customer_refresh(spark, sf)), "scd3")
     return _scd3(once, customer_refresh(spark, sf))
 
 
@@ -342,11 +351,111 @@ def i11_scd2_from_sql_views(spark, sf):
     # the target's key type
     views = {"dim_view": customer_dimension(spark, sf), "batch_view": customer_refresh(spark, sf)}
     dim = sql_over(spark, views, "SELECT * FROM dim_view")
-    batch = spark.sql("SELECT CAST(c_custkey AS STRING) AS c_custkey, c_name, c_nationkey, "
-                      "c_acctbal, c_mktsegment FROM batch_view")
+    batch = sql_over(spark, views, "SELECT CAST(c_custkey AS STRING) AS c_custkey, c_name, "
+                                   "c_nationkey, c_acctbal, c_mktsegment FROM batch_view")
     return _scd2(dim, batch, AS_OF)
 
 
+LOADS = ("2025-07-28 06:00:00", "2025-07-29 08:15:00", "2025-07-29 18:30:00.250")
+
+
+@register("i7_scd2_two_loads_one_day", _scd2_sql(
+    _scd2_sql(_dim_sql(LOADS[0]), _refresh_sql(), LOADS[1], "hash"),
+    _refresh_sql(200, onboard=False), LOADS[2], "hash"))
+def i7_scd2_two_loads_one_day(spark, sf):
+    # validity in moments: two loads of one day are told apart
+    dim = scd.scd2_init(table(spark, sf, "customer").select(*CUSTOMER_COLS), LOADS[0],
+                        hash_col="hash_key", time_type="timestamp_ntz", **DIM_OPTS)
+    first = stage_parquet(_scd2(dim, customer_refresh(spark, sf), LOADS[1]), "first-load")
+    return _scd2(first, customer_refresh(spark, sf, raise_by=200), LOADS[2])
+
+
+_TINY_SQL = """SELECT c_custkey, c_name, c_nationkey,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 0.0000001 ELSE c_acctbal END AS c_acctbal,
+  c_mktsegment FROM customer"""
+
+
+def _tiny_step(spark, sf, detect):
+    c = table(spark, sf, "customer").select(*CUSTOMER_COLS)
+    batch = c.withColumn("c_acctbal", F.when(
+        F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") + F.lit(0.0000001))
+        .otherwise(F.col("c_acctbal")))
+    return _scd2(customer_dimension(spark, sf), batch, AS_OF, detect=detect).drop("hash_key")
+
+
+def _tiny_sql(detect):
+    return (f"SELECT {_COLS}, cur_rec_ind, start_date, end_date FROM "
+            f"({_scd2_sql(_dim_sql(), _TINY_SQL, AS_OF, detect)})")
+
+
+@register("i9_scd2_hash_small_changes", _tiny_sql("columns"))
+def i9_scd2_hash_small_changes(spark, sf):
+    # doubles that differ in the seventh decimal: the fingerprint sees what
+    # a comparison of the columns sees
+    return _tiny_step(spark, sf, "hash")
+
+
+# ---------------------------------------------------------------------------
+# sources that a merge must take apart: keys alike only after the cast, NULL
+# keys, keys that the target lacks and the other way round, target rows that
+# share a key
+
+@register("i3_merge_text_keys_deduped", _SCD1_SQL)
+def i3_merge_text_keys_deduped(spark, sf):
+    # two extracts, keys as text with and without leading zeros: cast, keep
+    # the newer row of each key, merge
+    batch = customer_refresh(spark, sf)
+    text = F.col("c_custkey").cast("string")
+    older = batch.withColumn("c_custkey", text).withColumn("c_name", F.lit("old")).withColumn(
+        "extract", F.lit(1))
+    newer = batch.withColumn("c_custkey", F.lpad(text, 12, "0")).withColumn("extract", F.lit(2))
+    both = older.unionByName(newer).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
+    latest = mg.dedupe_latest(both, ["c_custkey"], "extract").drop("extract")
+    return mg.merge(table(spark, sf, "customer"), latest, "c_custkey", update="*", insert="*")
+
+
+@register("i3_merge_null_and_missing_keys", f"""
+WITH r AS (SELECT CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE c_custkey END AS c_custkey,
+                  c_name, c_nationkey, c_acctbal, c_mktsegment
+           FROM ({_refresh_sql()}) WHERE c_mktsegment <> 'FURNITURE')
+SELECT * FROM r
+UNION ALL SELECT * FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.c_custkey = c.c_custkey)""")
+def i3_merge_null_and_missing_keys(spark, sf):
+    # many source rows without a key are inserted; FURNITURE and AUTOMOBILE
+    # customers have no source row and stay as they are
+    r = customer_refresh(spark, sf).filter(F.col("c_mktsegment") != "FURNITURE").withColumn(
+        "c_custkey", F.when(F.col("c_mktsegment") != "AUTOMOBILE", F.col("c_custkey")))
+    return mg.merge(table(spark, sf, "customer"), r, "c_custkey", update="*", insert="*",
+                    null_keys="insert")
+
+
+@register("i1_upsert_many_rows_per_key", """
+WITH s AS (SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment <> 'FURNITURE')
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       COALESCE(s.c_mktsegment, o_orderpriority) AS o_orderpriority
+FROM orders LEFT JOIN s ON o_custkey = s.c_custkey
+UNION ALL
+SELECT NULL, c_custkey, 'N', NULL, NULL, c_mktsegment FROM s
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = s.c_custkey)""")
+def i1_upsert_many_rows_per_key(spark, sf):
+    # a target with many rows of each key: all of them are updated
+    s = table(spark, sf, "customer").filter(F.col("c_mktsegment") != "FURNITURE").select(
+        "c_custkey", "c_mktsegment")
+    return mg.merge(table(spark, sf, "orders"), s, {"o_custkey": "c_custkey"},
+                    update={"o_orderpriority": "source.c_mktsegment"},
+                    insert={"o_custkey": "source.c_custkey", "o_orderstatus": F.lit("N"),
+                            "o_orderpriority": "source.c_mktsegment"})
+
+
+@register("i14_insert_rows_to_append", f"""
+WITH r AS ({_refresh_sql()})
+SELECT * FROM r WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = r.c_custkey)""")
+def i14_insert_rows_to_append(spark, sf):
+    # only what an insert-only merge adds, for an append to the stored table
+    return mg.insert_rows(table(spark, sf, "customer"), customer_refresh(spark, sf), "c_custkey")
+
+
 # ---------------------------------------------------------------------------
 # a small feed into a large fact table (the daily-batch case)
 
@@ -368,10 +477,9 @@ def _order_upsert(spark, sf, strategy):
 
 @register("i1_upsert_order_status_feed", _ORDER_UPSERT_SQL)
 def i1_upsert_order_status_feed(spark, sf):
-    # auto: the feed is proven small; against a large order table it is
-    # broadcast and the table streams through one left join, unshuffled (at
-    # test sizes the table itself is cheap to shuffle and that plan is taken)
-    return _order_upsert(spark, sf, "auto")
+    # the feed is measured and, within the bounds, broadcast: the table
+    # streams through one left join, unshuffled
+    return _order_upsert(spark, sf, "broadcast")
 
 
 @register("i1_upsert_order_status_feed_shuffle", _ORDER_UPSERT_SQL)

@@ -8,6 +8,7 @@ summation.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from keelson.operators import aggregate as agg
@@ -35,6 +36,17 @@ def indebted_automobile(spark, sf):
     return c.filter((F.col("c_mktsegment") == "AUTOMOBILE") & (F.col("c_acctbal") < 0))
 
 
+def american_nations(spark, sf):
+    """The nations of region 1: the outer joins keep all customers, some of
+    whom have no such nation, and the right side has rows without a match
+    added (``+ 1000``: a nation that nobody lives in)."""
+    n = table(spark, sf, "nation").filter(F.col("n_regionkey") == 1)
+    return n.unionByName(n.withColumn("n_nationkey", F.col("n_nationkey") + 1000))
+
+
+_AMERICAN_SQL = """(SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey = 1
+  UNION ALL SELECT n_nationkey + 1000, n_name, n_regionkey FROM nation WHERE n_regionkey = 1)"""
+
 _INDEBTED_SQL = "(SELECT * FROM customer WHERE c_mktsegment = 'AUTOMOBILE' AND c_acctbal < 0)"
 
 
@@ -43,20 +55,20 @@ _INDEBTED_SQL = "(SELECT * FROM customer WHERE c_mktsegment = 'AUTOMOBILE' AND c
 
 @register("c10_left_join_group_sum", f"""
 SELECT n_name, {_sql_money_sum('c_acctbal')} AS sum_acctbal
-FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+FROM customer LEFT JOIN {_AMERICAN_SQL} ON c_nationkey = n_nationkey
 GROUP BY n_name""")
 def c10_left_join_group_sum(spark, sf):
-    c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
+    c, n = table(spark, sf, "customer"), american_nations(spark, sf)
     return joins.join_aggregate(c, n, c.c_nationkey == n.n_nationkey, "left",
                                 ["n_name"], [money_sum("c_acctbal").alias("sum_acctbal")])
 
 
-@register("d6_count_after_join", """
+@register("d6_count_after_join", f"""
 SELECT n_name, COUNT(*) AS count_of_customers
-FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+FROM customer LEFT JOIN {_AMERICAN_SQL} ON c_nationkey = n_nationkey
 GROUP BY n_name""")
 def d6_count_after_join(spark, sf):
-    c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
+    c, n = table(spark, sf, "customer"), american_nations(spark, sf)
     return joins.join_aggregate(c, n, c.c_nationkey == n.n_nationkey, "left",
                                 ["n_name"], [F.count(F.lit(1)).alias("count_of_customers")])
 
@@ -185,26 +197,26 @@ def c1_inner_join_shared_key(spark, sf):
 
 
 @register("c2_right_join_project", f"""
-SELECT c_name, n_name FROM {_INDEBTED_SQL} c RIGHT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+SELECT c_name, n_name FROM customer c RIGHT JOIN {_AMERICAN_SQL} n ON c.c_nationkey = n.n_nationkey""")
 def c2_right_join_project(spark, sf):
-    c, n = indebted_automobile(spark, sf), table(spark, sf, "nation")
+    c, n = table(spark, sf, "customer"), american_nations(spark, sf)
     return joins.join_on(c, n, {"c_nationkey": "n_nationkey"}, "right").select("c_name", "n_name")
 
 
 @register("c3_full_join_shared_key", f"""
 SELECT COALESCE(c.c_nationkey, n.n_nationkey) AS nationkey, c_custkey, c_name, c_acctbal,
        c_mktsegment, n_name, n_regionkey
-FROM {_INDEBTED_SQL} c FULL OUTER JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+FROM customer c FULL OUTER JOIN {_AMERICAN_SQL} n ON c.c_nationkey = n.n_nationkey""")
 def c3_full_join_shared_key(spark, sf):
-    c = indebted_automobile(spark, sf).withColumnRenamed("c_nationkey", "nationkey")
-    n = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "nationkey")
+    c = table(spark, sf, "customer").withColumnRenamed("c_nationkey", "nationkey")
+    n = american_nations(spark, sf).withColumnRenamed("n_nationkey", "nationkey")
     return joins.join_on(c, n, "nationkey", "full")
 
 
 @register("c4_left_join_expression", f"""
-SELECT * FROM {_INDEBTED_SQL} c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+SELECT * FROM customer c LEFT JOIN {_AMERICAN_SQL} n ON c.c_nationkey = n.n_nationkey""")
 def c4_left_join_expression(spark, sf):
-    c, n = indebted_automobile(spark, sf), table(spark, sf, "nation")
+    c, n = table(spark, sf, "customer"), american_nations(spark, sf)
     return joins.join_on(c, n, c.c_nationkey == n.n_nationkey, "left")
 
 
@@ -251,6 +263,25 @@ def c8_hash_key_join(spark, sf):
                                {"c_nationkey": "n_nationkey"})
 
 
+@register("c8_hash_key_full_join_null_keys", """
+WITH a AS (SELECT c_nationkey AS k1, NULLIF(c_mktsegment, 'BUILDING') AS k2, COUNT(*) AS n_customers
+           FROM customer GROUP BY 1, 2),
+     b AS (SELECT s_nationkey AS k1, CASE WHEN s_acctbal < 0 THEN NULL ELSE 'MACHINERY' END AS k2,
+                  COUNT(*) AS n_suppliers FROM supplier GROUP BY 1, 2)
+SELECT COALESCE(a.k1, b.k1) AS k1, COALESCE(a.k2, b.k2) AS k2, n_customers, n_suppliers
+FROM a FULL OUTER JOIN b ON a.k1 = b.k1 AND a.k2 = b.k2""")
+def c8_hash_key_full_join_null_keys(spark, sf):
+    # two keys of which one may be NULL: such rows match nothing on either side
+    c, s = table(spark, sf, "customer"), table(spark, sf, "supplier")
+    a = c.groupBy(F.col("c_nationkey").alias("k1"),
+                  F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("k2")).agg(
+        F.count(F.lit(1)).alias("n_customers"))
+    b = s.groupBy(F.col("s_nationkey").alias("k1"),
+                  F.when(F.col("s_acctbal") >= 0, "MACHINERY").alias("k2")).agg(
+        F.count(F.lit(1)).alias("n_suppliers"))
+    return joins.hash_key_join(a, b, ["k1", "k2"], "full").drop("hash_key")
+
+
 @register("c11_semi_for_inner_with_predicate", """
 SELECT c.* FROM customer c
 WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 450000)""")
@@ -347,24 +378,41 @@ def d10_pivot_month_count(spark, sf):
     return agg.pivot(o, ["order_month"], "o_orderpriority", F.count(F.lit(1)), PRIORITIES)
 
 
-_D8 = _pivot_sql("c_nationkey", "c_mktsegment", SEGMENTS,
-                 "CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) FILTER (WHERE {cond}) AS DOUBLE)",
-                 "customer")
+@register("d7_pivot_count_others", _pivot_sql(
+    "c_nationkey", "c_mktsegment", SEGMENTS[:3], "NULLIF(COUNT(*) FILTER (WHERE {cond}), 0)",
+    "customer").replace(" FROM customer", f""",
+       NULLIF(COUNT(*) FILTER (WHERE c_mktsegment NOT IN {tuple(SEGMENTS[:3])}), 0) AS "other"
+FROM customer"""))
+def d7_pivot_count_others(spark, sf):
+    # rows with values beyond the list land in a column of their own
+    return agg.pivot(table(spark, sf, "customer"), ["c_nationkey"], "c_mktsegment",
+                     F.count(F.lit(1)), SEGMENTS[:3], others="column")
+
+
+_BY_PRIORITY = _pivot_sql(
+    "o_custkey", "o_orderpriority", PRIORITIES,
+    "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE {cond}) AS DOUBLE)", "orders")
+
 
+def _by_priority(spark, sf):
+    """A customer's order sums by priority: NULL where there is no order."""
+    return agg.pivot(table(spark, sf, "orders"), ["o_custkey"], "o_orderpriority",
+                     money_sum("o_totalprice"), PRIORITIES)
 
-@register("d11_unpivot_keep_nulls", "WITH p AS (" + _D8 + ") " + " UNION ALL ".join(
-    f"SELECT c_nationkey, '{s}' AS c_mktsegment, \"{s}\" AS sum_acctbal FROM p" for s in SEGMENTS))
+
+@register("d11_unpivot_keep_nulls", "WITH p AS (" + _BY_PRIORITY + ") " + " UNION ALL ".join(
+    f"SELECT o_custkey, '{s}' AS o_orderpriority, \"{s}\" AS sum_price FROM p" for s in PRIORITIES))
 def d11_unpivot_keep_nulls(spark, sf):
-    return agg.unpivot(d8_pivot_sum(spark, sf), ["c_nationkey"], SEGMENTS, "c_mktsegment",
-                       "sum_acctbal")
+    return agg.unpivot(_by_priority(spark, sf), ["o_custkey"], PRIORITIES, "o_orderpriority",
+                       "sum_price")
 
 
-@register("d11_unpivot_drop_nulls", "WITH p AS (" + _D8 + ") SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT c_nationkey, '{s}' AS c_mktsegment, \"{s}\" AS sum_acctbal FROM p" for s in SEGMENTS)
-    + ") WHERE sum_acctbal IS NOT NULL")
+@register("d11_unpivot_drop_nulls", "WITH p AS (" + _BY_PRIORITY + ") SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT o_custkey, '{s}' AS o_orderpriority, \"{s}\" AS sum_price FROM p" for s in PRIORITIES)
+    + ") WHERE sum_price IS NOT NULL")
 def d11_unpivot_drop_nulls(spark, sf):
-    return agg.unpivot(d8_pivot_sum(spark, sf), ["c_nationkey"], SEGMENTS, "c_mktsegment",
-                       "sum_acctbal", include_nulls=False)
+    return agg.unpivot(_by_priority(spark, sf), ["o_custkey"], PRIORITIES, "o_orderpriority",
+                       "sum_price", include_nulls=False)
 
 
 @register("d13_distinct", "SELECT DISTINCT c_mktsegment FROM customer")
@@ -428,29 +476,56 @@ def f4_union_by_name_missing(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# G: layout (rows-only where partition ids depend on Spark's hash, sampled range
-# bounds or the round-robin start; coalescing to one partition is exact)
+# G: layout. Partition ids and sizes follow Spark's hash and sampled bounds; the
+# queries return what must hold of them whatever these are.
 
-@register("g1_g2_round_robin_profile")
+@register("g1_g2_round_robin_profile", """
+SELECT 8 AS n_partitions, COUNT(*) AS n_rows, TRUE AS is_even FROM lineitem""")
 def g1_g2_round_robin_profile(spark, sf):
-    return layout.partition_profile(layout.lay_out(table(spark, sf, "lineitem"), "round_robin", 8))
+    laid = layout.lay_out(table(spark, sf, "lineitem"), "round_robin", 8)
+    return layout.partition_profile(laid).agg(
+        F.count(F.lit(1)).alias("n_partitions"), F.sum("rows").alias("n_rows"),
+        (F.max("rows") <= 2 * F.min("rows")).alias("is_even"))
 
 
-@register("g3_hash_partition_profile")
+@register("g3_hash_partition_profile", """
+SELECT COUNT(*) AS n_rows, TRUE AS at_most_a_partition_a_key FROM customer""")
 def g3_hash_partition_profile(spark, sf):
-    return layout.partition_profile(
-        layout.lay_out(table(spark, sf, "customer"), "hash", 8, ["c_mktsegment"]))
+    laid = layout.lay_out(table(spark, sf, "customer"), "hash", 8, ["c_mktsegment"])
+    return layout.partition_profile(laid).agg(
+        F.sum("rows").alias("n_rows"),
+        (F.count(F.lit(1)) <= len(SEGMENTS)).alias("at_most_a_partition_a_key"))
+
+
+@register("g3_salted_hash_layout", """
+SELECT c_mktsegment, COUNT(*) AS n_rows, TRUE AS within_salts FROM customer GROUP BY c_mktsegment""")
+def g3_salted_hash_layout(spark, sf):
+    # a key's rows dealt over up to four partitions, so a hot key is split
+    laid = layout.with_partition_id(layout.lay_out(
+        table(spark, sf, "customer"), "hash", 16, ["c_mktsegment"], salts=4))
+    return laid.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("partition_id").between(1, 4).alias("within_salts"))
 
 
-@register("g4_range_partition_profile")
+@register("g4_range_partition_profile", """
+SELECT COUNT(*) AS n_rows, TRUE AS at_most_eight, TRUE AS is_disjoint FROM orders""")
 def g4_range_partition_profile(spark, sf):
-    return layout.range_profile(
-        layout.lay_out(table(spark, sf, "orders"), "range", 8, ["o_orderdate"]), "o_orderdate")
+    laid = layout.lay_out(table(spark, sf, "orders"), "range", 8, ["o_orderdate"])
+    parts = layout.range_profile(laid, "o_orderdate")  # a row for each of the eight
+    before = F.lag("max_key").over(Window.orderBy("min_key"))
+    return parts.withColumn("apart", F.coalesce(before < F.col("min_key"), F.lit(True))).agg(
+        F.sum("rows").alias("n_rows"), (F.count(F.lit(1)) <= 8).alias("at_most_eight"),
+        F.min("apart").alias("is_disjoint"))
 
 
-@register("g5_coalesce_profile", "SELECT 0 AS partition_id, COUNT(*) AS rows FROM orders")
+@register("g5_coalesce_profile", """
+SELECT COUNT(*) AS n_rows, TRUE AS at_most_four FROM lineitem""")
 def g5_coalesce_profile(spark, sf):
-    return layout.partition_profile(layout.lay_out(table(spark, sf, "orders"), "coalesce", 1))
+    laid = layout.lay_out(layout.lay_out(table(spark, sf, "lineitem"), "round_robin", 8),
+                          "coalesce", 4)
+    return layout.partition_profile(laid).agg(
+        F.sum("rows").alias("n_rows"), (F.count(F.lit(1)) <= 4).alias("at_most_four"))
 
 
 @register("g2_round_robin_keeps_rows", """

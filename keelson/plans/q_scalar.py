@@ -29,7 +29,7 @@ def _sql_field(expr: str) -> str:
 
 _ROW_HASH_SQL = "md5(concat_ws('|', " + ", ".join(_sql_field(e) for e in [
     "CAST(c_custkey AS VARCHAR)", "c_name", "CAST(c_nationkey AS VARCHAR)",
-    "CAST(CAST(c_acctbal AS DECIMAL(38,6)) AS VARCHAR)", "NULLIF(c_mktsegment, 'BUILDING')"]) + "))"
+    "CAST(c_acctbal AS VARCHAR)", "NULLIF(c_mktsegment, 'BUILDING')"]) + "))"
 
 
 @register("h4_row_hash", f"""
@@ -112,14 +112,18 @@ def h9_h10_map_from_entries(spark, sf):
 @register("h11_create_map_array", """
 SELECT c_custkey, [c_name, c_mktsegment] AS name_segment,
        c_mktsegment AS segment_from_map,
-       list_sort(['name', 'segment']) AS map_keys_sorted
+       list_sort(['name', c_mktsegment]) AS map_keys_sorted,
+       list_sort([c_name, c_mktsegment]) AS map_values_sorted
 FROM customer""")
 def h11_create_map_array(spark, sf):
     c = table(spark, sf, "customer")
     m = F.create_map(F.lit("segment"), F.col("c_mktsegment"), F.lit("name"), F.col("c_name"))
+    by_segment = F.create_map(F.col("c_mktsegment"), F.col("c_mktsegment"), F.lit("name"),
+                              F.col("c_name"))
     return c.select("c_custkey", F.array("c_name", "c_mktsegment").alias("name_segment"),
                     m["segment"].alias("segment_from_map"),
-                    coll.sorted_map_keys(m).alias("map_keys_sorted"))
+                    coll.sorted_map_keys(by_segment).alias("map_keys_sorted"),
+                    coll.sorted_map_values(by_segment).alias("map_values_sorted"))
 
 
 # ---------------------------------------------------------------------------

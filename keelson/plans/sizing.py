@@ -1,11 +1,10 @@
 """Proven size bounds for broadcast decisions.
 
-A side is broadcast only after it has been shown to be small: ``size_bound``
-reads at most ``max_rows + 1`` rows of a one-column projection (Spark's
-incremental ``take`` scans one partition, then four, then sixteen... and
-stops as soon as it has enough rows), so probing a huge input costs about
-``max_rows`` rows, not a scan. What reaches the driver is one number per
-probed row, never the rows themselves.
+A side is broadcast by hand only after it has been shown to be small:
+``size_bound`` adds up the rows and bytes of at most ``max_rows + 1`` rows
+in one aggregate, of which one row reaches the driver. The probe reads its
+input until it has that many rows, which for a selective filter may be all
+of it, so it is made only where the caller asked for a broadcast.
 """
 
 from __future__ import annotations
@@ -43,14 +42,12 @@ def row_bytes(schema: T.StructType) -> Column:
 def size_bound(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                max_bytes: int = DEFAULT_MAX_BYTES) -> SizeBound | None:
     """The exact row count and estimated bytes of ``df`` if it is within both
-    bounds, else None (the probe stops after ``max_rows + 1`` rows)."""
-    sizes = df.select(row_bytes(df.schema).alias("b")).take(max_rows + 1)
-    if len(sizes) > max_rows:
+    bounds, else None."""
+    found = df.select(row_bytes(df.schema).alias("b")).limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    if found["n"] > max_rows or found["b"] > max_bytes:
         return None
-    total = sum(r["b"] for r in sizes)
-    if total > max_bytes:
-        return None
-    return SizeBound(len(sizes), total)
+    return SizeBound(int(found["n"]), int(found["b"]))
 
 
 def broadcast_limits(spark) -> tuple[int, int]:

@@ -68,13 +68,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Materialise ``df`` under the shared checkpoint folder and return a
-    DataFrame that reads it back (a reliable checkpoint: it survives the
-    loss of the executors that computed it). Use it between chained steps
-    whose output is read by several branches of the next plan."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage_parquet(df, name: str, partition_by: str | None = None):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: the lineage ends there, survives the loss of executors, and
+    later reads prune columns and push filters down. The folder is the
+    cluster's to clean (like any checkpoint)."""
+    path = scratch_path(df.sparkSession, name)
+    w = df.write
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def scale_conf(input_bytes: int, total_cores: int,

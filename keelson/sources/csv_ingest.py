@@ -106,11 +106,18 @@ def stage_parsed(df: DataFrame, path: str) -> DataFrame:
 VIOLATIONS_COL = "_violations"
 
 
+def _may_lose(given: T.DataType, wanted: T.DataType) -> bool:
+    """Whether a cast between two number types can change a value."""
+    return (isinstance(given, T.NumericType) and isinstance(wanted, T.NumericType)
+            and given != wanted)
+
+
 def conform(df: DataFrame, schema: T.StructType | str, violations_col: str = VIOLATIONS_COL) -> DataFrame:
     """Cast ``df`` to ``schema`` and list, per row, the columns that break it.
 
     A column breaks the contract when a non-NULL value does not convert
-    (``try_cast`` gives NULL) or when a non-nullable field is NULL. The
+    (``try_cast`` gives NULL), when a number loses part of its value in the
+    cast (1.9 as an int), or when a non-nullable field is NULL. The
     result has the schema's columns plus ``violations_col`` (array of
     column names, empty when the row is good). Columns of ``df`` that the
     schema lacks are dropped; schema columns that ``df`` lacks are NULL.
@@ -124,6 +131,8 @@ def conform(df: DataFrame, schema: T.StructType | str, violations_col: str = VIO
         typed = raw.try_cast(f.dataType) if src else F.lit(None).cast(f.dataType)
         cols.append(typed.alias(f.name))
         bad = raw.isNotNull() & typed.isNull() if src else F.lit(False)
+        if src and _may_lose(df.schema[src].dataType, f.dataType):
+            bad = bad | F.coalesce(typed.try_cast(df.schema[src].dataType) != raw, F.lit(False))
         if not f.nullable:
             bad = bad | typed.isNull()
         checks.append(F.when(bad, F.lit(f.name)))
@@ -138,31 +147,25 @@ def enforce(df: DataFrame, schema: T.StructType | str, on_violation: str = "quar
     - ``"drop"``: returns the good rows;
     - ``"fail"``: returns the good rows, and the job fails at the first bad
       row (lazily, through ``assert_true``: no extra pass).
-    Good rows hold no NULL in a non-nullable field.
+    Good rows hold no NULL in a non-nullable field (their schema still calls
+    it nullable: no public expression can tell Spark otherwise).
     """
     st = _schema(schema)
     c = conform(df, st, violations_col)
     ok = F.size(F.col(violations_col)) == 0
     if on_violation == "quarantine":
-        return _with_nullability(c.filter(ok).drop(violations_col), st), c.filter(~ok)
+        return c.filter(ok).drop(violations_col), c.filter(~ok)
     if on_violation == "drop":
-        return _with_nullability(c.filter(ok).drop(violations_col), st)
+        return c.filter(ok).drop(violations_col)
     if on_violation == "fail":
         checked = c.filter(F.coalesce(
             F.assert_true(ok, F.concat(F.lit("schema contract broken in columns "),
                                        F.array_join(F.col(violations_col), ","))).isNull(),
             F.lit(True)))
-        return _with_nullability(checked.drop(violations_col), st)
+        return checked.drop(violations_col)
     raise ValueError("on_violation must be 'quarantine', 'drop' or 'fail'")
 
 
-def _with_nullability(df: DataFrame, st: T.StructType) -> DataFrame:
-    # Good rows hold no NULL in a non-nullable field (the violation filter
-    # removed them); Spark's schema still reports such columns as nullable,
-    # since no public expression can assert non-NULL to the analyzer.
-    return df.select(*[F.col(f"`{f.name}`") for f in st.fields])
-
-
 # ---------------------------------------------------------------------------
 # parse once, write both sides
 

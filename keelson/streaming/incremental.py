@@ -6,11 +6,17 @@ files, and ``foreachBatch`` applies each micro-batch to the dimension with
 (``sources.tables.write_snapshot``). Each epoch reads the previous snapshot
 back from storage, so lineage never grows across batches.
 
+A micro-batch may hold several days' files (a stream that was down for a
+while): it is split by ``as_of_col`` and applied one value after the other,
+so the result doesn't depend on when the stream runs. Each step becomes a
+version of its own.
+
 Re-runs are safe: the stream's checkpoint records which files were
-processed, each epoch writes its own version folder (overwritten if a
-failed attempt left part of it), and with hash change detection applying
-the same batch twice changes nothing, so an epoch replayed after a crash
-between commit and checkpoint leaves the dimension as it was.
+processed, each step writes a folder of its own which counts once it is
+committed, and with hash change detection applying the same step twice
+changes nothing, so an epoch replayed after a crash between commit and
+checkpoint leaves the dimension as it was. Rows without an ``as_of_col``
+value can't be placed in time and are refused.
 """
 
 from __future__ import annotations
@@ -22,16 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.operators.merging import dedupe_latest
-from keelson.sources.tables import COMMITS, latest_version, publish_dimension, read_dimension
-
-
-def _publish(df: DataFrame, base: str, version: int) -> None:
-    spark = df.sparkSession
-    path = f"{base.rstrip('/')}/v={version:010d}"
-    df.write.mode("overwrite").parquet(path)
-    (spark.createDataFrame([(version, path)], "version long, path string")
-     .withColumn("committed_at", F.current_timestamp())
-     .coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/{COMMITS}"))
+from keelson.sources.tables import (latest_version, publish_dimension, read_dimension,
+                                    read_snapshot, write_snapshot)
 
 
 def stream_apply(spark: SparkSession, batch_dir: str, batch_schema: T.StructType | str,
@@ -43,9 +41,9 @@ def stream_apply(spark: SparkSession, batch_dir: str, batch_schema: T.StructType
     """Start a stream that applies every new batch file to the snapshot.
 
     ``step(current, batch, as_of)`` returns the next snapshot; ``as_of`` is
-    the largest ``as_of_col`` value of the micro-batch (the batch's own
-    processing date, not the clock). Within a micro-batch, several rows for
-    one key are reduced to the latest by ``order_by`` (default: ``as_of_col``).
+    the ``as_of_col`` value of the rows (their own processing date, not the
+    clock). Several rows of one key and one value are reduced to the latest by
+    ``order_by`` (default: ``as_of_col``; ties by the rows' hash).
     Returns the StreamingQuery (``available_now`` processes what is there,
     then stops).
 
@@ -61,21 +59,26 @@ def stream_apply(spark: SparkSession, batch_dir: str, batch_schema: T.StructType
     order = list(order_by) if order_by else [as_of_col]
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        row = batch.agg(F.max(as_of_col).alias("d")).first()
-        if row is None or row["d"] is None:
-            return
-        latest = latest_version(batch.sparkSession, snapshot_base)
-        if latest is None:
-            raise FileNotFoundError(f"no committed snapshot under {snapshot_base}: "
-                                    f"publish the full load first")
-        changes = dedupe_latest(batch, keys, order).drop(as_of_col)
-        if layout == "dimension":
-            current = read_dimension(batch.sparkSession, snapshot_base, latest[0], current_only=True)
-            publish_dimension(step(current, changes, str(row["d"])), snapshot_base,
-                              latest[0] + 1, flag_col=flag_col)
-        else:
-            current = batch.sparkSession.read.parquet(latest[1])
-            _publish(step(current, changes, str(row["d"])), snapshot_base, latest[0] + 1)
+        spark = batch.sparkSession
+        # the distinct processing dates of one micro-batch
+        found = batch.groupBy(F.col(as_of_col).cast("string").alias("d")).count().collect()
+        if any(r["d"] is None for r in found):
+            raise ValueError(f"rows without {as_of_col}")
+        kind = batch.schema[as_of_col].dataType
+        for moment in sorted(r["d"] for r in found):
+            latest = latest_version(spark, snapshot_base)
+            if latest is None:
+                raise FileNotFoundError(f"no committed snapshot under {snapshot_base}: "
+                                        f"publish the full load first")
+            rows = batch.filter(F.col(as_of_col) == F.lit(moment).cast(kind))
+            changes = dedupe_latest(rows, keys, order).drop(as_of_col)
+            if layout == "dimension":
+                current = read_dimension(spark, snapshot_base, latest[0], current_only=True)
+                publish_dimension(step(current, changes, moment), snapshot_base, latest[0] + 1,
+                                  flag_col=flag_col)
+            else:
+                write_snapshot(step(read_snapshot(spark, snapshot_base), changes, moment),
+                               snapshot_base, latest[0] + 1)
 
     writer = (stream.writeStream.foreachBatch(apply)
               .option("checkpointLocation", checkpoint))

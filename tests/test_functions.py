@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions import (add_months, months_between, parse_date, row_hash, zip_to_map)
-from keelson.functions.udf import month_year_label, register_udf, vectorized
+from keelson.functions.udf import each_value, month_year_label, register_udf, vectorized
 from keelson.operators import (add_column, derive_first, null_profile, rename_columns,
                                replace_column, scale_columns)
 
@@ -57,11 +57,12 @@ def test_dates(spark):
 def test_udf_is_null_safe(spark):
     df = spark.createDataFrame([(dt.date(2022, 11, 1),), (None,)], "d date")
     assert [r[0] for r in df.select(month_year_label("d")).collect()] == ["Nov-2022", None]
-    register_udf(spark, "shout", lambda s: s.upper() + "!", T.StringType())
+    register_udf(spark, "shout", lambda s: s.str.upper() + "!", T.StringType())
     df.createOrReplaceTempView("udf_t")
     out = spark.sql("SELECT shout(cast(d AS string)) FROM udf_t").collect()
     assert [r[0] for r in out] == ["2022-11-01!", None]
-    assert vectorized(len, "int") is not None
+    length = vectorized(each_value(len), "int")
+    assert [r[0] for r in df.select(length(F.col("d").cast("string"))).collect()] == [10, None]
 
 
 def test_projection_checks(spark):
@@ -133,3 +134,34 @@ def test_label_by_without_otherwise_is_null(spark):
     df = spark.createDataFrame([(1,), (5,), (None,)], "n int")
     out = [r[0] for r in df.select(label_by([(F.col("n") < 3, "small")])).collect()]
     assert out == ["small", None, None]
+
+
+def test_row_hash_of_doubles_is_lossless(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1e-7,), (4e-7,), (1e300,), (1e35,), (nan,), (None,), (inf,), (-inf,),
+                                (0.0,)], "x double")
+    found = [r[0] for r in df.select(row_hash(["x"], df.schema)).collect()]
+    assert len(set(found)) == len(found)
+    zeros = spark.createDataFrame([(0.0,), (-0.0,)], "x double")
+    assert len({r[0] for r in zeros.select(row_hash(["x"], zeros.schema)).collect()}) == 1
+
+
+def test_compat_hash_takes_casts(spark):
+    text = spark.createDataFrame([("01", "5.0")], "a string, b string")
+    typed = spark.createDataFrame([(1, 5.0)], "a int, b double")
+    casts = {"a": T.IntegerType(), "b": T.DoubleType()}
+    assert text.select(row_hash(["a", "b"], compat=True, cast_to=casts)).first()[0] == \
+        typed.select(row_hash(["a", "b"], compat=True)).first()[0]
+
+
+def test_as_of_time_keeps_the_moment(spark):
+    from keelson.functions.dates import as_of_date, as_of_time
+    one = spark.range(1)
+    moment = dt.datetime(2025, 7, 29, 13, 45, 0, 250_000)
+    for given in (moment, "2025-07-29 13:45:00.25"):
+        row = one.select(as_of_time(given).cast("timestamp_ntz").alias("t"),
+                         as_of_time(given).cast("date").alias("d"), as_of_date(given).alias("p")).first()
+        assert row.t == moment and row.d == row.p == moment.date()
+    day = one.select(as_of_time("2025-07-29").cast("timestamp_ntz"), as_of_time(moment.date())).first()
+    assert tuple(day) == (dt.datetime(2025, 7, 29), moment.date())
+    assert one.select(as_of_time(None)).schema[0].dataType == T.TimestampType()

@@ -35,20 +35,3 @@ def test_entry_runs(spark):
     assert df.count() > 0
     assert df.columns == ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
                           "cur_rec_ind", "start_date", "end_date", "hash_key"]
-
-
-def _merge_names():
-    return [n for n in _names() if n.startswith(("i", "c2", "c3"))]
-
-
-@pytest.mark.parametrize("name", _merge_names())
-def test_broadcast_path_matches_oracle(spark, con, name):
-    # treat every target as large: merges take the broadcast path (with the
-    # proven-small batch materialised), outer joins the broadcast rewrite
-    key = "keelson.merge.smallTargetBytes"
-    spark.conf.set(key, "0")
-    try:
-        res = compare(spark, SF_SMALL, [name], con)[name]
-    finally:
-        spark.conf.unset(key)
-    assert res.get("ok"), res

@@ -37,18 +37,67 @@ def test_broadcast_strategy_does_not_shuffle_the_target(spark):
                 strategy="broadcast")
     text = formatted(out)
     assert "BroadcastHashJoin" in text
-    # the only hash exchange is the distinct over matched keys (bounded by the source)
+    # only the small source is dealt by key (its check), and the distinct matched keys
     exchanges = [line for line in text.splitlines() if "hashpartitioning(" in line]
-    assert exchanges and all("t__c_custkey" in line for line in exchanges)
+    assert exchanges and all("s__c_custkey" in line or "ht__c_custkey" in line
+                             for line in exchanges)
     assert "SortMergeJoin" not in text
 
 
-def test_shuffle_strategy_is_one_full_outer_join(spark):
+def test_shuffle_plan_can_split_hot_target_keys(spark):
     out = _scd2(customer_dimension(spark, SF_SMALL), customer_refresh(spark, SF_SMALL), AS_OF,
                 strategy="shuffle")
     text = formatted(out)
-    joins = [line for line in text.splitlines() if "Join type:" in line]
-    assert joins == ["Join type: FullOuter"] or all("FullOuter" in j for j in joins)
+    joins = {line.split(":")[1].strip() for line in text.splitlines() if "Join type:" in line}
+    assert {"LeftOuter", "LeftAnti"} <= joins and "FullOuter" not in joins
+    assert "BroadcastHashJoin" not in text.split("Subqueries")[0]
+
+
+def test_building_a_merge_runs_no_job(spark):
+    from keelson.operators import merge
+    sc = spark.sparkContext
+    customer, orders = table(spark, SF_SMALL, "customer"), table(spark, SF_SMALL, "orders")
+    dim, batch = customer_dimension(spark, SF_SMALL), customer_refresh(spark, SF_SMALL)
+    sc.setJobGroup("build-only", "plans")
+    try:
+        plans = [_scd2(dim, batch, AS_OF),
+                 merge(customer, batch, "c_custkey", update="*", insert="*"),
+                 merge(orders, orders, "o_orderkey", update={"o_orderstatus": "source.o_orderstatus"})]
+        assert len(sc.statusTracker().getJobIdsForGroup("build-only")) == 0
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert all(p.columns for p in plans)
+
+
+def test_hot_target_key_is_split(spark):
+    # nine tenths of the target share one key: the left join's partition is split
+    from keelson.operators import merge
+    rows = [(0 if i % 10 else i, i, "x" * 20) for i in range(40_000)]
+    target = spark.createDataFrame(rows, "k int, n int, v string").repartition(8)
+    source = spark.createDataFrame([(i, "y") for i in range(0, 40_000, 10)], "k int, v string")
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = merge(target, source, "k", update={"v": "source.v"}, strategy="shuffle")
+        assert out.filter("v = 'y'").count() == 40_000
+        out.collect()
+        text = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "skewed" in text or "skew=true" in text
+
+
+def test_insert_only_merge_does_not_join_the_target(spark):
+    from keelson.operators import insert_new
+    out = insert_new(table(spark, SF_SMALL, "customer"), customer_refresh(spark, SF_SMALL), "c_custkey")
+    joins = [line for line in formatted(out).splitlines() if "Join type:" in line]
+    assert joins and all("LeftAnti" in j or "Inner" in j for j in joins)
 
 
 def test_pivot_with_values_needs_no_distinct_job(spark):
@@ -98,26 +147,29 @@ def test_bucketed_dimension_is_not_shuffled(spark):
     text = formatted(out)
     assert "Bucketed: true" in text
     exchanges = [line for line in text.splitlines() if "hashpartitioning(" in line]
-    assert exchanges and all("s__c_custkey" in line for line in exchanges)
+    assert exchanges and not any("t__c_custkey" in line for line in exchanges)
     assert sorted(out.collect()) == sorted(
         _scd2(customer_dimension(spark, SF_SMALL), customer_refresh(spark, SF_SMALL), AS_OF,
               strategy="shuffle").collect())
 
 
-def test_outer_join_rewrite_equals_spark(spark):
+def test_outer_join_by_name_equals_spark(spark):
     from keelson.operators import join_on
     big = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "n"), (7, "x")],
-                                "k int, lv string")
+                                "K int, lv string")
     small = spark.createDataFrame([(1, "one"), (3, "three"), (None, "nil")], "k int, rv string")
     small2 = small.withColumnRenamed("k", "rk")
     for how in ("right", "full"):
-        for on, r in (("k", small), ({"k": "rk"}, small2)):
-            ours = join_on(big, r, on, how, small_right=True)
-            spark_plan = join_on(big, r, on, how, small_right=False)
-            assert ours.columns == spark_plan.columns
-            assert sorted(ours.collect(), key=str) == sorted(spark_plan.collect(), key=str)
-    text = formatted(join_on(big, small, "k", "full", small_right=True))
-    assert "SortMergeJoin" not in text
+        ours, plain = join_on(big, small, "k", how), big.join(small, "k", how)
+        assert [c.lower() for c in ours.columns] == [c.lower() for c in plain.columns]
+        assert sorted(map(tuple, ours.collect()), key=str) == sorted(
+            map(tuple, plain.collect()), key=str)
+        ours = join_on(big, small2, {"k": "RK"}, how)
+        plain = big.join(small2, big.K == small2.rk, how)
+        assert ours.columns == plain.columns
+        assert sorted(map(tuple, ours.collect()), key=str) == sorted(
+            map(tuple, plain.collect()), key=str)
+    assert "FullOuter" not in formatted(join_on(big, small, "k", "full"))
 
 
 def test_collect_values_matches_collect_list(spark):
@@ -132,26 +184,21 @@ def test_collect_values_matches_collect_list(spark):
     assert sets == {0: [0, 1, 2], 1: [], 2: [5], 3: []}
 
 
-def test_auto_strategy_follows_the_proven_bound(spark):
+def test_broadcast_only_within_the_proven_bound(spark):
     dim, src = customer_dimension(spark, SF_SMALL), customer_refresh(spark, SF_SMALL)
-    rows, target = "keelson.broadcast.maxRows", "keelson.merge.smallTargetBytes"
+    rows, auto = "keelson.broadcast.maxRows", "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(auto)
     try:
-        spark.conf.set(target, "0")   # treat the target as large
+        spark.conf.set(auto, "-1")
         spark.conf.set(rows, "10")    # the batch has more rows than this: no broadcast
-        text = formatted(_scd2(dim, src, AS_OF))
-        assert "FullOuter" in text and "BroadcastHashJoin" not in text.split("Subquery")[0]
-        spark.conf.unset(rows)        # batch within the bound, large target: broadcast
-        out = _scd2(dim, src, AS_OF)
-        text = formatted(out)
-        assert "BroadcastHashJoin" in text and "FullOuter" not in text
-        assert "ExistingRDD" in text  # the proven-small batch was materialised once
-        assert sorted(out.collect()) == sorted(
-            _scd2(dim, src, AS_OF, strategy="shuffle").collect())
+        assert "BroadcastHashJoin" not in formatted(_scd2(dim, src, AS_OF, strategy="broadcast"))
+        spark.conf.unset(rows)
+        out = _scd2(dim, src, AS_OF, strategy="broadcast")
+        assert "BroadcastHashJoin" in formatted(out)
+        assert sorted(out.collect()) == sorted(_scd2(dim, src, AS_OF).collect())
     finally:
         spark.conf.unset(rows)
-        spark.conf.unset(target)
-    # default: a target this small is cheap to shuffle, one full outer join
-    assert "FullOuter" in formatted(_scd2(dim, src, AS_OF))
+        spark.conf.set(auto, old)
 
 
 def test_high_water_filter_reaches_the_scan(spark):
@@ -174,18 +221,3 @@ def test_stored_dimension_scans_push_their_filters(spark, tmp_path):
     text = formatted(out)
     assert "EqualTo(cur_rec_ind,Y)" in text                 # current rows
     assert "Not(EqualTo(cur_rec_ind,Y))" in text            # history bypass: skipped by stats
-
-
-def test_outer_join_rewrite_only_for_a_large_left_side(spark):
-    from keelson.operators import join_on
-    c, n = table(spark, SF_SMALL, "customer"), table(spark, SF_SMALL, "nation")
-    c = c.withColumnRenamed("c_nationkey", "k")
-    n = n.withColumnRenamed("n_nationkey", "k")
-    assert "SortMergeJoin" in formatted(join_on(c, n, "k", "full"))  # small left: Spark's plan
-    key = "keelson.merge.smallTargetBytes"
-    spark.conf.set(key, "0")
-    try:
-        text = formatted(join_on(c, n, "k", "full"))
-    finally:
-        spark.conf.unset(key)
-    assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text

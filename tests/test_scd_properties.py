@@ -1,10 +1,13 @@
 """Properties of the merge/SCD operators on the test tables, and the guards."""
 
+import datetime as dt
+
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from keelson.operators import (check_source_keys, current, dedupe_latest, history, merge, scd1,
-                               scd2)
+                               scd2, scd2_init)
 from keelson.plans.inputs import AS_OF, SECOND_AS_OF, customer_refresh, table
 from keelson.plans.q_merge import DIM_OPTS, customer_dimension
 from tests.conftest import SF_SMALL
@@ -61,15 +64,100 @@ def test_scd1_row_count_is_key_union(spark):
 def test_duplicate_source_key_raises(spark):
     t = spark.createDataFrame([(1, "a")], "id int, v string")
     s = spark.createDataFrame([(1, "b"), (1, "c")], "id int, v string")
+    for kw in ({"update": "*", "insert": "*"}, {"update": "*"}, {"insert": "*"}):
+        with pytest.raises(PySparkException, match="one row per key"):
+            merge(t, s, "id", **kw).collect()
+    with pytest.raises(ValueError, match="one row per key"):
+        check_source_keys(s, ["id"])
+
+
+def test_keys_alike_after_the_cast_raise(spark):
+    t = spark.createDataFrame([(1, "a")], "id int, v string")
+    s = spark.createDataFrame([("1", "b"), ("01", "c")], "id string, v string")
+    with pytest.raises(PySparkException, match="one row per key"):
+        merge(t, s, "id", update="*", insert="*").collect()
+    dim = spark.createDataFrame([(1, "a", "Y", dt.date(2025, 1, 1), None)],
+                                "id int, v string, cur_rec_ind string, start_ts date, end_ts date")
+    with pytest.raises(PySparkException, match="one row per key"):
+        scd2(dim, s, "id", "2025-02-01").collect()
+    assert check_source_keys(s, ["id"]).rows == 2
     with pytest.raises(ValueError, match="one row per key"):
-        merge(t, s, "id", update="*", insert="*")
+        check_source_keys(s, ["id"], key_types={"id": t.schema["id"].dataType})
+
+
+@pytest.mark.parametrize("strategy", ["auto", "shuffle", "broadcast"])
+def test_two_null_key_rows_are_inserted(spark, strategy):
+    t = spark.createDataFrame([(1, "a")], "id int, v string")
+    s = spark.createDataFrame([(None, "n"), (None, "m"), (2, "b")], "id int, v string")
+    out = merge(t, s, "id", update="*", insert="*", null_keys="insert", strategy=strategy)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [(1, "a"), (None, "n"), (None, "m"), (2, "b")], key=str)
+    assert check_source_keys(s, ["id"], null_keys="insert").null_key_rows == 2
+
+
+def test_late_batch_is_refused(spark):
+    dim = spark.createDataFrame([(1, "a", "Y", dt.date(2025, 1, 10), None)],
+                                "id int, v string, cur_rec_ind string, start_ts date, end_ts date")
+    late = spark.createDataFrame([(1, "b")], "id int, v string")
+    with pytest.raises(PySparkException, match="before the start"):
+        scd2(dim, late, "id", "2025-01-02", detect="columns").collect()
+    same = spark.createDataFrame([(1, "a")], "id int, v string")  # nothing would be closed
+    assert scd2(dim, same, "id", "2025-01-02", detect="columns").count() == 1
+
+
+def test_tracked_subset_on_a_stored_hash_is_a_noop_on_replay(spark):
+    base = spark.createDataFrame([(1, "ann", 30), (2, "bob", 40)], "id int, name string, age int")
+    dim = scd2_init(base, "2025-01-01", hash_col="hash_key")
+    out = scd2(dim, base, "id", "2025-02-01", hash_col="hash_key", tracked=["age"])
+    assert sorted(out.collect()) == sorted(dim.collect())
+    other = spark.createDataFrame([(1, "ANN", 30), (2, "bob", 41)], "id int, name string, age int")
+    out = scd2(dim, other, "id", "2025-02-01", hash_col="hash_key", tracked=["age"])
+    assert sorted((r.id, r.name, r.age, r.cur_rec_ind) for r in out.collect()) == [
+        (1, "ann", 30, "Y"), (2, "bob", 40, "N"), (2, "bob", 41, "Y")]
+    opened = out.filter("id = 2 and cur_rec_ind = 'Y'").first().hash_key
+    assert opened == scd2_init(other.filter("id = 2"), "2025-02-01", hash_col="hash_key").first().hash_key
+
+
+def test_compat_hash_replay_with_text_columns(spark):
+    base = spark.createDataFrame([(1, 10.5)], "id bigint, amt double")
+    dim = scd2_init(base, "2025-01-01", hash_col="hash_key", hash_compat=True)
+    batch = spark.createDataFrame([("01", "10.50")], "id string, amt string")
+    out = scd2(dim, batch, "id", "2025-02-01", hash_col="hash_key", hash_compat=True)
+    assert out.count() == 1
+
+
+def test_hash_detection_sees_nan_and_small_changes(spark):
+    dim = scd2_init(spark.createDataFrame([(1, None), (2, 1e-7), (3, 5.0)], "id int, x double"),
+                    "2025-01-01", hash_col="hash_key")
+    batch = spark.createDataFrame([(1, float("nan")), (2, 4e-7), (3, 5.0)], "id int, x double")
+    for kw in ({"detect": "hash"}, {"detect": "columns"}):
+        out = scd2(dim, batch, "id", "2025-02-01", hash_col="hash_key", **kw)
+        assert sorted(r.id for r in history(out).collect()) == [1, 2]
+
+
+def test_moments_tell_two_loads_of_a_day_apart(spark):
+    base = spark.createDataFrame([(1, "a")], "id int, v string")
+    dim = scd2_init(base, dt.datetime(2025, 7, 29, 8, 0), time_type="timestamp")
+    for hour, v in ((12, "b"), (18, "c")):
+        batch = spark.createDataFrame([(1, v)], "id int, v string")
+        dim = scd2(dim, batch, "id", dt.datetime(2025, 7, 29, hour, 30), detect="columns")
+    got = sorted((r.v, r.start_ts.hour, r.end_ts.hour if r.end_ts else None) for r in dim.collect())
+    assert got == [("a", 8, 12), ("b", 12, 18), ("c", 18, None)]
+
+
+def test_dedupe_latest_ties_are_settled_by_the_row(spark):
+    rows = [(1, 5, f"v{i}") for i in range(50)]
+    found = {dedupe_latest(spark.createDataFrame(rows[::step], "k int, ts int, v string")
+                           .repartition(n), ["k"], "ts").first().v for step, n in ((1, 1), (-1, 7), (1, 4))}
+    assert len(found) == 1
 
 
 def test_null_source_key(spark):
     t = spark.createDataFrame([(1, "a")], "id int, v string")
     s = spark.createDataFrame([(None, "n"), (2, "b")], "id int, v string")
-    with pytest.raises(ValueError, match="NULL key"):
-        merge(t, s, "id", update="*", insert="*")
+    for kw in ({"update": "*", "insert": "*"}, {"update": "*"}, {"insert": "*"}):
+        with pytest.raises(PySparkException, match="NULL key"):
+            merge(t, s, "id", **kw).collect()
     out = merge(t, s, "id", update="*", insert="*", null_keys="insert")
     assert sorted(out.collect(), key=str) == sorted(
         [(1, "a"), (None, "n"), (2, "b")], key=str)

@@ -1,15 +1,16 @@
 """Sinks, snapshots and physical layout (rows-only operators)."""
 
+import datetime as dt
 import os
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from keelson.operators import lay_out, partition_profile, range_profile, write_laid_out
 from keelson.plans.inputs import table
-from keelson.sources import (latest_version, read_snapshot, read_table, read_versions, save_table,
-                             write_snapshot)
+from keelson.sources import (latest_version, publish_dimension, read_dimension, read_snapshot,
+                             read_table, read_versions, save_table, write_snapshot)
 from tests.conftest import SF_SMALL
 
 
@@ -37,6 +38,102 @@ def test_snapshots_commit_and_read_latest(spark, scratch):
     assert read_snapshot(spark, base, version=1).count() == c.count()
 
 
+def test_a_committed_version_is_not_written_again(spark, scratch):
+    n = table(spark, SF_SMALL, "nation")
+    for base, write in ((os.path.join(scratch, "a"), write_snapshot),
+                        (os.path.join(scratch, "b"), publish_nation)):
+        write(n, base, 1)
+        with pytest.raises(ValueError, match="committed already"):
+            write(n.limit(1), base, 1)
+
+
+def publish_nation(df, base, version):
+    return publish_dimension(df.withColumn("cur_rec_ind", F.lit("Y")), base, version)
+
+
+def test_a_failed_write_can_be_tried_again(spark, scratch):
+    base, n = os.path.join(scratch, "s"), table(spark, SF_SMALL, "nation")
+    bad = n.withColumn("x", F.when(F.col("n_nationkey") == 3, F.raise_error(F.lit("crash")))
+                       .otherwise(F.lit("ok")))
+    with pytest.raises(PySparkException):
+        write_snapshot(bad, base, 1)
+    assert latest_version(spark, base) is None
+    with pytest.raises(FileNotFoundError):
+        read_snapshot(spark, base, version=1)
+    write_snapshot(n, base, 1)
+    assert read_snapshot(spark, base, version=1).count() == n.count()
+
+
+def test_trouble_with_the_commits_is_not_taken_for_none(spark, scratch):
+    base = os.path.join(scratch, "s")
+    write_snapshot(table(spark, SF_SMALL, "nation"), base, 1)
+    folder = os.path.join(base, "_commits")
+    for name in os.listdir(folder):
+        if name.endswith(".parquet"):
+            with open(os.path.join(folder, name), "wb") as f:
+                f.write(b"not parquet")
+    with pytest.raises(Exception, match="parquet|Parquet|CANNOT_READ|FAILED_READ"):
+        latest_version(spark, base)
+
+
+DIM = "id int, v string, cur_rec_ind string, start_ts date, end_ts date"
+
+
+def test_uncommitted_run_is_not_history(spark, scratch):
+    base = os.path.join(scratch, "dim")
+    d1, d2, d3 = dt.date(2025, 1, 1), dt.date(2025, 1, 2), dt.date(2025, 1, 3)
+    publish_dimension(spark.createDataFrame([(1, "a", "Y", d1, None)], DIM), base, 1)
+    # a run that wrote its files and died before its commit
+    orphan = spark.createDataFrame([(1, "a", "N", d1, d2), (1, "b", "Y", d2, None)], DIM)
+    orphan.withColumn("__is_current", F.col("cur_rec_ind") == "Y").write.partitionBy(
+        "__is_current").parquet(os.path.join(base, "runs", "__run=0000000002-dead"))
+    publish_dimension(spark.createDataFrame(
+        [(1, "a", "N", d1, d3), (1, "c", "Y", d3, None)], DIM), base, 2)
+    assert sorted((r.v, r.cur_rec_ind, r.end_ts) for r in read_dimension(spark, base).collect()) == [
+        ("a", "N", d3), ("c", "Y", None)]
+    assert [r.v for r in read_dimension(spark, base, current_only=True).collect()] == ["c"]
+    assert [r.v for r in read_dimension(spark, base, version=1).collect()] == ["a"]
+    with pytest.raises(FileNotFoundError):
+        read_dimension(spark, base, version=7)
+
+
+def test_a_column_named_v_stays(spark, scratch):
+    base = os.path.join(scratch, "dim")
+    rows = spark.createDataFrame([(1, "a", "Y", dt.date(2025, 1, 1), None)], DIM)
+    publish_dimension(rows, base, 1)
+    assert read_dimension(spark, base).columns == rows.columns
+    with pytest.raises(ValueError, match="reserved"):
+        publish_dimension(rows.withColumn("__run", F.lit(1)), base, 2)
+
+
+def test_append_widens_a_named_table(spark):
+    n = table(spark, SF_SMALL, "nation")
+    save_table(n, "kt_widened")
+    save_table(n.limit(2).withColumn("extra", F.lit(1)).drop("n_name"), "kt_widened", mode="append",
+               merge_schema=True)
+    out = read_table(spark, "kt_widened")
+    assert out.count() == n.count() + 2
+    assert out.filter("extra = 1 and n_name is null").count() == 2
+
+
+def test_sql_over_leaves_the_callers_views_alone(spark):
+    from keelson.sources.tables import sql_over
+    spark.range(3).createOrReplaceTempView("kt_mine")
+    out = sql_over(spark, {"kt_mine": spark.range(7), "kt_other": spark.range(5)},
+                   "SELECT a.id FROM kt_mine a JOIN kt_other b ON a.id = b.id")
+    assert out.count() == 5
+    assert spark.table("kt_mine").count() == 3
+    assert not spark.catalog.tableExists("kt_other")
+    spark.catalog.dropTempView("kt_mine")
+
+
+def test_salted_layout_splits_a_hot_key(spark):
+    df = spark.createDataFrame([(1, i) for i in range(4000)], "k int, n int")
+    plain = partition_profile(lay_out(df, "hash", 8, ["k"])).collect()
+    salted = partition_profile(lay_out(df, "hash", 8, ["k"], salts=16)).collect()
+    assert len(plain) == 1 and len(salted) > 3 and max(r.rows for r in salted) < 2500
+
+
 def test_read_versions_merge_schema(spark, scratch):
     a, b = os.path.join(scratch, "a"), os.path.join(scratch, "b")
     n = table(spark, SF_SMALL, "nation")
