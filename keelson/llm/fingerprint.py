@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.text import WordHashes, shingle_hashes
+from keelson.llm.text import shingle_hashes, word_hashes
 
 K = 128
 WIDTH = 5
@@ -32,13 +32,13 @@ EMPTY = np.empty(0, dtype=np.uint64)
 
 class Sketcher:
     def __init__(self, k: int = K, width: int = WIDTH):
-        self.k, self.width, self.words = k, width, WordHashes()
+        self.k, self.width = k, width
 
     def sketch(self, text: str | None) -> np.ndarray:
         """The sorted bottom-k hashes of a text, whatever its length."""
         if not text:
             return EMPTY
-        found = shingle_hashes(self.words.array(text.lower().split()), self.width)
+        found = shingle_hashes(word_hashes(text), self.width)
         if len(found) > 4 * self.k:
             # more than k different hashes may hide among repeats: widen till k are sure
             take = 2 * self.k

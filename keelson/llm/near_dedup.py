@@ -47,7 +47,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.text import WordHashes, mix64, shingle_hashes, staged
+from keelson.llm.text import mix64, shingle_hashes, staged, word_hashes
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -71,17 +71,16 @@ class Sampler:
 
     def __init__(self, common: tuple[np.ndarray, np.ndarray], bands: int = BANDS, rows: int = ROWS,
                  width: int = WIDTH, share: float = COMMON):
-        self.words, self.width, self.bands, self.rows = WordHashes(), width, bands, rows
+        self.width, self.bands, self.rows = width, bands, rows
         self.common, self.idf = common
         self.rare = float(np.log(1 / share))
         quantiles = _gamma_quantiles(1 << 16)
         self.r, self.log_c = quantiles.astype(np.float32), np.log(quantiles).astype(np.float32)
         seeds = np.random.default_rng(5).integers(0, 2**64, size=bands * rows, dtype=np.uint64)
-        self.seeds = seeds[:, None]
+        self.seeds = seeds[:, None] | np.uint64(1)
 
     def shingles(self, text: str | None) -> np.ndarray:
-        return shingle_hashes(self.words.array(text.lower().split()) if text else
-                              np.empty(0, dtype=np.uint64), self.width)
+        return shingle_hashes(word_hashes(text or ""), self.width)
 
     def weighted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The different shingles, in order, and their TF-IDF weights."""
@@ -103,7 +102,7 @@ class Sampler:
         or not: the j-th occurrence of a shingle adds log(j) - log(j - 1)
         times its inverse frequency (the first adds that itself)."""
         found, times = np.unique(self.shingles(text), return_counts=True)
-        turn = np.concatenate([np.arange(1, n + 1) for n in times]) if len(times) else times
+        turn = np.arange(1, times.sum() + 1) - np.repeat(np.cumsum(times) - times, times)
         each = np.repeat(self.inverse_frequency(found), times)
         step = np.where(turn > 1, np.log(turn / np.maximum(turn - 1, 1)), 1.0)
         return mix64(np.repeat(found, times) + mix64(turn.astype(np.uint64))), each * step
@@ -114,14 +113,25 @@ class Sampler:
         out = np.zeros(len(self.seeds), dtype=np.uint64)
         every = np.arange(len(self.seeds))
         log_w = np.log(weights).astype(np.float32)
-        for low in range(0, len(found), 2048):  # any length of text, in blocks
-            part = found[low:low + 2048]
-            x = mix64(part[None, :] ^ self.seeds)
-            r = self.r[(x & np.uint64(0xFFFF)).astype(np.uint16)]
-            log_c = self.log_c[((x >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.uint16)]
-            beta = (x >> np.uint64(32)).astype(np.float32) * np.float32(2.0**-32)
-            t = np.floor(log_w[None, low:low + 2048] / r + beta)
-            a = log_c - r * (t - beta + 1)
+        for low in range(0, len(found), 512):  # any length of text, in blocks
+            part = found[low:low + 512]
+            # a product with an odd seed, then mixed; its bits choose r, c and beta
+            x = part[None, :] * self.seeds
+            x ^= x >> np.uint64(32)
+            x *= np.uint64(0xD6E8FEB86659FD93)
+            x ^= x >> np.uint64(32)
+            lanes = x.view(np.uint16).reshape(len(self.seeds), len(part), 4)
+            r, log_c = self.r[lanes[:, :, 0]], self.log_c[lanes[:, :, 1]]
+            beta = x.view(np.uint32)[:, 1::2].astype(np.float32)
+            beta *= np.float32(2.0**-32)
+            t = log_w[None, low:low + 512] / r
+            t += beta
+            np.floor(t, out=t)
+            beta -= t
+            beta -= np.float32(1)  # -(t - beta + 1)
+            a = beta
+            a *= r
+            a += log_c
             at = a.argmin(1)
             value = a[every, at]
             new = value < best
@@ -157,6 +167,23 @@ def block_similarities(units: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
     column = np.cumsum(often) - 1
     some = often[place]
     owner, place, weight = owner[some], column[place[some]], weight[often]
+    least = np.zeros((n, n))
+    if n <= 32:  # few texts: one by one is cheaper than a matrix
+        order = np.argsort(owner, kind="stable")
+        parts = np.split(place[order], np.searchsorted(owner[order], np.arange(1, n)))
+        for i in range(n):
+            has = np.zeros(len(weight))
+            has[parts[i]] = weight[parts[i]]
+            for j in range(i):
+                least[i, j] = least[j, i] = has[parts[j]].sum()
+    else:
+        least = _overlaps(n, owner, place, weight)
+    union = sizes[:, None] + sizes[None, :] - least
+    return np.divide(least, union, out=np.zeros((n, n)), where=union > 0)
+
+
+def _overlaps(n: int, owner: np.ndarray, place: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The weight that every two of n texts share."""
     order = np.argsort(place, kind="stable")
     owner, place = owner[order], place[order]
     least = np.zeros((n, n))
@@ -165,8 +192,7 @@ def block_similarities(units: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
         has = np.zeros((n, min(4096, len(weight) - low)))
         has[owner[part], place[part] - low] = 1.0
         least += (has * weight[low:low + 4096]) @ has.T
-    union = sizes[:, None] + sizes[None, :] - least
-    return np.divide(least, union, out=np.zeros((n, n)), where=union > 0)
+    return least
 
 
 def common_shingles(texts: DataFrame, text: str, n: int, share: float = COMMON,
@@ -178,9 +204,9 @@ def common_shingles(texts: DataFrame, text: str, n: int, share: float = COMMON,
     def per_bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sampler, total = Sampler(none), np.zeros(buckets, dtype=np.int64)
         for batch in batches:
-            for value in batch[text]:
-                found = np.unique(sampler.shingles(value))
-                total += np.bincount((found % np.uint64(buckets)).astype(np.int64),
+            for low in range(0, len(batch), 256):
+                found = [np.unique(sampler.shingles(v)) for v in batch[text][low:low + 256]]
+                total += np.bincount((np.concatenate(found) % np.uint64(buckets)).astype(np.int64),
                                      minlength=buckets)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": at, "n": total[at]})
@@ -198,8 +224,9 @@ def common_shingles(texts: DataFrame, text: str, n: int, share: float = COMMON,
         for batch in batches:
             sums: dict[int, int] = {}
             for value in batch[text]:
-                found = np.unique(sampler.shingles(value))
-                for h in found[marked[(found % np.uint64(buckets)).astype(np.int64)]].tolist():
+                found = sampler.shingles(value)
+                found = found[marked[(found % np.uint64(buckets)).astype(np.int64)]]
+                for h in set(found.tolist()):
                     sums[h] = sums.get(h, 0) + 1
             yield pd.DataFrame({"h": np.array(list(sums), dtype=np.uint64).view(np.int64),
                                 "n": np.array(list(sums.values()), dtype=np.int64)})

@@ -13,16 +13,23 @@ from keelson.session import scratch_path
 MASK = (1 << 64) - 1
 _C1 = np.uint64(0xBF58476D1CE4E5B9)  # constants of the splitmix64 finaliser
 _C2 = np.uint64(0x94D049BB133111EB)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Odd multipliers: of a word's bytes by place, and of a shingle's words by place.
+_BYTE = 0x9E3779B97F4A7C15
+_BYTE_INVERSE = pow(_BYTE, -1, 1 << 64)
+_PLACES = [np.uint64((0xD6E8FEB86659FD93 + 2 * i * 0x94D049BB133111EB) & ((1 << 64) - 1))
+           for i in range(64)]
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser over an array of uint64 (a bijection)."""
-    x = (x ^ (x >> _S30)) * _C1
-    x = (x ^ (x >> _S27)) * _C2
-    return x ^ (x >> _S31)
+    x = x ^ (x >> _S30)
+    x *= _C1
+    x ^= x >> _S27
+    x *= _C2
+    x ^= x >> _S31
+    return x
 
 
 class WordHashes(dict):
@@ -46,6 +53,49 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+class _Powers:
+    """Powers of the byte multiplier and of its inverse, as many as asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            size = max(1 << 12, 1 << (n - 1).bit_length())
+            up, down = np.full(size, _BYTE, dtype=np.uint64), np.full(size, _BYTE_INVERSE,
+                                                                      dtype=np.uint64)
+            up[0] = down[0] = 1
+            self.up, self.down = np.cumprod(up), np.cumprod(down)
+        return self.up[:n], self.down[:n]
+
+
+_powers = _Powers()
+
+
+def word_hashes(text: str, block: int = 1 << 18) -> np.ndarray:
+    """64-bit hashes of a text's words (runs without white space, lower-cased)
+    in order. A word's hash is a polynomial of its bytes, taken from running
+    sums over the whole text and then mixed; long texts go block by block."""
+    data = " ".join(text.lower().split()).encode("utf-8")
+    out, low = [], 0
+    while low < len(data):
+        high = len(data)
+        if high - low > block:  # to the next space after the block
+            high = data.find(b" ", low + block)
+            high = len(data) if high < 0 else high
+        part = np.frombuffer(data, dtype=np.uint8, count=high - low, offset=low)
+        up, down = _powers(len(part) + 1)
+        sums = np.empty(len(part) + 1, dtype=np.uint64)
+        sums[0] = 0
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+        ends = np.append(np.flatnonzero(part == 32), len(part))
+        starts = np.empty_like(ends)
+        starts[0], starts[1:] = 0, ends[:-1] + 1
+        out.append(mix64((sums[ends] - sums[starts]) * down[starts]))
+        low = high + 1
+    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
+
+
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """64-bit hash of every run of ``width`` words, in text order; a text of
     fewer words (but at least one) has one shingle of all its words."""
@@ -53,10 +103,10 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     if n == 0:
         return np.empty(0, dtype=np.uint64)
     width = min(width, n)
-    out = np.zeros(n - width + 1, dtype=np.uint64)
-    for i in range(width):
-        out = mix64(out + words[i:n - width + 1 + i] + _STEP)
-    return out
+    out = np.full(n - width + 1, width, dtype=np.uint64)
+    for i in range(width):  # each place has a multiplier of its own; word hashes are well mixed
+        out += words[i:n - width + 1 + i] * _PLACES[i % 64]
+    return mix64(out)
 
 
 def held_out(doc_id: str, modulus: int, remainder: int) -> Column:

@@ -75,9 +75,11 @@ def customer_refresh(spark: SparkSession, sf_dir: str, raise_by: int = 100) -> D
     return changed.unionByName(onboarded)
 
 
-def customer_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed's lines as one text column ``value``."""
-    c = table(spark, sf_dir, "customer")
+def customer_feed_lines(spark: SparkSession, sf_dir: str,
+                        rows: DataFrame | None = None) -> DataFrame:
+    """The feed's lines as one text column ``value`` (of other customer rows
+    when ``rows`` is given)."""
+    c = table(spark, sf_dir, "customer") if rows is None else rows
     bal = F.col("c_acctbal")
     bal_text = F.when(bal < 0, F.concat(F.lit("("), money(-bal).cast("string"), F.lit(")"))) \
                 .otherwise(money(bal).cast("string"))
@@ -90,10 +92,10 @@ def customer_feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(line.alias("value"))
 
 
-def customer_feed_csv(spark: SparkSession, sf_dir: str) -> str:
+def customer_feed_csv(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> str:
     """Write the feed under the shared scratch folder; returns its path."""
     path = scratch_path(spark, "customer-feed")
-    customer_feed_lines(spark, sf_dir).write.text(path)
+    customer_feed_lines(spark, sf_dir, rows).write.text(path)
     return path
 
 

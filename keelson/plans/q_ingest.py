@@ -89,6 +89,21 @@ def a6_csv_drop_count_by_segment(spark, sf):
     return df.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_customers"))
 
 
+@register("a7_csv_failfast_mended_feed", f"""
+SELECT c_custkey, c_name, CASE WHEN c_nationkey = 3 THEN 4 ELSE c_nationkey END AS c_nationkey,
+       CASE WHEN c_acctbal > 9500 THEN 9500.0 ELSE abs(c_acctbal) END AS c_acctbal, c_mktsegment
+FROM customer""")
+def a7_csv_failfast_mended_feed(spark, sf):
+    # every customer, each fault mended: the strict mode reads the feed to its
+    # end (tests: it raises on the faulty one)
+    c = table(spark, sf, "customer")
+    mended = c.withColumn("c_nationkey", F.when(F.col("c_nationkey") == 3, 4)
+                          .otherwise(F.col("c_nationkey"))).withColumn(
+        "c_acctbal", F.when(F.col("c_acctbal") > 9500, 9500.0).otherwise(F.abs("c_acctbal")))
+    return csv_ingest.read_csv(spark, customer_feed_csv(spark, sf, mended), CUSTOMER_SCHEMA,
+                               on_bad="fail")
+
+
 @register("a8_schema_contract_violations", f"""
 SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, c_nationkey,
        CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS c_acctbal,

@@ -57,7 +57,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     With no ``schema`` and no ``infer_schema`` every column is text (header
     names, or ``_c0``...). ``infer_schema`` costs an extra pass over the data
     and turns a column with one bad value into text; an explicit schema is
-    the contract to use in production.
+    the contract to use in production. Under ``on_bad="quarantine"`` the
+    schema so found (from the first line, or by inference) is the one that
+    lines are held to.
     """
     if on_bad not in MODES:
         raise ValueError(f"on_bad must be one of {sorted(MODES)}")
@@ -65,6 +67,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
               .option("mode", MODES[on_bad]))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
+    if schema is None and on_bad == "quarantine":
+        schema = reader.option("inferSchema", infer_schema).csv(path).schema
     if schema is None:
         df = reader.option("inferSchema", infer_schema).csv(path)
         data_cols = df.columns

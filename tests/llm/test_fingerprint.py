@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from keelson.llm import fingerprint as P
+from keelson.llm.text import word_hashes
 from tests.conftest import SF_CHECK
 from tests.llm.helpers import awkward, empty
 
@@ -47,7 +48,7 @@ def test_sketch_is_the_bottom_of_all_hashes():
     maker = P.Sketcher()
     for text in ("", None, "one", "a b c d e f", "x y " * 3000,
                  " ".join(map(str, range(30_000))), "q " * 2000 + " ".join(map(str, range(200)))):
-        every = np.unique(P.shingle_hashes(maker.words.array((text or "").split()), 5))
+        every = np.unique(P.shingle_hashes(word_hashes(text or ""), 5))
         assert np.array_equal(maker.sketch(text), every[:P.K])
         assert np.array_equal(P.from_text(P.to_text(maker.sketch(text))), every[:P.K])
 
@@ -84,3 +85,14 @@ def test_every_slice_meets_the_next(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = {r["doc_id"]: r["edited_sha256"] for r in P.edited_fingerprints(df).collect()}
     assert got == {d: hashlib.sha256(e.encode()).hexdigest() for d, _, e, _ in brute(rows)}
+
+
+def test_word_hashes_depend_on_the_word_alone():
+    words = ["a", "b", "ab", "ba", "abc", "Ünï", "x" * 300, "", "1", "a\x00", "a\x00\x00"]
+    text = " ".join(words) + "\u3000tab\tnew\nline"
+    found = word_hashes(text)
+    assert len(found) == len(text.split()) == len(set(found.tolist()))
+    for word, value in zip(text.split(), found.tolist(), strict=True):
+        assert word_hashes(f"  {word.upper()} ").tolist() == [value] or word != word.upper().lower()
+    assert np.array_equal(word_hashes(text * 50, block=64), word_hashes(text * 50))
+    assert len(word_hashes("")) == len(word_hashes(" \n")) == 0

@@ -115,3 +115,13 @@ def test_ingest_once_writes_both_sides(spark, bad_csv, scratch):
     assert sorted(r.raw_line for r in read_ingested(spark, dest, bad=True).collect()) == sorted(
         ["z,y,3", "3", "4,w,5,extra", "5,v,q"])
     assert read_ingested(spark, dest).columns == ["A", "B", "C"]
+
+
+def test_quarantine_without_a_schema(spark, tmp_path):
+    path = str(tmp_path / "feed.csv")
+    with open(path, "w") as f:
+        f.write("id,name\n1,ann\n2,bob,extra\n3,cy\n")
+    for infer in (False, True):
+        good, bad = split_quarantine(read_csv(spark, path, header=True, infer_schema=infer))
+        assert sorted(str(r.id) for r in good.collect()) == ["1", "3"]
+        assert [r.raw_line for r in bad.collect()] == ["2,bob,extra"]
