@@ -27,6 +27,7 @@ from keelson.llm.text import shingle_hashes, word_hashes
 
 K = 128
 WIDTH = 5
+SLICES = 2_000  # at most; a slice is streamed, so its size is no matter of memory
 EMPTY = np.empty(0, dtype=np.uint64)
 
 
@@ -108,13 +109,18 @@ def with_half_of(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
+def _slice_count(df: DataFrame) -> int:
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(SLICES, max(1, wanted))
+
+
 def _slices(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows dealt into slices of consecutive ids, each slice followed by a
     copy of the row that comes next (halo): the first of the next slice, or
     of all after the last. Only the slices' first ids pass through the
     driver's plan (one row for each slice); every text is shuffled once."""
     spark = df.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = _slice_count(df)
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     cuts = [i / n for i in range(1, n)]
     found = rows.agg(F.percentile_approx("doc_id", cuts, 10_000).alias("cuts")).first() \
@@ -151,7 +157,7 @@ def edited_fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text
               "n_shingles double")
     names = [c.split()[0] for c in schema.split(", ")]
     rows = _slices(df, doc_id, text)
-    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = _slice_count(df)
 
     def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         maker, last, slice_ = Sketcher(k, width), None, None
