@@ -19,7 +19,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under 0.5."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     lexicon = toxicity.fit(training_rows(docs, labels, "toxic", 5, 0, toxicity.SAMPLE))
-    return docs.filter(toxicity.score_column(docs, lexicon) < 0.5)
+    return docs.filter(~toxicity.is_toxic(docs, lexicon))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,7 +71,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learned from two thirds of them."""
-    return langid.learn_and_predict(table(spark, sf_dir, "documents"))
+    found = langid.learn_and_predict(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score",
+                        F.size("mixture").alias("n_languages"))
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm.text import held_out, staged, training_rows
@@ -279,9 +279,9 @@ def density_udf(df: DataFrame, lexicon: Lexicon):
     return density
 
 
-def score_column(df: DataFrame, lexicon: Lexicon, text: str = "text"):
-    density = density_udf(df, lexicon)(F.col(text))
-    return density / (density + F.lit(lexicon.pivot))
+def is_toxic(df: DataFrame, lexicon: Lexicon, text: str = "text") -> Column:
+    """Whether a text scores 0.5 or more: its density reaches the pivot."""
+    return density_udf(df, lexicon)(F.col(text)) >= F.lit(lexicon.pivot)
 
 
 def learn_and_score(docs: DataFrame, labels: DataFrame, modulus: int = 5,
