@@ -30,7 +30,7 @@ similar texts.
    than nodes), so neither all pairs nor a whole group ever stand in one place.
 
 A pair at the threshold shares a band with probability
-1 - (1 - threshold ** ROWS) ** BANDS, 0.9998 at 0.8.
+1 - (1 - threshold ** ROWS) ** BANDS, 0.99999 at 0.8.
 
 Cases: null texts count as empty; texts without words are similar to texts
 equal to them only; repeated rows are in one class; null ids are allowed (a
@@ -51,7 +51,7 @@ from keelson.llm.text import mix64, shingle_hashes, staged, word_hashes
 
 WIDTH = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 12, 3
+BANDS, ROWS = 16, 3
 COMMON = 0.05
 BUCKETS = 1 << 16
 ROUNDS = 1
