@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.session import scratch_path
 
-MASK = (1 << 64) - 1
 _C1 = np.uint64(0xBF58476D1CE4E5B9)  # constants of the splitmix64 finaliser
 _C2 = np.uint64(0x94D049BB133111EB)
 #: Odd multipliers: of a word's bytes by place, and of a shingle's words by place.
@@ -19,7 +17,6 @@ _BYTE_INVERSE = pow(_BYTE, -1, 1 << 64)
 _PLACES = [np.uint64((0xD6E8FEB86659FD93 + 2 * i * 0x94D049BB133111EB) & ((1 << 64) - 1))
            for i in range(64)]
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
-WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
