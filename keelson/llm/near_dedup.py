@@ -3,18 +3,20 @@
 A text is the multiset of its five-word shingles (words: runs without white
 space, lower-cased; a shorter text is one shingle). A shingle's weight is its
 term frequency, 1 + log(count), times its inverse document frequency,
-min(log(N / df), log(1 / COMMON)): shingles in more than the ``COMMON`` share
-of the documents weigh less, all others the same, so a group of copies
-doesn't thin out its own weights before it holds that share of the corpus,
-and a line that a text repeats doesn't drown the rest of it. Two texts are
-similar if their weighted Jaccard similarity (sum of least weights over sum
-of largest) is at least ``threshold``; classes are the connected groups of
-similar texts.
+min(log(N / df), log(1 / COMMON)), counted over different texts: shingles in
+more than the ``COMMON`` share of them weigh less (but half of the others'
+at least), all others the same, and a line that a text repeats doesn't drown
+the rest of it. In a text half of whose shingles are common or more, those
+are the text, not a line that it shares: there all frequencies weigh the
+same. Two texts are similar if their weighted Jaccard similarity (sum of
+least weights over sum of largest) is at least ``threshold``, with these
+weights or with all inverse frequencies equal, so no group, however large,
+pushes its own texts apart; classes are the connected groups of similar texts.
 
 1. Common shingles, exactly: every shingle is counted in one of ``BUCKETS``
    buckets (summed by Spark); those in buckets that reach the limit are
    counted one by one. At most 1 / COMMON times the mean number of shingles
-   of a document can be common, whatever the size of the corpus: that bounds
+   of a text can be common, whatever the size of the corpus: that bounds
    the table that is broadcast.
 2. Each text gets BANDS x ROWS consistent weighted samples; equal bands make
    candidates. Equal texts (by MD5) are one node from here on.
@@ -85,27 +87,49 @@ class Sampler:
     def weighted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The different shingles, in order, and their TF-IDF weights."""
         found, times = np.unique(self.shingles(text), return_counts=True)
-        weights = (1.0 + np.log(times)) * self.inverse_frequency(found)
-        some = weights > 0
-        return (found, weights) if some.all() else (found[some], weights[some])
+        return found, (1.0 + np.log(times)) * self.inverse_frequency(found)[0]
 
-    def inverse_frequency(self, found: np.ndarray) -> np.ndarray:
+    def inverse_frequency(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What each of a text's different shingles weighs in it, and what in
+        a text few of whose shingles are common."""
         out = np.full(len(found), self.rare)
         if len(self.common) and len(found):
             at = np.minimum(np.searchsorted(self.common, found), len(self.common) - 1)
             known = self.common[at] == found
-            out[known] = self.idf[at[known]]
-        return out
+            out[known] = np.maximum(self.idf[at[known]], self.rare / 2)
+            if 2 * known.sum() >= len(found):
+                return np.full(len(found), self.rare), out
+        return out, out
+
+    def uneven(self, text: str | None) -> bool:
+        """Whether some shingles of a text weigh less than others."""
+        found = np.unique(self.shingles(text)) if len(self.common) else self.common
+        return bool((self.inverse_frequency(found)[0] < self.rare).any())
+
+    def both(self, text: str | None) -> tuple:
+        """The different shingles, their weights, and their weights with all
+        inverse frequencies equal."""
+        found, times = np.unique(self.shingles(text), return_counts=True)
+        often = 1.0 + np.log(times)
+        return found, often * self.inverse_frequency(found)[0], often * self.rare
 
-    def units(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    def units(self, text: str | None, level: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """The weights of ``weighted``, parted so that each part is in a text
         or not: the j-th occurrence of a shingle adds log(j) - log(j - 1)
-        times its inverse frequency (the first adds that itself)."""
+        times its inverse frequency (the first adds that itself). With ``level``
+        all inverse frequencies are equal."""
         found, times = np.unique(self.shingles(text), return_counts=True)
         turn = np.arange(1, times.sum() + 1) - np.repeat(np.cumsum(times) - times, times)
-        each = np.repeat(self.inverse_frequency(found), times)
         step = np.where(turn > 1, np.log(turn / np.maximum(turn - 1, 1)), 1.0)
-        return mix64(np.repeat(found, times) + mix64(turn.astype(np.uint64))), each * step
+        part = mix64(np.repeat(found, times) + mix64(turn.astype(np.uint64)))
+        if level:
+            return part, self.rare * step
+        mine, least = self.inverse_frequency(found)
+        # what a shingle weighs here above what it weighs elsewhere is a part of its own
+        over = np.repeat(mine - least, times) * step
+        more = over > 0
+        return (np.concatenate([part, mix64(part[more])]),
+                np.concatenate([np.repeat(least, times) * step, over[more]]))
 
     def samples(self, found: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """One hash for each of the bands x rows samples."""
@@ -155,6 +179,14 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return least / union if union > 0 else 0.0
 
 
+def similarity(a: tuple, b: tuple) -> float:
+    """The larger of two texts' similarities (``Sampler.both``)."""
+    found = weighted_jaccard(a[:2], b[:2])
+    if np.array_equal(a[1], a[2]) and np.array_equal(b[1], b[2]):
+        return found
+    return max(found, weighted_jaccard(a[::2], b[::2]))
+
+
 def block_similarities(units: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Weighted Jaccard similarity of every two texts of a block."""
     n = len(units)
@@ -259,13 +291,13 @@ def _similar(pairs: DataFrame, texts: DataFrame, shared, threshold: float) -> Da
     handling of the join; nothing is gathered by node."""
 
     @F.pandas_udf("double")
-    def similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def alike(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         sampler, lately = Sampler(shared.value), {}
 
         def weighted(value: str | None):
             found = lately.get(value)
             if found is None:
-                found = sampler.weighted(value)
+                found = sampler.both(value)
                 if value is None or len(value) < 100_000:
                     if len(lately) >= 32:
                         lately.pop(next(iter(lately)))
@@ -273,12 +305,12 @@ def _similar(pairs: DataFrame, texts: DataFrame, shared, threshold: float) -> Da
             return found
 
         for left, right in batches:
-            yield pd.Series([weighted_jaccard(weighted(a), weighted(b))
+            yield pd.Series([similarity(weighted(a), weighted(b))
                              for a, b in zip(left, right, strict=True)], dtype=float)
 
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b"))
-    return both.filter(similarity("ta", "tb") >= threshold - NEAR).select("a", "b")
+    return both.filter(alike("ta", "tb") >= threshold - NEAR).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -356,6 +388,9 @@ def _blockwise(left: DataFrame, texts: DataFrame, shared, threshold: float) -> D
 
             out = []
             alike = block_similarities([sampler.units(text) for _, _, text in held])
+            if any(sampler.uneven(text) for _, _, text in held):
+                alike = np.maximum(alike, block_similarities(
+                    [sampler.units(text, level=True) for _, _, text in held]))
             kinds = np.unique([c for _, c, _ in held], return_inverse=True)[1]
             alike = (alike >= threshold - NEAR) & (kinds[:, None] > kinds[None, :])
             for i, j in np.argwhere(alike).tolist():
@@ -388,19 +423,18 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = df.sparkSession
     docs = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     docs = docs.withColumn("node", F.md5("text"))
-    shared = spark.sparkContext.broadcast(common_shingles(docs, "text", max(1, docs.count())))
-    signed = staged(docs.select("node", "doc_id", _bands(shared)("text").alias("bands")),
-                    "signatures")
-    nodes = staged(signed.groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "nodes")
+    signed = staged(docs.select("node", "doc_id"), "rows")
+    # copies count once: no group of them is common by its size
+    each = staged(docs.select("node", "text").dropDuplicates(["node"]), "distinct-texts")
+    shared = spark.sparkContext.broadcast(common_shingles(each, "text", max(1, each.count())))
+    reps = signed.groupBy("node").agg(F.min("doc_id").alias("rep"))
+    nodes = staged(each.select("node", _bands(shared)("text").alias("bands")).join(reps, "node"),
+                   "nodes")
     exploded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     several = exploded.groupBy("band", "key").agg(
         F.min("node").alias("n0"), F.max("node").alias("n1")).filter("n0 <> n1")
     members = staged(exploded.join(several.select("band", "key"), ["band", "key"]), "members")
-    involved = members.select("node").distinct().join(nodes.select("node", "rep"), "node")
-    one_of = docs.join(involved, "node").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
-    # rows may repeat an id and its text
-    texts = staged(one_of.select("node", "text").dropDuplicates(["node"]), "texts")
+    texts = staged(each.join(members.select("node").distinct(), "node"), "texts")
     tested = staged(_leaders(members, 0), "pairs")
     similar = staged(_similar(tested, texts, shared, threshold), "similar")
     found = components(similar)
@@ -420,7 +454,7 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "class", F.coalesce("class", "node"))
     ids = named.groupBy("class").agg(F.min("rep").alias("class_id"))
     found = staged(named.join(ids, "class").select("node", "rep", "class", "class_id"), "classes")
-    return signed.select("node", "doc_id"), found
+    return signed, found
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text",

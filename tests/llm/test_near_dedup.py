@@ -144,3 +144,39 @@ def test_given_documents(spark):
     joined = out.join(docs.select("doc_id", F.md5("text").alias("m")), "doc_id")
     assert joined.groupBy("m").agg(F.count_distinct("class_id").alias("n")).filter("n > 1").isEmpty()
     assert out.filter("kept").count() == out.select("class_id").distinct().count()
+
+
+@pytest.mark.parametrize("copies", [True, False])
+def test_a_large_group_keeps_its_near_copies(spark, copies):
+    """A third of the rows are one group: copies of a text, or edits of it."""
+    rng = random.Random(17)
+    base = [f"w{i}" for i in range(300)]
+
+    def edited(n):  # n words, far apart
+        at = rng.sample(range(5, 295, 6), n)
+        return " ".join(f"new{rng.randrange(10**9)}" if i in at else w for i, w in enumerate(base))
+
+    near = [edited(n) for n in (3, 4, 5, 6)]  # against the base 0.90, 0.87, 0.84, 0.81
+    group = [" ".join(base)] * 100 if copies else [" ".join(base)] + [edited(6) for _ in range(99)]
+    texts = group + near + [text_of([f"x{rng.randrange(10**6)}" for _ in range(60)], rng, 0)
+                            for _ in range(200)]
+    sets = [set(N.Sampler(NONE).shingles(t).tolist()) for t in texts]
+    plain = [len(sets[0] & s) / len(sets[0] | s) for s in sets[100:104]]
+    assert all(0.8 <= p <= 0.92 for p in plain)
+    wanted = brute_classes(texts, lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(df).collect()}
+    assert [rows[i] for i in range(len(texts))] == wanted
+
+
+def test_block_parts_agree_where_weights_differ():
+    rng = random.Random(4)
+    line = [f"c{i}" for i in range(40)]
+    texts = [" ".join(line[:n] + [f"y{rng.randrange(10**6)}" for _ in range(40 - n)])
+             for n in (0, 10, 20, 24, 30, 40) for _ in range(3)]
+    common = np.unique(N.Sampler(NONE).shingles(" ".join(line)))
+    sampler = N.Sampler((common, np.full(len(common), 1.7)))
+    found = N.block_similarities([sampler.units(t) for t in texts])
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        wanted = N.weighted_jaccard(sampler.weighted(texts[i]), sampler.weighted(texts[j]))
+        assert found[i, j] == pytest.approx(wanted, abs=1e-9)
