@@ -24,7 +24,8 @@ no part, nor do rows without an id or vectors of another length than the
 commonest (the longer of two equally common). Rows equal in id and vector
 count once; a query never meets rows of its own id; of several query rows
 with one id the least vector is asked. Ties go to the smaller id. A table
-with fewer candidates than k gives all it has probed. Only the two named
+with fewer candidates than k gives them all: lists past the probed share are
+read until k are found. Only the two named
 columns are read.
 """
 
@@ -92,11 +93,13 @@ def scan_part(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queri
     tests = [(dims / b.stop) / (1 + epsilon / math.sqrt(b.stop)) ** 2 if b.stop < dims
              else 1.0 - 1e-9 for b in blocks]
     order = squared_distances(queries, centres).argsort(1, kind="stable")
-    order = order[:, :max(1, math.ceil(probed * len(centres)))]
+    enough = max(1, math.ceil(probed * len(centres)))
     out = []
     for q, query_id in enumerate(query_ids):
         best, best_ids, limit = np.empty(0), np.empty(0, dtype=np.int64), np.inf
-        for number in order[q]:
+        for probes, number in enumerate(order[q]):
+            if probes >= enough and len(best) >= k:
+                break
             low, high = starts[number], starts[number + 1]
             if low == high:
                 continue

@@ -81,3 +81,22 @@ def test_one_vector_in_a_third_of_the_rows(spark):
     out = A.nearest(frame(spark, rows), F.col("vec_id") % 300 == 0).orderBy("query_id", "rank").collect()
     first = [r["vec_id"] for r in out if r["query_id"] == 0]
     assert first == [3 * i for i in range(1, 11)]
+
+
+def test_few_candidates_are_all_found(spark):
+    rng = np.random.default_rng(8)
+    for n in (9, 12):  # each vector is a list of its own
+        rows = [(i, rng.standard_normal(4).tolist(), None) for i in range(n)]
+        vectors = np.array([r[1] for r in rows], dtype=np.float32).astype(float)
+        out = A.nearest(frame(spark, rows), F.col("vec_id") == 0).orderBy("rank").collect()
+        wanted = brute(np.arange(n), vectors, [0], 10)[0]
+        assert [r["vec_id"] for r in out] == [i for i, _ in wanted] and len(out) == min(10, n - 1)
+
+
+def test_awkward_rows_as_registered(spark):
+    nan = float("nan")
+    rows = [(0, [1.0, 0.0], "x"), (0, [1.0, 0.0], "x"), (100, [0.0, 1.0], None), (1, [1.0, 0.5], None),
+            (2, [1.0, 0.5], None), (2, [1.0, 0.5], None), (3, None, None), (5, [nan, 1.0], None)]
+    out = A.nearest(frame(spark, rows), F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()
+    assert [(r["query_id"], r["vec_id"]) for r in out] == [
+        (0, 1), (0, 2), (0, 100), (100, 1), (100, 2), (100, 0)]
