@@ -38,6 +38,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keelson.llm.text import staged
+
 SAMPLE = 20_000
 LISTS = 128
 PROBED = 0.65
@@ -50,8 +52,9 @@ SEED = 6
 
 def usable(vector: str) -> Column:
     """A vector without null, NaN or infinite components, not all zero."""
-    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce(fine & F.exists(vector, lambda x: x != 0), F.lit(False))
+    v = F.col(vector).cast("array<double>")
+    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(fine & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
 def rotation(dims: int, seed: int = SEED) -> np.ndarray:
@@ -142,9 +145,11 @@ def nearest(df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id"
 
     The centroids are fitted on about ``sample`` vectors, which (with a count
     for each vector length) are all that reaches the driver."""
-    rows = df.select(F.col(vec_id).cast("long").alias("vec_id"),
-                     F.col(embedding).cast("array<double>").alias("v"))
+    rows = df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("v"))
     rows = rows.filter(F.col("vec_id").isNotNull() & usable("v"))
+    # copies go before anything is dealt or drawn, most of them before the shuffle
+    rows = staged(rows.dropDuplicates(["vec_id", "v"]), "vectors").select(
+        "vec_id", F.transform(F.col("v").cast("array<double>"), lambda x: x + 0.0).alias("v"))
     lengths = rows.groupBy(F.size("v").alias("dims")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(is_query.cast("int")).alias("queries")).collect()
     schema = "query_id long, vec_id long, score double"
@@ -169,10 +174,8 @@ def nearest(df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id"
         found = []
         if len(part) and len(asking):
             vectors, ids = _matrix(part["v"], dims), part["vec_id"].to_numpy()
-            same = pd.DataFrame({"id": ids, "v": [(row + 0.0).tobytes() for row in vectors]})
-            once = ~same.duplicated().to_numpy()
             asking = asking.sort_values("vec_id")
-            found = scan_part(ids[once], vectors[once], asking["vec_id"].to_numpy(),
+            found = scan_part(ids, vectors, asking["vec_id"].to_numpy(),
                               _matrix(asking["v"], dims), centres.value, k, probed)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 

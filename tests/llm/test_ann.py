@@ -100,3 +100,15 @@ def test_awkward_rows_as_registered(spark):
     out = A.nearest(frame(spark, rows), F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["vec_id"]) for r in out] == [
         (0, 1), (0, 2), (0, 100), (100, 1), (100, 2), (100, 0)]
+
+
+def test_copies_reach_no_part_and_no_sample(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(4).tolist(), None) for i in range(60)]
+    rows += [(7, rows[7][1], None)] * 30 + [(8, [0.0, 1.0, 1.0, 1.0], None),
+                                          (8, [-0.0, 1.0, 1.0, 1.0], None)]
+    sizes, matrix = [], A._matrix
+    monkeypatch.setattr(A, "_matrix", lambda v, dims: sizes.append(len(v)) or matrix(v, dims))
+    out = A.nearest(frame(spark, rows), F.col("vec_id") == 0)
+    assert sizes == [61]  # the sample takes all: 60 and the second vector of id 8, once
+    assert out.count() == 10
