@@ -3,7 +3,10 @@
 A page becomes a list of tokens: runs of words, and tags. Elements that are
 never main text (scripts, styles, navigation, forms, sidebars, comment
 sections, adverts, notices: by element name, role, class or id) are taken
-out first. The others get weights counted from labelled pages
+out first, unless the main text is inside them: the boxes around the page's
+article or main element stay, and on a page without one a form, or a box
+marked by name only (other than comments), that holds most of the words
+outside links. The others get weights counted from labelled pages
 (``html_labels``): a word's is the log odds of standing in main text for its
 place (in the article or main element, outside it, or on a page without one;
 in a link or not; kind of block), a tag's is the same but never positive. One
@@ -61,6 +64,10 @@ MARKS = frozenset(
     "notice notices notification pager pagination popup promo promotion reactions recommended "
     "related replies reply search share sharing sidebar signup social sponsor sponsored subscribe "
     "teaser toolbar widget".split())
+#: Marks of what readers write: never main text for its length.
+READERS = frozenset("comment comments disqus reactions replies reply".split())
+#: What a head may hold; any other element, or text, ends an open head.
+IN_HEAD = frozenset("html head base link meta title style script noscript template".split())
 #: Beside these parts a mark says something else (has-sidebar, no-comments).
 NEGATED = frozenset("has no with without".split())
 BLOCKS = {**{f"h{i}": "heading" for i in range(1, 7)}, "p": "text", "blockquote": "text",
@@ -73,29 +80,98 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
         "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
-def is_aside(name: str, rest: str, inside: bool) -> bool:
-    """Whether an element is a box that isn't main text; ``inside``: within
-    an article or main element, where a header holds the article's title."""
-    if name in ASIDE:
-        return not (name == "header" and inside)
-    if not rest or "=" not in rest and "hidden" not in rest.lower():
-        return False
+def box(name: str, rest: str, inside: bool) -> str:
+    """What makes an element a box that isn't main text ('element', 'form',
+    'hidden', 'readers' or 'mark'; '': it is none); ``inside``: within an
+    article or main element, where a header holds the article's title."""
+    if name in ASIDE and not (name == "header" and inside):
+        return "form" if name == "form" else "element"
+    if name in ASIDE or not rest or "=" not in rest and "hidden" not in rest.lower():
+        return ""
+    found = ""
     for key, value in ATTRIBUTE.findall(rest):
         key, value = key.lower(), value.strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return "hidden"
         if key == "style":
             if "display:none" in value.replace(" ", ""):
-                return True
+                return "hidden"
         elif key in ("class", "id", "role"):
             for word in value.split():
                 parts = NAME_PART.findall(word)
                 if not NEGATED.intersection(parts) and MARKS.intersection(parts):
                     main = name in ("body", "html", "main") or (
                         name == "article" and not {"comment", "comments", "reply"} & set(parts))
-                    if not main:
-                        return True
-    return False
+                    if not main and found != "readers":
+                        found = "readers" if READERS.intersection(parts) else "mark"
+    return found
+
+
+def ended(stack: list[tuple], name: str) -> int | None:
+    """From where on the opening of an element ends open ones."""
+    if name not in IN_HEAD:
+        for i, open_ in enumerate(stack[:2]):
+            if open_[0] == "head":
+                return i
+    if name not in INLINE and name not in VOID:
+        # an open paragraph ends at the next block
+        ends = ENDS.get(name, set()) | {"p"}
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in ends:
+                return i
+            if stack[i][0] not in INLINE and stack[i][0] != "p":
+                break
+    return None
+
+
+def around_main(page: str) -> tuple[frozenset[int], bool]:
+    """Where the boxes begin that hold the main text, and whether that is in
+    an article or main element."""
+    stack: list[tuple[str, str, int]] = []
+    mains: dict[int, list] = {}  # begin -> [boxes around, name, words in no further box]
+    words: Counter = Counter()
+    free = total = 0  # words in no box, and in no box but forms and marks, outside links
+    for m in TOKEN.finditer(page):
+        if (text := m["text"]) is not None:
+            n = len(html_lib.unescape(text).split())
+            if n and stack and stack[-1][0] == "head":
+                stack.pop()
+            kinds = [(kind, at) for _, kind, at in stack if kind]
+            if not n:
+                continue
+            for _, _, at in stack:
+                if at in mains and len(mains[at][0]) == len(kinds):
+                    mains[at][2] += n
+            if not any(name == "a" for name, _, _ in stack):
+                free += 0 if kinds else n
+                if all(kind in ("form", "mark") for kind, _ in kinds):
+                    total += n
+                    words.update(dict.fromkeys((at for _, at in kinds), n))
+            continue
+        if (name := m["name"]) is None:
+            continue
+        name = name.lower()
+        if m["end"]:
+            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            if at is not None:
+                del stack[at:]
+            continue
+        if (at := ended(stack, name)) is not None:
+            del stack[at:]
+        if name in VOID or m["rest"].endswith("/"):
+            continue
+        kind = box(name, m["rest"], any(at in mains for _, _, at in stack))
+        if name in ("article", "main") and not kind:
+            kinds = [(k, at) for _, k, at in stack if k]
+            if all(k != "hidden" for k, _ in kinds):
+                mains[m.start()] = [[at for _, at in kinds], name, 0]
+        stack.append((name, kind, m.start()))
+    held = [v for v in mains.values() if v[2]]
+    if held:
+        boxes, name, n = min(held, key=lambda v: (len(v[0]), v[1] != "main", -v[2]))
+        if not boxes or name == "main" or n >= free:
+            return frozenset(boxes), True
+    return frozenset(at for at, n in words.items() if 2 * n > total), False
 
 
 @dataclass
@@ -111,7 +187,7 @@ def tokens(page: str) -> list[Token]:
     stack: list[tuple[str, bool]] = []  # open elements, and which begin an aside
     asides = mains = links = 0
     block = "none"
-    has_main = re.search(r"<(?:article|main)\b", page, re.I) is not None
+    spared, has_main = around_main(page)
     bare = re.search(r"</?[a-z]", page, re.I) is None  # a text without any tag
 
     def close(at: int) -> None:
@@ -127,6 +203,8 @@ def tokens(page: str) -> list[Token]:
 
     for m in TOKEN.finditer(page):
         if (text := m["text"]) is not None:
+            if stack and stack[-1][0] == "head" and html_lib.unescape(text).split():
+                close(len(stack) - 1)
             if asides:
                 continue
             text = html_lib.unescape(text)
@@ -146,17 +224,12 @@ def tokens(page: str) -> list[Token]:
             if name in BLOCKS:
                 block = "none"
             continue
+        if (at := ended(stack, name)) is not None:
+            close(at)
         if name not in INLINE and name not in VOID:
-            # an open paragraph ends at the next block
-            ends = ENDS.get(name, set()) | {"p"}
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ends:
-                    close(i)
-                    break
-                if stack[i][0] not in INLINE and stack[i][0] != "p":
-                    break
             block = BLOCKS.get(name, "none")
-        begins = asides == 0 and is_aside(name, m["rest"], mains > 0)
+        begins = (asides == 0 and m.start() not in spared
+                  and box(name, m["rest"], mains > 0) != "")
         if not asides:
             out.append(Token(("tag", place(), name), 0, "" if name in INLINE else " "))
         if name not in VOID and not m["rest"].endswith("/"):

@@ -76,3 +76,23 @@ def test_long_pages_and_clashing_columns(spark):
     rows = H.main_text(df).collect()
     assert sorted(r["n_chars"] for r in rows) == [0, 0, len(BODY) * 20_000 + 19_999]
     assert H.main_text(df.limit(0)).count() == 0
+
+
+MENU = "<ul><li><a href=a>one</a><li><a href=b>two</a></ul>"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<head><title>x</title><body><p>{BODY}</p>", BODY),
+    (f"<html><head><meta charset=utf-8><title>x</title><article><p>{BODY}</p></article>", BODY),
+    (f"<html><head><title>x</title>{BODY}", BODY),
+    (f"<body><form id=aspnetForm><div>{MENU}</div><div><p>{BODY}</p></div></form></body>", BODY),
+    (f"<form id=aspnetForm><nav>{MENU}</nav><main><p>{BODY}</p><form>name <button>send</button></form>"
+     "</main></form>", BODY),
+    (f"<div class='content-sidebar-wrap'><main><p>{BODY}</p></main><aside class=sidebar><article>"
+     f"<p>{BODY} {BODY}</p></article></aside></div>", BODY),
+    (f"{MENU}<div id='social-history'><p>{BODY}</p><p>{BODY}</p></div><p><a href=i>Imprint</a></p>", f"{BODY} {BODY}"),
+    (f"<main><p>{BODY}</p></main><div class=related><article><p>{BODY} {BODY}</p></article></div>", BODY),
+    (f"<div><p>{BODY}</p></div><div id=comments><p>{BODY} {BODY}</p></div>", BODY),
+])
+def test_boxes_around_the_main_text(page, text):
+    assert H.extract(page) == text
