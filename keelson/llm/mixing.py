@@ -12,18 +12,19 @@ u from its hashed id; documents come in the order of
 
 the odds of u divided by the odds of p, and the sample is the longest
 beginning of that order within R words, and one closing document: of those
-left, the one that brings the words nearest to R, if any does.
+left, the one that brings the words nearest to R, if any does. Of rows equal
+in id and text, which have one place, as many as fit are taken.
 
 Only DataFrame functions are used. No source is gathered in one task: the
 place where the sample ends is found from sums over narrow steps of the
 order (at most ``STEPS`` a source), and only the documents of the one step
 that holds the end are put in order, by source. What is left is a comparison
-of each document with its source's last place.
+of each document with its source's last place. Equal rows of which only some
+are taken are dealt into ``SPREAD`` buckets by row number and counted off
+bucket by bucket, so however many they are, no task has them all.
 
 Cases: a null source is a source (the last), a null text has size 0 and is
-taken 0 words; a source without words has target 0. Rows equal in id and
-text, like rows with one place in the order, are taken or left together.
-Null ids are hashed like an id of their own. Empty tables give empty tables.
+taken 0 words; a source without words has target 0. Null ids are hashed like an id of their own. Empty tables give empty tables.
 ``plan_mix`` reads the three named columns only; ``mixed`` returns the
 input's columns, whatever their names.
 """
@@ -38,6 +39,7 @@ from keelson.llm.text import staged
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
 STEPS = 1 << 14
+SPREAD = 1 << 12
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -87,16 +89,27 @@ def _place(doc_id: Column, size: Column, seed: int) -> Column:
     return F.when(p > 0, ratio / (ratio + (1 - u) * p)).otherwise(F.lit(1.0))
 
 
+def _sizes(df: DataFrame, doc_id: str, text: str, source: str, *more: Column) -> DataFrame:
+    """doc_id, source, size and tie (one for rows equal in id and text), and more."""
+    return df.select(
+        *more, F.col(source).cast("string").alias("source"), F.col(doc_id).alias("doc_id"),
+        word_count(F.col(text)).alias("size"),
+        F.xxhash64(F.col(text), F.col(doc_id).cast("string")).alias("tie"))
+
+
 def plan_mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
              weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = 20) -> DataFrame:
     """source, source_size, target, copies (certain whole ones), rest, squares,
     last_place and last_tie (where the source's sample ends; null: there is
-    none), closing_place and closing_tie (its closing document). One row for
-    each source. The text is read once; the sizes are staged in the shared
-    folder."""
-    docs = staged(df.select(
-        F.col(source).cast("string").alias("source"), F.col(doc_id).alias("doc_id"),
-        word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("tie")), "mix-sizes")
+    none), part_place, part_tie and part_rows (equal rows after that, of which
+    only so many fit), closing_place, closing_tie and closing_rows (its closing
+    document, and how many rows are equal to it). One row for each source. The
+    text is read once; the sizes are staged in the shared folder."""
+    return _plan(staged(_sizes(df, doc_id, text, source), "mix-sizes"), weights, max_repeats, seed)
+
+
+def _plan(docs: DataFrame, weights, max_repeats: int, seed: int) -> DataFrame:
+    """``plan_mix`` from the sizes."""
     sizes = docs.groupBy("source").agg(
         F.sum("size").alias("source_size"),
         # added up as whole numbers: the same in every run, whatever the order
@@ -125,27 +138,43 @@ def plan_mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
                     (F.col("reached") - F.col("n")).alias("passed")))
     last = (placed.join(ends, F.col("s").eqNullSafe(F.col("es")) & (F.col("step") == F.col("end_step")))
             .groupBy("s", "place", "tie").agg(  # rows that go together
-                F.sum("size").alias("n"), F.first("rest").alias("rest"),
+                F.sum("size").alias("n"), F.first("size").alias("size"), F.first("rest").alias("rest"),
                 F.first("passed").alias("passed")))
     order = Window.partitionBy("s").orderBy("place", "tie")
     total = F.col("passed") + F.sum("n").over(order)
-    within = last.withColumn("total", total).filter(F.col("total") <= F.col("rest"))
-    within = within.groupBy("s").agg(F.max(F.struct("place", "tie", "total")).alias("end"))
+    fits = F.col("total") <= F.col("rest")
+    within = last.withColumn("total", total).groupBy("s").agg(
+        F.max(F.when(fits, F.struct("place", "tie", "total"))).alias("end"),
+        # the first equal rows that don't all fit
+        F.min(F.when(~fits, F.struct("place", "tie", "size", F.floor(
+            (F.col("rest") - F.col("total") + F.col("n")) / F.col("size")).cast("long").alias("rows"))))
+        .alias("part"))
     # no document of the step may fit: then the sample ends before it
     lasts = ends.join(within, F.col("es").eqNullSafe(F.col("s")), "left").select(
         F.col("es").alias("ls"),
         F.coalesce("end.place", F.col("end_step") / STEPS).alias("last_place"),
-        F.col("end.tie").alias("last_tie"), F.coalesce("end.total", "passed").alias("words"))
+        F.col("end.tie").alias("last_tie"),
+        *(F.when(F.col("part.rows") > 0, F.col(f"part.{c}")).alias(f"part_{c}")
+          for c in ("place", "tie", "rows")),
+        (F.coalesce("end.total", "passed") + F.coalesce(
+            F.col("part.rows") * F.col("part.size"), F.lit(0))).alias("words"))
     lasts = staged(lasts, "mix-lasts")
     # of what is left, the document that brings the words nearest to the rest
     gap = F.col("rest") - F.col("words")
     left = placed.join(lasts, F.col("s").eqNullSafe(F.col("ls"))).filter(~_in_sample())
     closing = left.filter(F.abs(F.col("size") - gap) < gap).groupBy("s").agg(
         F.min(F.struct(F.abs(F.col("size") - gap).alias("off"), "place", "tie")).alias("c")).select(
-        "s", F.col("c.place").alias("closing_place"), F.col("c.tie").alias("closing_tie"))
+        F.col("s").alias("cs"), F.col("c.place").alias("closing_place"),
+        F.col("c.tie").alias("closing_tie"))
+    closing = staged(closing, "mix-closing")
+    equal = (placed.join(F.broadcast(closing), F.col("s").eqNullSafe(F.col("cs"))  # a row a source
+                         & (F.col("place") == F.col("closing_place"))
+                         & (F.col("tie") == F.col("closing_tie")))
+             .groupBy(F.col("s").alias("qs")).agg(F.count(F.lit(1)).alias("closing_rows")))
+    closing = closing.join(equal, F.col("cs").eqNullSafe(F.col("qs")), "left")
     found = (plan.join(lasts, F.col("source").eqNullSafe(F.col("ls")), "left")
-             .join(closing, F.col("source").eqNullSafe(F.col("s")), "left"))
-    return staged(found.drop("ls", "s", "words"), "mix-ends")
+             .join(closing, F.col("source").eqNullSafe(F.col("cs")), "left"))
+    return staged(found.drop("ls", "cs", "qs", "words"), "mix-ends")
 
 
 def _in_sample() -> Column:
@@ -159,18 +188,39 @@ def _with_times(docs: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     plan, with how often each document is taken."""
     found = docs.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
     found = found.withColumn("place", _place(F.col("doc_id"), F.col("size"), seed))
-    closes = (F.col("place") == F.col("closing_place")) & (F.col("tie") == F.col("closing_tie"))
-    extra = (F.col("size") > 0) & F.col("last_place").isNotNull() & (
-        _in_sample() | F.coalesce(closes, F.lit(False)))
-    return found.withColumn("times", F.col("copies") + extra.cast("long"))
+    closes = F.coalesce((F.col("place") == F.col("closing_place"))
+                        & (F.col("tie") == F.col("closing_tie")), F.lit(False))
+    parts = F.coalesce((F.col("place") == F.col("part_place"))
+                       & (F.col("tie") == F.col("part_tie")), F.lit(False))
+    sampled = (F.col("size") > 0) & F.col("last_place").isNotNull()
+    drawn = sampled & (parts | (closes & (F.col("closing_rows") > 1)))
+    extra = sampled & (_in_sample() | closes)
+    if plan.filter((F.col("part_rows") > 0) | (F.col("closing_rows") > 1)).isEmpty():
+        return found.withColumn("times", F.col("copies") + extra.cast("long"))
+    alone = found.filter(~drawn).withColumn("times", F.col("copies") + extra.cast("long"))
+    quota = F.when(parts, F.col("part_rows")).otherwise(0) + closes.cast("long")
+    some = staged(found.filter(drawn).withColumn("quota", quota).withColumn(
+        "spread", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SPREAD))), "mix-drawn")
+    same = ["s", "place", "tie"]
+    counts = some.groupBy(*same, "spread").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*same).orderBy("spread").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(  # SPREAD rows for each of a source's two groups at most
+        F.col("s").alias("bs"), F.col("place").alias("bp"), F.col("tie").alias("bt"),
+        F.col("spread").alias("bucket"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    number = F.row_number().over(Window.partitionBy(*same, "spread").orderBy(F.lit(0)))
+    some = (some.withColumn("number", number)
+            .join(F.broadcast(counts), F.col("s").eqNullSafe(F.col("bs")) & (F.col("place") == F.col("bp"))
+                  & (F.col("tie") == F.col("bt")) & (F.col("spread") == F.col("bucket")))
+            .withColumn("times", F.col("copies") + (
+                F.col("before") + F.col("number") <= F.col("quota")).cast("long")))
+    return alone.unionByName(some.select(*alone.columns))
 
 
 def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = 20) -> DataFrame:
     """doc_id, source, size, source_size, target, times and taken of every document."""
-    plan = plan_mix(df, doc_id, text, source, weights, max_repeats, seed)
-    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
-                     word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("tie"))
+    docs = staged(_sizes(df, doc_id, text, source), "mix-sizes")
+    plan = _plan(docs, weights, max_repeats, seed)
     return (_with_times(docs, plan, seed)
             .select("doc_id", "source", "size", "source_size", "target", "times",
                     (F.col("times") * F.col("size")).alias("taken")))
@@ -181,10 +231,8 @@ def mixed(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     """``df``'s rows, each as often as the mix takes it (documents without
     words add none to a mix and are left out of it)."""
     plan = plan_mix(df, doc_id, text, source, weights, max_repeats, seed)
-    docs = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(doc_id).alias("doc_id"),
-        F.col(source).cast("string").alias("source"), word_count(F.col(text)).alias("size"),
-        F.xxhash64(text).alias("tie"))
+    docs = _sizes(df, doc_id, text, source,
+                  F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
     found = _with_times(docs, plan, seed).filter((F.col("size") > 0) & (F.col("times") > 0))
     return (found.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
             .select("row.*"))

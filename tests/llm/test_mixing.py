@@ -113,3 +113,28 @@ def test_awkward_rows_and_empty_tables(spark):
     assert all(r["size"] == 0 for r in rows if r["doc_id"] in (2, 3, 4))
     assert M.mix(empty(spark)).count() == 0 and M.mixed(empty(spark)).count() == 0
     assert M.mixed(awkward(spark)).columns == awkward(spark).columns
+
+
+@pytest.mark.parametrize("seed", [20, 3])
+def test_repeated_rows_meet_the_target(spark, seed):
+    rng, rows = random.Random(6), []
+    for source, n in {"a": 300, "b": 300, "c": 300, None: 300}.items():
+        rows += [(len(rows) + i, " ".join(["w"] * rng.choice([90, 100, 110])), source)
+                 for i in range(n)]
+        rows += [(10**6 + n if source else None, "v " * 100, source)] * (n // 2)  # a third
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = M.mix(df, seed=seed).collect()
+    own = {}
+    for r in out:
+        own[r["source"]] = own.get(r["source"], 0) + r["size"]
+    wanted = brute_targets(own)
+    for source, target in wanted.items():
+        mine = [r for r in out if r["source"] == source]
+        assert len(mine) == 450
+        assert abs(sum(r["taken"] for r in mine) - target) <= 55  # half the longest document
+    again = M.mix(df.repartition(5), seed=seed).collect()
+    key = [sorted((r["source"] or "", r["doc_id"] or 0, r["taken"]) for r in x) for x in (out, again)]
+    assert key[0] == key[1]
+    words = {r["source"]: r["n"] for r in M.mixed(df, seed=seed).groupBy("source").agg(
+        F.sum(M.word_count(F.col("text"))).alias("n")).collect()}
+    assert all(words[s] == sum(r["taken"] for r in out if r["source"] == s) for s in wanted)
