@@ -14,11 +14,14 @@ from keelson.llm import (
     fingerprint,
     html_extract,
     langid,
+    lexical,
     mixing,
     near_dedup,
     quality,
+    runs,
     toxicity,
     url_filter,
+    warc,
 )
 
 
@@ -81,10 +84,29 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty documents that rank highest for each benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written into WARC archives and read back."""
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs, a tenth of them with planted ones."""
+    return runs.run_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_url_filter, op2_source_mix, op3_quality, op4_bpe, op5_near_duplicates,
         op6_nearest_neighbours, op7_html_extraction, op8_toxicity, op9_language_id,
-        op10_fingerprints)}
+        op10_fingerprints, op11_lexical_search, op12_warc, op13_periodic_runs)}
 
-ORACLES: dict[str, str] = {"op1_url_filter": url_filter.oracle()}
+ORACLES: dict[str, str] = {
+    "op1_url_filter": url_filter.oracle(),
+    "op11_lexical_search": lexical.oracle(),
+    "op12_warc": warc.oracle(),
+}

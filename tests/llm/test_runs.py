@@ -1,0 +1,119 @@
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from keelson.llm import queries as Q
+from keelson.llm import runs as R
+from tests.conftest import SF_CHECK
+from tests.llm.helpers import LONG, awkward, empty
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_runs(words, least=6, times=4):
+    """Every period of every stretch, longest periods last; a stretch counts
+    under its smallest period."""
+    n, found = len(words), {}
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(least, times * q):
+                inner = any(a <= i and j + q <= a + m and p < q for (a, m), p in found.items())
+                if not inner:
+                    found[(i, j + q - i)] = q
+            i = max(j, i) + 1
+    return sorted((a, m, q) for (a, m), q in found.items())
+
+
+def brute_report(doc_id, text):
+    words = WORD.findall(text or "")
+    n = len(words)
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    found = brute_runs(words)
+    dropped = {i for s, m, q in found for i in range(s + q, s + m)}
+    kept = " ".join(w for i, w in enumerate(words) if i not in dropped)
+    best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+    lines = "".join(f"{s},{m},{q}\n" for s, m, q in found)
+    return (len(found), *best, None if best[0] is None else 1000 * best[1] // best[2],
+            hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest(), n)
+
+
+NAMES = ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+         "collapsed_sha256", "n_words")
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 5])
+def test_runs_against_brute_force(letters):
+    rng = random.Random(letters)
+    for case in range(400):
+        words = [rng.randrange(letters) for _ in range(rng.randrange(60))]
+        if case % 2:  # a passage over and over, cut anywhere
+            part = [rng.randrange(letters) for _ in range(rng.randrange(1, 12))]
+            low = rng.randrange(len(words) + 1)
+            words[low:low] = (part * 9)[:rng.randrange(len(part) * 9)]
+        for least, times in ((6, 4), (1, 4), (10, 5)):
+            assert R.runs_of(np.array(words, dtype=np.int64), least, times) == \
+                brute_runs(words, least, times), words
+
+
+def test_periodic_words_of_every_kind():
+    fib = [0]
+    after = [0, 1]
+    while len(after) < 400:
+        fib, after = after, after + fib
+    for words in (fib, after, [0] * 300, [0, 1] * 150 + [2] + [0, 1] * 150,
+                  ([0] * 7 + [1]) * 40, list(range(70)) * 5 + list(range(30))):
+        assert R.runs_of(np.array(words), 6, 4) == brute_runs(words)
+    assert R.runs_of(np.array([], dtype=np.int64)) == []
+    with pytest.raises(ValueError):
+        R.runs_of(np.array([1, 1]), times=3)
+
+
+def test_whole_table_against_brute_force(spark):
+    docs = {r["doc_id"]: r["text"] for r in
+            spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text").collect()}
+    rows = Q.op13_periodic_runs(spark, SF_CHECK).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        assert tuple(r[c] for c in NAMES) == brute_report(r["doc_id"], docs[r["doc_id"]]), r["doc_id"]
+    assert sum(r["n_runs"] > 0 for r in rows) > 50
+
+
+def test_awkward_rows(spark):
+    given = [(r["doc_id"], r["text"]) for r in awkward(spark).collect() if r["text"] != LONG]
+    rows = R.run_report(awkward(spark)).collect()
+    long = [r for r in rows if r["n_words"] == 200_000]
+    assert len(long) == 1 and long[0]["n_runs"] == 1 and long[0]["period"] == 5
+    got = [(r["doc_id"], *(r[c] for c in NAMES)) for r in rows if r["n_words"] != 200_000]
+    assert sorted(got, key=str) == sorted(((d, *brute_report(d, t)) for d, t in given), key=str)
+    assert R.run_report(empty(spark)).count() == 0
+
+
+def test_operator_keeps_other_columns(spark):
+    df = spark.createDataFrame([(1, "a b " * 5 + "c", 7), (2, None, 8)],
+                               "runs long, text string, extra long")
+    got = {r["extra"]: r for r in R.find_runs(df).collect()}
+    assert R.find_runs(df).columns == ["text", "extra", "n_words", "runs", "collapsed"]
+    assert [tuple(x) for x in got[7]["runs"]] == [(0, 10, 2)] and got[7]["collapsed"] == "a b c"
+    assert got[8]["runs"] == [] and got[8]["collapsed"] == "" and got[8]["n_words"] == 0
+    # white space beyond ASCII and control characters belong to words
+    odd = spark.createDataFrame([("x y\x1cz " * 6,)], "text string")
+    assert [tuple(x) for x in R.find_runs(odd).first()["runs"]] == [(0, 6, 1)]
+
+
+def test_texts_of_a_batch_do_not_meet(spark):
+    rows = [(i, "a b " * 3) for i in range(40)]
+    got = R.find_runs(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert all(r["runs"] == [] for r in got)  # six words each; together a long run
