@@ -11,12 +11,16 @@ Plan shape (``aligned_join``), the same at every size:
 * target rows that cannot match (a NULL key, or failing ``target_filter``,
   e.g. history rows of an SCD 2 table) bypass the join and are unioned back
   unchanged: they are never shuffled;
-* source keys are cast to the target's key types first. Their check is a
-  branch of the plan that returns no rows: rows are counted by key (the key
-  columns alone, partial counts in each map task), and a key with two rows
-  raises while the plan runs. (Checking on the way into the join would spare
-  that small shuffle, but AQE splits a skewed partition only where nothing
-  stands between its exchange and the join);
+* source keys are cast to the target's key types first, and the source is
+  reduced to one row per key that carries the number of its rows. Each row
+  that comes out of a join is filtered by that number, so a key with two rows
+  raises while the plan runs, whatever is filtered, joined, selected or
+  limited afterwards, as long as a row of that key comes out. (The reduction
+  is dealt by a hash of the key, not by the key: Spark then deals its rows,
+  one per key, to the join anew, and AQE splits a skewed partition of the
+  target only where nothing stands between its exchange and the join.) A
+  merge that leaves out one side's rows counts the keys in a branch that
+  returns no rows, so that keys that don't come out are checked too;
 * the eligible target rows are LEFT OUTER joined to the source. A left join
   (not a full one) lets AQE split the partition of a target key that holds
   many rows, and turn the join into a broadcast one when the source turns
@@ -32,7 +36,9 @@ source, which is measured first (``plans.sizing.size_bound``), is within the
 session's bounds; beyond them the plan is the same as ``"auto"``.
 ``"shuffle"`` asks for a sort-merge join whatever the sizes.
 
-Side detection uses literal marker columns, never NULL tests on keys.
+Side detection uses literal marker columns, never NULL tests on keys. The
+source takes part in several branches, so it must give the same rows each
+time it is evaluated: stage one that doesn't (``session.stage_parquet``).
 """
 
 from __future__ import annotations
@@ -52,6 +58,7 @@ T_PREFIX = "t__"
 S_PREFIX = "s__"
 T_MARK = "__t"
 S_MARK = "__s"
+S_ROWS = "__s_rows"
 
 STRATEGIES = ("auto", "shuffle", "broadcast")
 NULL_KEYS = ("fail", "insert")
@@ -234,15 +241,29 @@ def split_target(target: DataFrame, keys: Sequence[str], target_filter: Column |
     return target.filter(keys_present & target_filter), target.filter(keys_missing | bypass_filter)
 
 
+def _repeated(keys: Sequence[str]) -> Column:
+    """True, or an error if the row stands for several source rows."""
+    problem = F.concat(F.lit("source has "), F.col(S_ROWS).cast("string"), F.lit(" rows for key "),
+                       F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(
+                           c.removeprefix(S_PREFIX)) for c in keys])),
+                       F.lit(": a merge source must have one row per key (dedupe it first)"))
+    return F.when(F.col(S_ROWS) > 1, F.raise_error(problem).cast("boolean")).otherwise(F.lit(True))
+
+
+def one_per_key(keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row for each key, with the number of its rows (``S_ROWS``)."""
+    by = [F.col(f"`{c}`") for c in keys]
+    rest = [c for c in keyed.columns if c not in keys]
+    return keyed.groupBy(F.xxhash64(*by).alias("__dealt"), *by).agg(
+        F.count(F.lit(1)).alias(S_ROWS),
+        *[F.first(F.col(f"`{c}`")).alias(c) for c in rest]).drop("__dealt")
+
+
 def repeated_keys(keyed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """No rows, or an error while the plan runs if two rows share a key."""
     by = [F.col(f"`{c}`") for c in keys]
-    problem = F.concat(F.lit("source has "), F.col("__n").cast("string"), F.lit(" rows for key "),
-                       F.to_json(F.struct(*[c.cast("string") for c in by])),
-                       F.lit(": a merge source must have one row per key (dedupe it first)"))
-    counted = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    return counted.filter(
-        F.when(F.col("__n") > 1, F.raise_error(problem).cast("boolean")).otherwise(F.lit(False)))
+    counted = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias(S_ROWS))
+    return counted.filter(~_repeated(keys))
 
 
 def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[str, str]], *,
@@ -251,7 +272,7 @@ def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[st
     """Every eligible target row (with its matching source row or NULLs) and
     every unmatched source row, with columns ``t__*``, ``s__*`` and the side
     markers ``__t`` / ``__s``. Source keys are cast to the target key types,
-    and are checked after the cast.
+    and are checked after the cast (``check``; see the module's docstring).
 
     A source row with a NULL key matches nothing: with ``null_keys="insert"``
     it is an unmatched row (kept out of the joins, so many of them cannot pile
@@ -280,8 +301,15 @@ def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[st
         unkeyed = unkeyed.filter(F.raise_error(F.lit(
             "source has a row with a NULL key; pass null_keys='insert' to insert such rows"))
             .cast("boolean"))
+    every = keyed
+    if check:
+        keyed = one_per_key(keyed, sk)
+    out_cols = [F.col(f"`{c}`") for c in [*tside.columns, *sside.columns]]
     hint = {"broadcast": "broadcast", "shuffle": "merge"}.get(strategy)
 
+    def checked(df: DataFrame) -> DataFrame:
+        return df.filter(_repeated(sk)) if check else df
+
     def hinted(df: DataFrame) -> DataFrame:
         return df.hint(hint) if hint else df
 
@@ -294,7 +322,7 @@ def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[st
     parts = []
     if with_target:
         cond = _and([F.col(f"`{a}`") == F.col(f"`{b}`") for a, b in zip(tk, sk)])
-        parts.append(tside.join(hinted(keyed), cond, "left"))
+        parts.append(checked(tside.join(hinted(keyed), cond, "left")).select(*out_cols))
     if unmatched_source:
         held = tside.select(*[F.col(f"`{a}`").alias(f"h{a}") for a in tk])
         hit_cond = _and([F.col(f"`{b}`") == F.col(f"`h{a}`") for a, b in zip(tk, sk)])
@@ -302,11 +330,12 @@ def aligned_join(eligible: DataFrame, source: DataFrame, keys: Sequence[tuple[st
             # the keys of the source that the target has: at most one for each source row
             source_keys = keyed.select(*[F.col(f"`{b}`") for b in sk])
             held = held.join(F.broadcast(source_keys), hit_cond, "left_semi")
-        parts.append(source_only_rows(keyed.join(hinted(held.distinct()), hit_cond, "left_anti")))
+        parts.append(source_only_rows(checked(
+            keyed.join(hinted(held.distinct()), hit_cond, "left_anti"))))
     if unmatched_source or null_keys == "fail":
         parts.append(source_only_rows(unkeyed))
-    if check:
-        no_rows = repeated_keys(keyed, sk)
+    if check and not (with_target and unmatched_source):
+        no_rows = repeated_keys(every, sk)
         parts.append(source_only_rows(no_rows.select(*[
             F.lit(None).cast(f.dataType).alias(f.name) for f in sside.schema.fields])))
     return reduce(DataFrame.unionByName, parts)
