@@ -9,6 +9,7 @@ type-2 step once so that two steps can be nested.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keelson.operators import merging as mg
 from keelson.operators import scd
@@ -16,6 +17,7 @@ from keelson.plans.catalog import register
 from keelson.plans.inputs import (AS_OF, CUSTOMER_COLS, INITIAL_LOAD, SECOND_AS_OF,
                                   customer_refresh, order_status_updates, table)
 from keelson.session import scratch_path, stage_parquet
+from keelson.sources.partitioned import merge_partitions
 from keelson.sources.tables import publish_dimension, read_dimension, sql_over
 
 SOURCE_EFFECTIVE = "2025-07-26"
@@ -485,3 +487,67 @@ def i1_upsert_order_status_feed(spark, sf):
 @register("i1_upsert_order_status_feed_shuffle", _ORDER_UPSERT_SQL)
 def i1_upsert_order_status_feed_shuffle(spark, sf):
     return _order_upsert(spark, sf, "shuffle")
+
+
+# ---------------------------------------------------------------------------
+# a feed into a partitioned table: only the partitions it touches are written
+
+_MONTHLY = T.StructType().add("month", "string")
+
+
+def _orders_by_month(spark, sf):
+    """The orders as a table with a folder for each month; its path and schema."""
+    orders = table(spark, sf, "orders")
+    path = scratch_path(spark, "orders-by-month")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    orders.withColumn("month", month).repartition("month").write.partitionBy("month").parquet(path)
+    return path, T.StructType(orders.schema.fields + _MONTHLY.fields)
+
+
+@register("i1_partitioned_status_feed", _ORDER_UPSERT_SQL)
+def i1_partitioned_status_feed(spark, sf):
+    path, schema = _orders_by_month(spark, sf)
+    merge_partitions(spark, path, order_status_updates(spark, sf), "o_orderkey",
+                     partition_by=["month"], update={"o_orderstatus": "source.o_orderstatus"},
+                     schema=schema)
+    return spark.read.schema(schema).parquet(path).drop("month")
+
+
+_LATE_ORDERS_SQL = """
+SELECT o_orderkey + (SELECT max(o_orderkey) + 1 FROM orders) AS o_orderkey, o_custkey,
+       'O' AS o_orderstatus, o_totalprice, o_orderdate + INTERVAL 40 DAY AS o_orderdate,
+       o_orderpriority
+FROM orders WHERE o_orderstatus = 'P'"""
+
+
+@register("i3_partitioned_upsert", f"""
+{_ORDER_UPSERT_SQL}
+UNION ALL {_LATE_ORDERS_SQL}""")
+def i3_partitioned_upsert(spark, sf):
+    # status changes of the last months, and new orders in many months, some new
+    orders = table(spark, sf, "orders")
+    next_key = orders.select(F.max("o_orderkey") + 1).scalar()
+    late = orders.filter("o_orderstatus = 'P'").withColumns({
+        "o_orderkey": F.col("o_orderkey") + next_key, "o_orderstatus": F.lit("O"),
+        "o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 40 DAYS")})
+    feed = order_status_updates(spark, sf).unionByName(late, allowMissingColumns=True)
+    feed = feed.withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    path, schema = _orders_by_month(spark, sf)
+    merge_partitions(spark, path, feed, "o_orderkey", partition_by=["month"],
+                     update={"o_orderstatus": "source.o_orderstatus"}, insert="*", schema=schema)
+    return spark.read.schema(schema).parquet(path).drop("month")
+
+
+# ---------------------------------------------------------------------------
+# a merge read through a filter and a join: its key check stays in the rows
+
+@register("i3_merge_read_through_filter", f"""
+SELECT m.c_custkey, m.c_acctbal, n_name FROM ({_SCD1_SQL}) m
+JOIN nation ON m.c_nationkey = n_nationkey
+WHERE m.c_mktsegment = 'AUTOMOBILE' AND m.c_custkey > 10""")
+def i3_merge_read_through_filter(spark, sf):
+    merged = mg.merge(table(spark, sf, "customer"), customer_refresh(spark, sf), "c_custkey",
+                      update="*", insert="*")
+    automobile = merged.filter((F.col("c_mktsegment") == "AUTOMOBILE") & (F.col("c_custkey") > 10))
+    return automobile.join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")) \
+        .select("c_custkey", "c_acctbal", "n_name")

@@ -6,11 +6,18 @@ it; a reader takes the folder of the highest committed version. Every write
 takes a folder of its own, so a run that fails before its commit record
 leaves nothing visible and can simply be tried again, and nothing being read
 is ever overwritten. A version that is committed can't be written again.
+
+A table has one writer at a time: a Parquet folder offers no way to create a
+record only if there is none. Two writers that commit one version at the same
+time are noticed, not reconciled: after its commit each reads the records of
+its version back, and raises if there are two; readers raise on them too,
+until one of the two records is removed.
 """
 
 from __future__ import annotations
 
 import uuid
+from itertools import pairwise
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -100,6 +107,16 @@ def _commit(spark: SparkSession, base: str, version: int, path: str) -> None:
     (spark.createDataFrame([(version, path)], "version long, path string")
      .withColumn("committed_at", F.current_timestamp())
      .coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/{COMMITS}"))
+    _one_record(base, _commits(spark, base).filter(F.col("version") == version))
+
+
+def _one_record(base: str, records: DataFrame) -> tuple[int, str] | None:
+    """(version, path) of the only record, or None; two of them raise."""
+    found = records.select("version", "path").limit(2).collect()
+    if len(found) > 1:
+        raise RuntimeError(f"two writers committed version {found[0]['version']} under {base}: "
+                           f"{sorted(r['path'] for r in found)}; remove one of the records")
+    return (found[0]["version"], found[0]["path"]) if found else None
 
 
 def write_snapshot(df: DataFrame, base: str, version: int) -> str:
@@ -122,10 +139,9 @@ def _committed(spark: SparkSession, base: str, version: int | None) -> tuple[int
     commits = _commits(spark, base)
     if commits is None:
         return None
-    if version is not None:
-        commits = commits.filter(F.col("version") == version)
-    row = commits.agg(F.max_by(F.struct("version", "path"), "version").alias("v")).first()
-    return None if row["v"] is None else (row["v"]["version"], row["v"]["path"])
+    if version is None:
+        version = commits.agg(F.max("version")).first()[0]
+    return None if version is None else _one_record(base, commits.filter(F.col("version") == version))
 
 
 def read_snapshot(spark: SparkSession, base: str, version: int | None = None,
@@ -197,7 +213,11 @@ def read_dimension(spark: SparkSession, base: str, version: int | None = None,
     paths = [newest[1]]
     if not current_only:
         earlier = _commits(spark, root).filter(F.col("version") < newest[0])
-        paths += [r["path"] for r in earlier.orderBy("version").collect()]
+        found = earlier.orderBy("version").collect()
+        twice = [a["version"] for a, b in pairwise(found) if a["version"] == b["version"]]
+        if twice:
+            raise RuntimeError(f"two writers committed versions {twice} under {root}")
+        paths += [r["path"] for r in found]
     runs = spark.read.option("basePath", f"{root}/{RUNS}").parquet(*paths)
     # a run's id may look like a number or not: compare as text
     latest = F.col(RUN_PART).cast("string") == newest[1].rpartition(f"{RUN_PART}=")[2]
