@@ -11,12 +11,14 @@ not offered: every join here needs an equality key.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions.hashing import md5_key
+from keelson.operators.merging import has_map
 
 _HOW = {
     "inner": "inner", "left": "left", "left_outer": "left", "leftouter": "left",
@@ -42,17 +44,24 @@ def join_on(left: DataFrame, right: DataFrame,
     expression (both key columns kept for the last two). Names match without
     regard to case, as in Spark.
 
-    Right and full outer joins by name are planned as an inner (left) join
-    and the right rows whose keys the left side lacks. Spark can neither
+    Right and full outer joins are planned as an inner (left) join and the
+    right rows that match no left row. Spark can neither
     broadcast the preserved side of an outer join nor split its skewed
     partitions: a fact table joined that way to a 25-row dimension keeps 25
     reducers busy however large it is. The inner (left) join can be broadcast
-    or split, and the left side's keys are reduced to distinct ones in each
-    map task before the anti join. The plan is the same at every size.
+    or split, and the left side's keys (the columns that an expression names)
+    are reduced to distinct ones in each map task before the anti join. The
+    plan is the same at every size. An expression may hold conditions besides
+    equalities; Catalyst takes the equalities as keys in both joins.
     """
     how = join_type(how)
     if isinstance(on, Column):
-        return left.join(right, on, how)
+        if how not in ("right", "full"):
+            return left.join(right, on, how)
+        main = left.join(right, on, "inner" if how == "right" else "left")
+        missed = right.join(_named_in(left, on), on, "left_anti")
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
+        return main.union(missed.select(*nulls, "*"))
     shared = not isinstance(on, Mapping)
     named = ([(on, on)] if isinstance(on, str) else
              [(k, k) for k in on] if shared else list(on.items()))
@@ -63,6 +72,17 @@ def join_on(left: DataFrame, right: DataFrame,
     return _equi(left, right, pairs, shared, how)
 
 
+def _named_in(df: DataFrame, condition: Column) -> DataFrame:
+    """The distinct values of the columns of ``df`` that a condition names
+    (by their names' occurrence in its text, so perhaps a few more)."""
+    text = str(condition)
+    named = [c for c in df.columns
+             if re.search(rf"(?<!\w){re.escape(c)}(?!\w)", text, re.IGNORECASE)]
+    if not named or any(has_map(df.schema[c].dataType) for c in named):
+        return df
+    return df.select(*[F.col(f"`{c}`") for c in named]).distinct()
+
+
 def _named(df: DataFrame, name: str) -> str:
     """The column of ``df`` with that name, in its own spelling."""
     return next((c for c in df.columns if c.lower() == name.lower()), name)
@@ -106,15 +126,15 @@ def semi_join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Mappi
     No fan-out: a left row appears at most once. In the anti join a left row
     with a NULL key has no match and is kept.
 
-    With keys given by name (a name, a list of shared names, or a mapping
-    left -> right) only the distinct keys of ``right`` are joined: the
+    Only the distinct keys of ``right`` (the columns that are named, or that
+    an expression names) are joined: the
     distinct runs as a partial aggregate in each map task, so a key that
     holds a third of ``right`` reaches the join as one row instead of a hot
     partition, and a small key set can be broadcast.
     """
     how = "left_anti" if anti else "left_semi"
     if isinstance(on, Column):
-        return left.join(right, on, how)
+        return left.join(_named_in(right, on), on, how)
     pairs = ([(on, on)] if isinstance(on, str) else
              list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on])
     keys = right.select(*[F.col(f"`{r}`").alias(f"__k{i}") for i, (_, r) in enumerate(pairs)]) \
@@ -131,7 +151,10 @@ def hash_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str] | Mappi
     """Join on an md5 surrogate key made on both sides.
 
     ``keys`` is a list of names present on both sides, or a mapping
-    left-name -> right-name. The surrogate is one ``key_name`` column; it is
+    left-name -> right-name. Keys are cast to the type both sides widen to
+    before they are hashed, and every value has one text there, so rows match
+    as they would on the keys themselves (int and double, decimals of two
+    scales, 0.0 and -0.0, moments in any time zone). The surrogate is one ``key_name`` column; it is
     NULL if any of its keys is, and so matches nothing, as the keys would.
     Right columns whose names repeat a left column are dropped, so the result
     has no ambiguous names; a key column that both sides have by one name is
@@ -141,9 +164,12 @@ def hash_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str] | Mappi
     pairs = list(keys.items()) if isinstance(keys, Mapping) else [(k, k) for k in keys]
     pairs = [(_named(left, a), _named(right, b)) for a, b in pairs]
 
+    types = [f.dataType for f in _keys_only(left, [a for a, _ in pairs]).union(
+        _keys_only(right, [b for _, b in pairs])).schema.fields]
+
     def surrogate(names: Sequence[str]) -> Column:
         present = _and_all([F.col(f"`{n}`").isNotNull() for n in names])
-        return F.when(present, md5_key(*[F.col(f"`{n}`") for n in names]))
+        return F.when(present, md5_key(*[F.col(f"`{n}`") for n in names], types=types))
 
     lk = left.withColumn(key_name, surrogate([a for a, _ in pairs]))
     rk = right.withColumn(key_name, surrogate([b for _, b in pairs]))
@@ -159,6 +185,10 @@ def hash_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str] | Mappi
     return joined.select(*filled)
 
 
+def _keys_only(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(f"`{n}`").alias(f"k{i}") for i, n in enumerate(names)])
+
+
 def join_aggregate(left: DataFrame, right: DataFrame, on, how: str,
                    group_by: Sequence[str | Column], aggs: Sequence[Column]) -> DataFrame:
     """Join, then group and aggregate (partial aggregation runs before the

@@ -211,6 +211,28 @@ def c4_left_join_expression(spark, sf):
     return joins.join_on(c, n, c.c_nationkey == n.n_nationkey, "left")
 
 
+_IN_CREDIT_SQL = f"""customer c %s JOIN {_AMERICAN_SQL} n
+  ON c.c_nationkey = n.n_nationkey AND c.c_acctbal > 0 AND n.n_name <> c.c_mktsegment"""
+
+
+def _in_credit(spark, sf, how):
+    """Joined by an expression: an equality, a condition of one side and one of
+    both; some rows of either side match nothing."""
+    c, n = table(spark, sf, "customer"), american_nations(spark, sf)
+    on = (c.c_nationkey == n.n_nationkey) & (c.c_acctbal > 0) & (n.n_name != c.c_mktsegment)
+    return joins.join_on(c, n, on, how)
+
+
+@register("c3_full_join_expression", f"SELECT * FROM {_IN_CREDIT_SQL % 'FULL OUTER'}")
+def c3_full_join_expression(spark, sf):
+    return _in_credit(spark, sf, "full")
+
+
+@register("c2_right_join_expression", f"SELECT * FROM {_IN_CREDIT_SQL % 'RIGHT'}")
+def c2_right_join_expression(spark, sf):
+    return _in_credit(spark, sf, "right")
+
+
 _URGENT = "(SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')"
 
 
@@ -274,6 +296,25 @@ def c8_hash_key_full_join_null_keys(spark, sf):
     return joins.hash_key_join(a, b, ["k1", "k2"], "full").drop("hash_key")
 
 
+@register("c8_hash_key_join_mixed_types", """
+SELECT c_custkey, n_name FROM customer FULL OUTER JOIN nation ON c_nationkey = n_nationkey
+UNION ALL
+SELECT c_custkey, n_name FROM customer JOIN nation
+ON CAST(c_nationkey AS DECIMAL(9,2)) = CAST(n_nationkey AS DECIMAL(12,5))""")
+def c8_hash_key_join_mixed_types(spark, sf):
+    # an integer key against doubles, where 0 is written -0.0, and decimals of two scales
+    c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
+    doubles = n.withColumn("n_nationkey", -(-F.col("n_nationkey").cast("double")))
+    doubles = doubles.withColumn("n_nationkey", F.when(
+        F.col("n_nationkey") == 0, F.lit(-0.0)).otherwise(F.col("n_nationkey")))
+    wide = joins.hash_key_join(c, doubles, {"c_nationkey": "n_nationkey"}, "full")
+    exact = joins.hash_key_join(
+        c.withColumn("c_nationkey", F.col("c_nationkey").cast("decimal(9,2)")),
+        n.withColumn("n_nationkey", F.col("n_nationkey").cast("decimal(12,5)")),
+        {"c_nationkey": "n_nationkey"})
+    return wide.select("c_custkey", "n_name").union(exact.select("c_custkey", "n_name"))
+
+
 @register("c11_semi_for_inner_with_predicate", """
 SELECT c.* FROM customer c
 WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 450000)""")
@@ -328,6 +369,39 @@ def d5_collect_set(spark, sf):
                               distinct=True)
 
 
+def _chunks_sql(source: str, size: int, name: str) -> str:
+    return f"""
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY hot, o_orderstatus ORDER BY o_custkey) - 1 AS i
+           FROM ({source}))
+SELECT hot, o_orderstatus, i // {size} AS chunk, list(o_custkey ORDER BY o_custkey) AS {name}
+FROM r GROUP BY hot, o_orderstatus, i // {size}"""
+
+
+def _hot_orders(spark, sf):
+    """Orders by status, those of every third customer as one group without a name."""
+    o = table(spark, sf, "orders")
+    hot = F.col("o_custkey") % 3 == 0
+    return o.select(hot.alias("hot"), F.when(~hot, F.col("o_orderstatus")).alias("o_orderstatus"),
+                    "o_custkey")
+
+
+_HOT_ORDERS = """SELECT o_custkey % 3 = 0 AS hot,
+  CASE WHEN o_custkey % 3 <> 0 THEN o_orderstatus END AS o_orderstatus, o_custkey FROM orders"""
+
+
+@register("d4_collect_chunks", _chunks_sql(_HOT_ORDERS, 700, "o_custkey_list"))
+def d4_collect_chunks(spark, sf):
+    # lists of 700 values; a group of a third of the rows has as many as it needs
+    return agg.collect_chunks(_hot_orders(spark, sf), ["hot", "o_orderstatus"], "o_custkey", 700)
+
+
+@register("d5_collect_chunks_distinct", _chunks_sql(
+    f"SELECT DISTINCT * FROM ({_HOT_ORDERS})", 100, "o_custkey_set"))
+def d5_collect_chunks_distinct(spark, sf):
+    return agg.collect_chunks(_hot_orders(spark, sf), ["hot", "o_orderstatus"], "o_custkey", 100,
+                              distinct=True)
+
+
 @register("d4_value_counts", """
 SELECT o_custkey, o_orderstatus, COUNT(*) AS n FROM orders GROUP BY o_custkey, o_orderstatus""")
 def d4_value_counts(spark, sf):
@@ -538,3 +612,23 @@ def g3_hash_layout_colocates_keys(spark, sf):
     return laid.groupBy("c_mktsegment").agg(
         F.count_distinct("partition_id").cast("int").alias("n_partitions"),
         F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("g3_hot_key_layout", """
+SELECT COUNT(*) AS n_rows, 0 AS over_twice_the_mean, 0 AS cold_keys_in_two_places,
+       COUNT(DISTINCT CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END) AS n_keys
+FROM orders""")
+def g3_hot_key_layout(spark, sf):
+    # one key holds a third of the rows: it is found and dealt, the others stay whole
+    o = table(spark, sf, "orders").withColumn(
+        "k", F.when(F.col("o_orderkey") % 3 == 0, -1).otherwise(F.col("o_custkey")))
+    laid = layout.with_partition_id(layout.lay_out(o, "hash", 12, ["k"], salts="auto"))
+    sizes = laid.groupBy("k", "partition_id").count()
+    by_part = sizes.groupBy("partition_id").agg(F.sum("count").alias("n")).agg(
+        F.sum("n").alias("n_rows"),
+        F.sum(F.when(F.col("n") > 2 * F.lit(o.count() / 12), 1).otherwise(0)).cast("int")
+        .alias("over_twice_the_mean"))
+    by_key = sizes.groupBy("k").agg(F.count(F.lit(1)).alias("places")).agg(
+        F.sum(F.when((F.col("k") != -1) & (F.col("places") > 1), 1).otherwise(0)).cast("int")
+        .alias("cold_keys_in_two_places"), F.count(F.lit(1)).alias("n_keys"))
+    return by_part.join(by_key, F.lit(True))  # one row each

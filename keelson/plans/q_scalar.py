@@ -46,6 +46,33 @@ def h4_row_hash(spark, sf):
                     .alias("compat_hash"))
 
 
+def _sql_nested(kind: str, *fields: str) -> str:
+    return f"'{kind[0]}' || " + " || '|' || ".join(fields) + f" || '{kind[1]}'"
+
+
+_NESTED_SQL = ", ".join(_sql_field("(" + text + ")") for text in (
+    _sql_nested("[]", _sql_field("CAST(o_custkey AS VARCHAR)"), "'~'",
+                _sql_field("CAST(o_orderkey AS VARCHAR)")),
+    _sql_nested("()", _sql_field("o_orderstatus"), _sql_field("CAST(o_totalprice AS VARCHAR)")),
+    _sql_nested("{}", "'1:k=' || " + _sql_field("o_orderpriority"), "'2:at=' || " + _sql_field(
+        "CAST(epoch_us(o_orderdate) AS VARCHAR)")),
+    "'[]'"))
+
+
+@register("h4_row_hash_nested",
+          f"SELECT o_orderkey, md5(concat_ws('|', {_NESTED_SQL}, '~')) AS row_hash FROM orders")
+def h4_row_hash_nested(spark, sf):
+    # an array, a struct, a map whose entries come in any order, an empty array, no array
+    o = table(spark, sf, "orders")
+    at = F.unix_micros(F.to_utc_timestamp("o_orderdate", F.current_timezone())).cast("string")
+    rows = o.select(
+        "o_orderkey", F.array("o_custkey", F.lit(None), "o_orderkey").alias("a"),
+        F.struct("o_orderstatus", "o_totalprice").alias("s"),
+        F.create_map(F.lit("at"), at, F.lit("k"), F.col("o_orderpriority")).alias("m"),
+        F.array().cast("array<string>").alias("e"), F.lit(None).cast("array<string>").alias("n"))
+    return rows.select("o_orderkey", row_hash(["a", "s", "m", "e", "n"], rows.schema).alias("row_hash"))
+
+
 # ---------------------------------------------------------------------------
 # text
 

@@ -7,9 +7,10 @@ files, and ``foreachBatch`` applies each micro-batch to the dimension with
 back from storage, so lineage never grows across batches.
 
 A micro-batch may hold several days' files (a stream that was down for a
-while): it is split by ``as_of_col`` and applied one value after the other,
-so the result doesn't depend on when the stream runs. Each step becomes a
-version of its own.
+while): it is staged once, partitioned by ``as_of_col``, and applied one value
+after the other, each from its own folder, so every file is read once however
+many days it holds, and the result doesn't depend on when the stream runs.
+Each step becomes a version of its own.
 
 Re-runs are safe: the stream's checkpoint records which files were
 processed, each step writes a folder of its own which counts once it is
@@ -28,9 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.operators.merging import dedupe_latest
+from keelson.session import stage_parquet
 from keelson.sources.tables import (latest_version, publish_dimension, read_dimension,
                                     read_snapshot, write_snapshot)
 
+#: The folder column of a staged micro-batch.
+DAY = "__day"
+
 
 def stream_apply(spark: SparkSession, batch_dir: str, batch_schema: T.StructType | str,
                  snapshot_base: str, step: Callable[[DataFrame, DataFrame, str], DataFrame], *,
@@ -60,17 +65,18 @@ def stream_apply(spark: SparkSession, batch_dir: str, batch_schema: T.StructType
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        # the distinct processing dates of one micro-batch
-        found = batch.groupBy(F.col(as_of_col).cast("string").alias("d")).count().collect()
-        if any(r["d"] is None for r in found):
+        # NULL has a folder too; dates and moments are text there, in an order of their own
+        staged = stage_parquet(batch.withColumn(DAY, F.concat(F.lit("d"), F.col(as_of_col).cast(
+            "string"))), "micro-batch", partition_by=DAY)
+        found = [r[DAY] for r in staged.select(DAY).distinct().collect()]
+        if None in found:
             raise ValueError(f"rows without {as_of_col}")
-        kind = batch.schema[as_of_col].dataType
-        for moment in sorted(r["d"] for r in found):
+        for moment in sorted(d[1:] for d in found):
             latest = latest_version(spark, snapshot_base)
             if latest is None:
                 raise FileNotFoundError(f"no committed snapshot under {snapshot_base}: "
                                         f"publish the full load first")
-            rows = batch.filter(F.col(as_of_col) == F.lit(moment).cast(kind))
+            rows = staged.filter(F.col(DAY) == f"d{moment}").drop(DAY)
             changes = dedupe_latest(rows, keys, order).drop(as_of_col)
             if layout == "dimension":
                 current = read_dimension(spark, snapshot_base, latest[0], current_only=True)
