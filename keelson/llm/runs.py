@@ -201,17 +201,19 @@ def repeating(doc_id: Column, text: Column) -> Column:
     and those with a null id, are as given."""
     h = F.crc32(doc_id.cast("string"))
     g = F.floor(h / 10)
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    n = F.size(words)
 
-    def over_and_over(words: Column, n: Column) -> Column:
+    def over_and_over(words: Column) -> Column:
+        n = F.size(words)
         a = (g % n).cast("int")
         p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
-        return F.transform(words, lambda w, i: F.when(i < a, w).otherwise(
-            F.element_at(words, a + (i - a) % p + 1)))
+        times = F.ceil((n - a) / p).cast("int")
+        passage = F.flatten(F.array_repeat(F.slice(words, a + 1, p), times))
+        return F.concat_ws(" ", F.slice(words, F.lit(1), a), F.slice(passage, F.lit(1), n - a))
 
-    planted = F.concat_ws(" ", over_and_over(words, n))
-    return F.when((h % 10 == 0) & (n > 0), planted).otherwise(text)
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    # a name for the words, so that they are taken from the text once
+    planted = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, over_and_over(w)))[0]
+    return F.when(h % 10 == 0, F.coalesce(planted, text)).otherwise(text)
 
 
 def run_report(docs: DataFrame) -> DataFrame:
