@@ -10,14 +10,20 @@ density is the sum of its matches' weights over its number of words
 pivot scores 0.5.
 
 All of it is learned from labelled rows, a bounded sample (about ``SAMPLE``
-of each label, ``text.training_rows``): candidates by document frequency; weights, the log odds of
+of each label, ``text.training_rows``): candidates are all words and stems that
+lean to toxic rows and occur in 0.3 % of them (so the sample bounds their
+number, and nothing else does); weights, the log odds of
 toxic against clean, from the number of *different* neighbourhoods a term is
 met in (copies of one document count once); exception phrases from clean
-rows; the pivot where it separates the sample best.
+rows; the pivot where it separates best a fifth of the sample that taught no
+weights (the whole sample where that fifth has one kind of rows only).
 
 Cases: null, empty and wordless texts have density and score 0; texts of any
 length are read whole; rows without a label, id or text teach nothing; with
-no lexicon every score is 0. Results are keyed by the id column only.
+no lexicon every score is 0, and an empty table gives an empty result; a
+density at the pivot scores 0.5, which is toxic, and pivots that separate
+equally well give the least; repeated rows score alike. Results are keyed by
+the id column only.
 """
 
 from __future__ import annotations
@@ -148,12 +154,10 @@ def _documents(rows: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _candidates(words: DataFrame, toxic: int, clean: int, least: int, limit: int) -> list[str]:
-    """Whole words and stems that lean to toxic rows, as lexicon terms; the
-    ``limit`` most frequent of each kind."""
+def _candidates(words: DataFrame, toxic: int, clean: int, least: int) -> list[str]:
+    """Whole words and stems that lean to toxic rows, as lexicon terms."""
     rate = (F.col("toxic") / toxic) / (F.col("toxic") / toxic + F.col("clean") / clean)
-    whole = (words.filter((F.col("toxic") >= least) & (F.length("word") > 1) & (rate >= 0.6))
-             .orderBy(F.desc("toxic"), "word").limit(limit).collect())
+    whole = words.filter((F.col("toxic") >= least) & (F.length("word") > 1) & (rate >= 0.6)).collect()
     begun = words.select(
         "word", "toxic", "clean",
         F.explode(F.sequence(F.lit(MIN_STEM), F.least(F.lit(MAX_STEM), F.length("word"))))
@@ -164,14 +168,13 @@ def _candidates(words: DataFrame, toxic: int, clean: int, least: int, limit: int
     stems = following.groupBy("stem").agg(
         F.max("toxic").alias("most"), F.sum(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("ways"),
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    branching = (stems.filter((F.col("toxic") >= least) & (rate >= 0.98) & (F.col("ways") >= 4)
-                              & (F.col("most") <= 0.6 * F.col("toxic")))
-                 .orderBy(F.desc("toxic"), "stem").limit(limit).collect())
-    kept: list[str] = []
+    branching = stems.filter((F.col("toxic") >= least) & (rate >= 0.98) & (F.col("ways") >= 4)
+                             & (F.col("most") <= 0.6 * F.col("toxic"))).collect()
+    kept: set[str] = set()  # none begins with another
     for stem in sorted((r["stem"] for r in branching), key=lambda s: (len(s), s)):
-        if not any(stem.startswith(k) for k in kept):
-            kept.append(stem)
-    return [f" {r['word']} " for r in whole] + [f" {s}" for s in kept]
+        if not any(stem[:n] in kept for n in range(MIN_STEM, len(stem))):
+            kept.add(stem)
+    return sorted(f" {r['word']} " for r in whole) + sorted(f" {s}" for s in kept)
 
 
 def _contexts(rows: DataFrame, terms: list[str]) -> DataFrame:
@@ -198,9 +201,9 @@ def _contexts(rows: DataFrame, terms: list[str]) -> DataFrame:
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _exceptions(contexts: DataFrame, limit: int) -> list[str]:
+def _exceptions(contexts: DataFrame) -> DataFrame:
     """Phrases of a term's word and a neighbour that only clean rows have,
-    in different surroundings; the ``limit`` most frequent."""
+    in different surroundings."""
     sides = (F.concat_ws(" ", "before", "word").alias("phrase"), F.col("after").alias("rest")), \
         (F.concat_ws(" ", "word", "after").alias("phrase"), F.col("before").alias("rest"))
     both = contexts.filter(F.col("before") != "").select(*sides[0], "toxic", "clean").unionByName(
@@ -208,9 +211,8 @@ def _exceptions(contexts: DataFrame, limit: int) -> list[str]:
     found = both.groupBy("phrase").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"),
         F.count_distinct("rest").alias("ways"))
-    rows = (found.filter((F.col("toxic") == 0) & (F.col("clean") >= 3) & (F.col("ways") >= 3))
-            .orderBy(F.desc("clean"), "phrase").limit(limit).collect())
-    return sorted(r["phrase"] for r in rows)
+    return found.filter((F.col("toxic") == 0) & (F.col("clean") >= 3) & (F.col("ways") >= 3)).select(
+        "phrase")
 
 
 def best_pivot(rows: list[tuple[float, int]]) -> float:
@@ -234,22 +236,30 @@ def best_pivot(rows: list[tuple[float, int]]) -> float:
     return math.sqrt(max(low, right / 4) * right)
 
 
-def fit(rows: DataFrame, limit: int = 3_000) -> Lexicon:
-    """A lexicon of at most ``limit`` words and as many stems and phrases,
-    from the training rows (doc_id, y, text)."""
-    sums = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+def fit(rows: DataFrame) -> Lexicon:
+    """A lexicon from the training rows (doc_id, y, text), a bounded sample;
+    the terms and the phrases around them are what reaches the driver."""
+    apart = F.pmod(F.xxhash64(F.lit("pivot"), "doc_id"), F.lit(5)) == 0
+    kinds = rows.groupBy(apart.alias("apart"), "y").count().collect()
+    if sum(r["apart"] for r in kinds) == sum(not r["apart"] for r in kinds) == 2:
+        taught, measured = rows.filter(~apart), rows.filter(apart)
+    else:
+        taught = measured = rows
+    sums = {r["y"]: r["count"] for r in taught.groupBy("y").count().collect()}
     toxic, clean = sums.get(1, 0), max(1, sums.get(0, 0))
     if toxic == 0:
         return Lexicon()
     least = max(3, round(0.003 * toxic))
-    terms = _candidates(staged(_documents(rows), "toxicity-words"), toxic, clean, least, limit)
+    terms = _candidates(staged(_documents(taught), "toxicity-words"), toxic, clean, least)
     if not terms:
         return Lexicon()
-    contexts = staged(_contexts(rows, terms), "toxicity-contexts")
-    phrases = _exceptions(contexts, limit)
-    spared = F.concat_ws(" ", "before", "word").isin(phrases) | \
-        F.concat_ws(" ", "word", "after").isin(phrases)
-    met = contexts.filter(~spared if phrases else F.lit(True)).groupBy("term").agg(
+    contexts = staged(_contexts(taught, terms), "toxicity-contexts")
+    phrases = staged(_exceptions(contexts), "toxicity-phrases")
+    unspared = contexts
+    for pair in (("before", "word"), ("word", "after")):
+        unspared = unspared.withColumn("phrase", F.concat_ws(" ", *pair)).join(
+            phrases, "phrase", "left_anti").drop("phrase")
+    met = unspared.groupBy("term").agg(
         F.sum((F.col("toxic") > 0).cast("int")).alias("toxic"),
         F.sum((F.col("clean") > 0).cast("int")).alias("clean")).collect()
     weights = {}
@@ -258,9 +268,13 @@ def fit(rows: DataFrame, limit: int = 3_000) -> Lexicon:
         doubt = math.sqrt(1 / (r["toxic"] + 0.5) + 1 / (r["clean"] + 0.5))
         if r["toxic"] >= least and odds - doubt >= math.log(10):
             weights[r["term"]] = odds
-    lexicon = Lexicon(weights, tuple(phrases))
-    measured = rows.select("y", density_udf(rows, lexicon)("text").alias("density")).collect()
-    lexicon.pivot = best_pivot([(r["density"], r["y"]) for r in measured])  # the bounded sample
+    lexicon = Lexicon(weights)
+    found = lexicon.automaton()
+    if found is not None:  # phrases without a term spare nothing
+        lexicon.exceptions = tuple(sorted(r["phrase"] for r in phrases.collect()
+                                          if any(True for _ in found.iter(f" {r['phrase']} "))))
+    densities = measured.select("y", density_udf(measured, lexicon)("text").alias("density")).collect()
+    lexicon.pivot = best_pivot([(r["density"], r["y"]) for r in densities])  # the bounded sample
     return lexicon
 
 

@@ -1,5 +1,6 @@
 """Quality and toxicity: held-out accuracy, method parts, awkward cases."""
 
+import math
 import random
 import zlib
 
@@ -148,3 +149,71 @@ def test_best_pivot():
     assert T.best_pivot([]) == 1.0
     assert T.best_pivot([(0.0, 0), (0.0, 0), (4.0, 1), (5.0, 1)]) == pytest.approx(2.0)
     assert 1.0 < T.best_pivot([(0.0, 0), (1.0, 0), (3.0, 1), (5.0, 1)]) < 3.0
+
+
+def naive_density(lexicon, text):
+    """Every term at every word, without an automaton."""
+    words = T.fold(text, T.Folds())
+    spared = set()
+    for i in range(len(words) - 1):
+        if f"{words[i]} {words[i + 1]}" in lexicon.exceptions:
+            spared |= {i, i + 1}
+    total = 0.0
+    for i, word in enumerate(words):
+        if i not in spared:
+            total += max([w for t, w in lexicon.terms.items()
+                          if (t[1:-1] == word if t.endswith(" ") else word.startswith(t[1:]))],
+                         default=0.0)
+    return total / max(T.FLOOR, len(words)) if words else 0.0
+
+
+def test_densities_against_a_naive_matcher(spark):
+    docs, marks = toxic_corpus(spark)
+    lexicon = T.fit(training_rows(docs, marks, "toxic", 5, 0, T.SAMPLE))
+    assert lexicon.exceptions and any(not t.endswith(" ") for t in lexicon.terms)
+    for r in docs.select("text", T.density_udf(docs, lexicon)("text").alias("d")).collect():
+        assert r["d"] == pytest.approx(naive_density(lexicon, r["text"]))
+
+
+def test_no_learned_term_is_cut_off(spark):
+    """Thousands of neutral words that lean by chance push no rare toxic word out."""
+    rng = random.Random(3)
+    docs, marks = [], []
+    neutral = [f"n{i:05d}" for i in range(6000)]
+    for i in range(900):
+        toxic = int(i % 3 == 0)
+        text = rng.sample(neutral[:4500] if toxic else neutral, 60)
+        if toxic and i % 30 == 0:
+            text[3:3] = ["rarebad"]
+        docs.append((i, " ".join(text), "", "", 0, 0.0))
+        marks.append((i, 1, toxic))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, "
+                                     "n_chars long, score double")
+    lexicon = T.fit(training_rows(df, labels(spark, marks), "toxic", 5, 0, T.SAMPLE))
+    assert " rarebad " in lexicon.terms
+
+
+def test_ftrl_against_a_plain_learner():
+    """The same learner, coordinate by coordinate in plain Python."""
+    learner, rng = Q.Ftrl(bits=5), random.Random(2)
+    alpha, beta, l1, l2 = learner.alpha, learner.beta, learner.l1, learner.l2
+    z, n = [0.0] * 33, [0.0] * 33  # the last is the intercept
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(200):
+        at = sorted(rng.sample(range(32), 4))
+        values = [rng.uniform(0.1, 1.0) for _ in at]
+        y = int(at[0] < 6)
+        p = 1 / (1 + math.exp(-sum(weight(i) * v for i, v in zip([*at, 32], [*values, 1.0]))))
+        for i, v in zip([*at, 32], [*values, 1.0]):
+            g = (p - y) * v
+            sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+            w = weight(i)
+            z[i] += g - sigma * w
+            n[i] += g * g
+        learner.learn(np.array(at), np.array(values), y)
+    assert learner.weights(slice(None)) == pytest.approx([weight(i) for i in range(33)], abs=1e-9)
