@@ -6,10 +6,17 @@ text is one shingle). Sketches of parts merge into the sketch of the whole,
 and estimate resemblance, containment and the number of different shingles.
 With fewer than ``k`` hashes a sketch is the whole set and exact.
 
+Neighbours by id: rows are dealt into slices of about ``SLICE_BYTES`` of text,
+cut by (id, hash of the text), so rows that share an id, or have none, spread
+over slices as others do. Each slice is one partition; the first row of the
+next slice is copied behind it.
+
 Cases: a null text counts as empty, with an empty sketch; two empty texts
 are alike (1.0), an empty and another are not (0.0); repeated ids follow one
-another by the hash of their text; null ids come last; a lone row is its own
-next document; the input's other columns are not read.
+another by the hash of their text (equal rows, in any order, which gives the
+same result, stay in one slice and are sketched once); null ids come last; a
+lone row is its own next document; an empty table gives an empty result; very
+long texts are sketched whole; the input's other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +34,7 @@ from keelson.llm.text import shingle_hashes, word_hashes
 
 K = 128
 WIDTH = 5
-SLICES = 2_000  # at most; a slice is streamed, so its size is no matter of memory
+SLICE_BYTES = 32_000_000  # of text in a slice, about; a slice is streamed
 EMPTY = np.empty(0, dtype=np.uint64)
 
 
@@ -109,46 +116,65 @@ def with_half_of(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-def _slice_count(df: DataFrame) -> int:
-    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(SLICES, max(1, wanted))
+_ORDER = ("last", "doc_id", "tie")  # null ids last, equal ids by their texts' hash
+
+
+def _heads(rows: DataFrame, slice_bytes: int) -> list[tuple[int, int, int]]:
+    """The least (last, doc_id, tie) of each slice: a narrow pass over the
+    keys, of which a row for each slice reaches the driver."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    dealt = rows.select(*_ORDER).repartitionByRange(max(1, -(-size // slice_bytes)), *_ORDER)
+    found = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(*_ORDER)).alias("h"))
+    return sorted({tuple(r["h"]) for r in found.toLocalIterator()})
+
+
+def _slice_of(heads: list[tuple[int, int, int]]):
+    """(last, doc_id, tie) -> the slice: how many heads aren't greater, less
+    one. A binary search by id, and by hash among the heads of that id."""
+    lasts, ids, ties = (np.array(c, dtype=np.int64) for c in zip(*heads, strict=True))
+    split = int(np.searchsorted(lasts, 1))
+
+    @F.pandas_udf("int")
+    def slices(last: pd.Series, doc_id: pd.Series, tie: pd.Series) -> pd.Series:
+        last, x, t = last.to_numpy(), doc_id.to_numpy(), tie.to_numpy()
+        low = np.where(last == 1, split, np.searchsorted(ids[:split], x, side="left"))
+        high = np.where(last == 1, len(ids), np.searchsorted(ids[:split], x, side="right"))
+        at = low.copy()
+        for a in np.unique(low[low < high]):  # a stretch of heads that share an id
+            mine = (low == a) & (low < high)
+            b = high[mine][0]
+            at[mine] = a + np.searchsorted(ties[a:b], t[mine], side="right")
+        return pd.Series(np.maximum(at - 1, 0))
+
+    return slices
 
 
-def _slices(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows dealt into slices of consecutive ids, each slice followed by a
-    copy of the row that comes next (halo): the first of the next slice, or
-    of all after the last. Only the slices' first ids pass through the
-    driver's plan (one row for each slice); every text is shuffled once."""
-    spark = df.sparkSession
-    n = _slice_count(df)
+def _slices(df: DataFrame, doc_id: str, text: str, slice_bytes: int) -> tuple[DataFrame, int]:
+    """Rows dealt into slices, each followed by a copy of the row that comes
+    next (halo): the first of the next slice, or of all after the last; and
+    the number of slices. Only the slices' heads pass through the driver;
+    every text is shuffled once."""
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    cuts = [i / n for i in range(1, n)]
-    found = rows.agg(F.percentile_approx("doc_id", cuts, 10_000).alias("cuts")).first() \
-        if cuts else None
-    cuts = sorted(set(found["cuts"] or [])) if found else []
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    if cuts:
-        at = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id")))
-    else:
-        at = F.lit(0)
-    rows = rows.withColumn("slice", F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(at))
-    firsts = rows.groupBy("slice").agg(F.min("doc_id").alias("first")).collect()
-    heads = sorted((r["slice"], r["first"]) for r in firsts)  # read from the ids alone
+    rows = rows.select(
+        F.col("doc_id").isNull().cast("long").alias("last"),
+        F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
+    heads = _heads(rows, slice_bytes)
     if not heads:
-        return rows.withColumn("halo", F.lit(False))
-    small = spark.createDataFrame(
-        [(heads[i - 1][0], *head) for i, head in enumerate(heads)],
-        "halo_slice int, of int, head_id long")
-    halo = rows.join(
-        F.broadcast(small),  # a row for each slice
-        (rows["slice"] == small["of"]) & rows["doc_id"].eqNullSafe(small["head_id"]))
-    halo = halo.select("doc_id", "text", "tie", F.col("halo_slice").alias("slice"),
-                       F.lit(True).alias("halo"))
-    return rows.withColumn("halo", F.lit(False)).unionByName(halo)
+        return rows.withColumn("slice", F.lit(0)).withColumn("halo", F.lit(False)), 1
+    small = df.sparkSession.createDataFrame(
+        [(i - 1 if i else len(heads) - 1, *head) for i, head in enumerate(heads)],
+        "slice int, last long, doc_id long, tie long")
+    first = rows.join(F.broadcast(small), list(_ORDER))  # a row for each slice
+    halo = first.groupBy("slice", *_ORDER).agg(F.min("text").alias("text"))  # equal rows once
+    names = ["text", *_ORDER, "slice", "halo"]
+    dealt = rows.withColumn("slice", _slice_of(heads)(*_ORDER)).withColumn("halo", F.lit(False))
+    return dealt.select(names).union(
+        halo.withColumn("halo", F.lit(True)).select(names)), len(heads)
 
 
 def edited_fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                        k: int = K, width: int = WIDTH) -> DataFrame:
+                        k: int = K, width: int = WIDTH,
+                        slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next, n_shingles: each document beside itself with half
     of the next document's text (``with_half_of``) and beside the next."""
@@ -156,36 +182,28 @@ def edited_fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text
               "edited_fingerprint string, near_edited double, near_next double, "
               "n_shingles double")
     names = [c.split()[0] for c in schema.split(", ")]
-    rows = _slices(df, doc_id, text)
-    n = _slice_count(df)
+    rows, n = _slices(df, doc_id, text, slice_bytes)
 
     def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        maker, last, slice_ = Sketcher(k, width), None, None
+        maker, before, seen, sketch = Sketcher(k, width), None, None, EMPTY
         for batch in batches:
             out = []
-            for id_, value, at, halo in zip(batch["doc_id"], batch["text"], batch["slice"],
-                                            batch["halo"], strict=True):
-                if at != slice_:
-                    slice_, last = at, None
-                elif last is None:
-                    continue  # a further copy of the halo row
+            for none, id_, value in zip(batch["last"], batch["doc_id"], batch["text"], strict=True):
                 value = value if isinstance(value, str) else ""
-                own = maker.sketch(value)
-                if last is not None:
-                    before, text_, sketch = last
-                    edited = with_half_of(text_, value)
-                    changed = maker.sketch(edited)
-                    out.append((before, len(text_),
+                own = sketch if value == seen else maker.sketch(value)
+                if before is not None:
+                    edited = with_half_of(seen, value)
+                    changed = sketch if edited == seen else maker.sketch(edited)
+                    out.append((before[0], len(seen),
                                 hashlib.sha256(edited.encode("utf-8")).hexdigest(),
                                 to_text(sketch), to_text(changed),
                                 resemblance(sketch, changed, k), resemblance(sketch, own, k),
                                 distinct(sketch, k)))
-                last = None if halo else (id_, value, own)
+                before, seen, sketch = (None if none else id_,), value, own
             if out:
                 part = pd.DataFrame(out, columns=names)
                 yield part.assign(doc_id=part["doc_id"].astype("Int64"))
 
-    # nulls last, the halo row after its slice, equal ids by text hash
-    dealt = rows.repartition(n, "slice").sortWithinPartitions(
-        "slice", "halo", F.col("doc_id").asc_nulls_last(), "tie")
-    return dealt.select("doc_id", "text", "slice", "halo").mapInPandas(follow, schema)
+    # a partition is a slice; its last row is the next slice's first
+    dealt = rows.repartitionById(n, "slice").sortWithinPartitions("halo", *_ORDER)
+    return dealt.select("last", "doc_id", "text").mapInPandas(follow, schema)

@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from keelson.llm import fingerprint as P
 from keelson.llm.text import word_hashes
@@ -80,11 +81,32 @@ def test_awkward_rows(spark):
     assert P.fingerprints(awkward(spark), name="score").columns == awkward(spark).columns
 
 
-def test_every_slice_meets_the_next(spark):
+@pytest.mark.parametrize("slice_bytes", [10**9, 400, 60])
+def test_every_slice_meets_the_next(spark, slice_bytes):
     rows = [(i, f"text {i} " + "abc " * (i % 5)) for i in range(-50, 150)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = {r["doc_id"]: r["edited_sha256"] for r in P.edited_fingerprints(df).collect()}
-    assert got == {d: hashlib.sha256(e.encode()).hexdigest() for d, _, e, _ in brute(rows)}
+    got = P.edited_fingerprints(df, slice_bytes=slice_bytes).collect()
+    assert {r["doc_id"]: r["edited_sha256"] for r in got} == {
+        d: hashlib.sha256(e.encode()).hexdigest() for d, _, e, _ in brute(rows)}
+
+
+@pytest.mark.parametrize("hot", [None, 40])
+def test_a_third_of_the_ids_alike_spreads_over_slices(spark, hot):
+    rows = [(hot if i % 3 == 0 else i, f"text {i * 7919 % 1000} of {i}") for i in range(900)]
+    rows += [(hot, "the same"), (hot, "the same"), (7, "the same")] * 20  # equal rows, in one slice
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    ties = {r["text"]: r["t"] for r in df.selectExpr("text", "xxhash64(text) t").collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, ties[r[1]]))
+    wanted = []
+    for i, (doc, text) in enumerate(ordered):
+        after, half = ordered[(i + 1) % len(ordered)][1], len(text) // 2
+        wanted.append((doc, hashlib.sha256(((text[:-half] if half else text) + after[:half])
+                                           .encode()).hexdigest()))
+    out = P.edited_fingerprints(df, slice_bytes=1000)
+    assert sorted(((r["doc_id"], r["edited_sha256"]) for r in out.collect()), key=str) == \
+        sorted(wanted, key=str)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 2 * np.median(sizes) + 60
 
 
 def test_word_hashes_depend_on_the_word_alone():
