@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 
 from keelson.llm import url_filter as U
@@ -55,3 +56,45 @@ def test_empty_table_keeps_columns(spark):
     out = U.judge_urls(df)
     assert out.count() == 0 and out.columns[:2] == ["page_id", "url"]
     assert len(set(out.columns)) == len(out.columns)
+
+
+def test_of_equal_rules_the_first_wins(spark):
+    rules = (("allow", "a.net", "/"), ("block", "a.net", "/"), ("block", "net", "/en/"))
+    rows = judged(spark, ["http://a.net/x", "http://a.net/en/"], rules=rules)
+    assert [r["verdict"] for r in rows] == ["allow", "block"]
+    con = duckdb.connect()
+    con.sql("create view pages as select * from (values (0, 'http://a.net/x')) t(page_id, url)")
+    assert con.sql(U.oracle(rules)).fetchall()[0][4] == "allow"
+
+
+def test_vocabulary_from_a_table(spark):
+    terms = spark.createDataFrame([("Zap", None), ("zap", 0.5), ("a-b", 0.4), ("c", 0.4), ("c", 0.9),
+                                   ("", 1.0), (None, 1.0)], "term string, weight double")
+    v = U.Vocabulary.from_table(terms)
+    assert v.strict == ("zap",) and v.soft == {"a-b": 0.4, "c": 0.9}
+    rows = judged(spark, ["x://h/a-b/c", "x://h/c/c", "x://h/ZAP"], rules=(), vocabulary=v)
+    assert [r["verdict"] for r in rows] == ["block", "allow", "block"]
+    with pytest.raises(ValueError, match="hyphens"):
+        U.Vocabulary.from_table(spark.createDataFrame([("a b", 1.0)], terms.schema))
+    with pytest.raises(ValueError, match="more than 2"):
+        U.Vocabulary.from_table(terms, max_terms=2)
+    none = U.Vocabulary.from_table(terms.limit(0))
+    assert judged(spark, ["http://porn.com/"], rules=(), vocabulary=none)[0]["verdict"] == "allow"
+
+
+def test_default_terms_are_well_formed():
+    assert all(U.TERM.fullmatch(t) for t in (*U.STRICT, *U.SOFT))
+    assert not set(U.STRICT) & set(U.SOFT) and len(set(U.STRICT)) == len(U.STRICT)
+
+
+def test_repeated_rows_clashing_columns_and_a_long_url(spark):
+    long = "http://h.com/" + "a/" * 300_000 + "casino"
+    rows = [(1, "http://poker.com/bets", "mine", 7), (1, "http://poker.com/bets", "mine", 7),
+            (2, long, None, None), (3, None, "x", 1)]
+    df = spark.createDataFrame(rows, "page_id long, url string, rule string, soft_hits int")
+    out = U.judge_urls(df)
+    assert out.columns == ["page_id", "url", "host", "path", "rule", "verdict", "strict_hits",
+                           "soft_hits", "soft_weight"]
+    got = sorted((r["page_id"], r["rule"], r["verdict"], r["soft_hits"]) for r in out.collect())
+    assert got == [(1, None, "block", 2), (1, None, "block", 2), (2, None, "block", 0),
+                   (3, None, "allow", 0)]
