@@ -15,8 +15,9 @@ lean to toxic rows and occur in 0.3 % of them (so the sample bounds their
 number, and nothing else does); weights, the log odds of
 toxic against clean, from the number of *different* neighbourhoods a term is
 met in (copies of one document count once); exception phrases from clean
-rows; the pivot where it separates best a fifth of the sample that taught no
-weights (the whole sample where that fifth has one kind of rows only).
+rows; the pivot where a lexicon learned from four fifths of the sample
+separates the last fifth best (the whole sample, where that fifth has one kind
+of rows only).
 
 Cases: null, empty and wordless texts have density and score 0; texts of any
 length are read whole; rows without a label, id or text teach nothing; with
@@ -245,15 +246,26 @@ def fit(rows: DataFrame) -> Lexicon:
         taught, measured = rows.filter(~apart), rows.filter(apart)
     else:
         taught = measured = rows
-    sums = {r["y"]: r["count"] for r in taught.groupBy("y").count().collect()}
+    lexicon = _learned(taught)
+    densities = measured.select("y", density_udf(measured, lexicon)("text").alias("density")).collect()
+    pivot = best_pivot([(r["density"], r["y"]) for r in densities])  # the bounded sample
+    if taught is not rows:
+        lexicon = _learned(rows)
+    lexicon.pivot = pivot
+    return lexicon
+
+
+def _learned(rows: DataFrame) -> Lexicon:
+    """Terms, weights and exception phrases."""
+    sums = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     toxic, clean = sums.get(1, 0), max(1, sums.get(0, 0))
     if toxic == 0:
         return Lexicon()
     least = max(3, round(0.003 * toxic))
-    terms = _candidates(staged(_documents(taught), "toxicity-words"), toxic, clean, least)
+    terms = _candidates(staged(_documents(rows), "toxicity-words"), toxic, clean, least)
     if not terms:
         return Lexicon()
-    contexts = staged(_contexts(taught, terms), "toxicity-contexts")
+    contexts = staged(_contexts(rows, terms), "toxicity-contexts")
     phrases = staged(_exceptions(contexts), "toxicity-phrases")
     unspared = contexts
     for pair in (("before", "word"), ("word", "after")):
@@ -273,8 +285,6 @@ def fit(rows: DataFrame) -> Lexicon:
     if found is not None:  # phrases without a term spare nothing
         lexicon.exceptions = tuple(sorted(r["phrase"] for r in phrases.collect()
                                           if any(True for _ in found.iter(f" {r['phrase']} "))))
-    densities = measured.select("y", density_udf(measured, lexicon)("text").alias("density")).collect()
-    lexicon.pivot = best_pivot([(r["density"], r["y"]) for r in densities])  # the bounded sample
     return lexicon
 
 
