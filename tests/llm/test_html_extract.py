@@ -62,7 +62,7 @@ def test_weights_come_from_the_labelled_pages():
     assert table["word", "main", False, "text"] > 0 > table["word", "outside", False]
     assert all(w < 0 for k, w in table.items() if k[0] == "tag")
     for page in H.PAGES:  # each is read as it is labelled
-        marked = page.partition("[[")[2].partition("]]")[0]
+        marked = " ".join(re.findall(r"\[\[(.*?)\]\]", page, re.S))
         plain = H.extract(page.replace("[[", "").replace("]]", ""))
         assert plain == " ".join(html.unescape(re.sub(r"<[^>]*>", " ", marked)).split())
 
@@ -96,3 +96,48 @@ MENU = "<ul><li><a href=a>one</a><li><a href=b>two</a></ul>"
 ])
 def test_boxes_around_the_main_text(page, text):
     assert H.extract(page) == text
+
+
+PS = f"<p>{BODY}</p><p>{BODY}</p><p>{BODY}</p>"
+TEXT = f"{BODY} {BODY} {BODY}"
+
+
+@pytest.mark.parametrize("page, text", [
+    # attributes are read as name and value: a value or a longer name says nothing
+    (f"<article title='The hidden valley'>{PS}</article>", TEXT),
+    (f"<div title='The hidden valley'>{PS}</div>", TEXT),
+    (f"<article><p>{BODY} <a href=x title='so hidden'>link</a></p></article>", f"{BODY} link"),
+    (f"<article><img alt='x hidden y'>{PS}</article>", TEXT),
+    (f"<article data-hidden='false'>{PS}</article>", TEXT),
+    (f"<article data-id='comment-1' data-class=ad>{PS}</article>", TEXT),
+    (f"<article><div aria-hidden=false>{PS}</div></article>", TEXT),
+    (f"<article>{PS}<p HIDDEN=hidden>{BODY}</p></article>", TEXT),
+    (f"<article>{PS}<p class='x'hidden>{BODY}</p></article>", TEXT),
+    (f"<article>{PS}<p class=x class=ad>{BODY}</p></article>", f"{TEXT} {BODY}"),
+    (f"<article>{PS}<p title=\"it's\" class='ad'>{BODY}</p></article>", TEXT),
+    # names that say more than the mark: prose stays, lists of links go
+    (f"<article><div class='article-search-body'>{PS}</div></article>", TEXT),
+    (f"<article><p>{BODY}</p><section class='alert-history'>{PS}</section></article>", f"{BODY} {TEXT}"),
+    (f"<article>{PS}<div class='share-this-story'>{MENU}</div></article>", TEXT),
+    (f"<article>{PS}<div class='alert-history'>{MENU}<div class=ad><p>{BODY}</p></div></div></article>",
+     TEXT),
+    # names in any spelling
+    (f"<div>{PS}</div><div id='commentlist'><p>{BODY} {BODY}</p></div>", TEXT),
+    (f"<div>{PS}</div><div id='pageFooter'><p>{BODY}</p></div>", TEXT),
+    (f"<div>{PS}</div><div id='PAGE_FOOTER'><p>{BODY}</p></div>", TEXT),
+    (f"<div>{PS}</div><div class='siteCookieNotice'><p>{BODY}</p></div>", TEXT),
+    (f"<main>{PS}<div class='comment-respond'><p>{BODY} {BODY}</p></div></main>", TEXT),
+    (f"<main>{PS}<div class='no-comments'><p>{BODY}</p></div></main>", f"{TEXT} {BODY}"),
+    (f"<main>{PS}<div class='address leads'><p>{BODY}</p></div></main>", f"{TEXT} {BODY}"),
+    # boxes between parts of the article don't part it
+    (f"<article><h1>Tide</h1><div class=ad>{PS}</div><p>{BODY}</p><nav>{MENU * 9}</nav><p>{BODY}</p>"
+     "</article>", f"Tide {BODY} {BODY}"),
+    (f"<div><p>{BODY}</p><aside>{PS}</aside><p>{BODY}</p></div>", f"{BODY} {BODY}"),
+])
+def test_attributes_and_marks(page, text):
+    assert H.extract(page) == text
+
+
+def test_attributes():
+    assert H.attributes(" a=1 B='x y' c d=\"q'r\" e = f a=2 data-x-y=z/") == {
+        "a": "1", "b": "x y", "c": "", "d": "q'r", "e": "f", "data-x-y": "z/"}
