@@ -35,15 +35,50 @@ def test_recall_on_the_given_vectors(spark):
     assert hits / (10 * len(wanted)) >= 0.9
 
 
+@pytest.mark.parametrize("n", [300, 6000])
+def test_recall_at_two_sizes(spark, n):
+    """Vectors without clusters, as the given ones are."""
+    rng = np.random.default_rng(n)
+    vectors = rng.standard_normal((n, 48)).astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)],
+                               "vec_id long, embedding array<double>")
+    wanted = brute(np.arange(n), vectors, range(0, n, n // 50), 10)
+    rows = A.nearest(df, F.col("vec_id") % (n // 50) == 0).collect()
+    hits = sum(any(r["vec_id"] == v for v, _ in wanted[r["query_id"]]) for r in rows)
+    assert len(rows) == 10 * len(wanted) and hits / len(rows) >= 0.9
+
+
 def test_scan_abandons_only_what_is_far():
     rng = np.random.default_rng(2)
     vectors = rng.standard_normal((3000, 32)) + 4 * rng.integers(0, 4, (3000, 1))
     ids = np.arange(3000) * 3
-    centres = A.centroids(vectors, 20)
-    found = A.scan_part(ids, vectors, ids[::100], vectors[::100], centres, 10, probed=1.0)
     wanted = brute(ids, vectors, ids[::100], 10)
-    hits = sum(any(v == w for w, _ in wanted[q]) for q, v, _ in found)
-    assert hits / 300 > 0.97
+    limits = np.array([wanted[q][-1][1] for q in ids[::100]])
+    scanner = A.Scanner(vectors[::100], ids[::100], limits, A.rotation(32), 5, 10, columns=8)
+    for low in range(0, 3000, 700):
+        part = slice(low, low + 700)
+        scanner.scan(np.arange(30), ids[part], vectors[part], np.ones(len(ids[part])))
+    q, score, found, _ = scanner.reduce()
+    hits = sum(any(v == w for w, _ in wanted[ids[::100][i]]) for i, v in zip(q, found))
+    assert hits / 300 > 0.97 and np.all(np.diff(q) >= 0)
+    assert scanner.looked_at < 0.5 * 4 * 30 * 3000  # of four blocks of columns
+
+
+def test_large_and_small_components(spark):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((40, 6))
+    for factor in (1e200, 1e-200, 1.0):
+        vectors = base * factor
+        out = A.nearest(spark.createDataFrame(
+            [(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>"),
+            F.col("vec_id") == 0).orderBy("rank").collect()
+        wanted = brute(np.arange(40), base, [0], 10)[0]
+        assert [r["vec_id"] for r in out] == [i for i, _ in wanted]
+        assert [r["score"] / factor for r in out] == pytest.approx([d for _, d in wanted])
+    mixed = spark.createDataFrame([(0, [1e200, 0.0]), (1, [1e200, 3e-200]), (2, [1e200, 1.0]),
+                                   (3, [-1e308, 0.0])], "vec_id long, embedding array<double>")
+    got = A.nearest(mixed, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(1, 3e-200), (2, 1.0), (3, 1e308)]
 
 
 def test_rotation_keeps_distances():
@@ -65,7 +100,8 @@ def test_awkward_rows(spark):
     found = {}
     for r in out.orderBy("query_id", "rank").collect():
         found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
-    assert found == {0: [(1, 1), (2, 2), (3, 100)], 100: [(1, 1), (2, 2), (3, 0)]}  # ties: smaller id
+    # ties: smaller id; a repeated row is as many candidates
+    assert found == {0: [(1, 1), (2, 2), (3, 2), (4, 100)], 100: [(1, 1), (2, 2), (3, 2), (4, 0), (5, 0)]}
 
 
 def test_empty_and_single(spark):
@@ -99,16 +135,27 @@ def test_awkward_rows_as_registered(spark):
             (2, [1.0, 0.5], None), (2, [1.0, 0.5], None), (3, None, None), (5, [nan, 1.0], None)]
     out = A.nearest(frame(spark, rows), F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["vec_id"]) for r in out] == [
-        (0, 1), (0, 2), (0, 100), (100, 1), (100, 2), (100, 0)]
+        (0, 1), (0, 2), (0, 2), (0, 100), (100, 1), (100, 2), (100, 2), (100, 0), (100, 0)]
 
 
-def test_copies_reach_no_part_and_no_sample(spark, monkeypatch):
+def test_copies_are_scanned_once_and_returned_each(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(i, rng.standard_normal(4).tolist(), None) for i in range(60)]
     rows += [(7, rows[7][1], None)] * 30 + [(8, [0.0, 1.0, 1.0, 1.0], None),
                                           (8, [-0.0, 1.0, 1.0, 1.0], None)]
     sizes, matrix = [], A._matrix
     monkeypatch.setattr(A, "_matrix", lambda v, dims: sizes.append(len(v)) or matrix(v, dims))
-    out = A.nearest(frame(spark, rows), F.col("vec_id") == 0)
-    assert sizes == [61]  # the sample takes all: 60 and the second vector of id 8, once
-    assert out.count() == 10
+    out = A.nearest(frame(spark, rows), F.col("vec_id") % 9 == 0)
+    assert sizes[0] == 61  # the sample takes all: 60 and the second vector of id 8, once
+    vectors = np.array([r[1] for r in rows], dtype=np.float32).astype(float)
+    wanted = brute(np.array([r[0] for r in rows]), vectors, range(0, 60, 9), 10)
+    got = {}
+    for r in out.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert got == {q: [v for v, _ in found] for q, found in wanted.items()}
+
+
+def test_queries_in_blocks(spark):
+    df = spark.read.parquet(f"{SF_CHECK}/embeddings.parquet")
+    asked = F.col("vec_id") % 20 == 0
+    assert sorted(A.nearest(df, asked, block=7).collect()) == sorted(A.nearest(df, asked).collect())
