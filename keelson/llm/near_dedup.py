@@ -25,18 +25,27 @@ pushes its own texts apart; classes are the connected groups of similar texts.
    texts' weighted Jaccard similarity is computed exactly.
 4. Similar pairs are joined into classes by large-star and small-star steps.
 5. Where a band's nodes aren't of one class yet, a second round takes another
-   leader each. What is still of several classes is compared completely, in
+   leader each. The nodes of large bands that are still of several classes
+   (more than ``CHUNK`` nodes: texts that share a passage, say) get
+   ``FINE_BANDS`` bands of ``FINE_ROWS`` samples, in which texts that are far
+   from similar part, and rounds of leaders there, so the work doesn't grow
+   with the square of such a band. What is then still of several classes is
+   compared completely, in
    blocks: a band's nodes are dealt into chunks of about ``CHUNK`` (or
    ``CHUNK_CHARS`` characters), and a task holds two chunks, multiplies their
    weights as matrices, and returns only the pairs that join classes (fewer
    than nodes), so neither all pairs nor a whole group ever stand in one place.
+   Several chunks are left only where more than ``CHUNK`` texts of several
+   classes agree in six samples, that is, are nearly as similar as the threshold.
 
 A pair at the threshold shares a band with probability
-1 - (1 - threshold ** ROWS) ** BANDS, 0.99999 at 0.8.
+1 - (1 - threshold ** ROWS) ** BANDS, 0.99999 at 0.8, and a fine band with
+0.999995.
 
 Cases: null texts count as empty; texts without words are similar to texts
 equal to them only; repeated rows are in one class; null ids are allowed (a
-class of them alone has a null id); an empty table gives empty results;
+class of them alone has a null id); an empty table gives empty results; very
+long texts are read whole, their shingles in blocks;
 ``keep_one`` returns the input's columns, whatever their names.
 """
 
@@ -54,9 +63,10 @@ from keelson.llm.text import mix64, shingle_hashes, staged, word_hashes
 WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 3
+FINE_BANDS, FINE_ROWS = 40, 6
 COMMON = 0.05
 BUCKETS = 1 << 16
-ROUNDS = 1
+ROUNDS, FINE_ROUNDS = 1, 2
 CHUNK, CHUNK_CHARS = 400, 2_000_000
 #: Rounding that two ways to add up the same weights may differ by.
 NEAR = 1e-9
@@ -270,10 +280,10 @@ def common_shingles(texts: DataFrame, text: str, n: int, share: float = COMMON,
     return hashes[order], np.log(n / counted["n"].to_numpy(dtype=float)[order])
 
 
-def _bands(shared):
+def _bands(shared, bands_: int = BANDS, rows: int = ROWS):
     @F.pandas_udf("array<long>")
     def bands(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        sampler = Sampler(shared.value)
+        sampler = Sampler(shared.value, bands_, rows)
         for texts in batches:
             out = []
             for value in texts:
@@ -335,10 +345,24 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("class"))).distinct()
 
 
+def _by_band(members: DataFrame, *aggregates) -> DataFrame:
+    """Aggregates of each band. They are dealt by a hash of the band, so that a
+    join with the members deals them (a row for each band) anew: a crowded band
+    is split only where nothing stands between its shuffle and the join."""
+    return members.groupBy(F.xxhash64("band", "key").alias("dealt"), "band", "key").agg(
+        *aggregates).drop("dealt")
+
+
+def _members(exploded: DataFrame) -> DataFrame:
+    """The nodes (node, band, key) of bands that hold several."""
+    several = _by_band(exploded, F.min("node").alias("n0"), F.max("node").alias("n1"))
+    return exploded.join(several.filter("n0 <> n1").select("band", "key"), ["band", "key"])
+
+
 def _leaders(members: DataFrame, turn: int) -> DataFrame:
     """(a, b): each band's nodes with its leader in this round."""
     rank = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node")
-    leaders = members.groupBy("band", "key").agg(F.min(rank).alias("l"))
+    leaders = _by_band(members, F.min(rank).alias("l"))
     found = members.join(leaders, ["band", "key"])
     other = F.col("l.node") != F.col("node")
     if "class" in members.columns:
@@ -353,9 +377,14 @@ def _leaders(members: DataFrame, turn: int) -> DataFrame:
 def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
     """The members, with their classes, of bands that hold more than one class."""
     known = members.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    mixed = (known.groupBy("band", "key").agg(F.min("class").alias("c0"), F.max("class").alias("c1"))
-             .filter("c0 <> c1").select("band", "key"))
-    return known.join(mixed, ["band", "key"])
+    mixed = _by_band(known, F.min("class").alias("c0"), F.max("class").alias("c1"))
+    return known.join(mixed.filter("c0 <> c1").select("band", "key"), ["band", "key"])
+
+
+def _crowded(left: DataFrame) -> DataFrame:
+    """The bands of more than ``CHUNK`` nodes."""
+    return _by_band(left, F.count(F.lit(1)).alias("n")).filter(F.col("n") > CHUNK).select(
+        "band", "key")
 
 
 def _blockwise(left: DataFrame, texts: DataFrame, shared, threshold: float) -> DataFrame:
@@ -430,26 +459,45 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     reps = signed.groupBy("node").agg(F.min("doc_id").alias("rep"))
     nodes = staged(each.select("node", _bands(shared)("text").alias("bands")).join(reps, "node"),
                    "nodes")
-    exploded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    several = exploded.groupBy("band", "key").agg(
-        F.min("node").alias("n0"), F.max("node").alias("n1")).filter("n0 <> n1")
-    members = staged(exploded.join(several.select("band", "key"), ["band", "key"]), "members")
+    members = staged(_members(nodes.select("node", F.posexplode("bands").alias("band", "key"))),
+                     "members")
     texts = staged(each.join(members.select("node").distinct(), "node"), "texts")
     tested = staged(_leaders(members, 0), "pairs")
     similar = staged(_similar(tested, texts, shared, threshold), "similar")
     found = components(similar)
-    for turn in range(1, ROUNDS + 2):
-        left = staged(_unsettled(members, found), "unsettled")
-        if left.isEmpty():
-            break
-        if turn <= ROUNDS:
-            tested = staged(_leaders(left, turn).join(tested, ["a", "b"], "left_anti"), "pairs")
-            new = staged(_similar(tested, texts, shared, threshold), "similar")
-        else:
-            new = staged(_blockwise(left, texts, shared, threshold), "similar")
+
+    def joined_by(new: DataFrame) -> None:
+        """Similar pairs more, and the classes they make."""
+        nonlocal similar, found
         if not new.isEmpty():
             similar = staged(similar.unionByName(new), "similar")
             found = components(similar)
+
+    def led(members: DataFrame, turns: range) -> DataFrame:
+        """What rounds of leaders leave of several classes."""
+        nonlocal tested
+        left = staged(_unsettled(members, found), "unsettled")
+        for turn in turns:
+            if left.isEmpty():
+                break
+            pairs = staged(_leaders(left, turn).join(tested, ["a", "b"], "left_anti"), "pairs")
+            tested = tested.unionByName(pairs)
+            joined_by(staged(_similar(pairs, texts, shared, threshold), "similar"))
+            left = staged(_unsettled(members, found), "unsettled")
+        return left
+
+    left = led(members, range(1, ROUNDS + 1))
+    crowded = staged(_crowded(left), "crowded")
+    if not crowded.isEmpty():
+        among = texts.join(left.join(crowded, ["band", "key"]).select("node").distinct(), "node")
+        fine = among.select("node", _bands(shared, FINE_BANDS, FINE_ROWS)("text").alias("bands"))
+        finer = staged(_members(fine.select("node", F.posexplode("bands").alias("band", "key"))),
+                       "members").withColumn("band", F.col("band") + BANDS)
+        finest = led(finer, range(ROUNDS + 1, ROUNDS + FINE_ROUNDS + 1))
+        rest = left.join(crowded, ["band", "key"], "left_anti").drop("class")
+        left = staged(_unsettled(rest.unionByName(finest.select(rest.columns)), found), "unsettled")
+    if not left.isEmpty():
+        joined_by(staged(_blockwise(left, texts, shared, threshold), "similar"))
     named = nodes.select("node", "rep").join(found, "node", "left").withColumn(
         "class", F.coalesce("class", "node"))
     ids = named.groupBy("class").agg(F.min("rep").alias("class_id"))

@@ -180,3 +180,37 @@ def test_block_parts_agree_where_weights_differ():
     for i, j in itertools.combinations(range(len(texts)), 2):
         wanted = N.weighted_jaccard(sampler.weighted(texts[i]), sampler.weighted(texts[j]))
         assert found[i, j] == pytest.approx(wanted, abs=1e-9)
+
+
+def test_a_crowded_band_is_parted_by_finer_bands(spark, monkeypatch):
+    """Texts that share two thirds of their words fill bands together; near
+    copies among them are found without comparing all of a band."""
+    monkeypatch.setattr(N, "CHUNK", 20)
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(5000)]
+    shared = rng.sample(words, 90)
+    rows = []
+    for i in range(160):
+        text = shared + rng.sample(words, 30)
+        rows.append((i, " ".join(text)))
+        if i % 8 == 0:  # a near copy: one word of the own part is another
+            text[100] = "else"
+            rows.append((1000 + i, " ".join(text)))
+    seen = {"_crowded": [], "_blockwise": []}
+
+    def watch(name):
+        own = getattr(N, name)
+
+        def watched(left, *rest):
+            seen[name].append(left.groupBy("band", "key").count().agg(F.max("count")).first()[0])
+            return own(left, *rest)
+        monkeypatch.setattr(N, name, watched)
+
+    watch("_crowded")
+    watch("_blockwise")
+    found = {r["doc_id"]: r["class_id"] for r in N.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert seen["_crowded"][0] > 50  # there were such bands
+    assert all(n < 0.7 * seen["_crowded"][0] for n in seen["_blockwise"])
+    for i in range(160):
+        assert found[i] == i and (i % 8 or found[1000 + i] == i)
