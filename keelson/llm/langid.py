@@ -11,7 +11,8 @@ Cases: a text that is null or has no letter is ``und`` with score 0 and no
 languages; so is every text if nothing can be learned. Long texts are read
 whole (memory follows the text; the counts are bounded by the buckets).
 Proportions that tie go to the first language by name. Null languages and
-null ids teach nothing. Results are keyed by the id column only.
+null ids teach nothing. Repeated rows are predicted one by one, an empty table
+gives an empty result. Results are keyed by the id column only.
 """
 
 from __future__ import annotations

@@ -24,7 +24,11 @@ are taken are dealt into ``SPREAD`` buckets by row number and counted off
 bucket by bucket, so however many they are, no task has them all.
 
 Cases: a null source is a source (the last), a null text has size 0 and is
-taken 0 words; a source without words has target 0. Null ids are hashed like an id of their own. Empty tables give empty tables.
+taken 0 words; a source without words has target 0. Texts of any length are
+counted whole; a document longer than what its source still needs is taken only
+if it closes the sample best. Null ids are hashed like an id of their own. Empty
+tables give empty tables. Sources are a bounded number (a row for each is ordered
+in one task and broadcast): tens or thousands, not a column of addresses.
 ``plan_mix`` reads the three named columns only; ``mixed`` returns the
 input's columns, whatever their names.
 """

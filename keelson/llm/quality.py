@@ -18,7 +18,8 @@ sample are then scaled to probabilities by Platt's method.
 Cases: null and empty texts have no features and score the logistic of the
 intercept; texts of any length are read whole; rows without a label, id or
 text teach nothing; labels repeated for one id teach once; without any
-labelled row every score is 0.5. Results are keyed by the id column only.
+labelled row every score is 0.5. Repeated documents score alike, an empty table
+gives an empty result. Results are keyed by the id column only.
 """
 
 from __future__ import annotations

@@ -60,3 +60,25 @@ def test_awkward_rows(spark):
 def test_letters():
     assert L.letters_only("  A1b--Ç! ") == " a b ç " and L.letters_only("12 !?") == ""
     assert len(L.trigram_buckets("ab")) == 2 and len(L.trigram_buckets(None)) == 0
+
+
+def test_language_sets_against_every_subset(spark):
+    """The set chosen step by step against the best of all subsets."""
+    import itertools
+    docs, fitted = model(spark)
+    texts = [r["text"] for r in docs.filter("text is not null").orderBy("doc_id").limit(250).collect()]
+    texts += [a[:700] + " " + b[:300] for a, b in zip(texts[:60], texts[60:120])]
+    same = total = 0
+    for text in texts:
+        grams = L.trigram_buckets(text, len(fitted.probability))
+        if len(grams) == 0:
+            continue
+        buckets, times = np.unique(grams, return_counts=True)
+        seen, times = fitted.probability[buckets], times.astype(float)
+        cost = 0.5 * np.log(times.sum()) * fitted.penalty
+        best = max((fitted.mixture(seen[:, list(s)], times)[1] - cost * len(s), s)
+                   for n in range(1, len(fitted.languages) + 1)
+                   for s in itertools.combinations(range(len(fitted.languages)), n))
+        total += 1
+        same += set(fitted.infer(text)) == {fitted.languages[i] for i in best[1]}
+    assert total > 250 and same / total > 0.98

@@ -1,6 +1,149 @@
+import hashlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
 import corpus_pipeline as C
-from keelson.llm.text import staged
+from keelson.llm import bpe, mixing, near_dedup, quality, toxicity
+from keelson.llm.text import staged, training_rows
 from tests.conftest import SF_CHECK, SF_SMALL
+from tests.llm.helpers import awkward, labels
+from tests.llm.test_classifiers import naive_density
+from tests.llm.test_mixing import brute_targets
+from tests.llm.test_near_dedup import brute_classes
+
+
+def ids(rows):
+    return sorted(r["doc_id"] for r in rows)
+
+
+def plain_not_toxic(docs, marks):
+    lexicon = toxicity.fit(training_rows(docs, marks, "toxic", 5, 0, toxicity.SAMPLE))
+    return [r for r in docs.collect() if naive_density(lexicon, r["text"]) < lexicon.pivot]
+
+
+def plain_good_quality(docs, marks):
+    model = quality.fit(training_rows(docs, marks, "quality", 3, 1, quality.SAMPLE))
+    make, kept = quality.Featurizer(), []
+    for r in docs.collect():
+        at, values = make(r["text"])
+        logit = float(model.weights[-1]) + sum(
+            float(model.weights[i]) * v for i, v in zip(at.tolist(), values.tolist()))
+        if logit >= 0:
+            kept.append(r)
+    return kept
+
+
+def plain_one_of_each(docs):
+    rows = sorted(docs.collect(), key=lambda r: r["doc_id"])
+    texts = [r["text"] or "" for r in rows]
+    each = docs.select("text").distinct()
+    sampler = near_dedup.Sampler(near_dedup.common_shingles(each, "text", each.count()))
+    both = [sampler.both(t) for t in texts]
+    first = brute_classes(texts, lambda i, j: near_dedup.similarity(both[i], both[j]))
+    return [rows[i] for i in sorted(set(first))]
+
+
+def plain_mix(docs):
+    """How often each document is taken."""
+    rows = docs.select("doc_id", "source", "text", F.xxhash64(F.col("text"), F.col("doc_id").cast(
+        "string")).alias("tie"), mixing._uniform(F.col("doc_id"), 20).alias("u")).collect()
+    size = {r["doc_id"]: len(bytes(r["text"] or "", "utf-8").split()) for r in rows}
+    own = {}
+    for r in rows:
+        own[r["source"]] = own.get(r["source"], 0) + size[r["doc_id"]]
+    times = {}
+    for source, target in brute_targets(own).items():
+        mine = [r for r in rows if r["source"] == source]
+        copies = int(target / own[source] + 1e-12) if own[source] else 0
+        rest = max(0.0, target - copies * own[source])
+        squares = sum(size[r["doc_id"]] ** 2 for r in mine)
+        ranked = []
+        for r in mine:
+            p = min(1.0, size[r["doc_id"]] * rest / squares) if squares else 0.0
+            q = r["u"] * (1 - p)
+            ranked.append((q / (q + (1 - r["u"]) * p) if p > 0 else 1.0, r["tie"], r["doc_id"]))
+        taken, total = set(), 0
+        for *_, doc in sorted(x for x in ranked if size[x[2]]):
+            if total + size[doc] > rest:
+                break
+            taken.add(doc)
+            total += size[doc]
+        gap = rest - total
+        close = [(abs(size[d] - gap), o, t, d) for o, t, d in ranked
+                 if rest > 0 and size[d] and d not in taken and abs(size[d] - gap) < gap]
+        taken |= {min(close)[3]} if close else set()
+        times |= {r["doc_id"]: copies + (r["doc_id"] in taken) for r in mine if size[r["doc_id"]]}
+    return {d: n for d, n in times.items() if n}
+
+
+def test_each_stage_against_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    marks = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    stages = dict(C.STAGES)
+
+    def kept(name, docs):
+        return staged(stages[name](spark, docs, SF_SMALL), "test")
+
+    after = kept("toxicity", docs)
+    assert ids(after.collect()) == ids(plain_not_toxic(docs, marks)) and after.count() < docs.count()
+    docs, before = after, after
+    after = kept("quality", docs)
+    assert ids(after.collect()) == ids(plain_good_quality(docs, marks))
+    assert after.count() < before.count()
+    docs, before = after, after
+    after = kept("near-dedup", docs)
+    assert ids(after.collect()) == ids(plain_one_of_each(docs)) and after.count() < before.count()
+    docs = after
+    after = kept("source mix", docs)
+    assert {r["doc_id"]: r["count"] for r in after.groupBy("doc_id").count().collect()} == plain_mix(docs)
+    library = Tokenizer.from_file(bpe.default_path())
+    library.no_truncation()
+    library.no_padding()
+    wanted = []
+    for r in after.collect():
+        found = library.encode(r["text"] or "", add_special_tokens=False).ids
+        text = library.decode(found, skip_special_tokens=False)
+        wanted.append((r["doc_id"], len(found),
+                       hashlib.sha256(np.array(found, dtype="<u4").tobytes()).hexdigest(),
+                       hashlib.sha256(text.encode()).hexdigest()))
+    names = ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    out = C.STAGES[-1][1](spark, after, SF_SMALL)
+    assert sorted(tuple(r[n] for n in names) for r in out.collect()) == sorted(wanted)
+
+
+def test_the_filters_leave_clean_documents_alone(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    marks = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
+    clean = marks.filter("toxic = 0 and quality = 1").join(docs, "doc_id").select("doc_id")
+    after = dict(C.STAGES)["toxicity"](spark, docs, SF_CHECK)
+    assert after.join(clean, "doc_id").count() >= 0.99 * clean.count()
+    toxic = marks.filter("toxic = 1").select("doc_id")
+    # from 45 toxic rows little can be learned; the check tool's tables have thousands
+    assert after.join(toxic, "doc_id").count() <= 0.4 * toxic.count()
+    after = dict(C.STAGES)["quality"](spark, docs, SF_CHECK)
+    assert after.join(clean, "doc_id").count() >= 0.97 * clean.count()
+
+
+@pytest.mark.parametrize("stage", [n for n, _ in C.STAGES])
+def test_awkward_rows(spark, stage, tmp_path):
+    """Nulls everywhere, ties, repeated rows, extra columns named like results."""
+    names = ["size", "times", "node", "class", "band", "density", "y", "row"]
+    docs = awkward(spark).selectExpr("*", *[f"doc_id as {n}" for n in names])
+    labels(spark, [(1, 1, 0), (5, 0, 1), (6, None, None), (None, 1, 1)]).write.parquet(
+        f"{tmp_path}/labels.parquet")
+    out = dict(C.STAGES)[stage](spark, docs, str(tmp_path))
+    rows = out.collect()
+    if stage == "bpe":
+        assert len(rows) == 9
+    else:
+        assert out.columns == docs.columns
+        given = {(r["doc_id"], r["text"]) for r in docs.collect()}
+        assert {(r["doc_id"], r["text"]) for r in rows} <= given
+    if stage == "near-dedup":
+        assert len([r for r in rows if r["doc_id"] == 1]) == 1
 
 
 def test_stages_on_their_own_input(spark):
