@@ -349,8 +349,8 @@ def resolved(records: DataFrame) -> DataFrame:
 
 
 def archive_round_trip(pages: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to, file,
-    offset of each page, from archives written of them and read back. A
+    """page_id, payload_bytes, payload_digest, record_type and refers_to of
+    each page, from archives written of them and read back. A
     revisit's size is that of the HTTP message it stands for; a response's
     digest is that of the payload read."""
     spark = pages.sparkSession
