@@ -28,7 +28,7 @@ pushes its own texts apart; classes are the connected groups of similar texts.
    leader each. The nodes of large bands that are still of several classes
    (more than ``CHUNK`` nodes: texts that share a passage, say) get
    ``FINE_BANDS`` bands of ``FINE_ROWS`` samples, in which texts that are far
-   from similar part, and rounds of leaders there, so the work doesn't grow
+   from similar part, and a leader there, so the work doesn't grow
    with the square of such a band. What is then still of several classes is
    compared completely, in
    blocks: a band's nodes are dealt into chunks of about ``CHUNK`` (or
@@ -66,7 +66,7 @@ BANDS, ROWS = 16, 3
 FINE_BANDS, FINE_ROWS = 40, 6
 COMMON = 0.05
 BUCKETS = 1 << 16
-ROUNDS, FINE_ROUNDS = 1, 2
+ROUNDS, FINE_ROUNDS = 1, 1
 CHUNK, CHUNK_CHARS = 400, 2_000_000
 #: Rounding that two ways to add up the same weights may differ by.
 NEAR = 1e-9
@@ -345,6 +345,23 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("class"))).distinct()
 
 
+def _merged(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, class) once the classes that the pairs (a, b) join are one: the
+    components of classes, which are far fewer than nodes."""
+    def ends(name: str) -> DataFrame:
+        return pairs.select(F.col(name).alias("node")).join(found, "node", "left_anti")
+
+    known = staged(found.unionByName(ends("a").unionByName(ends("b")).distinct().select(
+        "node", F.col("node").alias("class"))), "known-classes")
+    links = pairs
+    for name in ("a", "b"):
+        of = known.select(F.col("node").alias(name), F.col("class").alias(f"class_{name}"))
+        links = links.join(of, name)
+    merged = components(links.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+    return known.join(merged.select(F.col("node").alias("class"), F.col("class").alias("into")),
+                      "class", "left").select("node", F.coalesce("into", "class").alias("class"))
+
+
 def _by_band(members: DataFrame, *aggregates) -> DataFrame:
     """Aggregates of each band. They are dealt by a hash of the band, so that a
     join with the members deals them (a row for each band) anew: a crowded band
@@ -463,15 +480,13 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
                      "members")
     texts = staged(each.join(members.select("node").distinct(), "node"), "texts")
     tested = staged(_leaders(members, 0), "pairs")
-    similar = staged(_similar(tested, texts, shared, threshold), "similar")
-    found = components(similar)
+    found = components(_similar(tested, texts, shared, threshold))
 
     def joined_by(new: DataFrame) -> None:
-        """Similar pairs more, and the classes they make."""
-        nonlocal similar, found
+        """The classes that more similar pairs make of those found."""
+        nonlocal found
         if not new.isEmpty():
-            similar = staged(similar.unionByName(new), "similar")
-            found = components(similar)
+            found = staged(_merged(found, new), "classes")
 
     def led(members: DataFrame, turns: range) -> DataFrame:
         """What rounds of leaders leave of several classes."""
