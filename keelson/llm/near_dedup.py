@@ -26,7 +26,7 @@ pushes its own texts apart; classes are the connected groups of similar texts.
 4. Similar pairs are joined into classes by large-star and small-star steps.
 5. Where a band's nodes aren't of one class yet, a second round takes another
    leader each. The nodes of large bands that are still of several classes
-   (more than ``CHUNK`` nodes: texts that share a passage, say) get
+   (more than ``CROWD`` nodes: texts that share a passage, say) get
    ``FINE_BANDS`` bands of ``FINE_ROWS`` samples, in which texts that are far
    from similar part, and a leader there, so the work doesn't grow
    with the square of such a band. What is then still of several classes is
@@ -35,7 +35,7 @@ pushes its own texts apart; classes are the connected groups of similar texts.
    ``CHUNK_CHARS`` characters), and a task holds two chunks, multiplies their
    weights as matrices, and returns only the pairs that join classes (fewer
    than nodes), so neither all pairs nor a whole group ever stand in one place.
-   Several chunks are left only where more than ``CHUNK`` texts of several
+   A node is in a few blocks only, but where more than ``CROWD`` texts of several
    classes agree in six samples, that is, are nearly as similar as the threshold.
 
 A pair at the threshold shares a band with probability
@@ -68,6 +68,7 @@ COMMON = 0.05
 BUCKETS = 1 << 16
 ROUNDS, FINE_ROUNDS = 1, 1
 CHUNK, CHUNK_CHARS = 400, 2_000_000
+CROWD = 4 * CHUNK
 #: Rounding that two ways to add up the same weights may differ by.
 NEAR = 1e-9
 
@@ -399,8 +400,8 @@ def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _crowded(left: DataFrame) -> DataFrame:
-    """The bands of more than ``CHUNK`` nodes."""
-    return _by_band(left, F.count(F.lit(1)).alias("n")).filter(F.col("n") > CHUNK).select(
+    """The bands of more than ``CROWD`` nodes."""
+    return _by_band(left, F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD).select(
         "band", "key")
 
 

@@ -186,6 +186,7 @@ def test_a_crowded_band_is_parted_by_finer_bands(spark, monkeypatch):
     """Texts that share two thirds of their words fill bands together; near
     copies among them are found without comparing all of a band."""
     monkeypatch.setattr(N, "CHUNK", 20)
+    monkeypatch.setattr(N, "CROWD", 20)
     rng = random.Random(12)
     words = [f"w{i}" for i in range(5000)]
     shared = rng.sample(words, 90)
