@@ -12,8 +12,10 @@ sparse dot product.
 Training takes a bounded sample of the labelled rows (about ``SAMPLE`` of
 each label, ``text.training_rows``), deals it by hashed id into a fixed number of shards, trains one
 learner on each for some epochs as a Spark task (rows weighted so that both
-labels count the same), and averages the weights. The averaged logits of the
-sample are then scaled to probabilities by Platt's method.
+labels count the same), and averages the weights. Logits are scaled to
+probabilities by Platt's method, fitted on logits of the sample's rows from the
+learners that weren't taught them: those of the other shards (where a sample is
+so small that it has one shard only, that one's).
 
 Cases: null and empty texts have no features and score the logistic of the
 intercept; texts of any length are read whole; rows without a label, id or
@@ -156,8 +158,8 @@ def platt(logits: np.ndarray, labels: np.ndarray, steps: int = 50) -> tuple[floa
 
 def fit(rows: DataFrame, shards: int = 6, epochs: int = 6, bits: int = BITS) -> Model:
     """Averaged weights of ``shards`` learners over the training rows
-    (doc_id, y, text). 2**bits weights for each shard are averaged by Spark;
-    one set, and the logits of the rows, reach the driver."""
+    (doc_id, y, text). 2**bits weights for each shard, and the logits of the
+    rows, a bounded sample, reach the driver."""
     rows = rows.withColumn("turn", F.xxhash64(F.lit("order"), F.col("doc_id").cast("string"), "text"))
     rows = rows.withColumn("shard", F.pmod("turn", F.lit(shards)))
 
@@ -170,30 +172,43 @@ def fit(rows: DataFrame, shards: int = 6, epochs: int = 6, bits: int = BITS) ->
             for (at, values), y in zip(features, group["y"], strict=True):
                 learner.learn(at, values, y, 0.5 / share[y])
         weights = learner.weights(slice(None))
-        at = np.flatnonzero(weights)
-        return pd.DataFrame({"at": at, "w": weights[at]})
-
-    trained = rows.groupBy("shard").applyInPandas(train, "at long, w double")
-    n = rows.select("shard").distinct()
-    mean = trained.groupBy("at").agg(F.sum("w").alias("w")).toPandas()
-    weights = np.zeros((1 << bits) + 1)
-    if len(mean):
-        weights[mean["at"].to_numpy()] = mean["w"].to_numpy() / max(1, n.count())
-    model = Model(weights, bits)
-    measured = rows.select("y", _model_udf(rows, model, Model.logit)("text").alias("x")).toPandas()
-    if measured["y"].nunique() == 2:  # of the bounded sample
-        slope, shift = platt(measured["x"].to_numpy(), measured["y"].to_numpy())
+        return pd.DataFrame({"shard": group["shard"].iloc[:1], "weights": [weights.tobytes()]})
+
+    trained = rows.groupBy("shard").applyInPandas(train, "shard long, weights binary").collect()
+    learners = {r["shard"]: np.frombuffer(r["weights"]) for r in sorted(trained)}
+    if not learners:
+        return Model(np.zeros((1 << bits) + 1), bits)
+    model = Model(sum(learners.values()) / len(learners), bits)
+    untaught = {}
+    for shard in learners:
+        others = [w for s, w in learners.items() if s != shard] or [learners[shard]]
+        untaught[shard] = Model(sum(others) / len(others), bits)
+    measured = rows.select("y", _untaught_logit(rows, untaught)("shard", "text").alias("x")).collect()
+    x, y = (np.array([r[c] for r in measured], dtype=float) for c in ("x", "y"))
+    if len(np.unique(y)) == 2:
+        slope, shift = platt(x, y)
         model.weights *= slope
         model.weights[-1] += shift
     return model
 
 
-def score_udf(df: DataFrame, model: Model):
-    """text -> score, as a pandas UDF; the model (2**bits numbers) is broadcast."""
-    return _model_udf(df, model, Model.score)
+def _untaught_logit(df: DataFrame, models: dict[int, Model]):
+    """(shard, text) -> the logit of the model that wasn't taught the shard."""
+    shared = df.sparkSession.sparkContext.broadcast(models)
+
+    @F.pandas_udf("double")
+    def logit(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        models, make = shared.value, None
+        for shards, texts in batches:
+            make = make or Featurizer(next(iter(models.values())).bits)
+            yield pd.Series([models[s].logit(make(t)) for s, t in zip(shards, texts, strict=True)],
+                            dtype=float)
 
+    return logit
 
-def _model_udf(df: DataFrame, model: Model, method):
+
+def score_udf(df: DataFrame, model: Model):
+    """text -> score, as a pandas UDF; the model (2**bits numbers) is broadcast."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -201,7 +216,7 @@ def _model_udf(df: DataFrame, model: Model, method):
         model = shared.value
         make = Featurizer(model.bits)
         for texts in batches:
-            yield pd.Series([method(model, make(t)) for t in texts], dtype=float)
+            yield pd.Series([model.score(make(t)) for t in texts], dtype=float)
 
     return score
 
