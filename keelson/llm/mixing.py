@@ -5,8 +5,10 @@ Each source has a weight and so a share of all words; a share stops at
 the others by weight. A source that needs m times its words takes
 floor(m) certain whole copies of each document, and the rest, R words, by an
 order sample: every document has an inclusion probability p proportional to
-its size (p = size * R / sum of size squared, at most 1) and a random number
-u from its hashed id; documents come in the order of
+its size, such that R words are expected (p = size * R / sum of size squared;
+while that is 1 or more for the longest, those are certain, and the others'
+follows from what they leave of R), and a random number u from its hashed id;
+documents come, after the certain ones, in the order of
 
     (u / (1 - u)) / (p / (1 - p))
 
@@ -84,13 +86,41 @@ def _targets(sizes: DataFrame, weights, max_repeats: int) -> DataFrame:
         F.least("limit", level * F.col("weight")).alias("target"))
 
 
+def _inclusion(counts: DataFrame, plan: DataFrame) -> DataFrame:
+    """s, certain (documents of that size and longer are; null: none is) and
+    per_word (the other documents' inclusion probability by size), for the
+    sources with a rest. ``counts`` has a row for each source and size, far
+    fewer than documents: d different sizes take d * d / 2 words at least.
+
+    A size is certain if it is with all longer ones taken off; if one isn't,
+    no smaller one is."""
+    chosen = plan.filter(F.col("rest") > 0).select(
+        F.col("source").alias("s"), "source_size", "rest")
+    up_to = Window.partitionBy("s").orderBy("size").rowsBetween(Window.unboundedPreceding, 0)
+    left = F.col("rest") - (F.col("source_size") - F.sum(F.col("size") * F.col("rows")).over(up_to))
+    found = (counts.filter(F.col("size") > 0)
+             .join(chosen, F.col("source").eqNullSafe(F.col("s")))
+             .select("s", "size", (left / F.sum(_squares()).over(up_to).cast("double"))
+                     .alias("per_word")))
+    certain = F.col("size") * F.col("per_word") >= 1
+    return found.groupBy("s").agg(
+        F.min(F.when(certain, F.col("size"))).alias("certain"),
+        F.max(F.when(~certain, F.struct("size", "per_word")))["per_word"].alias("per_word"))
+
+
+def _squares() -> Column:
+    """Of a row of counts; whole numbers, so that sums don't depend on their order."""
+    return (F.col("size") * F.col("size")).cast("decimal(20,0)") * F.col("rows").cast("decimal(17,0)")
+
+
 def _place(doc_id: Column, size: Column, seed: int) -> Column:
-    """The odds of u over the odds of p, mapped to [0, 1] in their order; 1 for p = 0."""
+    """The odds of u over the odds of p, mapped to [0, 1] in their order; 1 for
+    p = 0, and -1 for certain documents."""
     u = _uniform(doc_id, seed)
-    p = F.when(F.col("squares") > 0, F.least(
-        F.lit(1.0), size * F.col("rest") / F.col("squares"))).otherwise(F.lit(0.0))
+    p = F.least(F.lit(1.0), F.coalesce(size * F.col("per_word"), F.lit(0.0)))
     ratio = u * (1 - p)
-    return F.when(p > 0, ratio / (ratio + (1 - u) * p)).otherwise(F.lit(1.0))
+    return (F.when(size >= F.col("certain"), F.lit(-1.0))
+            .when(p > 0, ratio / (ratio + (1 - u) * p)).otherwise(F.lit(1.0)))
 
 
 def _sizes(df: DataFrame, doc_id: str, text: str, source: str, *more: Column) -> DataFrame:
@@ -104,7 +134,7 @@ def _sizes(df: DataFrame, doc_id: str, text: str, source: str, *more: Column) ->
 def plan_mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
              weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = 20) -> DataFrame:
     """source, source_size, target, copies (certain whole ones), rest, squares,
-    last_place and last_tie (where the source's sample ends; null: there is
+    certain and per_word (see ``_inclusion``), last_place and last_tie (where the source's sample ends; null: there is
     none), part_place, part_tie and part_rows (equal rows after that, of which
     only so many fit), closing_place, closing_tie and closing_rows (its closing
     document, and how many rows are equal to it). One row for each source. The
@@ -114,18 +144,21 @@ def plan_mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
 
 def _plan(docs: DataFrame, weights, max_repeats: int, seed: int) -> DataFrame:
     """``plan_mix`` from the sizes."""
-    sizes = docs.groupBy("source").agg(
-        F.sum("size").alias("source_size"),
-        # added up as whole numbers: the same in every run, whatever the order
-        F.sum((F.col("size") * F.col("size")).cast("decimal(38,0)")).cast("double").alias("squares"))
+    counts = staged(docs.groupBy("source", "size").agg(F.count(F.lit(1)).alias("rows")), "mix-counts")
+    sizes = counts.groupBy("source").agg(
+        F.sum(F.col("size") * F.col("rows")).alias("source_size"),
+        F.sum(_squares()).cast("double").alias("squares"))
     repeats = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = staged(
         _targets(sizes, weights, max_repeats)
         .withColumn("copies", F.floor(repeats + 1e-12).cast("long"))
         .withColumn("rest", F.greatest(F.lit(0.0),
                                        F.col("target") - F.col("copies") * F.col("source_size"))),
-        "mix-plan")
-    chosen = plan.filter(F.col("rest") > 0).select(F.col("source").alias("s"), "rest", "squares")
+        "mix-shares")
+    odds = _inclusion(counts, plan)
+    plan = staged(plan.join(odds, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"), "mix-plan")
+    chosen = plan.filter(F.col("rest") > 0).select(
+        F.col("source").alias("s"), "rest", "certain", "per_word")
     placed = (docs.filter(F.col("size") > 0)
               .join(chosen, F.col("source").eqNullSafe(F.col("s")))
               .select("s", "rest", "size", "tie",
@@ -134,10 +167,11 @@ def _plan(docs: DataFrame, weights, max_repeats: int, seed: int) -> DataFrame:
     by_step = placed.groupBy("s", "step").agg(F.sum("size").alias("n"), F.first("rest").alias("rest"))
     in_order = Window.partitionBy("s").orderBy("step")
     reached = F.sum("n").over(in_order)
-    # the first step at whose end the words reach the rest holds the end
+    # the first step at whose end the words exceed the rest holds the end; the
+    # certain documents, a step of their own, don't exceed it
     ends = (by_step.withColumn("reached", reached)
-            .filter((F.col("reached") >= F.col("rest"))
-                    & (F.col("reached") - F.col("n") < F.col("rest")))
+            .filter((F.col("reached") > F.col("rest"))
+                    & (F.col("reached") - F.col("n") <= F.col("rest")))
             .select(F.col("s").alias("es"), F.col("step").alias("end_step"),
                     (F.col("reached") - F.col("n")).alias("passed")))
     last = (placed.join(ends, F.col("s").eqNullSafe(F.col("es")) & (F.col("step") == F.col("end_step")))

@@ -22,6 +22,21 @@ def brute_targets(sizes, weights=(5.0, 2.0, 1.0), cap=3):
         cut |= over
 
 
+def brute_probabilities(sizes, rest):
+    """doc -> inclusion probability: proportional to its size, and rest words
+    expected; documents at 1 or more are set aside until none is."""
+    certain = set()
+    while True:
+        left = rest - sum(sizes[d] for d in certain)
+        squares = sum(n * n for d, n in sizes.items() if d not in certain)
+        p = {d: 1.0 if d in certain else n * left / squares if squares else 0.0
+             for d, n in sizes.items()}
+        over = {d for d in p if p[d] >= 1} - certain
+        if not over:
+            return p
+        certain |= over
+
+
 def corpus(spark, sizes, seed=1):
     rng, rows = random.Random(seed), []
     for source, n in sizes.items():
@@ -62,8 +77,10 @@ def test_the_sample_begins_the_pareto_order(spark):
     times = {r["doc_id"]: r["times"] for r in M.mix(df).collect()}
     for source, p in plan.items():
         rest, ranked = p["rest"], []
-        for r in docs.filter(F.col("source") == source).collect():
-            prob = min(1.0, r["size"] * rest / p["squares"])
+        mine = docs.filter(F.col("source") == source).collect()
+        probs = brute_probabilities({r["doc_id"]: r["size"] for r in mine}, rest)
+        for r in mine:
+            prob = probs[r["doc_id"]]
             odds = float("inf") if prob <= 0 else (
                 r["u"] / (1 - r["u"]) * (1 - prob) / prob)
             ranked.append((odds, r["tie"], r["doc_id"], r["size"]))
@@ -82,6 +99,38 @@ def test_the_sample_begins_the_pareto_order(spark):
         assert extra == taken
 
 
+def test_long_documents_are_certain_and_leave_the_rest_to_others(spark):
+    rng, rows = random.Random(4), []
+    for source in "ab":
+        for n in [3000, 2000, 2000, 1200] + [rng.choice([5, 20, 21, 60]) for _ in range(500)]:
+            rows.append((len(rows), "w " * n, source))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = (1.0, 1.9)
+    plan = {r["source"]: r for r in M.plan_mix(df, weights=weights).collect()}
+    docs = df.select("source", "doc_id", M.word_count(F.col("text")).alias("size"),
+                     F.xxhash64("text", F.col("doc_id").cast("string")).alias("tie"),
+                     M._uniform(F.col("doc_id"), 20).alias("u")).collect()
+    times = {r["doc_id"]: r["times"] for r in M.mix(df, weights=weights).collect()}
+    for source, share in plan.items():
+        mine = {r["doc_id"]: r for r in docs if r["source"] == source}
+        p = brute_probabilities({d: r["size"] for d, r in mine.items()}, share["rest"])
+        assert sum(p[d] * r["size"] for d, r in mine.items()) == pytest.approx(share["rest"])
+        certain = {d for d in p if p[d] == 1.0}
+        assert certain and min(mine[d]["size"] for d in certain) == share["certain"]
+        assert all(p[d] == pytest.approx(share["per_word"] * r["size"])
+                   for d, r in mine.items() if d not in certain)
+        ranked = sorted((-1.0 if p[d] == 1 else (1 - p[d]) * r["u"] / ((1 - r["u"]) * p[d]),
+                         r["tie"], d) for d, r in mine.items())
+        taken, total = set(), 0
+        for *_, d in ranked:
+            if total + mine[d]["size"] > share["rest"]:
+                break
+            taken.add(d)
+            total += mine[d]["size"]
+        drawn = {d for d in mine if times[d] > share["copies"]}
+        assert certain <= taken <= drawn and len(drawn - taken) <= 1  # the closing one
+
+
 def test_size_decides_the_inclusion_odds(spark):
     rows = [(i, "w " * (100 if i % 2 else 10), "a" if i < 2000 else "b") for i in range(4000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")

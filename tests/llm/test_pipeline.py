@@ -11,7 +11,7 @@ from keelson.llm.text import staged, training_rows
 from tests.conftest import SF_CHECK, SF_SMALL
 from tests.llm.helpers import awkward, labels
 from tests.llm.test_classifiers import naive_density
-from tests.llm.test_mixing import brute_targets
+from tests.llm.test_mixing import brute_probabilities, brute_targets
 from tests.llm.test_near_dedup import brute_classes
 
 
@@ -59,10 +59,10 @@ def plain_mix(docs):
         mine = [r for r in rows if r["source"] == source]
         copies = int(target / own[source] + 1e-12) if own[source] else 0
         rest = max(0.0, target - copies * own[source])
-        squares = sum(size[r["doc_id"]] ** 2 for r in mine)
+        each = brute_probabilities({r["doc_id"]: size[r["doc_id"]] for r in mine}, rest)
         ranked = []
         for r in mine:
-            p = min(1.0, size[r["doc_id"]] * rest / squares) if squares else 0.0
+            p = each[r["doc_id"]]
             q = r["u"] * (1 - p)
             ranked.append((q / (q + (1 - r["u"]) * p) if p > 0 else 1.0, r["tie"], r["doc_id"]))
         taken, total = set(), 0
