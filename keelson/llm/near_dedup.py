@@ -1,4 +1,4 @@
-"""Near-duplicate classes by improved consistent weighted sampling (ICWS).
+"""Near-duplicate classes by consistent weighted sampling.
 
 A text is the multiset of its five-word shingles (words: runs without white
 space, lower-cased; a shorter text is one shingle). A shingle's weight is its
@@ -19,13 +19,18 @@ pushes its own texts apart; classes are the connected groups of similar texts.
    of a text can be common, whatever the size of the corpus: that bounds
    the table that is broadcast.
 2. Each text gets BANDS x ROWS consistent weighted samples; equal bands make
-   candidates. Equal texts (by MD5) are one node from here on.
+   candidates. Equal texts (by MD5) are one node from here on. The weights of
+   shingles are made of parts that weigh the same in every text, so a sample is
+   the least of weighted hashes of parts (``Sampler.unit_samples``), exactly as
+   often equal as the texts are similar; ``Sampler.samples`` (improved
+   consistent weighted sampling, ICWS) does the same for weights of any kind.
 3. Each band's nodes are compared with one of them, the leader, chosen by a
    hash, not with each other: nodes x bands comparisons at most. The two
    texts' weighted Jaccard similarity is computed exactly.
 4. Similar pairs are joined into classes by large-star and small-star steps.
-5. Where a band's nodes aren't of one class yet, a second round takes another
-   leader each. The nodes of large bands that are still of several classes
+5. A leader was compared with all of its band and isn't compared there again.
+   Where a band's other nodes aren't of one class yet, a second round takes
+   another leader each. The nodes of large bands that are still of several classes
    (more than ``CROWD`` nodes: texts that share a passage, say) get
    ``FINE_BANDS`` bands of ``FINE_ROWS`` samples, in which texts that are far
    from similar part, and a leader there, so the work doesn't grow
@@ -52,6 +57,7 @@ long texts are read whole, their shingles in blocks;
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -69,10 +75,13 @@ BUCKETS = 1 << 16
 ROUNDS, FINE_ROUNDS = 1, 1
 CHUNK, CHUNK_CHARS = 400, 2_000_000
 CROWD = 4 * CHUNK
+#: What marks the first occurrence of a shingle.
+_FIRST = mix64(np.ones(1, dtype=np.uint64))
 #: Rounding that two ways to add up the same weights may differ by.
 NEAR = 1e-9
 
 
+@cache
 def _gamma_quantiles(n: int) -> np.ndarray:
     """Quantiles of the Gamma(2, 1) distribution at the middles of n steps."""
     x = np.concatenate([np.geomspace(1e-6, 1e-2, 20_000), np.linspace(1e-2, 40, 400_000)[1:]])
@@ -87,17 +96,23 @@ class Sampler:
         self.width, self.bands, self.rows = width, bands, rows
         self.common, self.idf = common
         self.rare = float(np.log(1 / share))
-        quantiles = _gamma_quantiles(1 << 16)
-        self.r, self.log_c = quantiles.astype(np.float32), np.log(quantiles).astype(np.float32)
         seeds = np.random.default_rng(5).integers(0, 2**64, size=bands * rows, dtype=np.uint64)
         self.seeds = seeds[:, None] | np.uint64(1)
 
     def shingles(self, text: str | None) -> np.ndarray:
         return shingle_hashes(word_hashes(text or ""), self.width)
 
+    def counted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The different shingles, in order, and how often each stands in the text."""
+        found = np.sort(self.shingles(text))
+        first = np.ones(len(found), dtype=bool)
+        np.not_equal(found[1:], found[:-1], out=first[1:])
+        at = np.flatnonzero(first)
+        return found[at], np.diff(at, append=len(found))
+
     def weighted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The different shingles, in order, and their TF-IDF weights."""
-        found, times = np.unique(self.shingles(text), return_counts=True)
+        found, times = self.counted(text)
         return found, (1.0 + np.log(times)) * self.inverse_frequency(found)[0]
 
     def inverse_frequency(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,15 +127,10 @@ class Sampler:
                 return np.full(len(found), self.rare), out
         return out, out
 
-    def uneven(self, text: str | None) -> bool:
-        """Whether some shingles of a text weigh less than others."""
-        found = np.unique(self.shingles(text)) if len(self.common) else self.common
-        return bool((self.inverse_frequency(found)[0] < self.rare).any())
-
     def both(self, text: str | None) -> tuple:
         """The different shingles, their weights, and their weights with all
         inverse frequencies equal."""
-        found, times = np.unique(self.shingles(text), return_counts=True)
+        found, times = self.counted(text)
         often = 1.0 + np.log(times)
         return found, often * self.inverse_frequency(found)[0], often * self.rare
 
@@ -129,21 +139,67 @@ class Sampler:
         or not: the j-th occurrence of a shingle adds log(j) - log(j - 1)
         times its inverse frequency (the first adds that itself). With ``level``
         all inverse frequencies are equal."""
-        found, times = np.unique(self.shingles(text), return_counts=True)
-        turn = np.arange(1, times.sum() + 1) - np.repeat(np.cumsum(times) - times, times)
+        found, times = self.counted(text)
+        part, step = self._occurrences(found, times)
+        return (part, self.rare * step) if level else self._parts(found, times, part, step)
+
+    def both_units(self, text: str | None) -> tuple:
+        """``units``, and those with all inverse frequencies equal where they
+        differ (else None)."""
+        found, times = self.counted(text)
+        part, step = self._occurrences(found, times)
+        uneven = len(self.common) and (self.inverse_frequency(found)[0] < self.rare).any()
+        return (self._parts(found, times, part, step), (part, self.rare * step) if uneven else None)
+
+    def _occurrences(self, found: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A part for each occurrence of a shingle, and what it adds to 1 + log(count)."""
+        total = int(times.sum())
+        if total == len(found):  # none is repeated
+            return mix64(found + _FIRST), np.ones(total)
+        turn = np.arange(1, total + 1) - np.repeat(np.cumsum(times) - times, times)
         step = np.where(turn > 1, np.log(turn / np.maximum(turn - 1, 1)), 1.0)
-        part = mix64(np.repeat(found, times) + mix64(turn.astype(np.uint64)))
-        if level:
-            return part, self.rare * step
+        return mix64(np.repeat(found, times) + mix64(turn.astype(np.uint64))), step
+
+    def _parts(self, found: np.ndarray, times: np.ndarray, part: np.ndarray,
+               step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         mine, least = self.inverse_frequency(found)
+        if mine is least:
+            return part, (least * step if len(part) == len(found) else np.repeat(least, times) * step)
         # what a shingle weighs here above what it weighs elsewhere is a part of its own
         over = np.repeat(mine - least, times) * step
         more = over > 0
         return (np.concatenate([part, mix64(part[more])]),
                 np.concatenate([np.repeat(least, times) * step, over[more]]))
 
+    def unit_samples(self, part: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """One hash for each of the bands x rows samples of a text's ``units``.
+
+        A part weighs the same in every text that has it, so no weight has to
+        be sampled: the part of the least -log(1 - hash) / weight is the sample,
+        and two texts have the same one with the probability of their weighted
+        Jaccard similarity. Of parts of one weight that is the one of the least
+        hash, so only that one's logarithm is taken."""
+        order = np.argsort(weights, kind="stable")
+        part, weights = part[order], weights[order]
+        first = np.flatnonzero(np.append(True, weights[1:] != weights[:-1]))
+        least = np.full((len(self.seeds), len(first)), ~np.uint64(0))
+        for low in range(0, len(part), 512):  # any length of text, in blocks
+            x = part[None, low:low + 512] * self.seeds
+            x ^= x >> np.uint64(32)
+            x *= np.uint64(0xD6E8FEB86659FD93)
+            some = slice(np.searchsorted(first, low, "right") - 1, np.searchsorted(first, low + 512))
+            within = np.maximum(first[some] - low, 0)
+            least[:, some] = np.minimum(least[:, some], np.minimum.reduceat(x, within, axis=1))
+        if len(first) == 1:
+            return least[:, 0]
+        value = -np.log1p(least * -(2.0**-64)) / weights[first]
+        return least[np.arange(len(least)), value.argmin(1)]
+
     def samples(self, found: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """One hash for each of the bands x rows samples."""
+        """One hash for each of the bands x rows samples (ICWS), where a shingle's
+        weights in two texts may be any two numbers."""
+        gamma = _gamma_quantiles(1 << 16)
+        r_of, log_c_of = gamma.astype(np.float32), np.log(gamma).astype(np.float32)
         best = np.full(len(self.seeds), np.inf, dtype=np.float32)
         out = np.zeros(len(self.seeds), dtype=np.uint64)
         every = np.arange(len(self.seeds))
@@ -156,7 +212,7 @@ class Sampler:
             x *= np.uint64(0xD6E8FEB86659FD93)
             x ^= x >> np.uint64(32)
             lanes = x.view(np.uint16).reshape(len(self.seeds), len(part), 4)
-            r, log_c = self.r[lanes[:, :, 0]], self.log_c[lanes[:, :, 1]]
+            r, log_c = r_of[lanes[:, :, 0]], log_c_of[lanes[:, :, 1]]
             beta = x.view(np.uint32)[:, 1::2].astype(np.float32)
             beta *= np.float32(2.0**-32)
             t = log_w[None, low:low + 512] / r
@@ -248,7 +304,7 @@ def common_shingles(texts: DataFrame, text: str, n: int, share: float = COMMON,
         sampler, total = Sampler(none), np.zeros(buckets, dtype=np.int64)
         for batch in batches:
             for low in range(0, len(batch), 256):
-                found = [np.unique(sampler.shingles(v)) for v in batch[text][low:low + 256]]
+                found = [sampler.counted(v)[0] for v in batch[text][low:low + 256]]
                 total += np.bincount((np.concatenate(found) % np.uint64(buckets)).astype(np.int64),
                                      minlength=buckets)
         at = np.flatnonzero(total)
@@ -288,9 +344,9 @@ def _bands(shared, bands_: int = BANDS, rows: int = ROWS):
         for texts in batches:
             out = []
             for value in texts:
-                found, weights = sampler.weighted(value)
-                out.append(sampler.band_keys(sampler.samples(found, weights)).view(np.int64)
-                           if len(found) else np.empty(0, dtype=np.int64))
+                part, weights = sampler.units(value)
+                out.append(sampler.band_keys(sampler.unit_samples(part, weights)).view(np.int64)
+                           if len(part) else np.empty(0, dtype=np.int64))
             yield pd.Series(out, dtype=object)
 
     return bands
@@ -329,38 +385,36 @@ def components(edges: DataFrame) -> DataFrame:
     node that it hangs together with. Large-star and small-star steps turn
     the edges into stars; each step is written out, so lineage stays short."""
     edges = staged(edges.filter("a <> b").select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (both.filter("v > u").join(least, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+        least = staged(both.groupBy("u").agg(
+            F.least(F.min("v"), F.first("u")).alias("m"), F.count_if(F.col("v") < F.col("u")).alias("lower"),
+            F.count_if(F.col("v") > F.col("u")).alias("higher")), "least")
+        # stars: a node hangs on one lesser node, its class, or others hang on it
+        if least.filter("lower > 1 or lower = 1 and higher > 0").isEmpty():
+            return least.select(F.col("u").alias("node"), F.col("m").alias("class"))
+        large = (both.filter("v > u").join(least.filter("higher > 0").select("u", "m"), "u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
         lower = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .filter("u <> v").unionByName(lower.select("u", F.col("m").alias("v"))).distinct())
-        new = staged(small, "edges")
-        if new.exceptAll(edges).isEmpty() and edges.exceptAll(new).isEmpty():
-            break
-        edges = new
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("class")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("class"))).distinct()
+        edges = staged(small, "edges")
 
 
 def _merged(found: DataFrame, pairs: DataFrame) -> DataFrame:
     """(node, class) once the classes that the pairs (a, b) join are one: the
-    components of classes, which are far fewer than nodes."""
-    def ends(name: str) -> DataFrame:
-        return pairs.select(F.col(name).alias("node")).join(found, "node", "left_anti")
-
-    known = staged(found.unionByName(ends("a").unionByName(ends("b")).distinct().select(
-        "node", F.col("node").alias("class"))), "known-classes")
+    components of classes, which are far fewer than nodes. A node that has no
+    class yet is one of its own."""
     links = pairs
     for name in ("a", "b"):
-        of = known.select(F.col("node").alias(name), F.col("class").alias(f"class_{name}"))
-        links = links.join(of, name)
-    merged = components(links.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
-    return known.join(merged.select(F.col("node").alias("class"), F.col("class").alias("into")),
-                      "class", "left").select("node", F.coalesce("into", "class").alias("class"))
+        of = found.select(F.col("node").alias(name), F.col("class").alias(f"class_{name}"))
+        links = links.join(of, name, "left")
+    merged = components(links.select(F.coalesce("class_a", "a").alias("a"),
+                                     F.coalesce("class_b", "b").alias("b")))
+    known = found.join(merged.select(F.col("node").alias("class"), F.col("class").alias("into")),
+                       "class", "left").select("node", F.coalesce("into", "class").alias("class"))
+    return known.unionByName(merged.join(found, "node", "left_anti"))
 
 
 def _by_band(members: DataFrame, *aggregates) -> DataFrame:
@@ -373,30 +427,42 @@ def _by_band(members: DataFrame, *aggregates) -> DataFrame:
 
 def _members(exploded: DataFrame) -> DataFrame:
     """The nodes (node, band, key) of bands that hold several."""
-    several = _by_band(exploded, F.min("node").alias("n0"), F.max("node").alias("n1"))
-    return exploded.join(several.filter("n0 <> n1").select("band", "key"), ["band", "key"])
-
-
-def _leaders(members: DataFrame, turn: int) -> DataFrame:
-    """(a, b): each band's nodes with its leader in this round."""
-    rank = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node")
-    leaders = _by_band(members, F.min(rank).alias("l"))
-    found = members.join(leaders, ["band", "key"])
-    other = F.col("l.node") != F.col("node")
-    if "class" in members.columns:
-        lead = members.select("band", "key", F.col("node").alias("ln"), F.col("class").alias("lc"))
-        found = found.withColumn("ln", F.col("l.node")).join(lead, ["band", "key", "ln"])
-        other = other & (F.col("lc") != F.col("class"))
-    pairs = found.filter(other).select(F.greatest("node", "l.node").alias("a"),
-                                       F.least("node", "l.node").alias("b"))
-    return pairs.distinct()
-
-
-def _unsettled(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members, with their classes, of bands that hold more than one class."""
+    several = _by_band(exploded, F.count(F.lit(1)).alias("n"))
+    return exploded.join(several.filter("n > 1").select("band", "key"), ["band", "key"])
+
+
+def _rank(turn: int, *more: str):
+    """Least for a band's leader of this turn."""
+    return F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", *more)
+
+
+def _led(members: DataFrame) -> DataFrame:
+    """The members and their band's first leader."""
+    leaders = _by_band(members, F.min(_rank(0)).alias("l"))
+    return members.join(leaders.select("band", "key", F.col("l.node").alias("lead")), ["band", "key"])
+
+
+def _pairs(led: DataFrame) -> DataFrame:
+    """(a, b): nodes and their leaders."""
+    return led.filter("node <> lead").select(F.greatest("node", "lead").alias("a"),
+                                             F.least("node", "lead").alias("b")).distinct()
+
+
+def _followers(led: DataFrame) -> DataFrame:
+    """The members that are left to be compared with each other, once the
+    leader of their band was compared with all of them."""
+    return led.filter("node <> lead").select("node", "band", "key")
+
+
+def _unsettled(members: DataFrame, classes: DataFrame, turn: int) -> DataFrame:
+    """The members, with their classes and this turn's leader, of bands that
+    hold more than one class."""
     known = members.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    mixed = _by_band(known, F.min("class").alias("c0"), F.max("class").alias("c1"))
-    return known.join(mixed.filter("c0 <> c1").select("band", "key"), ["band", "key"])
+    mixed = _by_band(known, F.min("class").alias("c0"), F.max("class").alias("c1"),
+                     F.min(_rank(turn, "class")).alias("l"))
+    return known.join(mixed.filter("c0 <> c1").select(
+        "band", "key", F.col("l.node").alias("lead"), F.col("l.class").alias("lead_class")),
+        ["band", "key"])
 
 
 def _crowded(left: DataFrame) -> DataFrame:
@@ -434,10 +500,11 @@ def _blockwise(left: DataFrame, texts: DataFrame, shared, threshold: float) -> D
                 return c
 
             out = []
-            alike = block_similarities([sampler.units(text) for _, _, text in held])
-            if any(sampler.uneven(text) for _, _, text in held):
+            units = [sampler.both_units(text) for _, _, text in held]
+            alike = block_similarities([u for u, _ in units])
+            if any(level is not None for _, level in units):
                 alike = np.maximum(alike, block_similarities(
-                    [sampler.units(text, level=True) for _, _, text in held]))
+                    [u if level is None else level for u, level in units]))
             kinds = np.unique([c for _, c, _ in held], return_inverse=True)[1]
             alike = (alike >= threshold - NEAR) & (kinds[:, None] > kinds[None, :])
             for i, j in np.argwhere(alike).tolist():
@@ -472,15 +539,16 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = docs.withColumn("node", F.md5("text"))
     signed = staged(docs.select("node", "doc_id"), "rows")
     # copies count once: no group of them is common by its size
-    each = staged(docs.select("node", "text").dropDuplicates(["node"]), "distinct-texts")
+    each = staged(docs.groupBy("node").agg(F.first("text").alias("text"), F.min("doc_id").alias("rep")),
+                  "distinct-texts")
     shared = spark.sparkContext.broadcast(common_shingles(each, "text", max(1, each.count())))
-    reps = signed.groupBy("node").agg(F.min("doc_id").alias("rep"))
-    nodes = staged(each.select("node", _bands(shared)("text").alias("bands")).join(reps, "node"),
-                   "nodes")
+    nodes = staged(each.select("node", "rep", _bands(shared)("text").alias("bands")), "nodes")
     members = staged(_members(nodes.select("node", F.posexplode("bands").alias("band", "key"))),
                      "members")
-    texts = staged(each.join(members.select("node").distinct(), "node"), "texts")
-    tested = staged(_leaders(members, 0), "pairs")
+    texts = staged(each.select("node", "text").join(members.select("node").distinct(), "node"),
+                   "texts")
+    members = staged(_led(members), "led")
+    tested = staged(_pairs(members), "pairs")
     found = components(_similar(tested, texts, shared, threshold))
 
     def joined_by(new: DataFrame) -> None:
@@ -490,19 +558,20 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
             found = staged(_merged(found, new), "classes")
 
     def led(members: DataFrame, turns: range) -> DataFrame:
-        """What rounds of leaders leave of several classes."""
+        """What rounds of leaders leave of several classes, without the leaders."""
         nonlocal tested
-        left = staged(_unsettled(members, found), "unsettled")
+        left = staged(_unsettled(members, found, turns[0]), "unsettled")
         for turn in turns:
             if left.isEmpty():
                 break
-            pairs = staged(_leaders(left, turn).join(tested, ["a", "b"], "left_anti"), "pairs")
+            pairs = _pairs(left.filter("class <> lead_class"))
+            pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
             tested = tested.unionByName(pairs)
             joined_by(staged(_similar(pairs, texts, shared, threshold), "similar"))
-            left = staged(_unsettled(members, found), "unsettled")
+            left = staged(_unsettled(_followers(left), found, turn + 1), "unsettled")
         return left
 
-    left = led(members, range(1, ROUNDS + 1))
+    left = led(_followers(members), range(1, ROUNDS + 1))
     crowded = staged(_crowded(left), "crowded")
     if not crowded.isEmpty():
         among = texts.join(left.join(crowded, ["band", "key"]).select("node").distinct(), "node")
@@ -510,8 +579,8 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
         finer = staged(_members(fine.select("node", F.posexplode("bands").alias("band", "key"))),
                        "members").withColumn("band", F.col("band") + BANDS)
         finest = led(finer, range(ROUNDS + 1, ROUNDS + FINE_ROUNDS + 1))
-        rest = left.join(crowded, ["band", "key"], "left_anti").drop("class")
-        left = staged(_unsettled(rest.unionByName(finest.select(rest.columns)), found), "unsettled")
+        rest = left.join(crowded, ["band", "key"], "left_anti").select("node", "band", "key")
+        left = staged(_unsettled(rest.unionByName(finest.select(rest.columns)), found, 0), "unsettled")
     if not left.isEmpty():
         joined_by(staged(_blockwise(left, texts, shared, threshold), "similar"))
     named = nodes.select("node", "rep").join(found, "node", "left").withColumn(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +19,9 @@ _BYTE_INVERSE = pow(_BYTE, -1, 1 << 64)
 _PLACES = [np.uint64((0xD6E8FEB86659FD93 + 2 * i * 0x94D049BB133111EB) & ((1 << 64) - 1))
            for i in range(64)]
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
+#: White space as ``str.split`` knows it: characters beyond ASCII, and bytes.
+_WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_SPACE = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -73,7 +78,12 @@ def word_hashes(text: str, block: int = 1 << 18) -> np.ndarray:
     """64-bit hashes of a text's words (runs without white space, lower-cased)
     in order. A word's hash is a polynomial of its bytes, taken from running
     sums over the whole text and then mixed; long texts go block by block."""
-    data = " ".join(text.lower().split()).encode("utf-8")
+    lower = text.lower()
+    if not lower.isascii():
+        lower = _WIDE_SPACE.sub(" ", lower)
+    data = lower.encode("utf-8")
+    if len(data) > block:  # one space between words, to part blocks at
+        data = " ".join(lower.split()).encode("utf-8")
     out, low = [], 0
     while low < len(data):
         high = len(data)
@@ -85,9 +95,10 @@ def word_hashes(text: str, block: int = 1 << 18) -> np.ndarray:
         sums = np.empty(len(part) + 1, dtype=np.uint64)
         sums[0] = 0
         np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-        ends = np.append(np.flatnonzero(part == 32), len(part))
-        starts = np.empty_like(ends)
-        starts[0], starts[1:] = 0, ends[:-1] + 1
+        space = np.ones(len(part) + 2, dtype=bool)
+        space[1:-1] = _SPACE[part]
+        turns = np.flatnonzero(space[1:] != space[:-1])
+        starts, ends = turns[::2], turns[1::2]
         out.append(mix64((sums[ends] - sums[starts]) * down[starts]))
         low = high + 1
     return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)

@@ -215,3 +215,62 @@ def test_a_crowded_band_is_parted_by_finer_bands(spark, monkeypatch):
     assert all(n < 0.7 * seen["_crowded"][0] for n in seen["_blockwise"])
     for i in range(160):
         assert found[i] == i and (i % 8 or found[1000 + i] == i)
+
+
+def test_unit_samples_agree_as_often_as_texts_are_alike():
+    """The samples of parts against the exact similarity: repeated shingles, common ones, a long text."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(300)}" for _ in range(900)] + ["a b c d e f"] * 30
+    other = [f"z{i}" if i < 900 and i % 40 == 0 else w for i, w in enumerate(base)] + ["a b c d e f"] * 20
+    texts = [" ".join(base), " ".join(other)]
+    common = np.unique(N.Sampler(NONE).shingles(" ".join(base[:300])))
+    for shared in (NONE, (common, np.full(len(common), 1.7))):
+        sampler = N.Sampler(shared, bands=1000, rows=1)
+        a, b = (sampler.units(t) for t in texts)
+        wanted = N.weighted_jaccard(*(sampler.weighted(t) for t in texts))
+        assert 0.6 < wanted < 0.9
+        same = np.mean(sampler.unit_samples(*a) == sampler.unit_samples(*b))
+        assert same == pytest.approx(wanted, abs=0.06)
+        turned = np.random.default_rng(0).permutation(len(a[0]))
+        assert np.array_equal(sampler.unit_samples(*a), sampler.unit_samples(a[0][turned], a[1][turned]))
+
+
+def test_stars_take_no_further_step(spark, monkeypatch):
+    steps, own = [], N.staged
+    monkeypatch.setattr(N, "staged", lambda df, name: steps.append(name) or own(df, name))
+    edges = [("b", "a"), ("c", "a"), ("c", "a"), ("e", "d"), ("f", "d")]
+    df = spark.createDataFrame(edges[:2] + edges[3:], "a string, b string")
+    found = sorted((r["node"], r["class"]) for r in N.components(df).collect())
+    assert found == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "d"), ("f", "d")]
+    assert steps.count("edges") == 1
+    again = N.components(spark.createDataFrame(edges, "a string, b string"))
+    assert sorted((r["node"], r["class"]) for r in again.collect()) == found
+
+
+def test_leaders_are_not_compared_again(spark, monkeypatch):
+    """Pairs of texts under the threshold share bands of two; their leader was
+    compared with the other, so no block is left."""
+    rng = random.Random(21)
+    texts = []
+    for _ in range(40):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        texts += [" ".join(base), " ".join(base[:70] + [f"v{rng.randrange(10**6)}" for _ in range(30)])]
+    given, members, blocks, own = [], [], N._blockwise, N._members
+    monkeypatch.setattr(N, "_blockwise",
+                        lambda left, *rest: given.append(left.count()) or blocks(left, *rest))
+    monkeypatch.setattr(N, "_members", lambda df: members.append(own(df).count()) or own(df))
+    out = N.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert out.filter("kept").count() == 80
+    assert members[0] > 20 and not given
+
+
+def test_words_of_any_white_space():
+    """The words of a text are those of str.split, whatever parts them."""
+    from keelson.llm.text import word_hashes
+    spaces = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
+    words = ["Über", "漢字", "a\u200bb", "x"]
+    wanted = [word_hashes(w).tolist() for w in words * len(spaces)]
+    assert all(len(w) == 1 for w in wanted)
+    text = "".join(space + word for space in spaces for word in words)
+    assert word_hashes(text).tolist() == [w[0] for w in wanted]
+    assert word_hashes(text + " ", block=16).tolist() == [w[0] for w in wanted]
